@@ -32,7 +32,7 @@ def _order_key() -> F.Column:
 
 def passenger_deltas(locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
     keys = ["matatuId"]
-    rows = scan.with_chunk(locations, "timestamp", settings.scan_chunk_minutes)
+    rows = scan.with_chunk(locations, "timestamp", settings.scan_chunk_seconds)
     rows = rows.withColumn("_prev", F.lag("passengersOnboard").over(scan.in_chunk(keys, ORDER)))
     summary = scan.chunk_summary(
         rows, keys, [F.max_by("passengersOnboard", _order_key()).alias("_last")]
@@ -77,7 +77,7 @@ def vehicle_snapshots(locations: DataFrame) -> DataFrame:
 def _route_chunks(deltas: DataFrame, settings: JobSettings) -> tuple[DataFrame, DataFrame]:
     """(rows with in-chunk running columns, per-chunk summary with carries)."""
     keys = ["routeId"]
-    rows = scan.with_chunk(deltas, "timestamp", settings.scan_chunk_minutes)
+    rows = scan.with_chunk(deltas, "timestamp", settings.scan_chunk_seconds)
     w = scan.upto(scan.in_chunk(keys, ORDER))
     rows = (
         rows.withColumn("_run_sum", F.sum("passengerDelta").over(w))

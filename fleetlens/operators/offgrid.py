@@ -81,7 +81,7 @@ def offgrid_as_of(
 def _gaps(locations: DataFrame, settings: JobSettings) -> DataFrame:
     """Every ping with the time of the vehicle's next ping (null if last)."""
     keys = ["matatuId"]
-    rows = scan.with_chunk(locations, "timestamp", settings.scan_chunk_minutes)
+    rows = scan.with_chunk(locations, "timestamp", settings.scan_chunk_seconds)
     rows = rows.withColumn("_next", F.lead("timestamp").over(scan.in_chunk(keys, ORDER)))
     summary = scan.chunk_summary(rows, keys, [F.min("timestamp").alias("_first")])
     carry = summary.select(

@@ -95,7 +95,7 @@ def late_fare_audit(
     and ``isLate`` (window end + grace <= stream time)."""
     keys = ["saccoId"]
     order = [arrival_col, "eventId"]
-    rows = scan.with_chunk(assign_operator(successful(fares), settings), arrival_col, settings.scan_chunk_minutes)
+    rows = scan.with_chunk(assign_operator(successful(fares), settings), arrival_col, settings.scan_chunk_seconds)
     ntz = rows.schema[time_col].dataType.typeName() == "timestamp_ntz"
     rows = rows.withColumn("_t", epoch_micros(rows, time_col))
     rows = rows.withColumn("_local_max", F.max("_t").over(scan.upto(scan.in_chunk(keys, order))))

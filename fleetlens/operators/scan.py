@@ -25,8 +25,8 @@ from fleetlens.functions.scalar import epoch_micros
 CHUNK = "_chunk"
 
 
-def with_chunk(df: DataFrame, time_col: str, chunk_minutes: int) -> DataFrame:
-    width = chunk_minutes * 60_000_000
+def with_chunk(df: DataFrame, time_col: str, chunk_seconds: int) -> DataFrame:
+    width = chunk_seconds * 1_000_000
     return df.withColumn(CHUNK, F.floor(epoch_micros(df, time_col) / F.lit(width)).cast("bigint"))
 
 

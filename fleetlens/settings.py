@@ -21,8 +21,10 @@ class JobSettings:
     # Width of the time chunks that ordered per-key scans are split into. A key
     # (vehicle, route, operator) may hold a large share of all rows; the scans
     # run per (key, chunk) and stitch chunk boundaries with a small carry table,
-    # so no task ever sorts a whole key. Tune down for very dense keys.
-    scan_chunk_minutes: int = 60
+    # so no task ever sorts a whole key. Size it so the densest (key, chunk)
+    # holds at most a few million rows: width ~ span * target_rows / rows(key).
+    # The carry table has one row per non-empty (key, chunk).
+    scan_chunk_seconds: int = 3600
 
     @property
     def revenue_window_ms(self) -> int:
