@@ -14,7 +14,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import epoch_micros, from_epoch_micros, java_string_hash
@@ -49,11 +49,11 @@ def assign_operator(fares: DataFrame, settings: JobSettings = DEFAULT_SETTINGS)
     return fares.withColumn("saccoId", F.element_at(F.array(*[F.lit(k) for k in keys]), idx))
 
 
-def operator_names(spark: SparkSession, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
-    """Dimension of the revenue keys; its size is fixed by construction."""
-    return spark.createDataFrame(
-        operator_keys(settings.revenue_key_mode), "saccoId string, saccoName string"
-    )
+def operator_name(key: F.Column, settings: JobSettings = DEFAULT_SETTINGS) -> F.Column:
+    """Name of an operator key. The key set is fixed (a handful of rows), so
+    the lookup is a literal map: a broadcast with no join at all."""
+    pairs = [x for k, n in operator_keys(settings.revenue_key_mode) for x in (F.lit(k), F.lit(n))]
+    return F.coalesce(F.create_map(*pairs)[key], F.lit(UNKNOWN_OPERATOR_NAME))
 
 
 def successful(fares: DataFrame) -> DataFrame:
@@ -64,7 +64,6 @@ def windowed_revenue(
     fares: DataFrame, settings: JobSettings = DEFAULT_SETTINGS, time_col: str = "timestamp"
 ) -> DataFrame:
     """Sum and count of successful fares per (operator, tumbling window)."""
-    spark = fares.sparkSession
     win = F.window(time_col, f"{settings.revenue_window_minutes} minutes")
     agg = (
         assign_operator(successful(fares), settings)
@@ -74,10 +73,9 @@ def windowed_revenue(
             F.count(F.lit(1)).alias("transactionCount"),
         )
     )
-    names = F.broadcast(operator_names(spark, settings))
-    return agg.join(names, "saccoId", "left").select(
+    return agg.select(
         "saccoId",
-        F.coalesce("saccoName", F.lit(UNKNOWN_OPERATOR_NAME)).alias("saccoName"),
+        operator_name(F.col("saccoId"), settings).alias("saccoName"),
         F.col("_total").cast("decimal(18,2)").alias("totalRevenueKes"),
         "transactionCount",
         F.col("w.start").alias("windowStart"),
@@ -134,8 +132,6 @@ def emitted_revenue(fares: DataFrame, settings: JobSettings = DEFAULT_SETTINGS)
     audit = late_fare_audit(fares, settings)
     on_time = audit.filter(~F.col("isLate"))
     final_time = audit.groupBy("saccoId").agg(F.max("timestamp").alias("_final"))
-    spark = fares.sparkSession
-    names = F.broadcast(operator_names(spark, settings))
     grace = F.expr(f"INTERVAL {settings.revenue_grace_minutes} MINUTES")
     agg = on_time.groupBy("saccoId", "windowStart", "windowEnd").agg(
         F.sum("amountKes").alias("_total"), F.count(F.lit(1)).alias("transactionCount")
@@ -143,10 +139,9 @@ def emitted_revenue(fares: DataFrame, settings: JobSettings = DEFAULT_SETTINGS)
     return (
         agg.join(final_time, "saccoId")
         .filter(F.col("windowEnd") + grace <= F.col("_final"))
-        .join(names, "saccoId", "left")
         .select(
             "saccoId",
-            F.coalesce("saccoName", F.lit(UNKNOWN_OPERATOR_NAME)).alias("saccoName"),
+            operator_name(F.col("saccoId"), settings).alias("saccoName"),
             F.col("_total").cast("decimal(18,2)").alias("totalRevenueKes"),
             "transactionCount",
             "windowStart",

@@ -15,6 +15,7 @@ def build_session(
     app_name: str = "fleetlens",
     shuffle_partitions: int | None = None,
     extra: dict[str, str] | None = None,
+    checkpoint_dir: str | None = None,
 ) -> SparkSession:
     """Session with the settings these jobs assume.
 
@@ -42,6 +43,8 @@ def build_session(
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
+    if checkpoint_dir and not _configured_root(spark):
+        spark.sparkContext.setCheckpointDir(checkpoint_dir)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -52,17 +55,22 @@ def checkpoint_root(spark: SparkSession, local_fallback: bool = False) -> str:
     On a cluster this must be set (a shared file system path). Only tests and
     local runs may ask for a fresh scratch folder when it is unset.
     """
-    root = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    root = _configured_root(spark)
     if root:
         return root.rstrip("/")
     if not local_fallback:
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set; point it at a shared folder of the cluster"
         )
-    root = tempfile.mkdtemp(prefix="fleetlens-ckpt-")
-    spark.conf.set(CHECKPOINT_CONF, root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fleetlens-ckpt-"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def _configured_root(spark: SparkSession) -> str | None:
+    """``spark.checkpoint.dir`` (static conf) or a directory set on the
+    context with ``setCheckpointDir``."""
+    sc = spark.sparkContext
+    return sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
 
 
 def checkpoint_path(spark: SparkSession, name: str, local_fallback: bool = False) -> str:

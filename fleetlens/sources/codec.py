@@ -19,6 +19,7 @@ REASON_BAD_METHOD = "paymentMethod must be one of MPESA, CASH, CARD"
 REASON_BAD_STATUS = "status must be one of SUCCESS, FAILED, PENDING"
 REASON_MALFORMED = "malformed record"
 
+_CORRUPT = "_corrupt_record"
 ISO_INSTANT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 ISO_LOCAL = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
@@ -48,16 +49,24 @@ def encode_keyed(df: DataFrame, key: str, fields: list[str], keep: list[str] = (
 def decode(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
     """Parse the JSON payload into top-level columns; keeps the other columns.
 
-    A payload that is not valid JSON yields a row with ``_malformed`` true.
+    A payload that is not valid JSON (or does not fit the schema) yields a
+    row with ``_malformed`` true.
     """
+    with_corrupt = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     parsed = F.from_json(
-        F.col(value_col), schema, {"mode": "PERMISSIVE", "timestampNTZFormat": ISO_LOCAL}
+        F.col(value_col),
+        with_corrupt,
+        {
+            "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": _CORRUPT,
+            "timestampNTZFormat": ISO_LOCAL,
+        },
     )
     others = [c for c in df.columns if c != value_col]
     return df.select(*others, parsed.alias("_rec")).select(
         *others,
         *[F.col("_rec").getField(f.name).alias(f.name) for f in schema.fields],
-        F.col("_rec").isNull().alias("_malformed"),
+        (F.col("_rec").isNull() | F.col(f"_rec.{_CORRUPT}").isNotNull()).alias("_malformed"),
     )
 
 
