@@ -145,20 +145,26 @@ def start_all(
     trigger: dict | None = None,
     fmt: str = "json",
     local_checkpoint_fallback: bool = False,
+    name_prefix: str = "",
 ) -> dict[str, StreamingQuery]:
-    """Every flow as its own query (own checkpoint, own progress)."""
+    """Every flow as its own query (own checkpoint, own progress).
+
+    Query names (and so checkpoint folders) are ``name_prefix + flow``; keep
+    the prefix stable across restarts to resume, change it for a fresh run.
+    """
     out = out_root.rstrip("/")
+    p = name_prefix
     kw = dict(trigger=trigger, fmt=fmt, local_checkpoint_fallback=local_checkpoint_fallback)
     locs, bad_locs = validated(locations, "location")
     fs, bad_fares = validated(fares, "fare")
     q = {
-        "speed_alerts": sinks.start_keyed(speed_alert_flow(locs, settings), "routeId", "speed_alerts", path=f"{out}/speed_alerts", **kw),
-        "location_enriched": sinks.start_keyed(enrichment_flow(locs, settings), "routeId", "location_enriched", path=f"{out}/location_enriched", **kw),
-        "location_quarantine": sinks.start(bad_locs, "location_quarantine", path=f"{out}/location_quarantine", **kw),
-        "fare_quarantine": sinks.start(bad_fares, "fare_quarantine", path=f"{out}/fare_quarantine", **kw),
-        "fares_failed": sinks.start_keyed(routing.failed_fares(fs), "matatuId", "fares_failed", path=f"{out}/fares_failed", **kw),
-        "sacco_revenue": start_revenue(fs, "sacco_revenue", settings, path=f"{out}/sacco_revenue", **kw),
-        "route_occupancy": sinks.start_keyed(occupancy_flow(delta_flow(locs)), "routeId", "route_occupancy", path=f"{out}/route_occupancy", **kw),
-        "location_audit": sinks.start(stateless.location_audit(locs), "location_audit", fmt="parquet", path=f"{out}/location_audit", partition_by=["eventDate"], trigger=trigger, local_checkpoint_fallback=local_checkpoint_fallback),
+        "speed_alerts": sinks.start_keyed(speed_alert_flow(locs, settings), "routeId", p + "speed_alerts", path=f"{out}/speed_alerts", **kw),
+        "location_enriched": sinks.start_keyed(enrichment_flow(locs, settings), "routeId", p + "location_enriched", path=f"{out}/location_enriched", **kw),
+        "location_quarantine": sinks.start(bad_locs, p + "location_quarantine", path=f"{out}/location_quarantine", **kw),
+        "fare_quarantine": sinks.start(bad_fares, p + "fare_quarantine", path=f"{out}/fare_quarantine", **kw),
+        "fares_failed": sinks.start_keyed(routing.failed_fares(fs), "matatuId", p + "fares_failed", path=f"{out}/fares_failed", **kw),
+        "sacco_revenue": start_revenue(fs, p + "sacco_revenue", settings, path=f"{out}/sacco_revenue", **kw),
+        "route_occupancy": sinks.start_keyed(occupancy_flow(delta_flow(locs)), "routeId", p + "route_occupancy", path=f"{out}/route_occupancy", **kw),
+        "location_audit": sinks.start(stateless.location_audit(locs), p + "location_audit", fmt="parquet", path=f"{out}/location_audit", partition_by=["eventDate"], trigger=trigger, local_checkpoint_fallback=local_checkpoint_fallback),
     }
     return q

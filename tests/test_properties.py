@@ -1,0 +1,137 @@
+"""Property tests: the chunked, skew-safe scans equal a plain sequential
+simulation of the stream (brute force), for random pings and fares with many
+chunks per key and hot keys."""
+
+from __future__ import annotations
+
+import datetime as dt
+from decimal import Decimal
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from fixtures_small import T0, fares, pings
+from fleetlens.operators import occupancy, offgrid, revenue
+from fleetlens.settings import JobSettings
+
+# Tiny chunks (60 s) so every key spans many chunks and boundaries matter.
+SMALL_CHUNKS = JobSettings(scan_chunk_seconds=60)
+HYP = settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+
+ping_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "A", "A", "B", "C"]),  # A is a hot vehicle
+        st.sampled_from(["r1", "r1", "r2"]),  # r1 is a hot route
+        st.integers(0, 40),
+        st.integers(0, 30 * 60 * 1000),  # ms offset within 30 minutes
+    ),
+    min_size=1,
+    max_size=60,
+)
+
+
+def _ordered(rows):
+    """Stream order: (timestamp, position)."""
+    return sorted(enumerate(rows), key=lambda p: (p[1][3], p[0]))
+
+
+def _to_pings(spark, rows):
+    return pings(spark, [(m, r, 10.0, pax, T0 + dt.timedelta(milliseconds=ms)) for m, r, pax, ms in rows])
+
+
+@HYP
+@given(ping_rows)
+def test_chunked_occupancy_equals_sequential_fold(spark, rows):
+    last_count: dict[str, int] = {}
+    state: dict[str, list[int]] = {}
+    expect = {}
+    for i, (m, r, pax, _) in _ordered(rows):
+        d = pax - last_count.get(m, 0)
+        last_count[m] = pax
+        cur, tb, ta = state.get(r, [0, 0, 0])
+        state[r] = [max(0, cur + d), tb + max(0, d), ta + max(0, -d)]
+        expect[i] = (r, d, *state[r])
+    deltas = occupancy.passenger_deltas(_to_pings(spark, rows), SMALL_CHUNKS)
+    got = {
+        x.eventId: (x.routeId, x.passengerDelta, x.currentPassengers, x.totalBoardings, x.totalAlightings)
+        for x in occupancy.occupancy_changelog(deltas, SMALL_CHUNKS).collect()
+    }
+    assert got == expect
+    final = {x.routeId: x.currentPassengers for x in occupancy.route_occupancy(deltas, SMALL_CHUNKS).collect()}
+    assert final == {r: v[0] for r, v in state.items()}
+
+
+@HYP
+@given(ping_rows, st.integers(0, 40 * 60 * 1000))
+def test_chunked_silence_ticks_equal_brute_force(spark, rows, horizon_extra):
+    s = JobSettings(scan_chunk_seconds=60, offgrid_silence_ms=120_000, offgrid_check_interval_ms=30_000)
+    horizon_ms = max(ms for *_, ms in rows) + horizon_extra
+    seen: dict[str, int] = {}
+    order = _ordered(rows)
+    expect = []
+    # replay: ticks every 30 s; a tick sees pings with time <= tick
+    events = [(ms, i, m) for i, (m, _, _, ms) in order]
+    e = 0
+    for tick in range(0, horizon_ms + 1, 30_000):
+        while e < len(events) and events[e][0] <= tick:
+            seen[events[e][2]] = events[e][0]
+            e += 1
+        for m, last in seen.items():
+            if tick - last > 120_000:
+                expect.append((m, tick, tick - last))
+    df = _to_pings(spark, rows)
+    horizon = F.lit(T0 + dt.timedelta(milliseconds=horizon_ms))
+    got = [
+        (x.matatuId, int((x.alertRaisedAt - T0) / dt.timedelta(milliseconds=1)), x.silenceDurationMs)
+        for x in offgrid.tick_alerts(df, horizon, s).collect()
+    ]
+    assert sorted(got) == sorted(expect)
+    counts = offgrid.silence_gaps(df, horizon, s).agg(F.sum("alertCount")).first()[0] or 0
+    assert counts == len(expect)
+
+
+fare_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["KBZ 1", "KBZ 1", "KBZ 2"]),
+        st.integers(1, 500),
+        st.integers(0, 4 * 3600 * 1000),  # event time offset, ms
+        st.sampled_from([0, 0, 0, 2 * 3600 * 1000]),  # arrival delay
+    ),
+    min_size=1,
+    max_size=40,
+)
+
+
+@HYP
+@given(fare_rows)
+def test_chunked_late_audit_equals_sequential_stream_time(spark, rows):
+    df = fares(
+        spark,
+        [
+            (m, f"{amt}.00", "SUCCESS", T0 + dt.timedelta(milliseconds=ms), T0 + dt.timedelta(milliseconds=ms + lag))
+            for m, amt, ms, lag in rows
+        ],
+    )
+    keyed = {r.matatuId: r.saccoId for r in revenue.assign_operator(df, SMALL_CHUNKS).collect()}
+    arrival = sorted(enumerate(rows), key=lambda p: (p[1][2] + p[1][3], p[0]))
+    stream_time: dict[str, int] = {}
+    expect = set()
+    hour = 3600 * 1000
+    for i, (m, _, ms, _) in arrival:
+        op = keyed[m]
+        stream_time[op] = max(stream_time.get(op, ms), ms)
+        if (ms // hour + 1) * hour + 5 * 60 * 1000 <= stream_time[op]:
+            expect.add(i)
+    got = {r.eventId for r in revenue.late_fares(df, SMALL_CHUNKS).collect()}
+    assert got == expect
+    on_time = sum(Decimal(a) for i, (_, a, _, _) in enumerate(rows) if i not in expect)
+    emitted = revenue.emitted_revenue(df, SMALL_CHUNKS)
+    final = {op: t for op, t in stream_time.items()}
+    closed_total = sum(
+        Decimal(a)
+        for i, (m, a, ms, _) in enumerate(rows)
+        if i not in expect and (ms // hour + 1) * hour + 5 * 60 * 1000 <= final[keyed[m]]
+    )
+    assert (emitted.agg(F.sum("totalRevenueKes")).first()[0] or 0) == closed_total
+    assert on_time >= closed_total
