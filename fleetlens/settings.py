@@ -24,7 +24,7 @@ class JobSettings:
     # so no task ever sorts a whole key. Size it so the densest (key, chunk)
     # holds at most a few million rows: width ~ span * target_rows / rows(key).
     # The carry table has one row per non-empty (key, chunk).
-    scan_chunk_seconds: int = 3600
+    scan_chunk_seconds: int = 60
 
     @property
     def revenue_window_ms(self) -> int:

@@ -63,10 +63,16 @@ def decode(df: DataFrame, schema: T.StructType, value_col: str = "value") -> Dat
         },
     )
     others = [c for c in df.columns if c != value_col]
-    return df.select(*others, parsed.alias("_rec")).select(
-        *others,
-        *[F.col("_rec").getField(f.name).alias(f.name) for f in schema.fields],
-        (F.col("_rec").isNull() | F.col(f"_rec.{_CORRUPT}").isNotNull()).alias("_malformed"),
+    # ``inline(array(...))`` emits the parsed fields as columns through a
+    # generator. Predicates on them (the validity split) cannot be pushed
+    # below a generator, so each payload is parsed exactly once; a plain
+    # projection would be inlined into every pushed-down predicate instead.
+    null_record = F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in with_corrupt.fields])
+    rec = F.coalesce(parsed, null_record.withField(_CORRUPT, F.col(value_col).cast("string")))
+    return (
+        df.select(*others, F.inline(F.array(rec)))
+        .withColumn("_malformed", F.col(_CORRUPT).isNotNull())
+        .drop(_CORRUPT)
     )
 
 
