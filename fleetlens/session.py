@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -75,3 +76,25 @@ def _configured_root(spark: SparkSession) -> str | None:
 
 def checkpoint_path(spark: SparkSession, name: str, local_fallback: bool = False) -> str:
     return os.path.join(checkpoint_root(spark, local_fallback), name)
+
+
+def cut_lineage(df, name: str = "stage", required: bool = False):
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
+    and return a DataFrame reading it back.
+
+    Use where one large intermediate feeds several branches of a plan (Spark
+    would otherwise recompute it, shuffles included, once per branch) or ends
+    a long chain of shuffles (a lost executor then replays from the table, not
+    from the source). The re-read gets column pruning and real size
+    statistics. Without a configured ``spark.checkpoint.dir`` the plan is
+    returned as is (recomputed per branch) unless ``required``.
+    """
+    spark = df.sparkSession
+    root = _configured_root(spark)
+    if root is None:
+        if required:
+            raise RuntimeError(f"{CHECKPOINT_CONF} is not set; cannot cut lineage")
+        return df
+    path = f"{root.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
