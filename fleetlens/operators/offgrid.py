@@ -166,3 +166,19 @@ def tick_alerts(
         from_epoch_micros(F.col("_k") * F.lit(step * 1000), ntz).alias("alertRaisedAt"),
     )
 
+
+
+def alert_messages(alerts: DataFrame) -> DataFrame:
+    """Log line per alert, silence in whole minutes."""
+    from fleetlens.functions.scalar import millis_to_minutes
+
+    return alerts.withColumn(
+        "message",
+        F.format_string(
+            "[OFF-GRID] Matatu %s on %s has been silent for %d minutes. Last seen: %s",
+            F.col("matatuId"),
+            F.col("routeName"),
+            millis_to_minutes(F.col("silenceDurationMs")),
+            F.col("lastSeenAt").cast("string"),
+        ),
+    )

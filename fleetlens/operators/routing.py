@@ -40,3 +40,19 @@ def branch_summary(fares: DataFrame) -> DataFrame:
             F.sum("amountKes").cast("decimal(18,2)").alias("amountKes"),
         )
     )
+
+
+def observe_branches(fares: DataFrame, name: str = "fare_branches") -> DataFrame:
+    """Attach per-branch counters as observed metrics (the batch/stream form
+    of the per-branch log taps). Values appear in ``StreamingQueryProgress``
+    ``observedMetrics`` for streams and in an ``Observation`` for batch."""
+    return fares.observe(
+        name,
+        *[
+            F.sum(F.when(F.col("status") == status, 1).otherwise(0)).alias(label)
+            for label, status in BRANCHES
+        ],
+        F.sum(F.when(~F.col("status").isin(*[s for _, s in BRANCHES]), 1).otherwise(0)).alias(
+            DEFAULT_BRANCH
+        ),
+    )

@@ -98,3 +98,16 @@ def start_branches(
         .foreachBatch(write)
     )
     return _trigger(writer, trigger).start()
+
+
+def write_keyed(df: DataFrame, key: str, path: str, fmt: str = "json", options: dict | None = None) -> None:
+    """Batch publish of keyed records (pings keyed by route, fares by
+    vehicle): one ``(key, value)`` row per record. ``fmt="kafka"`` with a
+    ``topic`` option writes to a topic when the connector is present."""
+    writer = keyed_records(df, key).write.mode("append").format(fmt)
+    for k, v in (options or {}).items():
+        writer = writer.option(k, v)
+    if fmt == "kafka":
+        writer.save()
+    else:
+        writer.save(path)

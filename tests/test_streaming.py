@@ -154,3 +154,45 @@ def test_stateless_flows_and_sinks(spark, scratch, run_id):
     enriched = spark.read.json(os.path.join(out, "location_enriched"))
     assert enriched.count() == 599
     assert glob.glob(os.path.join(out, "location_audit", "eventDate=*"))
+
+
+def test_independent_readers_keep_their_own_progress(spark, scratch, run_id):
+    """Two readers of one source: each has its own checkpoint and sees every
+    record; a reader started later still starts from the earliest file."""
+    folder = os.path.join(scratch, run_id, "loc")
+    frames = split_frames(load_locations(spark, SMALL).toPandas(), 2)
+    write_batches(folder, frames[:1])
+    first = sinks.start(sources.location_file_stream(spark, folder), f"board_{run_id}", fmt="memory")
+    _run(first)
+    write_batches(folder + "_more", frames[1:])
+    import shutil
+
+    for f in glob.glob(os.path.join(folder + "_more", "*.json")):
+        shutil.copy(f, os.path.join(folder, "00001.json"))
+    logger = sinks.start(sources.location_file_stream(spark, folder), f"logger_{run_id}", fmt="memory")
+    _run(logger)
+    assert spark.table(f"logger_{run_id}").count() == 599
+    assert spark.table(f"board_{run_id}").count() == len(frames[0])
+
+
+def test_branch_counters_are_observed(spark):
+    from pyspark.sql import Observation
+
+    obs = Observation("branches")
+    df = load_fares(spark, SMALL).observe(
+        obs,
+        *[F.sum(F.when(F.col("status") == s, 1).otherwise(0)).alias(s) for s in ("FAILED", "SUCCESS", "PENDING")],
+    )
+    df.write.format("noop").mode("overwrite").save()
+    assert obs.get == {"FAILED": 43, "SUCCESS": 319, "PENDING": 39}
+    observed = routing.observe_branches(load_fares(spark, SMALL))
+    assert observed.count() == 401
+
+
+def test_keyed_batch_publish(spark, scratch, run_id):
+    out = os.path.join(scratch, run_id, "pub")
+    sinks.write_keyed(load_locations(spark, SMALL), "routeId", out)
+    back = spark.read.json(out)
+    assert back.count() == 599
+    assert set(back.columns) == {"key", "value"}
+    assert back.filter(F.col("key") == "route_99").count() == 98
