@@ -21,12 +21,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.scalar import epoch_micros, epoch_millis, from_epoch_micros
+from fleetlens.functions.scalar import epoch_micros, epoch_millis, from_epoch_micros, millis_to_minutes
 from fleetlens.operators import scan
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 
 ORDER = ["timestamp", "eventId"]
 
+# Fixed value: log line format of an off-grid alert.
+OFFGRID_FORMAT = "[OFF-GRID] Matatu %s on %s has been silent for %d minutes. Last seen: %s"
+
 
 def _is_ntz(df: DataFrame) -> bool:
     return df.schema["timestamp"].dataType.typeName() == "timestamp_ntz"
@@ -170,12 +173,10 @@ def tick_alerts(
 
 def alert_messages(alerts: DataFrame) -> DataFrame:
     """Log line per alert, silence in whole minutes."""
-    from fleetlens.functions.scalar import millis_to_minutes
-
     return alerts.withColumn(
         "message",
         F.format_string(
-            "[OFF-GRID] Matatu %s on %s has been silent for %d minutes. Last seen: %s",
+            OFFGRID_FORMAT,
             F.col("matatuId"),
             F.col("routeName"),
             millis_to_minutes(F.col("silenceDurationMs")),

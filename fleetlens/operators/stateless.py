@@ -16,6 +16,10 @@ from fleetlens.sources.dimension import UNKNOWN_SACCO
 # Broadcast a lookup side only when its row count is known and at most this.
 BROADCAST_ROW_LIMIT = 1_000_000
 
+# Log line formats of the per-record taps.
+SPEED_ALERT_FORMAT = "[SPEED ALERT] Matatu %s on %s doing %s km/h (threshold: %s km/h)"
+FARE_LOG_FORMAT = "%s Payment -> txn=%s, matatu=%s, amount=KES %s, method=%s, status=%s"
+
 
 def speed_alerts(locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
     """Pings strictly above the speed threshold (same record shape)."""
@@ -122,7 +126,7 @@ def display_board(records: DataFrame) -> DataFrame:
 def fare_log(fares: DataFrame) -> DataFrame:
     """Status icon plus the six logged fare fields and the log line."""
     message = F.format_string(
-        "%s Payment -> txn=%s, matatu=%s, amount=KES %s, method=%s, status=%s",
+        FARE_LOG_FORMAT,
         F.col("icon"),
         F.col("transactionId"),
         F.col("matatuId"),
@@ -168,7 +172,7 @@ def speed_alert_messages(alerts: DataFrame, settings: JobSettings = DEFAULT_SETT
     return alerts.withColumn(
         "message",
         F.format_string(
-            "[SPEED ALERT] Matatu %s on %s doing %s km/h (threshold: %s km/h)",
+            SPEED_ALERT_FORMAT,
             F.col("matatuId"),
             F.col("routeName"),
             F.col("speedKmh").cast("string"),
