@@ -9,6 +9,18 @@ from pyspark.sql import types as T
 from fleetlens.schemas import FARE_EVENT, LOCATION_EVENT
 from fleetlens.sources import codec
 
+# Topic names of the record streams and of the published outputs.
+LOCATION_TOPIC = "matatu.location"
+FARE_TOPIC = "matatu.fares"
+OUTPUT_TOPICS = {
+    "speed_alerts": "matatu.speed.alerts",
+    "location_enriched": "matatu.location.enriched",
+    "fares_failed": "matatu.fares.failed",
+    "sacco_revenue": "matatu.sacco.revenue",
+    "offgrid_alerts": "matatu.offgrid.alerts",
+    "route_occupancy": "matatu.route.occupancy",
+}
+
 # Optional ordering field carried next to the record (source offset stand-in).
 EVENT_ID = T.StructField("eventId", T.LongType())
 

@@ -196,3 +196,35 @@ def test_keyed_batch_publish(spark, scratch, run_id):
     assert back.count() == 599
     assert set(back.columns) == {"key", "value"}
     assert back.filter(F.col("key") == "route_99").count() == 98
+
+
+def test_branch_sink_writes_each_branch_once_per_batch(spark, scratch, run_id):
+    base = os.path.join(scratch, run_id)
+    fares_pdf = load_fares(spark, SMALL).toPandas().drop(columns=["arrivalTs"])
+    write_batches(os.path.join(base, "fares"), split_frames(fares_pdf, 2))
+    stream = sources.fare_file_stream(spark, os.path.join(base, "fares"))
+    paths = {b: os.path.join(base, b) for b in ("failed", "success", "default")}
+    _run(sinks.start_branches(jobs.fare_branch_flow(stream), "branch", paths, f"br_{run_id}"))
+    counts = {b: spark.read.json(p).count() for b, p in paths.items()}
+    assert counts == {"failed": 43, "success": 319, "default": 39}
+    assert len(glob.glob(os.path.join(paths["failed"], "batch_id=*"))) == 2
+
+
+def test_command_line_runs_all_flows_once(spark, scratch, run_id):
+    from fleetlens.__main__ import main
+
+    base = os.path.join(scratch, run_id)
+    write_batches(os.path.join(base, "loc"), split_frames(load_locations(spark, SMALL).toPandas(), 2))
+    fares_pdf = load_fares(spark, SMALL).toPandas().drop(columns=["arrivalTs"])
+    write_batches(os.path.join(base, "fares"), split_frames(fares_pdf, 2))
+    main(
+        [
+            "--locations", os.path.join(base, "loc"),
+            "--fares", os.path.join(base, "fares"),
+            "--out", os.path.join(base, "out"),
+            "--name-prefix", f"{run_id}_",
+            "--once",
+        ]
+    )
+    assert spark.read.json(os.path.join(base, "out", "speed_alerts")).count() == 118
+    assert spark.read.json(os.path.join(base, "out", "route_occupancy")).count() == 599
