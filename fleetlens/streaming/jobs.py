@@ -17,6 +17,7 @@ from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources import codec
 from fleetlens.sources.dimension import sacco_dim, sacco_dim_rows_bound
 from fleetlens.streaming import sinks
+from fleetlens.streaming.sources import OUTPUT_TOPICS
 from fleetlens.streaming.processors import (
     DELTA_OUT,
     OCCUPANCY_OUT,
@@ -122,14 +123,24 @@ def offgrid_flow(
     )
 
 
-def start_revenue(fares: DataFrame, name: str, settings: JobSettings = DEFAULT_SETTINGS, **kw) -> StreamingQuery:
+def start_revenue(
+    fares: DataFrame,
+    name: str,
+    settings: JobSettings = DEFAULT_SETTINGS,
+    key: str | None = None,
+    **kw,
+) -> StreamingQuery:
     """Starts the revenue query with the late-row filter evaluated against
-    the watermark of the current batch (single stateful operator)."""
+    the watermark of the current batch (single stateful operator).
+    ``key`` publishes keyed JSON records instead of columns."""
     spark = fares.sparkSession
     before = spark.conf.get(ALLOW_MULTIPLE, None)
     spark.conf.set(ALLOW_MULTIPLE, "false")
     try:
-        return sinks.start(revenue_flow(fares, settings), name, **kw)
+        flow = revenue_flow(fares, settings)
+        if key:
+            flow = sinks.keyed_records(flow, key)
+        return sinks.start(flow, name, **kw)
     finally:
         if before is None:
             spark.conf.unset(ALLOW_MULTIPLE)
@@ -146,25 +157,48 @@ def start_all(
     fmt: str = "json",
     local_checkpoint_fallback: bool = False,
     name_prefix: str = "",
+    kafka_bootstrap: str | None = None,
 ) -> dict[str, StreamingQuery]:
     """Every flow as its own query (own checkpoint, own progress).
 
     Query names (and so checkpoint folders) are ``name_prefix + flow``; keep
     the prefix stable across restarts to resume, change it for a fresh run.
+    Keyed outputs go to ``out_root/<flow>`` as JSON records, or to the flow's
+    topic when ``kafka_bootstrap`` is given. The off-grid detector needs
+    processing-time ticks and runs only under a ``processingTime`` trigger.
     """
     out = out_root.rstrip("/")
-    p = name_prefix
-    kw = dict(trigger=trigger, fmt=fmt, local_checkpoint_fallback=local_checkpoint_fallback)
+    common = dict(trigger=trigger, local_checkpoint_fallback=local_checkpoint_fallback)
+
+    def keyed(flow: str, df: DataFrame, key: str, start=sinks.start_keyed) -> StreamingQuery:
+        if kafka_bootstrap:
+            opts = {"kafka.bootstrap.servers": kafka_bootstrap, "topic": OUTPUT_TOPICS[flow]}
+            return sinks.start_keyed(df, key, name_prefix + flow, fmt="kafka", options=opts, **common)
+        return sinks.start_keyed(df, key, name_prefix + flow, fmt=fmt, path=f"{out}/{flow}", **common)
+
+    def plain(flow: str, df: DataFrame, **kw) -> StreamingQuery:
+        kw = {"fmt": fmt, **kw}
+        return sinks.start(df, name_prefix + flow, path=f"{out}/{flow}", **common, **kw)
+
     locs, bad_locs = validated(locations, "location")
     fs, bad_fares = validated(fares, "fare")
     q = {
-        "speed_alerts": sinks.start_keyed(speed_alert_flow(locs, settings), "routeId", p + "speed_alerts", path=f"{out}/speed_alerts", **kw),
-        "location_enriched": sinks.start_keyed(enrichment_flow(locs, settings), "routeId", p + "location_enriched", path=f"{out}/location_enriched", **kw),
-        "location_quarantine": sinks.start(bad_locs, p + "location_quarantine", path=f"{out}/location_quarantine", **kw),
-        "fare_quarantine": sinks.start(bad_fares, p + "fare_quarantine", path=f"{out}/fare_quarantine", **kw),
-        "fares_failed": sinks.start_keyed(routing.failed_fares(fs), "matatuId", p + "fares_failed", path=f"{out}/fares_failed", **kw),
-        "sacco_revenue": start_revenue(fs, p + "sacco_revenue", settings, path=f"{out}/sacco_revenue", **kw),
-        "route_occupancy": sinks.start_keyed(occupancy_flow(delta_flow(locs)), "routeId", p + "route_occupancy", path=f"{out}/route_occupancy", **kw),
-        "location_audit": sinks.start(stateless.location_audit(locs), p + "location_audit", fmt="parquet", path=f"{out}/location_audit", partition_by=["eventDate"], trigger=trigger, local_checkpoint_fallback=local_checkpoint_fallback),
+        "speed_alerts": keyed("speed_alerts", speed_alert_flow(locs, settings), "routeId"),
+        "location_enriched": keyed("location_enriched", enrichment_flow(locs, settings), "routeId"),
+        "fares_failed": keyed("fares_failed", routing.failed_fares(fs), "matatuId"),
+        "route_occupancy": keyed("route_occupancy", occupancy_flow(delta_flow(locs)), "routeId"),
+        "location_quarantine": plain("location_quarantine", bad_locs),
+        "fare_quarantine": plain("fare_quarantine", bad_fares),
+        "location_audit": plain("location_audit", stateless.location_audit(locs), fmt="parquet", partition_by=["eventDate"]),
     }
+    revenue_kw = (
+        dict(fmt="kafka", options={"kafka.bootstrap.servers": kafka_bootstrap, "topic": OUTPUT_TOPICS["sacco_revenue"]})
+        if kafka_bootstrap
+        else dict(fmt=fmt, path=f"{out}/sacco_revenue")
+    )
+    q["sacco_revenue"] = start_revenue(
+        fs, name_prefix + "sacco_revenue", settings, key="saccoId" if kafka_bootstrap else None, **revenue_kw, **common
+    )
+    if trigger and "processingTime" in trigger:
+        q["offgrid_alerts"] = keyed("offgrid_alerts", offgrid_flow(locs, settings), "matatuId")
     return q
