@@ -28,9 +28,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--once", action="store_true", help="process what is there, then stop")
     ap.add_argument("--speed-threshold", type=float, default=JobSettings.speed_threshold_kmh)
     ap.add_argument("--key-mode", choices=["route", "sacco"], default="route")
+    ap.add_argument("--profile", choices=["local", "cluster"], default="cluster")
     args = ap.parse_args(argv)
 
-    spark = build_session(app_name="fleetlens-streams")
+    spark = build_session(app_name="fleetlens-streams", profile=args.profile)
     settings = JobSettings(speed_threshold_kmh=args.speed_threshold, revenue_key_mode=args.key_mode)
     if args.kafka:
         from fleetlens.schemas import FARE_EVENT, LOCATION_EVENT

@@ -224,6 +224,7 @@ def test_command_line_runs_all_flows_once(spark, scratch, run_id):
             "--out", os.path.join(base, "out"),
             "--name-prefix", f"{run_id}_",
             "--once",
+            "--profile", "local",
         ]
     )
     assert spark.read.json(os.path.join(base, "out", "speed_alerts")).count() == 118
