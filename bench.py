@@ -27,7 +27,7 @@ def main() -> None:
     spark = build_session(
         f"local[{cpus}]",
         app_name="fleetlens-bench",
-        shuffle_partitions=max(cpus, 8),
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", max(cpus, 8))),
         extra={"spark.driver.memory": "16g"},
     )
     warm = QUERIES["speed_alerts"](spark, sf_dir)

@@ -229,3 +229,19 @@ def test_command_line_runs_all_flows_once(spark, scratch, run_id):
     )
     assert spark.read.json(os.path.join(base, "out", "speed_alerts")).count() == 118
     assert spark.read.json(os.path.join(base, "out", "route_occupancy")).count() == 599
+
+
+def test_streams_accept_records_without_event_id(spark, scratch, run_id):
+    """Plain LocationEvent JSON (no offset field): order falls back to time."""
+    folder = os.path.join(scratch, run_id, "loc")
+    pdf = load_locations(spark, SMALL).toPandas().drop(columns=["eventId"])
+    write_batches(folder, split_frames(pdf, 2, order=("timestamp",)))
+    stream = sources.location_file_stream(spark, folder)
+    _run(sinks.start(jobs.occupancy_flow(jobs.delta_flow(stream)), f"noid_{run_id}", fmt="memory"))
+    got = spark.table(f"noid_{run_id}")
+    assert got.count() == 599
+    assert got.filter(F.col("eventId").isNotNull()).count() == 0
+    final = {r.routeId: r.currentPassengers for r in occupancy.route_occupancy(
+        occupancy.passenger_deltas(load_locations(spark, SMALL))).collect()}
+    last = got.groupBy("routeId").agg(F.max_by("currentPassengers", "timestamp").alias("c")).collect()
+    assert {r.routeId: r.c for r in last} == final
