@@ -15,46 +15,22 @@ import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from fleetlens.schemas import DELTA_EVENT, OFFGRID_ALERT, ROUTE_OCCUPANCY
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 
-DELTA_OUT = T.StructType(
-    [
-        T.StructField("matatuId", T.StringType()),
-        T.StructField("routeId", T.StringType()),
-        T.StructField("routeName", T.StringType()),
-        T.StructField("passengerDelta", T.IntegerType()),
-        T.StructField("boardings", T.IntegerType()),
-        T.StructField("alightings", T.IntegerType()),
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("eventId", T.LongType()),
-    ]
-)
+_ORDER_FIELDS = [
+    T.StructField("timestamp", T.TimestampType()),
+    T.StructField("eventId", T.LongType()),
+]
 
+# Output records: the published record shapes plus the ordering fields.
+DELTA_OUT = T.StructType([*DELTA_EVENT.fields, *_ORDER_FIELDS])
 OCCUPANCY_OUT = T.StructType(
-    [
-        T.StructField("routeId", T.StringType()),
-        T.StructField("routeName", T.StringType()),
-        T.StructField("currentPassengers", T.IntegerType()),
-        T.StructField("totalBoardings", T.LongType()),
-        T.StructField("totalAlightings", T.LongType()),
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("eventId", T.LongType()),
-        T.StructField("lastUpdated", T.TimestampType()),
-    ]
-)
-
-OFFGRID_OUT = T.StructType(
-    [
-        T.StructField("matatuId", T.StringType()),
-        T.StructField("routeId", T.StringType()),
-        T.StructField("routeName", T.StringType()),
-        T.StructField("lastKnownLatitude", T.DoubleType()),
-        T.StructField("lastKnownLongitude", T.DoubleType()),
-        T.StructField("silenceDurationMs", T.LongType()),
-        T.StructField("lastSeenAt", T.TimestampType()),
-        T.StructField("alertRaisedAt", T.TimestampType()),
-    ]
+    [f for f in ROUTE_OCCUPANCY.fields if f.name != "lastUpdated"]
+    + _ORDER_FIELDS
+    + [f for f in ROUTE_OCCUPANCY.fields if f.name == "lastUpdated"]
 )
+OFFGRID_OUT = OFFGRID_ALERT
 
 
 def _gather(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:

@@ -25,14 +25,9 @@ def test_query_matches_oracle(spark, duck, name):
 
 def test_entry_smoke(spark):
     df = ep.entry(spark)
-    assert [f.name for f in df.schema.fields] == [
-        "saccoId",
-        "saccoName",
-        "totalRevenueKes",
-        "transactionCount",
-        "windowStart",
-        "windowEnd",
-    ]
+    from fleetlens.schemas import SACCO_REVENUE_WINDOW
+
+    assert [f.name for f in df.schema.fields] == SACCO_REVENUE_WINDOW.fieldNames()
     assert df.count() > 0
 
 
