@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import clamp_at_zero
 from fleetlens.operators import scan
-from fleetlens.session import cut_lineage
+from fleetlens.session import CUT_LINEAGE_MIN_BYTES, cut_lineage
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 
 ORDER = ["timestamp", "eventId"]
@@ -110,17 +110,21 @@ def _route_chunks(deltas: DataFrame, settings: JobSettings) -> tuple[DataFrame,
 
 
 def occupancy_changelog(
-    deltas: DataFrame, settings: JobSettings = DEFAULT_SETTINGS, materialize: bool = True
+    deltas: DataFrame,
+    settings: JobSettings = DEFAULT_SETTINGS,
+    materialize: bool = True,
+    materialize_min_bytes: int = CUT_LINEAGE_MIN_BYTES,
 ) -> DataFrame:
     """Route occupancy after every delta, in (timestamp, eventId) order.
 
     The deltas feed both the per-row scan and the chunk summary; with
     ``materialize`` they are written once as a table in the shared checkpoint
-    folder instead of being recomputed (two shuffles) for each branch.
+    folder instead of being recomputed (two shuffles) for each branch -
+    when their estimated size is at least ``materialize_min_bytes``.
     """
     keys = ["routeId"]
     if materialize:
-        deltas = cut_lineage(deltas, "passenger_deltas")
+        deltas = cut_lineage(deltas, "passenger_deltas", min_bytes=materialize_min_bytes)
     rows, summary = _route_chunks(deltas, settings)
     carry = summary.select(*keys, scan.CHUNK, "_prior_sum", "_prior_board", "_prior_alight", "_prior_min")
     current = F.col("_prior_sum") + F.col("_run_sum") - F.least(F.col("_prior_min"), F.col("_prior_sum") + F.col("_run_min"))

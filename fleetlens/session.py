@@ -104,7 +104,21 @@ def checkpoint_path(spark: SparkSession, name: str, local_fallback: bool = False
     return os.path.join(checkpoint_root(spark, local_fallback), name)
 
 
-def cut_lineage(df, name: str = "stage", required: bool = False):
+# Below this estimated size, recomputing an intermediate per branch is
+# cheaper than writing it out and reading it back.
+CUT_LINEAGE_MIN_BYTES = 1 << 30
+
+
+def estimated_bytes(df) -> int | None:
+    """Catalyst's size estimate of ``df`` (from file sizes and the plan), or
+    None where the session does not expose it."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect
+        return None
+
+
+def cut_lineage(df, name: str = "stage", required: bool = False, min_bytes: int = CUT_LINEAGE_MIN_BYTES):
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder
     and return a DataFrame reading it back.
 
@@ -112,10 +126,15 @@ def cut_lineage(df, name: str = "stage", required: bool = False):
     would otherwise recompute it, shuffles included, once per branch) or ends
     a long chain of shuffles (a lost executor then replays from the table, not
     from the source). The re-read gets column pruning and real size
-    statistics. Without a configured ``spark.checkpoint.dir`` the plan is
-    returned as is (recomputed per branch) unless ``required``.
+    statistics. Intermediates estimated under ``min_bytes`` are returned as
+    is (recomputing them is cheaper), as is everything when no
+    ``spark.checkpoint.dir`` is configured, unless ``required``.
     """
     spark = df.sparkSession
+    if not required and min_bytes:
+        size = estimated_bytes(df)
+        if size is not None and size < min_bytes:
+            return df
     root = _configured_root(spark)
     if root is None:
         if required:

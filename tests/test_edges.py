@@ -194,3 +194,14 @@ def test_sacco_key_mode(spark):
     sacco_mode = revenue.assign_operator(df, JobSettings(revenue_key_mode="sacco")).first().saccoId
     assert route_mode == sorted(["route_33", "route_23", "route_58", "route_111", "route_46"])[idx]
     assert sacco_mode == f"sacco_0{idx + 1}"
+
+
+def test_materialised_deltas_give_the_same_changelog(spark):
+    from fleetlens.sources.fixtures import load_locations
+
+    deltas = occupancy.passenger_deltas(load_locations(spark, "/root/testdata/sf0.001"))
+    forced = occupancy.occupancy_changelog(deltas, materialize_min_bytes=0)
+    plain = occupancy.occupancy_changelog(deltas, materialize=False)
+    assert "tables/passenger_deltas-" in " ".join(forced.inputFiles())
+    assert forced.count() == plain.count() == 599
+    assert forced.exceptAll(plain).count() == 0
