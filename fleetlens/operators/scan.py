@@ -34,10 +34,6 @@ def in_chunk(keys: list[str], order: list[str]) -> Window:
     return Window.partitionBy(*keys, CHUNK).orderBy(*order)
 
 
-def whole_chunk(keys: list[str]) -> Window:
-    return Window.partitionBy(*keys, CHUNK)
-
-
 def over_chunks(keys: list[str]) -> Window:
     return Window.partitionBy(*keys).orderBy(CHUNK)
 

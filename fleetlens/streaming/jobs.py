@@ -97,8 +97,9 @@ def delta_flow(locations: DataFrame) -> DataFrame:
 
 
 def occupancy_flow(deltas: DataFrame, every_update: bool = True) -> DataFrame:
-    """Per-route clamped occupancy changelog (state: occupancy per route)."""
-    return deltas.groupBy("routeId").transformWithStateInPandas(
+    """Per-route clamped occupancy changelog (state: occupancy per route).
+    Deltas without a value are skipped (the processor always emits one)."""
+    return deltas.filter(F.col("passengerDelta").isNotNull()).groupBy("routeId").transformWithStateInPandas(
         statefulProcessor=RouteOccupancyProcessor(every_update),
         outputStructType=OCCUPANCY_OUT,
         outputMode="Append",
