@@ -58,9 +58,19 @@ def epoch_micros(df: DataFrame, name: str) -> Column:
     return F.unix_micros(F.col(name))
 
 
+def floor_div(a: Column, b: int) -> Column:
+    """Exact integer floor division of a bigint column by a positive int
+    (no floating point, correct for negative values)."""
+    return ((a - F.pmod(a, F.lit(b))) / F.lit(b)).cast("bigint")
+
+
+def ceil_div(a: Column, b: int) -> Column:
+    return -floor_div(-a, b)
+
+
 def epoch_millis(df: DataFrame, name: str) -> Column:
     """Epoch milliseconds, floored (as ``Instant.toEpochMilli``)."""
-    return F.floor(epoch_micros(df, name) / F.lit(1000)).cast("bigint")
+    return floor_div(epoch_micros(df, name), 1000)
 
 
 def from_epoch_micros(us: Column, ntz: bool) -> Column:
@@ -71,7 +81,7 @@ def from_epoch_micros(us: Column, ntz: bool) -> Column:
 
 
 def millis_to_minutes(c: Column) -> Column:
-    return F.floor(c / F.lit(60_000)).cast("bigint")
+    return floor_div(c, 60_000)
 
 
 # The icon printed for each payment status.

@@ -16,7 +16,7 @@ the data is still folded in many parallel (route, chunk) tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import clamp_at_zero
@@ -27,7 +27,7 @@ from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 ORDER = ["timestamp", "eventId"]
 
 
-def _order_key() -> F.Column:
+def _order_key() -> Column:
     return F.struct(*ORDER)
 
 

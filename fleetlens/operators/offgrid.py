@@ -21,7 +21,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.scalar import epoch_micros, epoch_millis, from_epoch_micros, millis_to_minutes
+from fleetlens.functions.scalar import (
+    ceil_div,
+    epoch_micros,
+    epoch_millis,
+    floor_div,
+    from_epoch_micros,
+    millis_to_minutes,
+)
 from fleetlens.operators import scan
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 
@@ -115,14 +122,14 @@ def silence_gaps(
     last_ms = epoch_millis(g, "timestamp")
     next_us = epoch_micros(g, "nextSeenAt")
     h_us = epoch_micros(g, "_h")
-    first_k = F.ceil((last_ms + F.lit(settings.offgrid_silence_ms + 1)) / F.lit(step))
+    first_k = ceil_div(last_ms + F.lit(settings.offgrid_silence_ms + 1), step)
     last_k = F.when(
-        F.col("nextSeenAt").isNotNull(), F.floor((next_us - F.lit(1)) / F.lit(step * 1000))
-    ).otherwise(F.floor(h_us / F.lit(step * 1000)))
+        F.col("nextSeenAt").isNotNull(), floor_div(next_us - F.lit(1), step * 1000)
+    ).otherwise(floor_div(h_us, step * 1000))
     g = (
         g.withColumn("_last_ms", last_ms)
-        .withColumn("_k1", first_k.cast("bigint"))
-        .withColumn("_k2", last_k.cast("bigint"))
+        .withColumn("_k1", first_k)
+        .withColumn("_k2", last_k)
         .withColumn("alertCount", F.greatest(F.lit(0), F.col("_k2") - F.col("_k1") + 1).cast("bigint"))
     )
     if only_alerting:

@@ -1,9 +1,10 @@
 """Operator (sacco) revenue: tumbling event-time windows, grace, lateness.
 
 * :func:`assign_operator` - the operator a fare's vehicle hashes to.
-* :func:`windowed_revenue` - sum/count per (operator, window); one shuffle on
-  the 5-ish operator keys after a map-side partial aggregate, so a hot
-  operator costs nothing extra.
+* :func:`windowed_revenue` - sum/count per (operator, window): fares are
+  summed per (vehicle, window) first, the operator hash runs once per such
+  group, then a small per-operator aggregate; both levels combine map-side,
+  so a hot operator or vehicle costs nothing extra.
 * :func:`late_fare_audit` - which fares a running stream would drop because
   their window had closed (window end + grace <= stream time) when they
   arrived. Stream time is the running maximum event time per operator in
@@ -14,10 +15,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.scalar import epoch_micros, from_epoch_micros, java_string_hash
+from fleetlens.functions.scalar import epoch_micros, floor_div, from_epoch_micros, java_string_hash
 from fleetlens.operators import scan
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources.dimension import SACCO_ROWS
@@ -49,7 +50,7 @@ def assign_operator(fares: DataFrame, settings: JobSettings = DEFAULT_SETTINGS)
     return fares.withColumn("saccoId", F.element_at(F.array(*[F.lit(k) for k in keys]), idx))
 
 
-def operator_name(key: F.Column, settings: JobSettings = DEFAULT_SETTINGS) -> F.Column:
+def operator_name(key: Column, settings: JobSettings = DEFAULT_SETTINGS) -> Column:
     """Name of an operator key. The key set is fixed (a handful of rows), so
     the lookup is a literal map: a broadcast with no join at all."""
     pairs = [x for k, n in operator_keys(settings.revenue_key_mode) for x in (F.lit(k), F.lit(n))]
@@ -113,7 +114,7 @@ def late_fare_audit(
     grace_us = settings.revenue_grace_ms * 1000
     out = scan.join_carry(rows, carry, keys)
     stream_us = F.greatest(F.col("_local_max"), F.coalesce("_carry", F.col("_local_max")))
-    start_us = F.floor(F.col("_t") / F.lit(win_us)) * F.lit(win_us)
+    start_us = floor_div(F.col("_t"), win_us) * F.lit(win_us)
     return out.select(
         "transactionId",
         "matatuId",

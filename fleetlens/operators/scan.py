@@ -20,14 +20,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetlens.functions.scalar import epoch_micros
+from fleetlens.functions.scalar import epoch_micros, floor_div
 
 CHUNK = "_chunk"
 
 
 def with_chunk(df: DataFrame, time_col: str, chunk_seconds: int) -> DataFrame:
-    width = chunk_seconds * 1_000_000
-    return df.withColumn(CHUNK, F.floor(epoch_micros(df, time_col) / F.lit(width)).cast("bigint"))
+    return df.withColumn(CHUNK, floor_div(epoch_micros(df, time_col), chunk_seconds * 1_000_000))
 
 
 def in_chunk(keys: list[str], order: list[str]) -> Window:

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,11 +31,11 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
 
 
-def _props_k() -> F.Column:
+def _props_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-def _matatu_id() -> F.Column:
+def _matatu_id() -> Column:
     return F.concat(F.lit("KBZ "), F.col("user_id").cast("string"))
 
 

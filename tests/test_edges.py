@@ -205,3 +205,10 @@ def test_materialised_deltas_give_the_same_changelog(spark):
     assert "tables/passenger_deltas-" in " ".join(forced.inputFiles())
     assert forced.count() == plain.count() == 599
     assert forced.exceptAll(plain).count() == 0
+
+
+def test_offgrid_alert_message_in_whole_minutes(spark):
+    df = pings(spark, [("A", "route_33", 10.0, 1, at(0))])
+    alerts = offgrid.offgrid_as_of(df, F.lit(at(6, ms=59_999)))
+    msg = offgrid.alert_messages(alerts).first().message
+    assert "has been silent for 6 minutes" in msg and msg.startswith("[OFF-GRID] Matatu A on Route 33")
