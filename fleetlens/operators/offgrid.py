@@ -27,16 +27,12 @@ from fleetlens.functions.scalar import (
     epoch_millis,
     floor_div,
     from_epoch_micros,
-    millis_to_minutes,
 )
 from fleetlens.operators import scan
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 
 ORDER = ["timestamp", "eventId"]
 
-# Fixed value: log line format of an off-grid alert.
-OFFGRID_FORMAT = "[OFF-GRID] Matatu %s on %s has been silent for %d minutes. Last seen: %s"
-
 
 def _is_ntz(df: DataFrame) -> bool:
     return df.schema["timestamp"].dataType.typeName() == "timestamp_ntz"
@@ -180,13 +176,6 @@ def tick_alerts(
 
 def alert_messages(alerts: DataFrame) -> DataFrame:
     """Log line per alert, silence in whole minutes."""
-    return alerts.withColumn(
-        "message",
-        F.format_string(
-            OFFGRID_FORMAT,
-            F.col("matatuId"),
-            F.col("routeName"),
-            millis_to_minutes(F.col("silenceDurationMs")),
-            F.col("lastSeenAt").cast("string"),
-        ),
-    )
+    from fleetlens.operators.taps import offgrid_messages
+
+    return offgrid_messages(alerts)

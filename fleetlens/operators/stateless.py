@@ -10,16 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import status_icon
+from fleetlens.operators import taps
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources.dimension import UNKNOWN_SACCO
 
 # Broadcast a lookup side only when its row count is known and at most this.
 BROADCAST_ROW_LIMIT = 1_000_000
 
-# Log line formats of the per-record taps.
-SPEED_ALERT_FORMAT = "[SPEED ALERT] Matatu %s on %s doing %s km/h (threshold: %s km/h)"
-FARE_LOG_FORMAT = "%s Payment -> txn=%s, matatu=%s, amount=KES %s, method=%s, status=%s"
-
 
 def speed_alerts(locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
     """Pings strictly above the speed threshold (same record shape)."""
@@ -125,15 +122,6 @@ def display_board(records: DataFrame) -> DataFrame:
 
 def fare_log(fares: DataFrame) -> DataFrame:
     """Status icon plus the six logged fare fields and the log line."""
-    message = F.format_string(
-        FARE_LOG_FORMAT,
-        F.col("icon"),
-        F.col("transactionId"),
-        F.col("matatuId"),
-        F.col("amountKes").cast("string"),
-        F.col("paymentMethod"),
-        F.col("status"),
-    )
     extra = [c for c in ("eventId",) if c in fares.columns]
     return (
         fares.select(
@@ -145,7 +133,7 @@ def fare_log(fares: DataFrame) -> DataFrame:
             "status",
             *extra,
         )
-        .withColumn("message", message)
+        .withColumn("message", taps.fare_log_message(F.col("icon")))
     )
 
 
@@ -161,21 +149,3 @@ def location_audit(locations: DataFrame) -> DataFrame:
         *extra,
         F.to_date("timestamp").alias("eventDate"),
     )
-
-
-def tap_messages(df: DataFrame, template: str, *cols: str) -> DataFrame:
-    """Per-row log line as a column (the batch form of a logging tap)."""
-    return df.withColumn("message", F.format_string(template, *[F.col(c) for c in cols]))
-
-
-def speed_alert_messages(alerts: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
-    return alerts.withColumn(
-        "message",
-        F.format_string(
-            SPEED_ALERT_FORMAT,
-            F.col("matatuId"),
-            F.col("routeName"),
-            F.col("speedKmh").cast("string"),
-            F.lit(str(settings.speed_threshold_kmh)),
-        ),
-    )

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import java_string_hash
-from fleetlens.operators import occupancy, offgrid, revenue, routing, stateless
+from fleetlens.operators import occupancy, offgrid, revenue, routing, stateless, taps
 from fleetlens.settings import DEFAULT_SETTINGS
 from fleetlens.sources import codec
 from fleetlens.sources.codec import FARE_FIELDS, LOCATION_FIELDS
@@ -37,7 +37,7 @@ def speed_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 def speed_alert_messages(spark: SparkSession, sf: str) -> DataFrame:
     alerts = stateless.speed_alerts(load_locations(spark, sf), S)
-    return stateless.speed_alert_messages(alerts, S).select("matatuId", "eventId", "message")
+    return taps.speed_alert_messages(alerts, S).select("matatuId", "eventId", "message")
 
 
 def enriched_locations(spark: SparkSession, sf: str) -> DataFrame:
@@ -46,6 +46,11 @@ def enriched_locations(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def enrichment_messages(spark: SparkSession, sf: str) -> DataFrame:
+    enriched = enriched_locations(spark, sf)
+    return taps.enrichment_messages(enriched).select("matatuId", "eventId", "message")
+
+
 def unknown_routes(spark: SparkSession, sf: str) -> DataFrame:
     return stateless.unknown_routes(
         load_locations(spark, sf), sacco_dim(spark), dim_rows_bound=sacco_dim_rows_bound()
@@ -60,6 +65,11 @@ def failed_fares(spark: SparkSession, sf: str) -> DataFrame:
     return routing.failed_fares(load_fares(spark, sf)).drop("arrivalTs")
 
 
+def fare_branch_messages(spark: SparkSession, sf: str) -> DataFrame:
+    labelled = routing.label_branches(load_fares(spark, sf))
+    return taps.fare_branch_messages(labelled).select("transactionId", "branch", "message")
+
+
 def fare_branch_summary(spark: SparkSession, sf: str) -> DataFrame:
     return routing.branch_summary(load_fares(spark, sf))
 
@@ -87,11 +97,20 @@ def location_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return bad.select(F.col("offset").alias("eventId"), "matatuId", "routeId", "invalidReason")
 
 
-def fare_decode(spark: SparkSession, sf: str) -> DataFrame:
-    keyed = codec.encode_keyed(
+def _keyed_fares(spark: SparkSession, sf: str) -> DataFrame:
+    return codec.encode_keyed(
         load_fares(spark, sf), "matatuId", FARE_FIELDS, keep=[F.col("eventId").alias("offset")]
     )
-    decoded = codec.decode(keyed, codec.with_ntz_timestamps(codec.FARE_EVENT))
+
+
+def fare_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    decoded = codec.decode(_keyed_fares(spark, sf), codec.with_ntz_timestamps(codec.FARE_EVENT))
+    _, bad = codec.split_valid(decoded, "fare")
+    return bad.select(F.col("offset").alias("eventId"), "transactionId", "invalidReason")
+
+
+def fare_decode(spark: SparkSession, sf: str) -> DataFrame:
+    decoded = codec.decode(_keyed_fares(spark, sf), codec.with_ntz_timestamps(codec.FARE_EVENT))
     valid, _ = codec.split_valid(decoded, "fare")
     return valid.withColumnRenamed("offset", "eventId").drop("key")
 
@@ -126,6 +145,11 @@ def sacco_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return revenue.windowed_revenue(load_fares(spark, sf), S)
 
 
+def sacco_revenue_messages(spark: SparkSession, sf: str) -> DataFrame:
+    rev = revenue.windowed_revenue(load_fares(spark, sf), S)
+    return taps.revenue_messages(rev).select("saccoId", "windowStart", "message")
+
+
 def late_fares(spark: SparkSession, sf: str) -> DataFrame:
     return revenue.late_fares(load_fares(spark, sf), S)
 
@@ -147,6 +171,11 @@ def route_occupancy_changelog(spark: SparkSession, sf: str) -> DataFrame:
     return occupancy.occupancy_changelog(deltas, S)
 
 
+def route_occupancy_messages(spark: SparkSession, sf: str) -> DataFrame:
+    log = route_occupancy_changelog(spark, sf)
+    return taps.occupancy_messages(log).select("routeId", "eventId", "message")
+
+
 def route_occupancy(spark: SparkSession, sf: str) -> DataFrame:
     deltas = occupancy.passenger_deltas(load_locations(spark, sf), S)
     return occupancy.route_occupancy(deltas, S)
@@ -170,23 +199,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "speed_alerts": speed_alerts,
     "speed_alert_messages": speed_alert_messages,
     "enriched_locations": enriched_locations,
+    "enrichment_messages": enrichment_messages,
     "unknown_routes": unknown_routes,
     "fare_branches": fare_branches,
     "failed_fares": failed_fares,
+    "fare_branch_messages": fare_branch_messages,
     "fare_branch_summary": fare_branch_summary,
     "location_decode": location_decode,
     "location_quarantine": location_quarantine,
+    "fare_quarantine": fare_quarantine,
     "fare_decode": fare_decode,
     "display_board": display_board,
     "fare_log": fare_log,
     "location_audit": location_audit,
     "operator_assignment": operator_assignment,
     "sacco_revenue": sacco_revenue,
+    "sacco_revenue_messages": sacco_revenue_messages,
     "late_fares": late_fares,
     "sacco_revenue_emitted": sacco_revenue_emitted,
     "passenger_deltas": passenger_deltas,
     "vehicle_snapshots": vehicle_snapshots,
     "route_occupancy_changelog": route_occupancy_changelog,
+    "route_occupancy_messages": route_occupancy_messages,
     "route_occupancy": route_occupancy,
     "last_seen": last_seen,
     "offgrid_as_of": offgrid_as_of,

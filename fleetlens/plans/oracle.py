@@ -69,7 +69,7 @@ fare_audit AS (
 deltas AS (
   SELECT matatuId, routeId, routeName,
          CAST(passengersOnboard - coalesce(lag(passengersOnboard) OVER (PARTITION BY matatuId ORDER BY "timestamp", eventId), 0) AS INTEGER) AS passengerDelta,
-         "timestamp", eventId
+         passengersOnboard, "timestamp", eventId
   FROM locations
 ),
 gaps AS (
@@ -120,7 +120,7 @@ ORACLE_SQL: dict[str, str] = {
     "speed_alerts": _q(f"SELECT {_LOC_COLS} FROM locations WHERE speedKmh > 80.0"),
     "speed_alert_messages": _q(
         """SELECT matatuId, eventId,
-                  format('[SPEED ALERT] Matatu {} on {} doing {} km/h (threshold: 80.0 km/h)',
+                  format('[SPEED ALERT]  Matatu {} on {} doing {} km/h (threshold: 80.0 km/h)',
                          matatuId, routeName, CAST(speedKmh AS VARCHAR)) AS message
            FROM locations WHERE speedKmh > 80.0"""
     ),
@@ -133,6 +133,14 @@ ORACLE_SQL: dict[str, str] = {
                   l.speedKmh > 80.0 AS isSpeeding, l."timestamp" AS originalTimestamp, l.eventId
            FROM locations l LEFT JOIN sacco_dim d ON l.routeId = d.routeId"""
     ),
+    "enrichment_messages": _q(
+        """SELECT l.matatuId, l.eventId,
+                  CASE WHEN d.saccoId IS NULL
+                       THEN format('[ENRICHMENT] ⚠️ No SACCO found for routeId=''{}'' on matatu ''{}''', l.routeId, l.matatuId)
+                       ELSE format('[ENRICHMENT] ✅ {} on {} ({}) enriched with SACCO: {}', l.matatuId, l.routeName, l.routeId, d.saccoName)
+                  END AS message
+           FROM locations l LEFT JOIN sacco_dim d ON l.routeId = d.routeId"""
+    ),
     "unknown_routes": _q(
         """SELECT routeId, count(*) AS pings, count(DISTINCT matatuId) AS vehicles,
                   min("timestamp") AS firstSeen, max("timestamp") AS lastSeen
@@ -146,6 +154,20 @@ ORACLE_SQL: dict[str, str] = {
             FROM fares"""
     ),
     "failed_fares": _q(f"SELECT {_FARE_COLS} FROM fares WHERE status = 'FAILED'"),
+    "fare_branch_messages": _q(
+        """SELECT transactionId,
+                  CASE WHEN status = 'FAILED' THEN 'failed' WHEN status = 'SUCCESS' THEN 'success'
+                       ELSE 'default' END AS branch,
+                  CASE WHEN status = 'FAILED'
+                       THEN format('[FARES] ❌ Failed payment → txn={}, matatu={}, amount=KES {}, method={}',
+                                   transactionId, matatuId, CAST(amountKes AS VARCHAR), paymentMethod)
+                       WHEN status = 'SUCCESS'
+                       THEN format('[FARES] ✅ Success → txn={}, matatu={}, amount=KES {}, method={}',
+                                   transactionId, matatuId, CAST(amountKes AS VARCHAR), paymentMethod)
+                       ELSE format('[FARES] ⏳ Pending → txn={}, matatu={}', transactionId, matatuId)
+                  END AS message
+           FROM fares"""
+    ),
     "fare_branch_summary": _q(
         """SELECT CASE WHEN status = 'FAILED' THEN 'failed' WHEN status = 'SUCCESS' THEN 'success'
                        ELSE 'default' END AS branch,
@@ -161,6 +183,15 @@ ORACLE_SQL: dict[str, str] = {
            FROM locations
            WHERE trim(matatuId) = '' OR trim(routeId) = '' OR speedKmh < 0"""
     ),
+    "fare_quarantine": _q(
+        """SELECT eventId, transactionId,
+                  CASE WHEN paymentMethod NOT IN ('MPESA', 'CASH', 'CARD')
+                       THEN 'paymentMethod must be one of MPESA, CASH, CARD'
+                       ELSE 'status must be one of SUCCESS, FAILED, PENDING' END AS invalidReason
+           FROM fares
+           WHERE paymentMethod NOT IN ('MPESA', 'CASH', 'CARD')
+              OR status NOT IN ('SUCCESS', 'FAILED', 'PENDING')"""
+    ),
     "fare_decode": _q(f"SELECT {_FARE_COLS} FROM fares"),
     "display_board": _q(
         """SELECT matatuId, routeId, routeName, latitude, longitude, speedKmh, passengersOnboard,
@@ -172,7 +203,7 @@ ORACLE_SQL: dict[str, str] = {
     "fare_log": _q(
         """SELECT CASE status WHEN 'SUCCESS' THEN '✅' WHEN 'FAILED' THEN '❌' WHEN 'PENDING' THEN '⏳' END AS icon,
                   transactionId, matatuId, amountKes, paymentMethod, status, eventId,
-                  format('{} Payment -> txn={}, matatu={}, amount=KES {}, method={}, status={}',
+                  format('[FARES] {} Payment → txn={}, matatu={}, amount=KES {}, method={}, status={}',
                          CASE status WHEN 'SUCCESS' THEN '✅' WHEN 'FAILED' THEN '❌' WHEN 'PENDING' THEN '⏳' END,
                          transactionId, matatuId, CAST(amountKes AS VARCHAR), paymentMethod, status) AS message
            FROM fares"""
@@ -195,6 +226,17 @@ ORACLE_SQL: dict[str, str] = {
            FROM (SELECT *, (epoch_us("timestamp") // 3600000000) * 3600000000 AS start_us FROM succ)
            GROUP BY saccoId, saccoName, start_us"""
     ),
+    "sacco_revenue_messages": _q(
+        """SELECT saccoId, make_timestamp(start_us) AS windowStart,
+                  format('[REVENUE] 💰 SACCO: {} | Window: {} → {} | Total: KES {} | Transactions: {}',
+                         saccoName,
+                         strftime(make_timestamp(start_us), '%Y-%m-%dT%H:%M:%SZ'),
+                         strftime(make_timestamp(start_us + 3600000000), '%Y-%m-%dT%H:%M:%SZ'),
+                         CAST(CAST(sum(amountKes) AS DECIMAL(18, 2)) AS VARCHAR),
+                         CAST(count(*) AS VARCHAR)) AS message
+           FROM (SELECT *, (epoch_us("timestamp") // 3600000000) * 3600000000 AS start_us FROM succ)
+           GROUP BY saccoId, saccoName, start_us"""
+    ),
     "late_fares": _q(
         """SELECT transactionId, matatuId, saccoId, amountKes, "timestamp", arrivalTs, eventId,
                   make_timestamp(start_us) AS windowStart, make_timestamp(start_us + 3600000000) AS windowEnd,
@@ -215,7 +257,7 @@ ORACLE_SQL: dict[str, str] = {
     "passenger_deltas": _q(
         """SELECT matatuId, routeId, routeName, passengerDelta,
                   greatest(0, passengerDelta) AS boardings, greatest(0, -passengerDelta) AS alightings,
-                  "timestamp", eventId
+                  passengersOnboard, "timestamp", eventId
            FROM deltas"""
     ),
     "vehicle_snapshots": _q(
@@ -230,6 +272,14 @@ ORACLE_SQL: dict[str, str] = {
                     matatuId, passengerDelta, "timestamp", eventId
              FROM fold"""
     ),
+    "route_occupancy_messages": _q(
+        _OCCUPANCY_FOLD
+        + """SELECT routeId, eventId,
+                    format('[OCCUPANCY] 🚌 Route {} | On board: {} | Boarded: {} | Alighted: {}',
+                           routeId, CAST(currentPassengers AS VARCHAR), CAST(totalBoardings AS VARCHAR),
+                           CAST(totalAlightings AS VARCHAR)) AS message
+             FROM fold"""
+    ),
     "route_occupancy": _q(
         _OCCUPANCY_FOLD
         + """SELECT routeId, arg_max(routeName, rn) AS routeName,

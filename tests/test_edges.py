@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import functions as F
@@ -211,4 +212,22 @@ def test_offgrid_alert_message_in_whole_minutes(spark):
     df = pings(spark, [("A", "route_33", 10.0, 1, at(0))])
     alerts = offgrid.offgrid_as_of(df, F.lit(at(6, ms=59_999)))
     msg = offgrid.alert_messages(alerts).first().message
-    assert "has been silent for 6 minutes" in msg and msg.startswith("[OFF-GRID] Matatu A on Route 33")
+    assert "has been silent for 6 minutes" in msg and msg.startswith("[OFF-GRID] 📡 Matatu A on Route 33")
+
+
+def test_log_lines_print_values_as_java_does(spark):
+    from fleetlens.operators import taps
+
+    df = spark.createDataFrame(
+        [(at(0),), (at(0, ms=123),), (at(0) + dt.timedelta(microseconds=123456),)], "t timestamp_ntz"
+    )
+    got = [r.s for r in df.select(taps.instant_string(df, "t").alias("s")).collect()]
+    assert got == ["2024-01-01T09:00:00Z", "2024-01-01T09:00:00.123Z", "2024-01-01T09:00:00.123456Z"]
+    locs = pings(spark, [("A", "r1", 12.5, 20, at(0)), ("A", "r1", 80.0, 25, at(1))])
+    deltas = occupancy.passenger_deltas(locs)
+    lines = [r.message for r in taps.delta_messages(deltas).orderBy("eventId").collect()]
+    assert lines == ["[DELTA] 🚌 A | prev=0 cur=20 delta=20", "[DELTA] 🚌 A | prev=20 cur=25 delta=5"]
+    log = taps.location_log_messages(locs).orderBy("eventId").first().message
+    assert log == "[LOGGER] 📝 Persisting → matatu=A, route=r1, lat=-1.29, lng=36.82, speed=12.5, offset=0"
+    occ = taps.occupancy_messages(occupancy.occupancy_changelog(deltas)).orderBy("eventId").collect()
+    assert occ[-1].message == "[OCCUPANCY] 🚌 Route r1 | On board: 25 | Boarded: 25 | Alighted: 0"
