@@ -110,10 +110,16 @@ CUT_LINEAGE_MIN_BYTES = 1 << 30
 
 
 def estimated_bytes(df) -> int | None:
-    """Catalyst's size estimate of ``df`` (from file sizes and the plan), or
-    None where the session does not expose it."""
+    """Size of the largest input ``df`` reads (Catalyst's leaf statistics:
+    file sizes for scans), or None where the session does not expose it.
+
+    Leaf sizes are used rather than the plan's own estimate: without
+    cost-based statistics Catalyst sizes a join as the product of its inputs.
+    """
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+        return max(sizes) if sizes else None
     except Exception:  # noqa: BLE001 - e.g. Spark Connect
         return None
 
