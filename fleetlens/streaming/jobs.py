@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from fleetlens.functions.scalar import java_string_hash
 from fleetlens.operators import revenue, routing, stateless
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources import codec
@@ -55,6 +56,27 @@ def fare_branch_flow(fares: DataFrame) -> DataFrame:
     return routing.label_branches(fares)
 
 
+def display_board_flow(locations: DataFrame, partitions: int = 3) -> DataFrame:
+    """Display-board lines: payload plus record metadata. A Kafka source
+    supplies partition/offset/record time; for file sources they are derived
+    (key = route, partition = key hash mod ``partitions``, offset = eventId,
+    record time = event time)."""
+    cols = set(locations.columns)
+    records = locations.select(
+        "*",
+        *([] if "key" in cols else [F.col("routeId").alias("key")]),
+        *([] if "partition" in cols else [(java_string_hash("routeId") % F.lit(partitions)).cast("int").alias("partition")]),
+        *([] if "offset" in cols else [F.col("eventId").alias("offset")]),
+        *([] if "recordTimestamp" in cols else [F.col("timestamp").alias("recordTimestamp")]),
+    )
+    return stateless.display_board(records)
+
+
+def fare_log_flow(fares: DataFrame) -> DataFrame:
+    """Fare consumer lines: status icon, the six fields, the log line."""
+    return stateless.fare_log(fares)
+
+
 def revenue_flow(
     fares: DataFrame, settings: JobSettings = DEFAULT_SETTINGS, dedupe: bool = False
 ) -> DataFrame:
@@ -191,6 +213,8 @@ def start_all(
         "location_quarantine": plain("location_quarantine", bad_locs),
         "fare_quarantine": plain("fare_quarantine", bad_fares),
         "location_audit": plain("location_audit", stateless.location_audit(locs), fmt="parquet", partition_by=["eventDate"]),
+        "display_board": plain("display_board", display_board_flow(locs)),
+        "fare_log": plain("fare_log", fare_log_flow(fs)),
     }
     revenue_kw = (
         dict(fmt="kafka", options={"kafka.bootstrap.servers": kafka_bootstrap, "topic": OUTPUT_TOPICS["sacco_revenue"]})

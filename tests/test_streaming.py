@@ -153,6 +153,10 @@ def test_stateless_flows_and_sinks(spark, scratch, run_id):
     assert set(failed.columns) == {"key", "value"}
     enriched = spark.read.json(os.path.join(out, "location_enriched"))
     assert enriched.count() == 599
+    board = spark.read.json(os.path.join(out, "display_board"))
+    assert board.count() == 599 and {"partition", "offset", "key"} <= set(board.columns)
+    fare_lines = spark.read.json(os.path.join(out, "fare_log"))
+    assert fare_lines.count() == 401 and fare_lines.filter(F.col("message").startswith("[FARES] ")).count() == 401
     assert glob.glob(os.path.join(out, "location_audit", "eventDate=*"))
 
 
