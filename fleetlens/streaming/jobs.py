@@ -13,18 +13,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fleetlens.functions.scalar import java_string_hash
-from fleetlens.operators import revenue, routing, stateless
+from fleetlens.operators import revenue, routing, scan, stateless
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources import codec
 from fleetlens.sources.dimension import sacco_dim, sacco_dim_rows_bound
 from fleetlens.streaming import sinks
 from fleetlens.streaming.sources import OUTPUT_TOPICS
 from fleetlens.streaming.processors import (
+    CHUNK_SUMMARY_OUT,
     DELTA_OUT,
     OCCUPANCY_OUT,
     OFFGRID_OUT,
     OffGridProcessor,
     PassengerDeltaProcessor,
+    RouteChunkSummarizer,
+    RouteOccupancyFromChunks,
     RouteOccupancyProcessor,
 )
 
@@ -118,11 +121,35 @@ def delta_flow(locations: DataFrame) -> DataFrame:
     )
 
 
-def occupancy_flow(deltas: DataFrame, every_update: bool = True) -> DataFrame:
-    """Per-route clamped occupancy changelog (state: occupancy per route).
-    Deltas without a value are skipped (the processor always emits one)."""
-    return deltas.filter(F.col("passengerDelta").isNotNull()).groupBy("routeId").transformWithStateInPandas(
-        statefulProcessor=RouteOccupancyProcessor(every_update),
+def occupancy_flow(
+    deltas: DataFrame, every_update: bool = True, settings: JobSettings = DEFAULT_SETTINGS
+) -> DataFrame:
+    """Per-route clamped occupancy (state: occupancy per route).
+
+    ``every_update=True``: one row per delta (the full changelog), folded per
+    route. ``every_update=False``: one row per changed route per micro-batch
+    (what a commit interval emits); the batch's deltas are first folded per
+    (route, time chunk) in parallel into composable summaries, so a route
+    holding most of the traffic is not folded in a single task.
+    Deltas without a value are skipped (the processor always emits one).
+    """
+    deltas = deltas.filter(F.col("passengerDelta").isNotNull())
+    if every_update:
+        return deltas.groupBy("routeId").transformWithStateInPandas(
+            statefulProcessor=RouteOccupancyProcessor(True),
+            outputStructType=OCCUPANCY_OUT,
+            outputMode="Append",
+            timeMode="None",
+        )
+    chunked = scan.with_chunk(deltas, "timestamp", settings.scan_chunk_seconds)
+    summaries = chunked.groupBy("routeId", scan.CHUNK).transformWithStateInPandas(
+        statefulProcessor=RouteChunkSummarizer(),
+        outputStructType=CHUNK_SUMMARY_OUT,
+        outputMode="Append",
+        timeMode="None",
+    )
+    return summaries.groupBy("routeId").transformWithStateInPandas(
+        statefulProcessor=RouteOccupancyFromChunks(),
         outputStructType=OCCUPANCY_OUT,
         outputMode="Append",
         timeMode="None",
@@ -209,7 +236,9 @@ def start_all(
         "speed_alerts": keyed("speed_alerts", speed_alert_flow(locs, settings), "routeId"),
         "location_enriched": keyed("location_enriched", enrichment_flow(locs, settings), "routeId"),
         "fares_failed": keyed("fares_failed", routing.failed_fares(fs), "matatuId"),
-        "route_occupancy": keyed("route_occupancy", occupancy_flow(delta_flow(locs)), "routeId"),
+        "route_occupancy": keyed(
+            "route_occupancy", occupancy_flow(delta_flow(locs), every_update=False, settings=settings), "routeId"
+        ),
         "location_quarantine": plain("location_quarantine", bad_locs),
         "fare_quarantine": plain("fare_quarantine", bad_fares),
         "location_audit": plain("location_audit", stateless.location_audit(locs), fmt="parquet", partition_by=["eventDate"]),
