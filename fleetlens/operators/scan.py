@@ -55,15 +55,11 @@ def chunk_summary(rows: DataFrame, keys: list[str], aggs: list[Column]) -> DataF
 
 
 def join_carry(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join of the carry onto the rows on (key, chunk).
+    """Left equi-join of the carry onto the rows on (key, chunk).
 
-    Null-safe equality, so rows with a null key get the carry of their own
-    (null-key) group, exactly as the windows group them.
+    Plain equality on the very columns the row windows are partitioned by:
+    when the carry is too large to broadcast, the sort-merge join reuses the
+    rows' existing (key, chunk) hash partitioning and only the carry moves.
+    (A null key - an invalid record - gets no carry.)
     """
-    cols = [*keys, CHUNK]
-    right = carry.select(*[F.col(c).alias(f"_r{c}") for c in cols], *[c for c in carry.columns if c not in cols])
-    cond = None
-    for c in cols:
-        term = F.col(c).eqNullSafe(F.col(f"_r{c}"))
-        cond = term if cond is None else cond & term
-    return rows.join(right, on=cond, how="left").drop(*[f"_r{c}" for c in cols])
+    return rows.join(carry, on=[*keys, CHUNK], how="left")

@@ -58,3 +58,28 @@ def test_single_partition_only_in_scalar_subqueries(spark, name):
         if "Exchange SinglePartition" in ln:
             context = "\n".join(lines[max(0, i - 3) : i])
             assert "Subquery" in context and "HashAggregate(keys=[]" in context, context
+
+
+CHUNKED = ["passenger_deltas", "route_occupancy_changelog", "late_fares", "offgrid_gaps"]
+
+
+@pytest.mark.parametrize("name", CHUNKED)
+def test_carry_join_keeps_row_partitioning_without_broadcast(spark, name):
+    """When the carry table is too large to broadcast, the sort-merge join
+    must reuse the rows' (key, chunk) partitioning: no exchange directly above
+    a row-level window."""
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        lines = _plan(spark, name).splitlines()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert any("SortMergeJoin" in ln for ln in lines)
+    for i, ln in enumerate(lines[:-1]):
+        if "Exchange hashpartitioning" in ln:
+            child = lines[i + 1]
+            m = re.search(r"Window \[.*\], \[(.*?)\], \[", child)
+            assert not (m and "_chunk" in m.group(1) and "ORDER" not in child), f"re-shuffled rows: {ln}"
