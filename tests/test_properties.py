@@ -135,3 +135,42 @@ def test_chunked_late_audit_equals_sequential_stream_time(spark, rows):
     )
     assert (emitted.agg(F.sum("totalRevenueKes")).first()[0] or 0) == closed_total
     assert on_time >= closed_total
+
+
+tied_rows = st.lists(
+    st.tuples(
+        st.sampled_from(["A", "A", "B"]),
+        st.sampled_from(["r1", "r1", "r2"]),
+        st.integers(0, 40),
+        st.integers(0, 8).map(lambda k: k * 30_000),  # 30 s steps: ties and chunk edges
+    ),
+    min_size=1,
+    max_size=40,
+)
+
+
+@HYP
+@given(tied_rows)
+def test_ties_and_chunk_edges_follow_event_id_order(spark, rows):
+    last_count: dict[str, int] = {}
+    state: dict[str, int] = {}
+    expect = {}
+    for i, (m, r, pax, _) in _ordered(rows):
+        d = pax - last_count.get(m, 0)
+        last_count[m] = pax
+        state[r] = max(0, state.get(r, 0) + d)
+        expect[i] = (d, state[r])
+    deltas = occupancy.passenger_deltas(_to_pings(spark, rows), SMALL_CHUNKS)
+    got = {
+        x.eventId: (x.passengerDelta, x.currentPassengers)
+        for x in occupancy.occupancy_changelog(deltas, SMALL_CHUNKS, materialize=False).collect()
+    }
+    assert got == expect
+    nxt = {x.eventId: x.nextSeenAt for x in offgrid.silence_gaps(_to_pings(spark, rows), None, SMALL_CHUNKS, only_alerting=False).collect()}
+    by_vehicle: dict[str, list] = {}
+    for i, (m, _, _, ms) in _ordered(rows):
+        by_vehicle.setdefault(m, []).append((i, ms))
+    for seq in by_vehicle.values():
+        for (i, _), (_, ms_next) in zip(seq, seq[1:]):
+            assert nxt[i] == T0 + dt.timedelta(milliseconds=ms_next)
+        assert nxt[seq[-1][0]] is None
