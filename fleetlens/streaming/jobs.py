@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupStateTimeout
 
 from fleetlens.functions.scalar import java_string_hash
 from fleetlens.operators import revenue, routing, scan, stateless
@@ -24,11 +25,12 @@ from fleetlens.streaming.processors import (
     DELTA_OUT,
     OCCUPANCY_OUT,
     OFFGRID_OUT,
+    SNAPSHOT_STATE,
     OffGridProcessor,
-    PassengerDeltaProcessor,
     RouteChunkSummarizer,
     RouteOccupancyFromChunks,
     RouteOccupancyProcessor,
+    passenger_deltas_with_state,
 )
 
 ALLOW_MULTIPLE = "spark.sql.streaming.statefulOperator.allowMultiple"
@@ -112,31 +114,33 @@ def delta_flow(locations: DataFrame) -> DataFrame:
     return (
         locations.select(*cols)
         .groupBy("matatuId")
-        .transformWithStateInPandas(
-            statefulProcessor=PassengerDeltaProcessor(),
-            outputStructType=DELTA_OUT,
-            outputMode="Append",
-            timeMode="None",
+        .applyInPandasWithState(
+            passenger_deltas_with_state, DELTA_OUT, SNAPSHOT_STATE, "append", GroupStateTimeout.NoTimeout
         )
     )
 
 
 def occupancy_flow(
-    deltas: DataFrame, every_update: bool = True, settings: JobSettings = DEFAULT_SETTINGS
+    deltas: DataFrame,
+    every_update: bool = True,
+    settings: JobSettings = DEFAULT_SETTINGS,
+    split_routes: bool = False,
 ) -> DataFrame:
     """Per-route clamped occupancy (state: occupancy per route).
 
-    ``every_update=True``: one row per delta (the full changelog), folded per
-    route. ``every_update=False``: one row per changed route per micro-batch
-    (what a commit interval emits); the batch's deltas are first folded per
-    (route, time chunk) in parallel into composable summaries, so a route
-    holding most of the traffic is not folded in a single task.
+    ``every_update=True``: one row per delta (the full changelog).
+    ``every_update=False``: one row per changed route per micro-batch (what a
+    commit interval emits). With ``split_routes`` the micro-batch's deltas are
+    first folded per (route, time chunk of ``scan_chunk_seconds``) in
+    parallel into composable summaries, so a route holding most of the
+    traffic is not folded in one task; worthwhile when a micro-batch spans
+    many chunks of event time (replays, backfills).
     Deltas without a value are skipped (the processor always emits one).
     """
     deltas = deltas.filter(F.col("passengerDelta").isNotNull())
-    if every_update:
+    if every_update or not split_routes:
         return deltas.groupBy("routeId").transformWithStateInPandas(
-            statefulProcessor=RouteOccupancyProcessor(True),
+            statefulProcessor=RouteOccupancyProcessor(every_update),
             outputStructType=OCCUPANCY_OUT,
             outputMode="Append",
             timeMode="None",

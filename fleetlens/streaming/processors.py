@@ -1,9 +1,16 @@
-"""Stateful processors for ``transformWithStateInPandas``.
+"""Stateful per-key steps of the streaming flows.
 
-Each processor gathers all rows of its key in the micro-batch, orders them by
+Each step gathers all rows of its key in the micro-batch, orders them by
 (timestamp, eventId) - Spark gives no order inside a group - and folds them
 with vectorised numpy. Groups are bounded by the trigger size
 (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
+
+The per-vehicle delta step - the one with many keys per micro-batch - is an
+``applyInPandasWithState`` function: its state travels with the group's data
+(no per-key state round trip). The per-route steps and the silence detector
+(processing-time timers on a shared tick grid) are
+``transformWithStateInPandas`` processors; Spark allows only one
+``applyInPandasWithState`` per query.
 """
 
 from __future__ import annotations
@@ -14,6 +21,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState
 
 from fleetlens.schemas import DELTA_EVENT, OFFGRID_ALERT, ROUTE_OCCUPANCY
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
@@ -32,6 +40,24 @@ OCCUPANCY_OUT = T.StructType(
 )
 OFFGRID_OUT = OFFGRID_ALERT
 
+# Per-key state of the steps.
+SNAPSHOT_STATE = "routeId string, lastPassengerCount int"
+
+# Composable effect of one (route, chunk) of deltas; see route_chunk_summaries.
+CHUNK_SUMMARY_OUT = T.StructType(
+    [
+        T.StructField("routeId", T.StringType()),
+        T.StructField("chunk", T.LongType()),
+        T.StructField("sumDelta", T.LongType()),
+        T.StructField("floorAfter", T.LongType()),
+        T.StructField("boardings", T.LongType()),
+        T.StructField("alightings", T.LongType()),
+        T.StructField("routeName", T.StringType()),
+        T.StructField("timestamp", T.TimestampType()),
+        T.StructField("eventId", T.LongType()),
+    ]
+)
+
 
 def _gather(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
     parts = list(rows)
@@ -57,39 +83,39 @@ def _ms_to_ts(ms) -> pd.Series | pd.Timestamp:
     return pd.to_datetime(ms, unit="ms")
 
 
-class PassengerDeltaProcessor(StatefulProcessor):
-    """Per vehicle: delta to the previous passenger count (0 before the first
-    ping), boardings/alightings; the last count is the state. Zero deltas are
-    emitted too."""
+def _now() -> pd.Timestamp:
+    return pd.Timestamp.now(tz="UTC").tz_localize(None)
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState(
-            "snapshot", "routeId string, lastPassengerCount int, lastUpdatedMs long"
-        )
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _gather(rows)
-        prev = self.last.get()[1] if self.last.exists() else 0
-        counts = df["passengersOnboard"].to_numpy(dtype=np.int64)
-        before = np.concatenate(([prev], counts[:-1]))
-        delta = counts - before
-        last = df.iloc[-1]
-        self.last.update((last["routeId"], int(counts[-1]), timerValues.getCurrentProcessingTimeInMs()))
-        yield pd.DataFrame(
-            {
-                "matatuId": df["matatuId"],
-                "routeId": df["routeId"],
-                "routeName": df["routeName"],
-                "passengerDelta": delta.astype("int32"),
-                "boardings": np.maximum(0, delta).astype("int32"),
-                "alightings": np.maximum(0, -delta).astype("int32"),
-                "timestamp": df["timestamp"],
-                "eventId": df["eventId"] if "eventId" in df.columns else pd.Series([None] * len(df), dtype="Int64"),
-            }
-        )
+def _event_ids(df: pd.DataFrame) -> pd.Series:
+    if "eventId" in df.columns:
+        return df["eventId"].astype("Int64")
+    return pd.Series([None] * len(df), dtype="Int64")
 
-    def close(self) -> None:
-        pass
+
+def passenger_deltas_with_state(
+    key: tuple, rows: Iterator[pd.DataFrame], state: GroupState
+) -> Iterator[pd.DataFrame]:
+    """Per vehicle: delta to the previous passenger count (0 before the first
+    ping), boardings and alightings; zero deltas are emitted too. State: the
+    vehicle's last route and count."""
+    df = _gather(rows)
+    prev = state.get[1] if state.exists else 0
+    counts = df["passengersOnboard"].to_numpy(dtype=np.int64)
+    delta = counts - np.concatenate(([prev], counts[:-1]))
+    state.update((str(df["routeId"].iloc[-1]), int(counts[-1])))
+    yield pd.DataFrame(
+        {
+            "matatuId": df["matatuId"],
+            "routeId": df["routeId"],
+            "routeName": df["routeName"],
+            "passengerDelta": delta.astype("int32"),
+            "boardings": np.maximum(0, delta).astype("int32"),
+            "alightings": np.maximum(0, -delta).astype("int32"),
+            "timestamp": df["timestamp"],
+            "eventId": _event_ids(df),
+        }
+    )
 
 
 class RouteOccupancyProcessor(StatefulProcessor):
@@ -132,7 +158,7 @@ class RouteOccupancyProcessor(StatefulProcessor):
                 "totalBoardings": boards,
                 "totalAlightings": alights,
                 "timestamp": df["timestamp"],
-                "eventId": df["eventId"] if "eventId" in df.columns else pd.Series([None] * len(df), dtype="Int64"),
+                "eventId": _event_ids(df),
                 "lastUpdated": now,
             }
         )
@@ -142,87 +168,6 @@ class RouteOccupancyProcessor(StatefulProcessor):
         pass
 
 
-class OffGridProcessor(StatefulProcessor):
-    """Per vehicle: remembers the last ping (seen at processing time) and
-    alerts at each check tick while ``tick - lastSeen > threshold``.
-
-    Ticks are multiples of the check interval (one shared schedule). Instead
-    of scanning every vehicle at every tick, each vehicle holds one timer at
-    its first possibly-alerting tick, re-armed one interval later after each
-    alert; a new ping moves it. State never expires unless ``ttl_ms`` is set.
-    """
-
-    def __init__(self, settings: JobSettings = DEFAULT_SETTINGS, ttl_ms: int | None = None) -> None:
-        self.threshold = settings.offgrid_silence_ms
-        self.interval = settings.offgrid_check_interval_ms
-        self.ttl_ms = ttl_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.seen = handle.getValueState(
-            "lastSeen",
-            "routeId string, routeName string, lat double, lon double, seenMs long",
-            self.ttl_ms,
-        )
-
-    def _first_tick_after(self, ms: int) -> int:
-        return (ms // self.interval + 1) * self.interval
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _gather(rows)
-        last = df.iloc[-1]
-        now = timerValues.getCurrentProcessingTimeInMs()
-        self.seen.update(
-            (last["routeId"], last["routeName"], float(last["latitude"]), float(last["longitude"]), now)
-        )
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(self._first_tick_after(now + self.threshold))
-        yield _empty(OFFGRID_OUT)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        tick = expiredTimerInfo.getExpiryTimeInMs()
-        if not self.seen.exists():
-            yield _empty(OFFGRID_OUT)
-            return
-        route_id, route_name, lat, lon, seen_ms = self.seen.get()
-        self.handle.registerTimer(tick + self.interval)
-        silence = tick - seen_ms
-        if silence <= self.threshold:
-            yield _empty(OFFGRID_OUT)
-            return
-        yield pd.DataFrame(
-            {
-                "matatuId": [key[0]],
-                "routeId": [route_id],
-                "routeName": [route_name],
-                "lastKnownLatitude": [lat],
-                "lastKnownLongitude": [lon],
-                "silenceDurationMs": [int(silence)],
-                "lastSeenAt": [_ms_to_ts(seen_ms)],
-                "alertRaisedAt": [_ms_to_ts(tick)],
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
-
-CHUNK_SUMMARY_OUT = T.StructType(
-    [
-        T.StructField("routeId", T.StringType()),
-        T.StructField("chunk", T.LongType()),
-        T.StructField("sumDelta", T.LongType()),
-        T.StructField("floorAfter", T.LongType()),
-        T.StructField("boardings", T.LongType()),
-        T.StructField("alightings", T.LongType()),
-        T.StructField("routeName", T.StringType()),
-        T.StructField("timestamp", T.TimestampType()),
-        T.StructField("eventId", T.LongType()),
-    ]
-)
-
-
 class RouteChunkSummarizer(StatefulProcessor):
     """Per (route, time chunk) of one micro-batch, no state: the composable
     effect of the chunk's ordered deltas on the clamped occupancy.
@@ -250,7 +195,7 @@ class RouteChunkSummarizer(StatefulProcessor):
                 "alightings": [int(df["alightings"].sum())],
                 "routeName": [last["routeName"]],
                 "timestamp": [last["timestamp"]],
-                "eventId": pd.array([last["eventId"]], dtype="Int64") if "eventId" in df.columns else pd.array([None], dtype="Int64"),
+                "eventId": _event_ids(df).tail(1).reset_index(drop=True),
             }
         )
 
@@ -297,3 +242,69 @@ class RouteOccupancyFromChunks(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class OffGridProcessor(StatefulProcessor):
+    """Per vehicle: remembers the last ping (seen at processing time) and
+    alerts at each check tick while ``tick - lastSeen > threshold``.
+
+    Ticks are multiples of the check interval (one shared schedule). Instead
+    of scanning every vehicle at every tick, each vehicle holds one timer at
+    its first possibly-alerting tick, re-armed one interval later after each
+    alert; a new ping moves it. State never expires unless ``ttl_ms`` is set.
+    """
+
+    def __init__(self, settings: JobSettings = DEFAULT_SETTINGS, ttl_ms: int | None = None) -> None:
+        self.threshold = settings.offgrid_silence_ms
+        self.interval = settings.offgrid_check_interval_ms
+        self.ttl_ms = ttl_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.seen = handle.getValueState(
+            "lastSeen",
+            "routeId string, routeName string, lat double, lon double, seenMs long",
+            self.ttl_ms,
+        )
+
+    def _first_tick_after(self, ms: int) -> int:
+        return (ms // self.interval + 1) * self.interval
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        df = _gather(rows)
+        last = df.iloc[-1]
+        now = timerValues.getCurrentProcessingTimeInMs()
+        self.seen.update(
+            (last["routeId"], last["routeName"], float(last["latitude"]), float(last["longitude"]), now)
+        )
+        for t in list(self.handle.listTimers()):
+            self.handle.deleteTimer(t)
+        self.handle.registerTimer(self._first_tick_after(now + self.threshold))
+        yield _empty(OFFGRID_OUT)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        tick = expiredTimerInfo.getExpiryTimeInMs()
+        if not self.seen.exists():
+            yield _empty(OFFGRID_OUT)
+            return
+        route_id, route_name, lat, lon, seen_ms = self.seen.get()
+        self.handle.registerTimer(tick + self.interval)
+        silence = tick - seen_ms
+        if silence <= self.threshold:
+            yield _empty(OFFGRID_OUT)
+            return
+        yield pd.DataFrame(
+            {
+                "matatuId": [key[0]],
+                "routeId": [route_id],
+                "routeName": [route_name],
+                "lastKnownLatitude": [lat],
+                "lastKnownLongitude": [lon],
+                "silenceDurationMs": [int(silence)],
+                "lastSeenAt": [_ms_to_ts(seen_ms)],
+                "alertRaisedAt": [_ms_to_ts(tick)],
+            }
+        )
+
+    def close(self) -> None:
+        pass

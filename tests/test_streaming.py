@@ -9,6 +9,7 @@ import time
 from decimal import Decimal
 
 import pandas as pd
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
@@ -37,13 +38,14 @@ def test_occupancy_stream_equals_batch(spark, scratch, run_id):
     assert got.select(cols).exceptAll(batch.select(cols)).count() == 0
 
 
-def test_occupancy_stream_coalesces_per_batch(spark, scratch, run_id):
+@pytest.mark.parametrize("split", [False, True])
+def test_occupancy_stream_coalesces_per_batch(spark, scratch, run_id, split):
     folder = os.path.join(scratch, run_id, "loc")
     write_batches(folder, split_frames(load_locations(spark, SMALL).toPandas(), 3))
     stream = sources.location_file_stream(spark, folder)
-    flow = jobs.occupancy_flow(jobs.delta_flow(stream), every_update=False)
-    _run(sinks.start(flow, f"occ1_{run_id}", fmt="memory"))
-    got = spark.table(f"occ1_{run_id}")
+    flow = jobs.occupancy_flow(jobs.delta_flow(stream), every_update=False, split_routes=split)
+    _run(sinks.start(flow, f"occ1_{run_id}_{int(split)}", fmt="memory"))
+    got = spark.table(f"occ1_{run_id}_{int(split)}")
     final = occupancy.route_occupancy(occupancy.passenger_deltas(load_locations(spark, SMALL)))
     last = got.groupBy("routeId").agg(F.max_by("currentPassengers", "eventId").alias("c"))
     want = {r.routeId: r.currentPassengers for r in final.collect()}
