@@ -249,9 +249,12 @@ class OffGridProcessor(StatefulProcessor):
     alerts at each check tick while ``tick - lastSeen > threshold``.
 
     Ticks are multiples of the check interval (one shared schedule). Instead
-    of scanning every vehicle at every tick, each vehicle holds one timer at
-    its first possibly-alerting tick, re-armed one interval later after each
-    alert; a new ping moves it. State never expires unless ``ttl_ms`` is set.
+    of scanning every vehicle at every tick, each vehicle holds one timer,
+    set on its first ping. When it fires: alert if silent for more than the
+    threshold and re-arm one interval later; otherwise re-arm at the first
+    tick that could alert given the current last-seen time. Pings only update
+    the state (no timer calls), so a busy vehicle costs one state write per
+    micro-batch. State never expires unless ``ttl_ms`` is set.
     """
 
     def __init__(self, settings: JobSettings = DEFAULT_SETTINGS, ttl_ms: int | None = None) -> None:
@@ -274,25 +277,26 @@ class OffGridProcessor(StatefulProcessor):
         df = _gather(rows)
         last = df.iloc[-1]
         now = timerValues.getCurrentProcessingTimeInMs()
+        first_ping = not self.seen.exists()
         self.seen.update(
             (last["routeId"], last["routeName"], float(last["latitude"]), float(last["longitude"]), now)
         )
-        for t in list(self.handle.listTimers()):
-            self.handle.deleteTimer(t)
-        self.handle.registerTimer(self._first_tick_after(now + self.threshold))
+        if first_ping:
+            self.handle.registerTimer(self._first_tick_after(now + self.threshold))
         yield _empty(OFFGRID_OUT)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         tick = expiredTimerInfo.getExpiryTimeInMs()
-        if not self.seen.exists():
+        if not self.seen.exists():  # expired by TTL: the timer chain ends
             yield _empty(OFFGRID_OUT)
             return
         route_id, route_name, lat, lon, seen_ms = self.seen.get()
-        self.handle.registerTimer(tick + self.interval)
         silence = tick - seen_ms
         if silence <= self.threshold:
+            self.handle.registerTimer(self._first_tick_after(seen_ms + self.threshold))
             yield _empty(OFFGRID_OUT)
             return
+        self.handle.registerTimer(tick + self.interval)
         yield pd.DataFrame(
             {
                 "matatuId": [key[0]],

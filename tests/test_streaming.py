@@ -136,6 +136,10 @@ def test_offgrid_alerts_repeat_on_processing_time_ticks(spark, scratch, run_id):
         assert all(a.silenceDurationMs > 1_000 for a in alerts)
         ticks = sorted(a.alertRaisedAt for a in alerts)
         assert all((t - dt.datetime(1970, 1, 1)) % dt.timedelta(milliseconds=500) == dt.timedelta(0) for t in ticks)
+        # one alert per tick while silent: consecutive ticks, no gaps or repeats
+        assert all(b - a == dt.timedelta(milliseconds=500) for a, b in zip(ticks, ticks[1:]))
+        seen = {a.lastSeenAt for a in alerts}
+        assert len(seen) == 1 and all(a.silenceDurationMs == (a.alertRaisedAt - a.lastSeenAt) // dt.timedelta(milliseconds=1) for a in alerts)
     assert max(len(a) for a in by_vehicle.values()) >= 2
 
 
