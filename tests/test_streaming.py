@@ -265,3 +265,35 @@ def test_streams_accept_records_without_event_id(spark, scratch, run_id):
         occupancy.passenger_deltas(load_locations(spark, SMALL))).collect()}
     last = got.groupBy("routeId").agg(F.max_by("currentPassengers", "timestamp").alias("c")).collect()
     assert {r.routeId: r.c for r in last} == final
+
+
+def test_offgrid_new_ping_ends_the_silence(spark, scratch, run_id):
+    folder = os.path.join(scratch, run_id, "loc")
+    pdf = load_locations(spark, SMALL).toPandas()
+    one = pdf[pdf["matatuId"] == "KBZ 1"].head(1)
+    write_batches(folder, [one])
+    s = JobSettings(offgrid_silence_ms=1_000, offgrid_check_interval_ms=500)
+    stream = sources.location_file_stream(spark, folder)
+    name = f"off2_{run_id}"
+    q = sinks.start(jobs.offgrid_flow(stream, s), name, fmt="memory", trigger={"processingTime": "250 milliseconds"})
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.table(name).count() < 2:
+            time.sleep(0.5)
+        # a new ping: written under a dot name, renamed, newer modification time
+        tmp, final = os.path.join(folder, ".00001.json.tmp"), os.path.join(folder, "00001.json")
+        with open(os.path.join(folder, "00000.json")) as src, open(tmp, "w") as dst:
+            dst.write(src.read())
+        os.replace(tmp, final)
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.table(name).select("lastSeenAt").distinct().count() < 2:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    rows = spark.table(name).collect()
+    seen = sorted({r.lastSeenAt for r in rows})
+    assert len(seen) == 2, "alerting resumed after the new ping went silent too"
+    old, new = seen
+    # no alert for the old silence after the new ping was seen
+    assert all(r.alertRaisedAt <= new for r in rows if r.lastSeenAt == old)
+    assert all(r.silenceDurationMs > 1_000 for r in rows)
