@@ -250,10 +250,11 @@ class OffGridProcessor(StatefulProcessor):
 
     Ticks are multiples of the check interval (one shared schedule). Instead
     of scanning every vehicle at every tick, each vehicle holds one timer,
-    set on its first ping. When it fires: alert if silent for more than the
-    threshold and re-arm one interval later; otherwise re-arm at the first
-    tick that could alert given the current last-seen time. Pings only update
-    the state (no timer calls), so a busy vehicle costs one state write per
+    set on its first ping. When it fires, it raises an alert for every tick
+    due so far (from the first tick with ``tick - lastSeen > threshold``)
+    and re-arms at the next tick; a stale timer (the vehicle pinged since)
+    just re-arms at the first tick that could alert. Pings only update the
+    state (no timer calls), so a busy vehicle costs one state write per
     micro-batch. State never expires unless ``ttl_ms`` is set.
     """
 
@@ -291,22 +292,25 @@ class OffGridProcessor(StatefulProcessor):
             yield _empty(OFFGRID_OUT)
             return
         route_id, route_name, lat, lon, seen_ms = self.seen.get()
-        silence = tick - seen_ms
-        if silence <= self.threshold:
-            self.handle.registerTimer(self._first_tick_after(seen_ms + self.threshold))
+        now = max(tick, timerValues.getCurrentProcessingTimeInMs())
+        first_alert = self._first_tick_after(seen_ms + self.threshold)
+        # every tick that has come due: a micro-batch that runs late still
+        # raises one alert per tick, none is skipped or delayed to later batches
+        due = np.arange(max(tick, first_alert), now + 1, self.interval, dtype=np.int64)
+        self.handle.registerTimer(max(first_alert, self._first_tick_after(now)))
+        if len(due) == 0:
             yield _empty(OFFGRID_OUT)
             return
-        self.handle.registerTimer(tick + self.interval)
         yield pd.DataFrame(
             {
-                "matatuId": [key[0]],
-                "routeId": [route_id],
-                "routeName": [route_name],
-                "lastKnownLatitude": [lat],
-                "lastKnownLongitude": [lon],
-                "silenceDurationMs": [int(silence)],
-                "lastSeenAt": [_ms_to_ts(seen_ms)],
-                "alertRaisedAt": [_ms_to_ts(tick)],
+                "matatuId": [key[0]] * len(due),
+                "routeId": [route_id] * len(due),
+                "routeName": [route_name] * len(due),
+                "lastKnownLatitude": [lat] * len(due),
+                "lastKnownLongitude": [lon] * len(due),
+                "silenceDurationMs": due - seen_ms,
+                "lastSeenAt": _ms_to_ts(np.full(len(due), seen_ms)),
+                "alertRaisedAt": _ms_to_ts(due),
             }
         )
 

@@ -297,3 +297,24 @@ def test_offgrid_new_ping_ends_the_silence(spark, scratch, run_id):
     # no alert for the old silence after the new ping was seen
     assert all(r.alertRaisedAt <= new for r in rows if r.lastSeenAt == old)
     assert all(r.silenceDurationMs > 1_000 for r in rows)
+
+
+def test_offgrid_state_ttl_ends_the_alerts(spark, scratch, run_id):
+    folder = os.path.join(scratch, run_id, "loc")
+    pdf = load_locations(spark, SMALL).toPandas()
+    write_batches(folder, [pdf[pdf["matatuId"] == "KBZ 2"].head(1)])
+    s = JobSettings(offgrid_silence_ms=500, offgrid_check_interval_ms=250)
+    stream = sources.location_file_stream(spark, folder)
+    name = f"ttl_{run_id}"
+    q = sinks.start(
+        jobs.offgrid_flow(stream, s, ttl_ms=4_000), name, fmt="memory", trigger={"processingTime": "200 milliseconds"}
+    )
+    try:
+        time.sleep(10)
+        first = spark.table(name).count()
+        time.sleep(4)
+        second = spark.table(name).count()
+    finally:
+        q.stop()
+    assert first >= 1  # alerted while the state lived
+    assert second == first  # then the state expired and the ticks stopped
