@@ -52,6 +52,7 @@ def build_session(
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
     if profile == "cluster":
         conf.update(CLUSTER_PROFILE)

@@ -25,6 +25,18 @@ def keyed_records(df: DataFrame, key: str) -> DataFrame:
     return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
 
 
+STATE_STORE_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def ensure_rocksdb_state(spark) -> None:
+    """The keyed processors (``transformWithStateInPandas``) need the RocksDB
+    state store; it also keeps large state off the executor heap. Set before
+    a query starts (the provider of an existing checkpoint cannot change)."""
+    if spark.conf.get(STATE_STORE_CONF, None) != ROCKSDB_PROVIDER:
+        spark.conf.set(STATE_STORE_CONF, ROCKSDB_PROVIDER)
+
+
 def _trigger(writer, trigger: dict | None):
     trigger = trigger or {"availableNow": True}
     return writer.trigger(**trigger)
@@ -44,6 +56,7 @@ def start(
     """Start a streaming query writing to ``fmt`` (json, parquet, memory,
     kafka, ...) with its checkpoint under the shared checkpoint folder."""
     spark = df.sparkSession
+    ensure_rocksdb_state(spark)
     writer = (
         df.writeStream.queryName(name)
         .format(fmt)
@@ -92,6 +105,7 @@ def start_branches(
             batch.unpersist()
 
     spark = df.sparkSession
+    ensure_rocksdb_state(spark)
     writer = (
         df.writeStream.queryName(name)
         .option("checkpointLocation", checkpoint_path(spark, name, local_checkpoint_fallback))
