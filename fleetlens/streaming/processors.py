@@ -149,7 +149,7 @@ class RouteOccupancyProcessor(StatefulProcessor):
         alights = ta + np.cumsum(df["alightings"].to_numpy(dtype=np.int64))
         name = df["routeName"].iloc[-1]
         self.occ.update((name, int(current[-1]), int(boards[-1]), int(alights[-1])))
-        now = _ms_to_ts(timerValues.getCurrentProcessingTimeInMs())
+        now = _now()  # no timers here: the processor runs without a time mode
         out = pd.DataFrame(
             {
                 "routeId": df["routeId"],
@@ -236,7 +236,7 @@ class RouteOccupancyFromChunks(StatefulProcessor):
                 "totalAlightings": [ta],
                 "timestamp": [last["timestamp"]],
                 "eventId": pd.array([last["eventId"]], dtype="Int64"),
-                "lastUpdated": [_ms_to_ts(timerValues.getCurrentProcessingTimeInMs())],
+                "lastUpdated": [_now()],
             }
         )
 
