@@ -66,11 +66,18 @@ def kafka_stream(
     )
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    raw = reader.load().select(
+    return decode_kafka_records(reader.load(), schema)
+
+
+def decode_kafka_records(raw: DataFrame, schema: T.StructType) -> DataFrame:
+    """Kafka rows (binary key/value, partition, offset, timestamp) -> record
+    columns plus key, partition, offset, ``recordTimestamp`` and ``eventId``
+    (= offset, the order within a partition). Works on batch and stream."""
+    records = raw.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
         "partition",
         "offset",
         F.col("timestamp").alias("recordTimestamp"),
     )
-    return codec.decode(raw, schema).withColumn("eventId", F.col("offset"))
+    return codec.decode(records, schema).withColumn("eventId", F.col("offset"))

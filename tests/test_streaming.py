@@ -342,3 +342,25 @@ def test_late_ping_across_batches_is_folded_in_arrival_order(spark, scratch, run
         (1, 8, 8, 0),
         (2, 3, 8, 5),
     ]
+
+
+def test_kafka_records_decode_with_metadata(spark):
+    """The Kafka source's decoding, on rows shaped like the connector's."""
+    from fleetlens.schemas import LOCATION_EVENT
+    from fleetlens.sources.codec import LOCATION_FIELDS
+
+    locs = load_locations(spark, SMALL)
+    keyed = sinks.keyed_records(locs.select(*LOCATION_FIELDS, "eventId"), "routeId")
+    raw = keyed.select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        F.lit(0).alias("partition"),
+        F.monotonically_increasing_id().alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+    )
+    decoded = sources.decode_kafka_records(raw, LOCATION_EVENT)
+    valid, bad = jobs.validated(decoded, "location")
+    assert valid.count() == 599 and bad.count() == 0
+    board = jobs.display_board_flow(valid)
+    assert board.filter(F.col("key") != F.col("routeId")).count() == 0
+    assert board.select("offset").distinct().count() == 599
