@@ -231,3 +231,28 @@ def test_log_lines_print_values_as_java_does(spark):
     assert log == "[LOGGER] 📝 Persisting → matatu=A, route=r1, lat=-1.29, lng=36.82, speed=12.5, offset=0"
     occ = taps.occupancy_messages(occupancy.occupancy_changelog(deltas)).orderBy("eventId").collect()
     assert occ[-1].message == "[OCCUPANCY] 🚌 Route r1 | On board: 25 | Boarded: 25 | Alighted: 0"
+
+
+def test_operators_accept_empty_input(spark):
+    from fleetlens.sources.dimension import sacco_dim
+
+    locs = pings(spark, [("A", "r1", 1.0, 1, at(0))]).limit(0)
+    fs = fares(spark, [("A", "1.00", "SUCCESS", at(0))]).limit(0)
+    frames = [
+        stateless.speed_alerts(locs),
+        stateless.enrich_locations(locs, sacco_dim(spark), dim_rows_bound=5),
+        stateless.unknown_routes(locs, sacco_dim(spark), 5),
+        occupancy.passenger_deltas(locs),
+        occupancy.occupancy_changelog(occupancy.passenger_deltas(locs)),
+        occupancy.route_occupancy(occupancy.passenger_deltas(locs)),
+        occupancy.vehicle_snapshots(locs),
+        offgrid.last_seen(locs),
+        offgrid.offgrid_as_of(locs),
+        offgrid.silence_gaps(locs),
+        offgrid.tick_alerts(locs),
+        revenue.windowed_revenue(fs),
+        revenue.late_fares(fs),
+        revenue.emitted_revenue(fs),
+        routing.branch_summary(fs),
+    ]
+    assert [f.count() for f in frames] == [0] * len(frames)
