@@ -66,7 +66,24 @@ def offgrid_as_of(
 ) -> DataFrame:
     """Alerts raised by one check at ``as_of`` (default: latest ping time)."""
     as_of = max_event_time(locations) if as_of is None else as_of
-    seen = last_seen(locations.filter(F.col("timestamp") <= as_of)).withColumn("_now", as_of)
+    # bind the instant once as a column so a scalar subquery runs once
+    rows = locations.withColumn("_now", as_of).filter(F.col("timestamp") <= F.col("_now"))
+    last = F.max_by(
+        F.struct("routeId", "routeName", "latitude", "longitude", "timestamp"), F.struct(*ORDER)
+    )
+    seen = (
+        rows.groupBy("matatuId")
+        .agg(last.alias("s"), F.max("_now").alias("_now"))
+        .select(
+            "matatuId",
+            F.col("s.routeId").alias("routeId"),
+            F.col("s.routeName").alias("routeName"),
+            F.col("s.latitude").alias("lastLatitude"),
+            F.col("s.longitude").alias("lastLongitude"),
+            F.col("s.timestamp").alias("lastSeenAt"),
+            "_now",
+        )
+    )
     silence = epoch_millis(seen, "_now") - epoch_millis(seen, "lastSeenAt")
     return (
         seen.withColumn("silenceDurationMs", silence)
