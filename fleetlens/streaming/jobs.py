@@ -182,16 +182,18 @@ def start_revenue(
     name: str,
     settings: JobSettings = DEFAULT_SETTINGS,
     key: str | None = None,
+    dedupe: bool = False,
     **kw,
 ) -> StreamingQuery:
     """Starts the revenue query with the late-row filter evaluated against
     the watermark of the current batch (single stateful operator).
-    ``key`` publishes keyed JSON records instead of columns."""
+    ``key`` publishes keyed JSON records instead of columns; ``dedupe`` drops
+    re-delivered fares (same ``transactionId``) within the watermark."""
     spark = fares.sparkSession
     before = spark.conf.get(ALLOW_MULTIPLE, None)
     spark.conf.set(ALLOW_MULTIPLE, "false")
     try:
-        flow = revenue_flow(fares, settings)
+        flow = revenue_flow(fares, settings, dedupe=dedupe)
         if key:
             flow = sinks.keyed_records(flow, key)
         return sinks.start(flow, name, **kw)

@@ -364,3 +364,17 @@ def test_kafka_records_decode_with_metadata(spark):
     board = jobs.display_board_flow(valid)
     assert board.filter(F.col("key") != F.col("routeId")).count() == 0
     assert board.select("offset").distinct().count() == 599
+
+
+def test_revenue_stream_dedupes_redelivered_fares(spark, scratch, run_id):
+    folder = os.path.join(scratch, run_id, "fares")
+    first = _fare_frame([("10.00", at(10)), ("100.00", at(20))])
+    again = first.iloc[[1]]  # the same transaction delivered twice
+    closer = _fare_frame([("5.00", at(66))]).assign(transactionId="TXN-9", eventId=9)
+    write_batches(folder, [first, again, closer])
+    stream = sources.fare_file_stream(spark, folder)
+    for dedupe, want in [(True, (Decimal("110.00"), 2)), (False, (Decimal("210.00"), 3))]:
+        name = f"dd_{run_id}_{int(dedupe)}"
+        _run(jobs.start_revenue(stream, name, dedupe=dedupe, fmt="memory"))
+        rows = spark.table(name).collect()
+        assert [(r.totalRevenueKes, r.transactionCount) for r in rows] == [want]
