@@ -1,0 +1,47 @@
+"""Per-key derived columns: compute once per distinct key, join back.
+
+Some derived values depend on a key alone and are costly per row (the Java
+string hash is a higher-order expression, evaluated outside whole-stage
+codegen). When the number of distinct keys is small - checked with a count,
+not assumed - they are derived once per key and broadcast back into the rows
+(a hash lookup in the codegen'd stage). Above the bound the derivation stays
+per row: no unbounded broadcast, no extra shuffle of the rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from fleetlens.session import estimated_bytes
+
+# Broadcast the per-key table only up to this many keys (a few tens of MB).
+MAX_BROADCAST_KEYS = 2_000_000
+# Below this input size the per-row form is cheaper than the extra count job.
+MIN_INPUT_BYTES = 1 << 30
+
+
+def derive_per_key(
+    df: DataFrame,
+    key: str,
+    derive: Callable[[DataFrame], DataFrame],
+    max_keys: int = MAX_BROADCAST_KEYS,
+    min_input_bytes: int = MIN_INPUT_BYTES,
+) -> DataFrame:
+    """``derive(df)`` adds columns that depend on ``key`` only. Returns ``df``
+    with those columns, computed per distinct key when there are at most
+    ``max_keys`` of them (one count job decides), else per row. Inputs under
+    ``min_input_bytes`` (largest input relation) and streaming inputs take
+    the per-row form directly."""
+    if df.isStreaming:
+        return derive(df)
+    size = estimated_bytes(df)
+    if size is not None and size < min_input_bytes:
+        return derive(df)
+    keys = df.select(key).distinct()
+    if keys.count() > max_keys:
+        return derive(df)
+    table = derive(keys)
+    return df.join(F.broadcast(table), on=key, how="left")

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import epoch_micros, floor_div, from_epoch_micros, java_string_hash
 from fleetlens.operators import scan
+from fleetlens.operators.keyed import derive_per_key
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources.dimension import SACCO_ROWS
 
@@ -102,7 +103,8 @@ def late_fare_audit(
     and ``isLate`` (window end + grace <= stream time)."""
     keys = ["saccoId"]
     order = [arrival_col, "eventId"]
-    rows = scan.with_chunk(assign_operator(successful(fares), settings), arrival_col, settings.scan_chunk_seconds)
+    with_op = derive_per_key(successful(fares), "matatuId", lambda d: assign_operator(d, settings))
+    rows = scan.with_chunk(with_op, arrival_col, settings.scan_chunk_seconds)
     ntz = rows.schema[time_col].dataType.typeName() == "timestamp_ntz"
     rows = rows.withColumn("_t", epoch_micros(rows, time_col))
     rows = rows.withColumn("_local_max", F.max("_t").over(scan.upto(scan.in_chunk(keys, order))))

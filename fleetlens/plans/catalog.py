@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import java_string_hash
 from fleetlens.operators import occupancy, offgrid, revenue, routing, stateless, taps
+from fleetlens.operators.keyed import derive_per_key
 from fleetlens.settings import DEFAULT_SETTINGS
 from fleetlens.sources import codec
 from fleetlens.sources.codec import FARE_FIELDS, LOCATION_FIELDS
@@ -117,10 +118,11 @@ def fare_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 def display_board(spark: SparkSession, sf: str) -> DataFrame:
     locs = load_locations(spark, sf)
-    records = locs.select(
+    partition = (java_string_hash("routeId") % F.lit(TOPIC_PARTITIONS)).cast("int")
+    with_partition = derive_per_key(locs, "routeId", lambda d: d.withColumn("partition", partition))
+    records = with_partition.select(
         "*",
         F.col("routeId").alias("key"),
-        (java_string_hash("routeId") % F.lit(TOPIC_PARTITIONS)).cast("int").alias("partition"),
         F.col("eventId").alias("offset"),
         F.col("timestamp").alias("recordTimestamp"),
     )

@@ -256,3 +256,18 @@ def test_operators_accept_empty_input(spark):
         routing.branch_summary(fs),
     ]
     assert [f.count() for f in frames] == [0] * len(frames)
+
+
+def test_per_key_derivation_matches_per_row(spark):
+    from fleetlens.operators.keyed import derive_per_key
+
+    df = fares(spark, [(f"KBZ {i % 7}", "1.00", "SUCCESS", at(i)) for i in range(40)])
+    per_row = revenue.assign_operator(df)
+    per_key = derive_per_key(df, "matatuId", revenue.assign_operator, min_input_bytes=0)
+    over_bound = derive_per_key(df, "matatuId", revenue.assign_operator, max_keys=3, min_input_bytes=0)
+    cols = ["eventId", "matatuId", "saccoId"]
+    for got in (per_key, over_bound):
+        assert got.select(cols).exceptAll(per_row.select(cols)).count() == 0
+        assert got.count() == 40
+    plan = per_key._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
