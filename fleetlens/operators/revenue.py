@@ -18,7 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetlens.functions.scalar import epoch_micros, floor_div, from_epoch_micros, java_string_hash
+from fleetlens.functions.scalar import (
+    epoch_micros,
+    floor_div,
+    from_epoch_micros,
+    java_string_hash,
+    to_kes,
+)
 from fleetlens.operators import scan
 from fleetlens.operators.keyed import derive_per_key
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
@@ -86,7 +92,7 @@ def windowed_revenue(
     return agg.select(
         "saccoId",
         operator_name(F.col("saccoId"), settings).alias("saccoName"),
-        F.col("_total").cast("decimal(18,2)").alias("totalRevenueKes"),
+        to_kes(F.col("_total")).alias("totalRevenueKes"),
         "transactionCount",
         F.col("w.start").alias("windowStart"),
         F.col("w.end").alias("windowEnd"),
@@ -153,7 +159,7 @@ def emitted_revenue(fares: DataFrame, settings: JobSettings = DEFAULT_SETTINGS)
         .select(
             "saccoId",
             operator_name(F.col("saccoId"), settings).alias("saccoName"),
-            F.col("_total").cast("decimal(18,2)").alias("totalRevenueKes"),
+            to_kes(F.col("_total")).alias("totalRevenueKes"),
             "transactionCount",
             "windowStart",
             "windowEnd",

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetlens.functions.scalar import to_kes
+
 # Branch order (first match wins) and branch labels.
 BRANCHES = (("failed", "FAILED"), ("success", "SUCCESS"))
 DEFAULT_BRANCH = "default"
@@ -37,7 +39,7 @@ def branch_summary(fares: DataFrame) -> DataFrame:
         .groupBy("branch")
         .agg(
             F.count(F.lit(1)).alias("fares"),
-            F.sum("amountKes").cast("decimal(18,2)").alias("amountKes"),
+            to_kes(F.sum("amountKes")).alias("amountKes"),
         )
     )
 

@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fleetlens.functions.scalar import to_kes
+
 # The mapping rules from ``events`` rows to transit records.
 LOCATION_TYPES = ("click", "view", "error")
 FARE_TYPES = ("purchase", "signup")
@@ -93,7 +95,7 @@ def fares_view(events: DataFrame) -> DataFrame:
         F.concat(F.lit("TXN-"), eid.cast("string")).alias("transactionId"),
         _matatu_id().alias("matatuId"),
         F.concat(F.lit("PAX-"), _props_k().cast("string")).alias("passengerId"),
-        F.col("value").cast(T.DecimalType(12, 2)).cast(T.DecimalType(18, 2)).alias("amountKes"),
+        to_kes(F.col("value").cast(T.DecimalType(12, 2))).alias("amountKes"),
         method.alias("paymentMethod"),
         status.alias("status"),
         F.col("ts").alias("timestamp"),

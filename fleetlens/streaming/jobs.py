@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from fleetlens.functions.scalar import java_string_hash
+from fleetlens.functions.scalar import java_string_hash, to_kes
 from fleetlens.operators import revenue, routing, scan, stateless
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources import codec
@@ -100,7 +100,7 @@ def revenue_flow(
     return agg.select(
         "saccoId",
         revenue.operator_name(F.col("saccoId"), settings).alias("saccoName"),
-        F.col("_total").cast("decimal(18,2)").alias("totalRevenueKes"),
+        to_kes(F.col("_total")).alias("totalRevenueKes"),
         "transactionCount",
         F.col("w.start").alias("windowStart"),
         F.col("w.end").alias("windowEnd"),
