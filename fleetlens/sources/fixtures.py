@@ -110,3 +110,13 @@ def load_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def load_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fares_view(load_events(spark, sf_dir))
+
+
+def register_views(spark: SparkSession, sf_dir: str) -> None:
+    """Temp views ``locations``, ``fares`` and ``sacco_dim`` for Spark SQL."""
+    from fleetlens.sources.dimension import sacco_dim
+
+    events = load_events(spark, sf_dir)
+    locations_view(events).createOrReplaceTempView("locations")
+    fares_view(events).createOrReplaceTempView("fares")
+    sacco_dim(spark).createOrReplaceTempView("sacco_dim")

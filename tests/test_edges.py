@@ -271,3 +271,15 @@ def test_per_key_derivation_matches_per_row(spark):
         assert got.count() == 40
     plan = per_key._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+
+
+def test_views_for_spark_sql(spark):
+    from fleetlens.sources.fixtures import register_views
+
+    register_views(spark, "/root/testdata/sf0.001")
+    got = spark.sql(
+        """SELECT count(*) AS n, count_if(d.saccoId IS NULL) AS unknown
+           FROM locations l LEFT JOIN sacco_dim d USING (routeId)"""
+    ).first()
+    assert (got.n, got.unknown) == (599, 98)
+    assert spark.sql("SELECT count(*) FROM fares WHERE status = 'FAILED'").first()[0] == 43
