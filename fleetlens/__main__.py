@@ -29,9 +29,15 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--speed-threshold", type=float, default=JobSettings.speed_threshold_kmh)
     ap.add_argument("--key-mode", choices=["route", "sacco"], default="route")
     ap.add_argument("--profile", choices=["local", "cluster"], default="cluster")
+    ap.add_argument(
+        "--checkpoint-dir",
+        help="shared folder for checkpoints; used only when spark.checkpoint.dir is unset",
+    )
     args = ap.parse_args(argv)
 
-    spark = build_session(app_name="fleetlens-streams", profile=args.profile)
+    spark = build_session(
+        app_name="fleetlens-streams", profile=args.profile, checkpoint_dir=args.checkpoint_dir
+    )
     settings = JobSettings(speed_threshold_kmh=args.speed_threshold, revenue_key_mode=args.key_mode)
     if args.kafka:
         from fleetlens.schemas import FARE_EVENT, LOCATION_EVENT
