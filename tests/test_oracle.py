@@ -43,3 +43,21 @@ def test_fixture_counts(spark):
     assert locs.filter(F.col("speedKmh") > 80).count() == 118
     by_status = dict(load_fares(spark, SMALL).groupBy("status").count().collect())
     assert by_status == {"SUCCESS": 319, "FAILED": 43, "PENDING": 39}
+
+
+ZONE_SENSITIVE = [
+    "location_decode", "fare_decode", "location_audit", "sacco_revenue", "sacco_revenue_messages",
+    "late_fares", "offgrid_as_of", "offgrid_gaps", "passenger_deltas",
+]
+
+
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_results_do_not_depend_on_session_time_zone(spark, duck, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = ep.queries()[name](spark, SMALL).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    ok, why = same(got, duck_frame(duck, ep.oracle_sql()[name]))
+    assert ok, why
