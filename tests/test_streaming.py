@@ -378,3 +378,36 @@ def test_revenue_stream_dedupes_redelivered_fares(spark, scratch, run_id):
         _run(jobs.start_revenue(stream, name, dedupe=dedupe, fmt="memory"))
         rows = spark.table(name).collect()
         assert [(r.totalRevenueKes, r.transactionCount) for r in rows] == [want]
+
+
+def test_start_all_live_includes_offgrid_alerts(spark, scratch, run_id):
+    base = os.path.join(scratch, run_id)
+    pdf = load_locations(spark, SMALL).toPandas()
+    write_batches(os.path.join(base, "loc"), [pdf[pdf["matatuId"].isin(["KBZ 1", "KBZ 2"])]])
+    fares_pdf = load_fares(spark, SMALL).toPandas().drop(columns=["arrivalTs"]).head(20)
+    write_batches(os.path.join(base, "fares"), [fares_pdf])
+    s = JobSettings(offgrid_silence_ms=1_000, offgrid_check_interval_ms=500)
+    out = os.path.join(base, "out")
+    queries = jobs.start_all(
+        sources.location_file_stream(spark, os.path.join(base, "loc")),
+        sources.fare_file_stream(spark, os.path.join(base, "fares")),
+        out,
+        s,
+        trigger={"processingTime": "500 milliseconds"},
+        name_prefix=f"{run_id}_",
+    )
+    try:
+        assert "offgrid_alerts" in queries
+        deadline = time.time() + 90
+        while time.time() < deadline:
+            time.sleep(2)
+            files = glob.glob(os.path.join(out, "offgrid_alerts", "*.json"))
+            if files and spark.read.json(os.path.join(out, "offgrid_alerts")).count() >= 2:
+                break
+    finally:
+        for q in queries.values():
+            q.stop()
+    alerts = spark.read.json(os.path.join(out, "offgrid_alerts"))
+    parsed = alerts.select(F.from_json("value", "matatuId string, silenceDurationMs long").alias("v"))
+    assert parsed.filter(F.col("v.silenceDurationMs") > 1_000).count() == parsed.count() >= 2
+    assert {r.key for r in alerts.select("key").distinct().collect()} <= {"KBZ 1", "KBZ 2"}
