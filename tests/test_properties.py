@@ -174,3 +174,64 @@ def test_ties_and_chunk_edges_follow_event_id_order(spark, rows):
         for (i, _), (_, ms_next) in zip(seq, seq[1:]):
             assert nxt[i] == T0 + dt.timedelta(milliseconds=ms_next)
         assert nxt[seq[-1][0]] is None
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(
+    st.lists(
+        st.tuples(
+            st.sampled_from(["A", "A", "B"]),
+            st.sampled_from(["r1", "r1", "r2"]),
+            st.integers(0, 30),
+            st.integers(0, 20).map(lambda k: k * 45_000),
+        ),
+        min_size=2,
+        max_size=30,
+    ),
+    st.integers(1, 3),
+)
+def test_stream_occupancy_split_by_chunk_equals_sequential_fold(spark, scratch, rows, n_batches):
+    import os
+    import uuid
+
+    import pandas as pd
+
+    from fleetlens.streaming import jobs, sinks, sources
+    from streamkit import write_batches
+
+    ordered = _ordered(rows)
+    recs = [
+        {
+            "matatuId": m, "routeId": r, "routeName": "Route " + r[-1], "latitude": 0.0, "longitude": 0.0,
+            "speedKmh": 1.0, "passengersOnboard": pax,
+            "timestamp": pd.Timestamp(T0) + pd.Timedelta(milliseconds=ms), "eventId": i,
+        }
+        for i, (m, r, pax, ms) in ordered
+    ]
+    size = -(-len(recs) // n_batches)
+    frames = [pd.DataFrame(recs[k : k + size]) for k in range(0, len(recs), size)]
+    # sequential fold; remember the state after each route's last delta of each batch
+    last_count, occ, expect = {}, {}, {}
+    for b, frame in enumerate(frames):
+        for rec in frame.to_dict("records"):
+            d = rec["passengersOnboard"] - last_count.get(rec["matatuId"], 0)
+            last_count[rec["matatuId"]] = rec["passengersOnboard"]
+            cur, tb, ta = occ.get(rec["routeId"], (0, 0, 0))
+            occ[rec["routeId"]] = (max(0, cur + d), tb + max(0, d), ta + max(0, -d))
+            expect[(b, rec["routeId"])] = (rec["eventId"], *occ[rec["routeId"]])
+    run = "p" + uuid.uuid4().hex[:8]
+    folder = os.path.join(scratch, run, "loc")
+    write_batches(folder, frames)
+    flow = jobs.occupancy_flow(
+        jobs.delta_flow(sources.location_file_stream(spark, folder)),
+        every_update=False,
+        settings=SMALL_CHUNKS,
+        split_routes=True,
+    )
+    q = sinks.start(flow, run, fmt="memory")
+    q.awaitTermination()
+    got = {
+        (r.eventId, r.currentPassengers, r.totalBoardings, r.totalAlightings)
+        for r in spark.table(run).collect()
+    }
+    assert got == set(expect.values())
