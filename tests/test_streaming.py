@@ -438,3 +438,17 @@ def test_restart_resumes_from_checkpoint_with_state(spark, scratch, run_id):
     log = occupancy.occupancy_changelog(occupancy.passenger_deltas(load_locations(spark, SMALL)))
     cols = ["routeId", "eventId", "currentPassengers", "totalBoardings", "totalAlightings"]
     assert got.select(cols).exceptAll(log.select(cols)).count() == 0
+
+
+def test_revenue_stream_sacco_key_mode(spark, scratch, run_id):
+    folder = os.path.join(scratch, run_id, "fares")
+    write_batches(folder, [_fare_frame([("10.00", at(10)), ("100.00", at(20))]), _fare_frame([("5.00", at(66))])])
+    stream = sources.fare_file_stream(spark, folder)
+    s = JobSettings(revenue_key_mode="sacco")
+    _run(jobs.start_revenue(stream, f"sacco_{run_id}", s, fmt="memory"))
+    rows = spark.table(f"sacco_{run_id}").collect()
+    assert len(rows) == 1 and rows[0].saccoId.startswith("sacco_0")
+    names = {"sacco_01": "Citi Hoppa", "sacco_02": "KBS", "sacco_03": "Double M",
+             "sacco_04": "Metro Trans", "sacco_05": "Forward Travellers"}
+    assert rows[0].saccoName == names[rows[0].saccoId]
+    assert (rows[0].totalRevenueKes, rows[0].transactionCount) == (Decimal("110.00"), 2)
