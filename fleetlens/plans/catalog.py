@@ -147,6 +147,11 @@ def sacco_revenue(spark: SparkSession, sf: str) -> DataFrame:
     return revenue.windowed_revenue(load_fares(spark, sf), S)
 
 
+def sacco_revenue_by_sacco_id(spark: SparkSession, sf: str) -> DataFrame:
+    """Windowed revenue keyed by sacco id (the documented key mode)."""
+    return revenue.windowed_revenue(load_fares(spark, sf), S.with_(revenue_key_mode="sacco"))
+
+
 def sacco_revenue_messages(spark: SparkSession, sf: str) -> DataFrame:
     rev = revenue.windowed_revenue(load_fares(spark, sf), S)
     return taps.revenue_messages(rev).select("saccoId", "windowStart", "message")
@@ -216,6 +221,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "location_audit": location_audit,
     "operator_assignment": operator_assignment,
     "sacco_revenue": sacco_revenue,
+    "sacco_revenue_by_sacco_id": sacco_revenue_by_sacco_id,
     "sacco_revenue_messages": sacco_revenue_messages,
     "late_fares": late_fares,
     "sacco_revenue_emitted": sacco_revenue_emitted,

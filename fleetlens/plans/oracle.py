@@ -52,6 +52,10 @@ revenue_keys(idx, saccoId, saccoName) AS (
   VALUES (0, 'route_111', 'Metro Trans'), (1, 'route_23', 'KBS'), (2, 'route_33', 'Citi Hoppa'),
          (3, 'route_46', 'Forward Travellers'), (4, 'route_58', 'Double M')
 ),
+sacco_keys(idx, saccoId, saccoName) AS (
+  VALUES (0, 'sacco_01', 'Citi Hoppa'), (1, 'sacco_02', 'KBS'), (2, 'sacco_03', 'Double M'),
+         (3, 'sacco_04', 'Metro Trans'), (4, 'sacco_05', 'Forward Travellers')
+),
 succ AS (
   SELECT f.*, k.saccoId, k.saccoName
   FROM fares f JOIN revenue_keys k
@@ -226,6 +230,17 @@ ORACLE_SQL: dict[str, str] = {
            FROM (SELECT *, (epoch_us("timestamp") // 3600000000) * 3600000000 AS start_us FROM succ)
            GROUP BY saccoId, saccoName, start_us"""
     ),
+    "sacco_revenue_by_sacco_id": _q(
+        """SELECT k.saccoId, k.saccoName, CAST(sum(f.amountKes) AS DECIMAL(18, 2)) AS totalRevenueKes,
+                  count(*) AS transactionCount,
+                  make_timestamp((epoch_us(f."timestamp") // 3600000000) * 3600000000) AS windowStart,
+                  make_timestamp((epoch_us(f."timestamp") // 3600000000) * 3600000000 + 3600000000) AS windowEnd
+           FROM fares f JOIN sacco_keys k
+             ON k.idx = list_reduce(list_transform(string_split(f.matatuId, ''), lambda c: CAST(ascii(c) AS BIGINT)),
+                                    lambda h, x: (h * 31 + x) & 2147483647, CAST(0 AS BIGINT)) % 5
+           WHERE f.status = 'SUCCESS'
+           GROUP BY k.saccoId, k.saccoName, (epoch_us(f."timestamp") // 3600000000)"""
+    ),
     "sacco_revenue_messages": _q(
         """SELECT saccoId, make_timestamp(start_us) AS windowStart,
                   format('[REVENUE] 💰 SACCO: {} | Window: {} → {} | Total: KES {} | Transactions: {}',
