@@ -452,3 +452,14 @@ def test_revenue_stream_sacco_key_mode(spark, scratch, run_id):
              "sacco_04": "Metro Trans", "sacco_05": "Forward Travellers"}
     assert rows[0].saccoName == names[rows[0].saccoId]
     assert (rows[0].totalRevenueKes, rows[0].transactionCount) == (Decimal("110.00"), 2)
+
+
+@pytest.mark.parametrize("closer, emitted", [(at(64, ms=59_999), False), (at(65), True)])
+def test_revenue_stream_window_closes_at_end_plus_grace(spark, scratch, run_id, closer, emitted):
+    folder = os.path.join(scratch, run_id, "fares")
+    later = _fare_frame([("1.00", closer)]).assign(transactionId="TXN-9", eventId=9)
+    write_batches(folder, [_fare_frame([("10.00", at(10))]), later])
+    name = f"close_{run_id}_{int(emitted)}"
+    _run(jobs.start_revenue(sources.fare_file_stream(spark, folder), name, fmt="memory"))
+    starts = [r.windowStart for r in spark.table(name).collect()]
+    assert (dt.datetime(2024, 1, 1, 9, 0) in starts) == emitted
