@@ -33,11 +33,19 @@ def json_file_stream(
     spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = 1
 ) -> DataFrame:
     """Records from JSON-lines files appearing under ``path`` (each file is
-    read once; existing files are read first, as with an earliest start)."""
-    reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE")
+    read once; existing files are read first, as with an earliest start).
+    Adds ``_malformed`` (the line did not parse as a record)."""
+    corrupt = "_corrupt_record"
+    with_corrupt = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    reader = (
+        spark.readStream.schema(with_corrupt)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", corrupt)
+    )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.json(path)
+    # a line that is not a record is kept, flagged, and quarantined downstream
+    return reader.json(path).withColumn("_malformed", F.col(corrupt).isNotNull()).drop(corrupt)
 
 
 def location_file_stream(spark: SparkSession, path: str, **kw) -> DataFrame:
