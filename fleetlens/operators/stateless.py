@@ -14,8 +14,9 @@ from fleetlens.operators import taps
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources.dimension import UNKNOWN_SACCO
 
-# Broadcast a lookup side only when its row count is known and at most this.
-BROADCAST_ROW_LIMIT = 1_000_000
+# Broadcast a lookup side only when its row count is known and at most this
+# (~10 MB at the width of a dimension row).
+BROADCAST_ROW_LIMIT = 100_000
 
 
 def speed_alerts(locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
