@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from fleetlens.session import estimated_bytes
 
-# Broadcast the per-key table only up to this many keys (a few tens of MB).
-MAX_BROADCAST_KEYS = 2_000_000
+# Broadcast the per-key table only up to this many keys (~30 MB of key and value).
+MAX_BROADCAST_KEYS = 1_000_000
 # Below this input size the per-row form is cheaper than the extra count job.
 MIN_INPUT_BYTES = 1 << 30
 
