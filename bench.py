@@ -35,29 +35,33 @@ def main() -> None:
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     warmup = int(os.environ.get("BENCH_WARMUP", "1"))
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for name in names:
-        for _ in range(warmup):
-            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        runs = []
-        for _ in range(repeat):
-            t0 = time.perf_counter()  # plan construction included (some cut lineage eagerly)
-            df = QUERIES[name](spark, sf_dir)
-            df.write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(runs), 3)
+        try:
+            for _ in range(warmup):
+                QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            runs = []
+            for _ in range(repeat):
+                t0 = time.perf_counter()  # plan construction included (some cut lineage eagerly)
+                df = QUERIES[name](spark, sf_dir)
+                df.write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(runs), 3)
+        except Exception as exc:  # noqa: BLE001 - report and keep measuring the rest
+            times[name] = None
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
     spark.stop()
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
-    print(
-        json.dumps(
-            {
-                "metric": "total_query_seconds",
-                "value": round(sum(times.values()), 3),
-                "unit": "sec",
-                "queries": times,
-                "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
-            }
-        )
-    )
+    result = {
+        "metric": "total_query_seconds",
+        "value": round(sum(t for t in times.values() if t is not None), 3),
+        "unit": "sec",
+        "queries": times,
+        "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
+    }
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
 
 
 if __name__ == "__main__":
