@@ -34,6 +34,8 @@ def main(argv: list[str] | None = None) -> None:
         help="shared folder for checkpoints; used only when spark.checkpoint.dir is unset",
     )
     args = ap.parse_args(argv)
+    if not args.kafka and not (args.locations and args.fares):
+        ap.error("give --kafka, or both --locations and --fares")
 
     spark = build_session(
         app_name="fleetlens-streams", profile=args.profile, checkpoint_dir=args.checkpoint_dir
