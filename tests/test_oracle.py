@@ -8,11 +8,11 @@ import __spark_entry__ as ep
 from compare import duck_frame, same
 from conftest import SMALL
 
-NAMES = sorted(ep.queries())
+NAMES = sorted(ep.QUERIES)
 
 
 def test_every_query_has_an_oracle():
-    assert set(ep.queries()) == set(ep.oracle_sql())
+    assert set(NAMES) <= set(ep.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
