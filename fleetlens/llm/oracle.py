@@ -9,11 +9,11 @@ WITH d AS (
   SELECT rid, doc_id, text,
          regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
          list_filter(string_split(text, chr(10)),
-                     x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+                     lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
   FROM d
 ), m AS (
   SELECT rid, doc_id, len(words) AS n_words,
-         coalesce(list_sum(list_transform(words, x -> length(x))), 0) AS word_chars,
+         coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS word_chars,
          length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
          len(lines) AS n_lines,
          len(lines) - len(list_distinct(lines)) AS n_dup_lines

@@ -6,18 +6,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import quality
-from .common import table
+from . import langid, quality
+from .common import fold, table
 from .oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 
+def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 3) == 1
+    return langid.identify(table(spark, sf, "documents"), held_out)
+
+
 def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_digest(table(spark, sf, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
 }
