@@ -8,13 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, quality
+from . import langid, quality, simhash
 from .common import fold, table
 from .oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 
+def op2_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
     held_out = fold(F.col("doc_id"), 3) == 1
     return langid.identify(table(spark, sf, "documents"), held_out)
@@ -25,6 +29,7 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
 }
