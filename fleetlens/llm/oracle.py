@@ -47,6 +47,29 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
 FROM b
 """
 
+OP8 = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages
+), g AS (
+  SELECT page_id, octet_length(encode(html)) AS payload_bytes, hex,
+         max(page_id) OVER (PARTITION BY html) AS first
+  FROM p
+), q AS (
+  SELECT *, list_transform(range(8), lambda i: CAST('0x' || substr(hex, CAST(5 * i + 1 AS INT), 5) AS BIGINT)) AS part
+  FROM g
+)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(part, lambda x:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> 15) & 31 AS INT) + 1, 1) ||
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> 10) & 31 AS INT) + 1, 1) ||
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST((x >> 5) & 31 AS INT) + 1, 1) ||
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(x & 31 AS INT) + 1, 1)), '') AS payload_digest,
+       CASE WHEN first IS NULL OR page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM q
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_quality_rules": OP4,
+    "op8_warc": OP8,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, ordermin, quality, simhash
+from . import langid, mixing, ordermin, quality, simhash, warc
 from .common import fold, table
 from .oracle import ORACLE_SQL
 
@@ -32,6 +32,10 @@ def op7_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return ordermin.edited_neighbours(table(spark, sf, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages"))
+
+
 def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf, "documents"))
 
@@ -41,5 +45,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op7_order_minhash": op7_order_minhash,
+    "op8_warc": op8_warc,
     "op9_source_mixing": op9_source_mixing,
 }
