@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, ordermin, quality, simhash, warc
+from . import langid, mixing, ordermin, quality, simhash, toxicity, warc
 from .common import fold, table
 from .oracle import ORACLE_SQL
 
@@ -28,6 +28,11 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_digest(table(spark, sf, "documents"))
 
 
+def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = fold(F.col("doc_id"), 4) == 2
+    return toxicity.detect(table(spark, sf, "documents"), table(spark, sf, "labels"), held_out)
+
+
 def op7_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return ordermin.edited_neighbours(table(spark, sf, "documents"))
 
@@ -44,6 +49,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
+    "op5_toxicity": op5_toxicity,
     "op7_order_minhash": op7_order_minhash,
     "op8_warc": op8_warc,
     "op9_source_mixing": op9_source_mixing,
