@@ -8,13 +8,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, ordermin, quality, simhash, toxicity, warc
+from . import langid, mixing, ordermin, quality, simhash, spm, toxicity, warc
 from .common import fold, table
 from .oracle import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 
+def op1_sentencepiece(spark: SparkSession, sf: str) -> DataFrame:
+    return spm.encode_documents(table(spark, sf, "documents"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
@@ -46,6 +50,7 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
