@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, ordermin, quality, simhash, spm, toxicity, warc
+from . import langid, lmscore, mixing, ordermin, quality, simhash, spm, toxicity, warc
 from .common import fold, table
 from .oracle import ORACLE_SQL
 
@@ -49,6 +49,10 @@ def op9_source_mixing(spark: SparkSession, sf: str) -> DataFrame:
     return mixing.taken_words(table(spark, sf, "documents"))
 
 
+def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return lmscore.cross_entropy_difference(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -58,4 +62,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_order_minhash": op7_order_minhash,
     "op8_warc": op8_warc,
     "op9_source_mixing": op9_source_mixing,
+    "op10_lm_scoring": op10_lm_scoring,
 }
