@@ -27,6 +27,7 @@ result. Sources are a dimension: one row for each reaches the driver.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -35,7 +36,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, pick, written
+from .common import WORD, n_words, pick, written
+
+WORD_RE = re.compile(WORD)
 
 
 @dataclass(frozen=True)
@@ -185,7 +188,7 @@ def positioned(sized: DataFrame, pl: Plan) -> DataFrame:
     rows = sized.withColumn("src", src).withColumn(
         "r1", F.coalesce(F.shiftright("doc_id", 12), F.lit(-(1 << 62)))
     ).withColumn("r2", F.shiftright("r1", 12))
-    order = [F.col("doc_id").asc_nulls_first(), "size", "tie"]
+    order = [F.col("doc_id").asc_nulls_first(), "size", "dk", "nth"]
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
     own = F.coalesce(F.sum("size").over(before(Window.partitionBy("src", "r2", "r1").orderBy(*order))), zero)
@@ -252,22 +255,30 @@ def overlaps(rows: DataFrame, p: Params) -> DataFrame:
     )
     lo = F.greatest(F.col("block") * p.block, F.col("start")) - F.col("start")
     hi = F.least((F.col("block") + 1) * p.block, F.col("start") + F.col("size")) - F.col("start")
-    return touched.select("key", "src", "block", lo.alias("from"), hi.alias("to"))
+    return touched.select("dk", "nth", "src", "block", lo.alias("from"), hi.alias("to"))
+
+
+def _row_keys(df: DataFrame) -> DataFrame:
+    """Adds ``_dk``, a hash of id and text, and ``_nth``, a number among rows
+    that agree in both: together they tell rows apart."""
+    dk = F.xxhash64(F.lit(1), df["doc_id"], df["text"])
+    nth = F.row_number().over(Window.partitionBy("_dk").orderBy(df["source"].asc_nulls_first()))
+    return df.withColumn("_dk", dk).withColumn("_nth", nth)
 
 
-def _keyed(df: DataFrame) -> DataFrame:
-    """(key, doc_id, source, size, tie); ``key`` tells rows apart: the id with
-    a hash of the text, and a number among rows that agree in both."""
+def _sized(df: DataFrame) -> DataFrame:
     docs = pick(df, doc_id="doc_id", text="text", source="source")
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("tie"))
-    copies = F.row_number().over(Window.partitionBy("doc_id", "tie").orderBy(F.col("source").asc_nulls_first()))
-    return sized.withColumn("key", F.struct("doc_id", "tie", copies.alias("nth")))
+    thin = docs.select(
+        "doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64(F.lit(1), "doc_id", "text").alias("dk")
+    )
+    nth = F.row_number().over(Window.partitionBy("dk").orderBy(F.col("source").asc_nulls_first()))
+    return thin.withColumn("nth", nth)
 
 
 def mixed(df: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame, Plan]:
-    """(documents with size, src and key; per-document taken pieces (key,
-    pass, from, to); the plan)."""
-    sized = written(_keyed(df), "sized")
+    """(documents with dk, nth, size and src; taken pieces (dk, nth, pass,
+    from, to); the plan)."""
+    sized = written(_sized(df), "sized")
     pl = plan(sized, p)
     rows = written(positioned(sized, pl), "positioned")
     use = draws(df.sparkSession, pl, p)
@@ -278,9 +289,9 @@ def mixed(df: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame, Pl
 def taken_words(df: DataFrame, p: Params = Params()) -> DataFrame:
     """The contract's columns: one row per row of ``df``."""
     rows, pieces, pl = mixed(df, p)
-    sums = pieces.groupBy("key").agg(F.sum(F.col("to") - F.col("from")).alias("taken"))
+    sums = pieces.groupBy("dk", "nth").agg(F.sum(F.col("to") - F.col("from")).alias("taken"))
     zero = F.lit(0).cast("long")
-    out = rows.join(sums, "key", "left")
+    out = rows.join(sums, ["dk", "nth"], "left")
     if not pl.names:
         return out.select("doc_id", "size", zero.alias("source_size"), F.lit(0.0).alias("target"), zero.alias("taken"))
     return out.select(
@@ -290,3 +301,43 @@ def taken_words(df: DataFrame, p: Params = Params()) -> DataFrame:
         _by_source(pl, [float(t) for t in pl.targets]).alias("target"),
         F.coalesce("taken", zero).alias("taken"),
     )
+
+
+def mixed_documents(df: DataFrame, p: Params = Params()) -> DataFrame:
+    """The mix as rows of ``df``'s columns: for every pass over a source, each
+    document cut to the words that its taken blocks hold (white space between
+    them kept, a whole document verbatim); ``n_chars``, where there is one,
+    follows. A document no block of which was taken does not appear."""
+    _, pieces, _ = mixed(df, p)
+    spans = pieces.groupBy("dk", "nth", "pass").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("_spans"))
+    spans = spans.withColumnsRenamed({"dk": "_dk", "nth": "_nth", "pass": "_pass"})
+    names = df.columns
+    joined = _row_keys(df).join(spans, ["_dk", "_nth"]).select(*names, "_spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [
+                cut_words(t, [(s["from"], s["to"]) for s in spans])
+                for t, spans in zip(b.column("text").to_pylist(), b.column("_spans").to_pylist())
+            ]
+            cols = {c: b.column(c) for c in names}
+            cols["text"] = pa.array(texts, pa.string())
+            if "n_chars" in cols:
+                cols["n_chars"] = pa.array([len(t) for t in texts], pa.int64()).cast(cols["n_chars"].type)
+            yield pa.RecordBatch.from_arrays(list(cols.values()), names=names)
+
+    return joined.mapInArrow(run, df.schema)
+
+
+def cut_words(text: str, spans: list[tuple[int, int]]) -> str:
+    """The words [from, to) of the sorted spans; touching spans are one."""
+    merged: list[list[int]] = []
+    for a, b in spans:
+        if merged and merged[-1][1] == a:
+            merged[-1][1] = b
+        else:
+            merged.append([a, b])
+    at = [m.span() for m in WORD_RE.finditer(text)]
+    if merged == [[0, len(at)]]:
+        return text
+    return "\n".join(text[at[a][0] : at[b - 1][1]] for a, b in merged)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, lmscore, mixing, ordermin, quality, simhash, spm, toxicity, warc
+from . import langid, lmscore, mixing, ordermin, passages, quality, simhash, spm, toxicity, warc
 from .common import fold, table
 from .oracle import ORACLE_SQL
 
@@ -37,6 +37,10 @@ def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.detect(table(spark, sf, "documents"), table(spark, sf, "labels"), held_out)
 
 
+def op6_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return passages.passage_rows(table(spark, sf, "documents"))
+
+
 def op7_order_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return ordermin.edited_neighbours(table(spark, sf, "documents"))
 
@@ -59,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_language_id": op3_language_id,
     "op4_quality_rules": op4_quality_rules,
     "op5_toxicity": op5_toxicity,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_order_minhash": op7_order_minhash,
     "op8_warc": op8_warc,
     "op9_source_mixing": op9_source_mixing,
