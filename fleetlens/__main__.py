@@ -10,6 +10,7 @@ Each flow is its own query with its own checkpoint under the session's
 from __future__ import annotations
 
 import argparse
+import sys
 
 from fleetlens.session import build_session
 from fleetlens.settings import JobSettings
@@ -33,26 +34,45 @@ def main(argv: list[str] | None = None) -> None:
         "--checkpoint-dir",
         help="shared folder for checkpoints; used only when spark.checkpoint.dir is unset",
     )
+    ap.add_argument("--max-files-per-trigger", type=int, default=100, help="file input: files a micro-batch")
+    ap.add_argument("--max-offsets-per-trigger", type=int, help="Kafka input: records a micro-batch (required)")
+    ap.add_argument("--state-partitions", type=int, default=64,
+                    help="state stores of each stateful step; fixed by its first checkpoint")
     args = ap.parse_args(argv)
+    if args.kafka and not args.max_offsets_per_trigger:
+        ap.error("--kafka needs --max-offsets-per-trigger: it bounds the rows a stateful step gathers")
     if not args.kafka and not (args.locations and args.fares):
         ap.error("give --kafka, or both --locations and --fares")
 
     spark = build_session(
-        app_name="fleetlens-streams", profile=args.profile, checkpoint_dir=args.checkpoint_dir
+        app_name="fleetlens-streams",
+        profile=args.profile,
+        checkpoint_dir=args.checkpoint_dir,
+        shuffle_partitions=args.state_partitions,
     )
     settings = JobSettings(speed_threshold_kmh=args.speed_threshold, revenue_key_mode=args.key_mode)
     if args.kafka:
         from fleetlens.schemas import FARE_EVENT, LOCATION_EVENT
 
-        locs = sources.kafka_stream(spark, args.kafka, args.location_topic, LOCATION_EVENT)
-        fares = sources.kafka_stream(spark, args.kafka, args.fare_topic, FARE_EVENT)
+        locs = sources.kafka_stream(spark, args.kafka, args.location_topic, LOCATION_EVENT, args.max_offsets_per_trigger)
+        fares = sources.kafka_stream(spark, args.kafka, args.fare_topic, FARE_EVENT, args.max_offsets_per_trigger)
     else:
-        locs = sources.location_file_stream(spark, args.locations)
-        fares = sources.fare_file_stream(spark, args.fares)
+        locs = sources.location_file_stream(
+            spark, args.locations, max_files_per_trigger=args.max_files_per_trigger
+        )
+        fares = sources.fare_file_stream(
+            spark, args.fares, max_files_per_trigger=args.max_files_per_trigger
+        )
     trigger = {"availableNow": True} if args.once else {"processingTime": "1 second"}
     queries = jobs.start_all(
-        locs, fares, args.out, settings, trigger=trigger, name_prefix=args.name_prefix
+        locs, fares, args.out, settings, trigger=trigger, name_prefix=args.name_prefix, kafka_bootstrap=args.kafka
     )
+    if args.once:
+        print(
+            "fleetlens: off-grid alerts need running ticks and are left out with --once; "
+            "their batch form is operators.offgrid.tick_alerts",
+            file=sys.stderr,
+        )
     for q in queries.values():
         q.awaitTermination()
 

@@ -60,8 +60,8 @@ def epoch_micros(df: DataFrame, name: str) -> Column:
 
 def floor_div(a: Column, b: int) -> Column:
     """Exact integer floor division of a bigint column by a positive int
-    (no floating point, correct for negative values)."""
-    return ((a - F.pmod(a, F.lit(b))) / F.lit(b)).cast("bigint")
+    (``div`` on integers, no floating point; correct for negative values)."""
+    return F.call_function("div", a - F.pmod(a, F.lit(b)), F.lit(b).cast("bigint"))
 
 
 def ceil_div(a: Column, b: int) -> Column:

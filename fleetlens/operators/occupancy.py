@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import clamp_at_zero
 from fleetlens.operators import scan
-from fleetlens.session import CUT_LINEAGE_MIN_BYTES, cut_lineage
+from fleetlens.session import cut_lineage
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 
 ORDER = ["timestamp", "eventId"]
@@ -32,19 +32,15 @@ def _order_key() -> Column:
 
 
 def passenger_deltas(locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
-    keys = ["matatuId"]
-    rows = scan.with_chunk(locations, "timestamp", settings.scan_chunk_seconds)
-    rows = rows.withColumn("_prev", F.lag("passengersOnboard").over(scan.in_chunk(keys, ORDER)))
-    summary = scan.chunk_summary(
-        rows, keys, [F.max_by("passengersOnboard", _order_key()).alias("_last")]
-    )
-    carry = summary.select(
-        *keys, scan.CHUNK, F.lag("_last").over(scan.over_chunks(keys)).alias("_carry")
-    )
-    prev = F.coalesce(F.col("_prev"), F.col("_carry"), F.lit(0))
+    cols = ["matatuId", "routeId", "routeName", "passengersOnboard", "timestamp", "eventId"]
+    rows = scan.with_chunk(locations.select(*cols), "matatuId", "timestamp", settings.vehicle_chunk_seconds)
+    last = scan.chunk_edges(rows, ORDER, "last")
+    carry = last.select(scan.KEY, scan.CHUNK, F.lag("_rec").over(scan.over_chunks()).alias("_carry"))
+    rows = rows.withColumn("_prev", F.lag("passengersOnboard").over(scan.in_chunk(ORDER)))
+    prev = F.coalesce(F.col("_prev"), F.col("_carry.passengersOnboard"), F.lit(0))
     delta = (F.col("passengersOnboard") - prev).cast("int")
     return (
-        scan.join_carry(rows, carry, keys)
+        scan.join_carry(rows, carry)
         .withColumn("passengerDelta", delta)
         .select(
             "matatuId",
@@ -77,33 +73,38 @@ def vehicle_snapshots(locations: DataFrame) -> DataFrame:
 
 
 def _route_chunks(deltas: DataFrame, settings: JobSettings) -> tuple[DataFrame, DataFrame]:
-    """(rows with in-chunk running columns, per-chunk summary with carries)."""
-    keys = ["routeId"]
-    rows = scan.with_chunk(deltas, "timestamp", settings.scan_chunk_seconds)
-    w = scan.upto(scan.in_chunk(keys, ORDER))
+    """(rows with in-chunk running columns, per-chunk totals with carries)."""
+    cols = ["routeId", "routeName", "passengerDelta", "boardings", "alightings", "matatuId", "timestamp", "eventId"]
+    rows = scan.with_chunk(deltas.select(*cols), "routeId", "timestamp", settings.scan_chunk_seconds)
+    w = scan.upto(scan.in_chunk(ORDER))
     rows = (
         rows.withColumn("_run_sum", F.sum("passengerDelta").over(w))
         .withColumn("_run_board", F.sum("boardings").over(w))
         .withColumn("_run_alight", F.sum("alightings").over(w))
         .withColumn("_run_min", F.min("_run_sum").over(w))
     )
-    summary = scan.chunk_summary(
-        rows,
-        keys,
-        [
-            F.sum("passengerDelta").alias("_tot"),
-            F.min("_run_sum").alias("_cmin"),
-            F.sum("boardings").alias("_tb"),
-            F.sum("alightings").alias("_ta"),
-            F.max_by("routeName", _order_key()).alias("_name"),
-            F.max(_order_key()).alias("_lastKey"),
-        ],
+    # running values of a chunk's last row are the chunk's totals
+    rec = lambda c, alias: F.col(f"_rec.{c}").alias(alias)
+    summary = scan.chunk_edges(rows, ORDER, "last").select(
+        scan.KEY,
+        rec("routeId", "routeId"),
+        scan.CHUNK,
+        rec("_run_sum", "_tot"),
+        rec("_run_min", "_cmin"),
+        rec("_run_board", "_tb"),
+        rec("_run_alight", "_ta"),
+        rec("routeName", "_name"),
+        F.struct("_rec.timestamp", "_rec.eventId").alias("_lastKey"),
+        "_rec",
     )
-    prior = scan.before(scan.over_chunks(keys))
+    prior = scan.before(scan.over_chunks())
+    # "has an earlier chunk" asks for the whole earlier row: see scan.chunk_edges
+    summary = summary.withColumn("_first", F.lag("_rec").over(scan.over_chunks()).isNull()).drop("_rec")
+    since = lambda c: F.when(F.col("_first"), F.lit(0)).otherwise(F.sum(c).over(prior))
     summary = (
-        summary.withColumn("_prior_sum", F.coalesce(F.sum("_tot").over(prior), F.lit(0)))
-        .withColumn("_prior_board", F.coalesce(F.sum("_tb").over(prior), F.lit(0)))
-        .withColumn("_prior_alight", F.coalesce(F.sum("_ta").over(prior), F.lit(0)))
+        summary.withColumn("_prior_sum", since("_tot"))
+        .withColumn("_prior_board", since("_tb"))
+        .withColumn("_prior_alight", since("_ta"))
         .withColumn("_low", F.col("_prior_sum") + F.col("_cmin"))
         .withColumn("_prior_min", F.least(F.lit(0), F.coalesce(F.min("_low").over(prior), F.lit(0))))
     )
@@ -113,23 +114,20 @@ def _route_chunks(deltas: DataFrame, settings: JobSettings) -> tuple[DataFrame,
 def occupancy_changelog(
     deltas: DataFrame,
     settings: JobSettings = DEFAULT_SETTINGS,
-    materialize: bool = True,
-    materialize_min_bytes: int = CUT_LINEAGE_MIN_BYTES,
+    materialize: bool = False,
 ) -> DataFrame:
     """Route occupancy after every delta, in (timestamp, eventId) order.
 
-    The deltas feed both the per-row scan and the chunk summary; with
-    ``materialize`` they are written once as a table in the shared checkpoint
-    folder instead of being recomputed (two shuffles) for each branch -
-    when their estimated size is at least ``materialize_min_bytes``.
+    With ``materialize`` the deltas are first written as a table in the shared
+    checkpoint folder, so a lost executor replays from there; that starts a
+    job, so it is the caller's choice and needs ``spark.checkpoint.dir``.
     """
-    keys = ["routeId"]
     if materialize:
-        deltas = cut_lineage(deltas, "passenger_deltas", min_bytes=materialize_min_bytes)
+        deltas = cut_lineage(deltas, "passenger_deltas")
     rows, summary = _route_chunks(deltas, settings)
-    carry = summary.select(*keys, scan.CHUNK, "_prior_sum", "_prior_board", "_prior_alight", "_prior_min")
+    carry = summary.select(scan.KEY, scan.CHUNK, "_prior_sum", "_prior_board", "_prior_alight", "_prior_min")
     current = F.col("_prior_sum") + F.col("_run_sum") - F.least(F.col("_prior_min"), F.col("_prior_sum") + F.col("_run_min"))
-    return scan.join_carry(rows, carry, keys).select(
+    return scan.join_carry(rows, carry).select(
         "routeId",
         "routeName",
         current.cast("int").alias("currentPassengers"),
@@ -146,8 +144,9 @@ def route_occupancy(deltas: DataFrame, settings: JobSettings = DEFAULT_SETTINGS)
     """Final occupancy per route, from the per-chunk summary alone."""
     _, summary = _route_chunks(deltas, settings)
     return (
-        summary.groupBy("routeId")
+        summary.groupBy(scan.KEY)
         .agg(
+            F.max("routeId").alias("routeId"),
             F.sum("_tot").alias("_grand_sum"),
             F.min("_low").alias("_minlow"),
             F.sum("_tb").alias("totalBoardings"),

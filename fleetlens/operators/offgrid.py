@@ -103,15 +103,13 @@ def offgrid_as_of(
 
 def _gaps(locations: DataFrame, settings: JobSettings) -> DataFrame:
     """Every ping with the time of the vehicle's next ping (null if last)."""
-    keys = ["matatuId"]
-    rows = scan.with_chunk(locations, "timestamp", settings.scan_chunk_seconds)
-    rows = rows.withColumn("_next", F.lead("timestamp").over(scan.in_chunk(keys, ORDER)))
-    summary = scan.chunk_summary(rows, keys, [F.min("timestamp").alias("_first")])
-    carry = summary.select(
-        *keys, scan.CHUNK, F.lead("_first").over(scan.over_chunks(keys)).alias("_carry")
-    )
-    return scan.join_carry(rows, carry, keys).withColumn(
-        "nextSeenAt", F.coalesce("_next", "_carry")
+    cols = ["matatuId", "routeId", "routeName", "latitude", "longitude", "timestamp", "eventId"]
+    rows = scan.with_chunk(locations.select(*cols), "matatuId", "timestamp", settings.vehicle_chunk_seconds)
+    first = scan.chunk_edges(rows, ORDER, "first")
+    carry = first.select(scan.KEY, scan.CHUNK, F.lead("_rec").over(scan.over_chunks()).alias("_carry"))
+    rows = rows.withColumn("_next", F.lead("timestamp").over(scan.in_chunk(ORDER)))
+    return scan.join_carry(rows, carry).withColumn(
+        "nextSeenAt", F.coalesce("_next", "_carry.timestamp")
     )
 
 
@@ -189,10 +187,3 @@ def tick_alerts(
         from_epoch_micros(F.col("_k") * F.lit(step * 1000), ntz).alias("alertRaisedAt"),
     )
 
-
-
-def alert_messages(alerts: DataFrame) -> DataFrame:
-    """Log line per alert, silence in whole minutes."""
-    from fleetlens.operators.taps import offgrid_messages
-
-    return offgrid_messages(alerts)

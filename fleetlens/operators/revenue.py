@@ -1,10 +1,9 @@
 """Operator (sacco) revenue: tumbling event-time windows, grace, lateness.
 
 * :func:`assign_operator` - the operator a fare's vehicle hashes to.
-* :func:`windowed_revenue` - sum/count per (operator, window): fares are
-  summed per (vehicle, window) first, the operator hash runs once per such
-  group, then a small per-operator aggregate; both levels combine map-side,
-  so a hot operator or vehicle costs nothing extra.
+* :func:`windowed_revenue` - sum/count per (operator, window): one partial +
+  final aggregate, so a hot operator or vehicle costs nothing extra and only
+  operator-window sums are shuffled.
 * :func:`late_fare_audit` - which fares a running stream would drop because
   their window had closed (window end + grace <= stream time) when they
   arrived. Stream time is the running maximum event time per operator in
@@ -15,7 +14,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import (
@@ -26,7 +25,6 @@ from fleetlens.functions.scalar import (
     to_kes,
 )
 from fleetlens.operators import scan
-from fleetlens.operators.keyed import derive_per_key
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources.dimension import SACCO_ROWS
 
@@ -73,21 +71,15 @@ def windowed_revenue(
 ) -> DataFrame:
     """Sum and count of successful fares per (operator, tumbling window).
 
-    Two-level: fares are first summed per (vehicle, window) in a codegen'd
-    hash aggregate; the operator hash (a higher-order expression, evaluated
-    outside whole-stage codegen) then runs once per vehicle-window group
-    instead of once per fare, and the per-operator aggregate is tiny.
+    The operator is hashed per fare, and each task sends one row per
+    (operator, window): far fewer than per (vehicle, window), most of which
+    hold a single fare.
     """
     win = F.window(time_col, f"{settings.revenue_window_minutes} minutes")
-    per_vehicle = (
-        successful(fares)
-        .groupBy("matatuId", win.alias("w"))
-        .agg(F.sum("amountKes").alias("_amount"), F.count(F.lit(1)).alias("_n"))
-    )
     agg = (
-        assign_operator(per_vehicle, settings)
-        .groupBy("saccoId", "w")
-        .agg(F.sum("_amount").alias("_total"), F.sum("_n").alias("transactionCount"))
+        assign_operator(successful(fares), settings)
+        .groupBy("saccoId", win.alias("w"))
+        .agg(F.sum("amountKes").alias("_total"), F.count(F.lit(1)).alias("transactionCount"))
     )
     return agg.select(
         "saccoId",
@@ -107,22 +99,7 @@ def late_fare_audit(
 ) -> DataFrame:
     """Every successful fare with its window, the stream time when it arrived,
     and ``isLate`` (window end + grace <= stream time)."""
-    keys = ["saccoId"]
-    order = [arrival_col, "eventId"]
-    with_op = derive_per_key(successful(fares), "matatuId", lambda d: assign_operator(d, settings))
-    rows = scan.with_chunk(with_op, arrival_col, settings.scan_chunk_seconds)
-    ntz = rows.schema[time_col].dataType.typeName() == "timestamp_ntz"
-    rows = rows.withColumn("_t", epoch_micros(rows, time_col))
-    rows = rows.withColumn("_local_max", F.max("_t").over(scan.upto(scan.in_chunk(keys, order))))
-    summary = scan.chunk_summary(rows, keys, [F.max("_t").alias("_chunk_max")])
-    carry = summary.select(
-        *keys, scan.CHUNK, F.max("_chunk_max").over(scan.before(scan.over_chunks(keys))).alias("_carry")
-    )
-    win_us = settings.revenue_window_ms * 1000
-    grace_us = settings.revenue_grace_ms * 1000
-    out = scan.join_carry(rows, carry, keys)
-    stream_us = F.greatest(F.col("_local_max"), F.coalesce("_carry", F.col("_local_max")))
-    start_us = floor_div(F.col("_t"), win_us) * F.lit(win_us)
+    out = _audited(fares, settings, time_col, arrival_col, ["transactionId", "matatuId"])
     return out.select(
         "transactionId",
         "matatuId",
@@ -131,6 +108,38 @@ def late_fare_audit(
         F.col(time_col).alias("timestamp"),
         F.col(arrival_col).alias("arrivalTs"),
         "eventId",
+        "windowStart",
+        "windowEnd",
+        "streamTime",
+        "isLate",
+    )
+
+
+def _audited(
+    fares: DataFrame, settings: JobSettings, time_col: str, arrival_col: str, keep: list[str]
+) -> DataFrame:
+    """The audit's columns for the fares' ``keep`` and its own fields; both
+    scan branches carry exactly these, so they share one exchange."""
+    order = [arrival_col, "eventId"]
+    with_op = assign_operator(successful(fares), settings)
+    ntz = with_op.schema[time_col].dataType.typeName() == "timestamp_ntz"
+    cols = dict.fromkeys([*keep, "saccoId", "amountKes", time_col, arrival_col, "eventId"])
+    with_op = with_op.select(*cols, epoch_micros(with_op, time_col).alias("_t"))
+    rows = scan.with_chunk(with_op, "saccoId", arrival_col, settings.scan_chunk_seconds)
+    rows = rows.withColumn("_local_max", F.max("_t").over(scan.upto(scan.in_chunk(order))))
+    last = scan.chunk_edges(rows, order, "last")
+    carry = last.select(
+        scan.KEY,
+        scan.CHUNK,
+        F.max(F.struct("_rec._local_max", "_rec")).over(scan.before(scan.over_chunks())).alias("_c"),
+    ).select(scan.KEY, scan.CHUNK, F.col("_c._local_max").alias("_carry"))
+    win_us = settings.revenue_window_ms * 1000
+    grace_us = settings.revenue_grace_ms * 1000
+    out = scan.join_carry(rows, carry)
+    stream_us = F.greatest(F.col("_local_max"), F.coalesce("_carry", F.col("_local_max")))
+    start_us = floor_div(F.col("_t"), win_us) * F.lit(win_us)
+    return out.select(
+        *cols,
         from_epoch_micros(start_us, ntz).alias("windowStart"),
         from_epoch_micros(start_us + F.lit(win_us), ntz).alias("windowEnd"),
         from_epoch_micros(stream_us, ntz).alias("streamTime"),
@@ -146,16 +155,22 @@ def emitted_revenue(fares: DataFrame, settings: JobSettings = DEFAULT_SETTINGS)
     """Revenue as the stream emits it: fares that arrived after their window
     closed are dropped, and only closed windows (end + grace <= final stream
     time of the operator) are emitted, once."""
-    audit = late_fare_audit(fares, settings)
-    on_time = audit.filter(~F.col("isLate"))
-    final_time = audit.groupBy("saccoId").agg(F.max("timestamp").alias("_final"))
+    audit = _audited(fares, settings, "timestamp", "arrivalTs", [])
     grace = F.expr(f"INTERVAL {settings.revenue_grace_minutes} MINUTES")
-    agg = on_time.groupBy("saccoId", "windowStart", "windowEnd").agg(
-        F.sum("amountKes").alias("_total"), F.count(F.lit(1)).alias("transactionCount")
+    # one row per operator and window: sums of the fares in time, and the
+    # latest fare of all, which over the operator's windows is its final time
+    agg = audit.groupBy("saccoId", "windowStart", "windowEnd").agg(
+        F.sum(F.when(~F.col("isLate"), F.col("amountKes"))).alias("_total"),
+        F.count_if(~F.col("isLate")).alias("transactionCount"),
+        F.max("timestamp").alias("_latest"),
     )
+    final = F.max("_latest").over(Window.partitionBy("saccoId").orderBy("_chunk").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    ))
     return (
-        agg.join(final_time, "saccoId")
-        .filter(F.col("windowEnd") + grace <= F.col("_final"))
+        agg.withColumn("_chunk", F.col("windowStart"))
+        .withColumn("_final", final)
+        .filter((F.col("windowEnd") + grace <= F.col("_final")) & (F.col("transactionCount") > 0))
         .select(
             "saccoId",
             operator_name(F.col("saccoId"), settings).alias("saccoName"),

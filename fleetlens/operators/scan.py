@@ -5,11 +5,16 @@ task; one vehicle, route or operator holding a third of the data would then
 sit in a single task. Instead rows are split into (key, time chunk) groups:
 
 1. the ordered window runs per (key, chunk) - bounded groups, many tasks;
-2. a per-(key, chunk) summary (one row per non-empty chunk) is scanned per
-   key - its size is keys x chunks, independent of the row count;
+2. the last (or first) row of every chunk, with the running values it holds,
+   is scanned per key - keys x non-empty chunks rows. Choose the chunk width
+   so that a chunk holds many rows of a key (``settings``): a day for a
+   vehicle, a minute for a route or an operator;
 3. the carry of earlier (or later) chunks is joined back on (key, chunk).
    The big side is already hash-partitioned on (key, chunk) by step 1, so only
-   the small summary moves (AQE may broadcast it when it is measured small).
+   the edge rows move (AQE may broadcast them when they are measured small).
+
+Steps 1 and 2 ask for the same columns of the same exchange, so Spark reads
+and shuffles the source once (``ReusedExchange`` in the plan).
 
 The chunk is a monotone function of the order column, so (chunk, order) gives
 the same total order as (order) alone.
@@ -17,24 +22,32 @@ the same total order as (order) alone.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import epoch_micros, floor_div
 
+KEY = "_key"
 CHUNK = "_chunk"
+NO_KEY = "<none>"  # stands for a null key, which a valid record does not have
+NO_TIME = -(1 << 63)  # chunk of rows without a time: before all others
 
 
-def with_chunk(df: DataFrame, time_col: str, chunk_seconds: int) -> DataFrame:
-    return df.withColumn(CHUNK, floor_div(epoch_micros(df, time_col), chunk_seconds * 1_000_000))
+def with_chunk(df: DataFrame, key: str, time_col: str, chunk_seconds: int) -> DataFrame:
+    """Adds the scan's key and chunk. Both are never null: a join on them then
+    adds no null filter below one side, which would spoil the shared exchange."""
+    chunk = floor_div(epoch_micros(df, time_col), chunk_seconds * 1_000_000)
+    return df.withColumn(KEY, F.coalesce(F.col(key), F.lit(NO_KEY))).withColumn(
+        CHUNK, F.coalesce(chunk, F.lit(NO_TIME))
+    )
 
 
-def in_chunk(keys: list[str], order: list[str]) -> Window:
-    return Window.partitionBy(*keys, CHUNK).orderBy(*order)
+def in_chunk(order: list[str]) -> Window:
+    return Window.partitionBy(KEY, CHUNK).orderBy(*order)
 
 
-def over_chunks(keys: list[str]) -> Window:
-    return Window.partitionBy(*keys).orderBy(CHUNK)
+def over_chunks() -> Window:
+    return Window.partitionBy(KEY).orderBy(CHUNK)
 
 
 def before(w: Window) -> Window:
@@ -45,21 +58,22 @@ def upto(w: Window) -> Window:
     return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def chunk_summary(rows: DataFrame, keys: list[str], aggs: list[Column]) -> DataFrame:
-    """One row per non-empty (key, chunk) with the given aggregates.
-
-    ``rows`` should already carry per-chunk window columns; aggregating it
-    reuses that exchange (same partitioning), so the source is read once.
+def chunk_edges(rows: DataFrame, order: list[str], edge: str) -> DataFrame:
+    """(key, chunk, ``_rec``) with the ``last`` or ``first`` row of every
+    non-empty (key, chunk); ``_rec`` is the whole row, running window columns
+    included. Taking the whole row keeps this branch's columns those of the
+    rows themselves, which is what lets Spark reuse their exchange.
     """
-    return rows.groupBy(*keys, CHUNK).agg(*aggs)
+    beside = {"last": F.lead, "first": F.lag}[edge]
+    flagged = rows.withColumn("_edge", beside(F.lit(1)).over(in_chunk(order)).isNull())
+    return flagged.filter("_edge").select(KEY, CHUNK, F.struct(*rows.columns).alias("_rec"))
 
 
-def join_carry(rows: DataFrame, carry: DataFrame, keys: list[str]) -> DataFrame:
+def join_carry(rows: DataFrame, carry: DataFrame) -> DataFrame:
     """Left equi-join of the carry onto the rows on (key, chunk).
 
     Plain equality on the very columns the row windows are partitioned by:
     when the carry is too large to broadcast, the sort-merge join reuses the
     rows' existing (key, chunk) hash partitioning and only the carry moves.
-    (A null key - an invalid record - gets no carry.)
     """
-    return rows.join(carry, on=[*keys, CHUNK], how="left")
+    return rows.join(carry, on=[KEY, CHUNK], how="left")

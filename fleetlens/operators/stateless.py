@@ -14,10 +14,6 @@ from fleetlens.operators import taps
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources.dimension import UNKNOWN_SACCO
 
-# Broadcast a lookup side only when its row count is known and at most this
-# (~10 MB at the width of a dimension row).
-BROADCAST_ROW_LIMIT = 100_000
-
 
 def speed_alerts(locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
     """Pings strictly above the speed threshold (same record shape)."""
@@ -29,16 +25,16 @@ def lookup_join(
     dim: DataFrame,
     key: str,
     defaults: dict[str, str],
-    dim_rows_bound: int | None = None,
+    small_dim: bool = False,
 ) -> DataFrame:
     """Left-outer equi join to a dimension with a default for misses.
 
-    The dimension is broadcast only when its size bound is known and small;
-    otherwise the choice is left to the planner (AQE broadcasts at runtime
-    when the measured size is under the threshold, else shuffles both sides).
+    ``small_dim`` is the caller's proof that the dimension is a handful of
+    rows: it is then hinted for broadcast. Otherwise the planner decides by
+    measured size.
     """
     right = dim.select(key, *[F.col(c).alias(f"_dim_{c}") for c in defaults])
-    if dim_rows_bound is not None and dim_rows_bound <= BROADCAST_ROW_LIMIT:
+    if small_dim:
         right = F.broadcast(right)
     joined = facts.join(right, on=key, how="left")
     for c, default in defaults.items():
@@ -50,7 +46,7 @@ def enrich_locations(
     locations: DataFrame,
     dim: DataFrame,
     settings: JobSettings = DEFAULT_SETTINGS,
-    dim_rows_bound: int | None = None,
+    small_dim: bool = False,
     clock: Column | None = None,
 ) -> DataFrame:
     """Pings joined to their operator; misses get the unknown-operator default.
@@ -64,7 +60,7 @@ def enrich_locations(
         dim,
         "routeId",
         {"saccoId": sacco_id, "saccoName": sacco_name, "terminus": terminus},
-        dim_rows_bound,
+        small_dim,
     )
     extra = [c for c in ("eventId",) if c in locations.columns]
     cols = [
@@ -87,10 +83,10 @@ def enrich_locations(
     return joined.select(*cols)
 
 
-def unknown_routes(locations: DataFrame, dim: DataFrame, dim_rows_bound: int | None = None) -> DataFrame:
+def unknown_routes(locations: DataFrame, dim: DataFrame, small_dim: bool = False) -> DataFrame:
     """Routes that have no dimension row: pings, vehicles, first/last seen."""
     right = dim.select("routeId")
-    if dim_rows_bound is not None and dim_rows_bound <= BROADCAST_ROW_LIMIT:
+    if small_dim:
         right = F.broadcast(right)
     return (
         locations.join(right, "routeId", "left_anti")
@@ -105,7 +101,8 @@ def unknown_routes(locations: DataFrame, dim: DataFrame, dim_rows_bound: int | N
 
 
 def display_board(records: DataFrame) -> DataFrame:
-    """Payload plus source metadata: partition, key, offset, record time."""
+    """Payload plus the record metadata the source has: key, offset, record
+    time, and the partition where records come from a partitioned log."""
     return records.select(
         "matatuId",
         "routeId",
@@ -114,7 +111,7 @@ def display_board(records: DataFrame) -> DataFrame:
         "longitude",
         "speedKmh",
         "passengersOnboard",
-        F.col("partition"),
+        *[c for c in ("partition",) if c in records.columns],
         F.col("key"),
         F.col("offset"),
         F.col("recordTimestamp"),

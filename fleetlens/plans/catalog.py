@@ -10,18 +10,19 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from fleetlens.functions.scalar import java_string_hash
 from fleetlens.operators import occupancy, offgrid, revenue, routing, stateless, taps
-from fleetlens.operators.keyed import derive_per_key
 from fleetlens.settings import DEFAULT_SETTINGS
 from fleetlens.sources import codec
 from fleetlens.sources.codec import FARE_FIELDS, LOCATION_FIELDS
-from fleetlens.sources.dimension import sacco_dim, sacco_dim_rows_bound
-from fleetlens.sources.fixtures import load_fares, load_locations
+from fleetlens.sources.dimension import sacco_dim
+from fleetlens.sources.fixtures import broken_fares, broken_locations, load_fares, load_locations
+from fleetlens.streaming.sinks import keyed_records
 
 S = DEFAULT_SETTINGS
-TOPIC_PARTITIONS = 3  # partitions per source topic (display-board metadata)
+# One check an hour: every vehicle and the whole period, a row per alert.
+HOURLY = S.with_(offgrid_check_interval_ms=3_600_000)
 
 
 def location_source(spark: SparkSession, sf: str) -> DataFrame:
@@ -43,7 +44,7 @@ def speed_alert_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def enriched_locations(spark: SparkSession, sf: str) -> DataFrame:
     return stateless.enrich_locations(
-        load_locations(spark, sf), sacco_dim(spark), S, dim_rows_bound=sacco_dim_rows_bound()
+        load_locations(spark, sf), sacco_dim(spark), S, small_dim=True
     )
 
 
@@ -54,7 +55,7 @@ def enrichment_messages(spark: SparkSession, sf: str) -> DataFrame:
 
 def unknown_routes(spark: SparkSession, sf: str) -> DataFrame:
     return stateless.unknown_routes(
-        load_locations(spark, sf), sacco_dim(spark), dim_rows_bound=sacco_dim_rows_bound()
+        load_locations(spark, sf), sacco_dim(spark), small_dim=True
     )
 
 
@@ -90,11 +91,19 @@ def location_decode(spark: SparkSession, sf: str) -> DataFrame:
     return valid.withColumnRenamed("offset", "eventId").drop("key")
 
 
+def _ingested_locations(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    decoded = codec.decode(broken_locations(spark, sf), codec.with_ntz_timestamps(codec.LOCATION_EVENT))
+    return codec.split_valid(decoded, "location")
+
+
+def location_ingest(spark: SparkSession, sf: str) -> DataFrame:
+    """The valid records of a feed with a fixed share of broken payloads."""
+    valid, _ = _ingested_locations(spark, sf)
+    return valid.withColumnRenamed("offset", "eventId").drop("key")
+
+
 def location_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    decoded = codec.decode(
-        _keyed_locations(spark, sf), codec.with_ntz_timestamps(codec.LOCATION_EVENT)
-    )
-    _, bad = codec.split_valid(decoded, "location")
+    _, bad = _ingested_locations(spark, sf)
     return bad.select(F.col("offset").alias("eventId"), "matatuId", "routeId", "invalidReason")
 
 
@@ -105,7 +114,7 @@ def _keyed_fares(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def fare_quarantine(spark: SparkSession, sf: str) -> DataFrame:
-    decoded = codec.decode(_keyed_fares(spark, sf), codec.with_ntz_timestamps(codec.FARE_EVENT))
+    decoded = codec.decode(broken_fares(spark, sf), codec.with_ntz_timestamps(codec.FARE_EVENT))
     _, bad = codec.split_valid(decoded, "fare")
     return bad.select(F.col("offset").alias("eventId"), "transactionId", "invalidReason")
 
@@ -117,10 +126,7 @@ def fare_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def display_board(spark: SparkSession, sf: str) -> DataFrame:
-    locs = load_locations(spark, sf)
-    partition = (java_string_hash("routeId") % F.lit(TOPIC_PARTITIONS)).cast("int")
-    with_partition = derive_per_key(locs, "routeId", lambda d: d.withColumn("partition", partition))
-    records = with_partition.select(
+    records = load_locations(spark, sf).select(
         "*",
         F.col("routeId").alias("key"),
         F.col("eventId").alias("offset"),
@@ -200,6 +206,42 @@ def offgrid_gaps(spark: SparkSession, sf: str) -> DataFrame:
     return offgrid.silence_gaps(load_locations(spark, sf), None, S)
 
 
+def offgrid_tick_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """The alert rows of every hourly check over the whole period."""
+    return offgrid.tick_alerts(load_locations(spark, sf), None, HOURLY)
+
+
+def offgrid_messages(spark: SparkSession, sf: str) -> DataFrame:
+    lines = taps.offgrid_messages(offgrid_tick_alerts(spark, sf))
+    return lines.select("matatuId", "alertRaisedAt", "message")
+
+
+def delta_messages(spark: SparkSession, sf: str) -> DataFrame:
+    return taps.delta_messages(passenger_deltas(spark, sf)).select("matatuId", "eventId", "message")
+
+
+def location_log_messages(spark: SparkSession, sf: str) -> DataFrame:
+    return taps.location_log_messages(load_locations(spark, sf)).select("matatuId", "eventId", "message")
+
+
+def _opened(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Published records with their field names and the payload parsed back."""
+    return records.select(
+        "key",
+        F.array_join(F.json_object_keys("value"), ",").alias("fields"),
+        F.inline(F.array(F.from_json("value", codec.with_ntz_timestamps(schema), {"timestampNTZFormat": codec.ISO_LOCAL}))),
+    )
+
+
+def speed_alert_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Speed alerts as published: keyed by route, only the record's fields."""
+    return _opened(keyed_records(speed_alerts(spark, sf), "routeId", LOCATION_FIELDS), codec.LOCATION_EVENT)
+
+
+def failed_fare_records(spark: SparkSession, sf: str) -> DataFrame:
+    return _opened(keyed_records(failed_fares(spark, sf), "matatuId", FARE_FIELDS), codec.FARE_EVENT)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "location_source": location_source,
     "fare_source": fare_source,
@@ -233,6 +275,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_seen": last_seen,
     "offgrid_as_of": offgrid_as_of,
     "offgrid_gaps": offgrid_gaps,
+    "offgrid_tick_alerts": offgrid_tick_alerts,
+    "offgrid_messages": offgrid_messages,
+    "delta_messages": delta_messages,
+    "location_log_messages": location_log_messages,
+    "location_ingest": location_ingest,
+    "speed_alert_records": speed_alert_records,
+    "failed_fare_records": failed_fare_records,
 }
 
 FLAGSHIP = "sacco_revenue"

@@ -118,6 +118,19 @@ fold AS (
 )
 """
 
+# Alert rows of hourly checks: the first tick over five minutes of silence, and
+# on to the next ping (or the last ping of all).
+_HOURLY_ALERTS = """
+SELECT matatuId, routeId, routeName, latitude AS lastKnownLatitude,
+       longitude AS lastKnownLongitude, k * 3600000 - last_ms AS silenceDurationMs,
+       "timestamp" AS lastSeenAt, make_timestamp(k * 3600000000) AS alertRaisedAt
+FROM (SELECT *, unnest(generate_series(h1, h2)) AS k
+      FROM (SELECT *, (last_ms + 300001 + 3599999) // 3600000 AS h1,
+                   CASE WHEN nextSeenAt IS NOT NULL THEN (epoch_us(nextSeenAt) - 1) // 3600000000
+                        ELSE epoch_us((SELECT max("timestamp") FROM locations)) // 3600000000 END AS h2
+            FROM gaps)
+      WHERE h2 >= h1)"""
+
 ORACLE_SQL: dict[str, str] = {
     "location_source": _q(f"SELECT {_LOC_COLS} FROM locations"),
     "fare_source": _q(f"SELECT {_FARE_COLS}, arrivalTs FROM fares"),
@@ -179,28 +192,32 @@ ORACLE_SQL: dict[str, str] = {
            FROM fares GROUP BY 1"""
     ),
     "location_decode": _q(f"SELECT {_LOC_COLS} FROM locations"),
+    "location_ingest": _q(
+        """SELECT matatuId, routeId, routeName, latitude, longitude, speedKmh,
+                  CASE WHEN eventId % 50 = 5 THEN 0 ELSE passengersOnboard END AS passengersOnboard,
+                  "timestamp", eventId
+           FROM locations WHERE eventId % 50 NOT IN (1, 2, 3, 4)"""
+    ),
     "location_quarantine": _q(
-        """SELECT eventId, matatuId, routeId,
-                  CASE WHEN trim(matatuId) = '' THEN 'matatuId must not be blank'
-                       WHEN trim(routeId) = '' THEN 'routeId must not be blank'
-                       ELSE 'speedKmh must not be negative' END AS invalidReason
-           FROM locations
-           WHERE trim(matatuId) = '' OR trim(routeId) = '' OR speedKmh < 0"""
+        """SELECT eventId,
+                  CASE eventId % 50 WHEN 1 THEN '  ' WHEN 4 THEN NULL ELSE matatuId END AS matatuId,
+                  CASE eventId % 50 WHEN 2 THEN '' WHEN 4 THEN NULL ELSE routeId END AS routeId,
+                  CASE eventId % 50 WHEN 1 THEN 'matatuId must not be blank'
+                       WHEN 2 THEN 'routeId must not be blank'
+                       WHEN 3 THEN 'speedKmh must not be negative'
+                       ELSE 'malformed record' END AS invalidReason
+           FROM locations WHERE eventId % 50 IN (1, 2, 3, 4)"""
     ),
     "fare_quarantine": _q(
-        """SELECT eventId, transactionId,
-                  CASE WHEN paymentMethod NOT IN ('MPESA', 'CASH', 'CARD')
-                       THEN 'paymentMethod must be one of MPESA, CASH, CARD'
-                       ELSE 'status must be one of SUCCESS, FAILED, PENDING' END AS invalidReason
-           FROM fares
-           WHERE paymentMethod NOT IN ('MPESA', 'CASH', 'CARD')
-              OR status NOT IN ('SUCCESS', 'FAILED', 'PENDING')"""
+        """SELECT eventId, CASE WHEN eventId % 50 <> 4 THEN transactionId END AS transactionId,
+                  CASE eventId % 50 WHEN 2 THEN 'status must be one of SUCCESS, FAILED, PENDING'
+                       WHEN 4 THEN 'malformed record'
+                       ELSE 'paymentMethod must be one of MPESA, CASH, CARD' END AS invalidReason
+           FROM fares WHERE eventId % 50 IN (1, 2, 3, 4)"""
     ),
     "fare_decode": _q(f"SELECT {_FARE_COLS} FROM fares"),
     "display_board": _q(
         """SELECT matatuId, routeId, routeName, latitude, longitude, speedKmh, passengersOnboard,
-                  CAST(list_reduce(list_transform(string_split(routeId, ''), lambda c: CAST(ascii(c) AS BIGINT)),
-                                   lambda h, x: (h * 31 + x) & 2147483647, CAST(0 AS BIGINT)) % 3 AS INTEGER) AS "partition",
                   routeId AS "key", eventId AS "offset", "timestamp" AS recordTimestamp
            FROM locations"""
     ),
@@ -334,10 +351,40 @@ ORACLE_SQL: dict[str, str] = {
                   k2 - k1 + 1 AS alertCount, k2 * 60000 - last_ms AS maxSilenceMs
            FROM gap_ticks WHERE k2 >= k1"""
     ),
-    "offgrid_tick_alerts": _q(
-        """SELECT matatuId, routeId, routeName, latitude AS lastKnownLatitude,
-                  longitude AS lastKnownLongitude, k * 60000 - last_ms AS silenceDurationMs,
-                  "timestamp" AS lastSeenAt, make_timestamp(k * 60000000) AS alertRaisedAt
-           FROM (SELECT *, unnest(generate_series(k1, k2)) AS k FROM gap_ticks WHERE k2 >= k1)"""
+    "offgrid_tick_alerts": _q(_HOURLY_ALERTS),
+    "offgrid_messages": _q(
+        f"""SELECT matatuId, alertRaisedAt,
+                  format('[OFF-GRID] 📡 Matatu {{}} on {{}} has been silent for {{}} minutes. Last seen: {{}}',
+                         matatuId, routeName, CAST(silenceDurationMs // 60000 AS VARCHAR),
+                         CASE WHEN epoch_us(lastSeenAt) % 1000000 = 0 THEN strftime(lastSeenAt, '%Y-%m-%dT%H:%M:%SZ')
+                              WHEN epoch_us(lastSeenAt) % 1000 = 0 THEN strftime(lastSeenAt, '%Y-%m-%dT%H:%M:%S.%gZ')
+                              ELSE strftime(lastSeenAt, '%Y-%m-%dT%H:%M:%S.%fZ') END) AS message
+           FROM ({_HOURLY_ALERTS})"""
+    ),
+    "delta_messages": _q(
+        """SELECT matatuId, eventId,
+                  format('[DELTA] 🚌 {} | prev={} cur={} delta={}', matatuId,
+                         CAST(passengersOnboard - passengerDelta AS VARCHAR),
+                         CAST(passengersOnboard AS VARCHAR), CAST(passengerDelta AS VARCHAR)) AS message
+           FROM deltas"""
+    ),
+    "location_log_messages": _q(
+        """SELECT matatuId, eventId,
+                  format('[LOGGER] 📝 Persisting → matatu={}, route={}, lat={}, lng={}, speed={}, offset={}',
+                         matatuId, routeId, CAST(latitude AS VARCHAR), CAST(longitude AS VARCHAR),
+                         CAST(speedKmh AS VARCHAR), CAST(eventId AS VARCHAR)) AS message
+           FROM locations"""
+    ),
+    "speed_alert_records": _q(
+        """SELECT routeId AS "key",
+                  'matatuId,routeId,routeName,latitude,longitude,speedKmh,passengersOnboard,timestamp' AS fields,
+                  matatuId, routeId, routeName, latitude, longitude, speedKmh, passengersOnboard, "timestamp"
+           FROM locations WHERE speedKmh > 80.0"""
+    ),
+    "failed_fare_records": _q(
+        """SELECT matatuId AS "key",
+                  'transactionId,matatuId,passengerId,amountKes,paymentMethod,status,timestamp' AS fields,
+                  transactionId, matatuId, passengerId, amountKes, paymentMethod, status, "timestamp"
+           FROM fares WHERE status = 'FAILED'"""
     ),
 }

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -68,21 +67,15 @@ def build_session(
     return spark
 
 
-def checkpoint_root(spark: SparkSession, local_fallback: bool = False) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
-
-    On a cluster this must be set (a shared file system path). Only tests and
-    local runs may ask for a fresh scratch folder when it is unset.
-    """
+def checkpoint_root(spark: SparkSession) -> str:
+    """The shared checkpoint folder named by ``spark.checkpoint.dir``, which
+    must be set (a shared file system path on a cluster)."""
     root = _configured_root(spark)
-    if root:
-        return root.rstrip("/")
-    if not local_fallback:
+    if not root:
         raise RuntimeError(
             f"{CHECKPOINT_CONF} is not set; point it at a shared folder of the cluster"
         )
-    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="fleetlens-ckpt-"))
-    return spark.sparkContext.getCheckpointDir().rstrip("/")
+    return root.rstrip("/")
 
 
 def _configured_root(spark: SparkSession) -> str | None:
@@ -101,52 +94,22 @@ def _configured_root(spark: SparkSession) -> str | None:
         return None
 
 
-def checkpoint_path(spark: SparkSession, name: str, local_fallback: bool = False) -> str:
-    return os.path.join(checkpoint_root(spark, local_fallback), name)
-
-
-# Below this estimated size, recomputing an intermediate per branch is
-# cheaper than writing it out and reading it back.
-CUT_LINEAGE_MIN_BYTES = 1 << 30
-
+def checkpoint_path(spark: SparkSession, name: str) -> str:
+    return os.path.join(checkpoint_root(spark), name)
 
-def estimated_bytes(df) -> int | None:
-    """Size of the largest input ``df`` reads (Catalyst's leaf statistics:
-    file sizes for scans), or None where the session does not expose it.
 
-    Leaf sizes are used rather than the plan's own estimate: without
-    cost-based statistics Catalyst sizes a join as the product of its inputs.
-    """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
-        return max(sizes) if sizes else None
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect
-        return None
+def cut_lineage(df, name: str = "stage"):
+    """Write ``df`` as a Parquet table in the shared checkpoint folder and
+    return a DataFrame reading it back.
 
-
-def cut_lineage(df, name: str = "stage", required: bool = False, min_bytes: int = CUT_LINEAGE_MIN_BYTES):
-    """Materialise ``df`` as a Parquet table in the shared checkpoint folder
-    and return a DataFrame reading it back.
-
-    Use where one large intermediate feeds several branches of a plan (Spark
-    would otherwise recompute it, shuffles included, once per branch) or ends
-    a long chain of shuffles (a lost executor then replays from the table, not
-    from the source). The re-read gets column pruning and real size
-    statistics. Intermediates estimated under ``min_bytes`` are returned as
-    is (recomputing them is cheaper), as is everything when no
-    ``spark.checkpoint.dir`` is configured, unless ``required``.
+    Ends a long chain of shuffles: a lost executor then replays from the table,
+    not from the source, and the re-read has real size statistics. Starts a
+    job at once; raises where ``spark.checkpoint.dir`` is unset. The folder is
+    removed when the driver's JVM ends.
     """
     spark = df.sparkSession
-    if not required and min_bytes:
-        size = estimated_bytes(df)
-        if size is not None and size < min_bytes:
-            return df
-    root = _configured_root(spark)
-    if root is None:
-        if required:
-            raise RuntimeError(f"{CHECKPOINT_CONF} is not set; cannot cut lineage")
-        return df
-    path = f"{root.rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_root(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -19,12 +19,12 @@ class JobSettings:
     revenue_key_mode: str = "route"
 
     # Width of the time chunks that ordered per-key scans are split into. A key
-    # (vehicle, route, operator) may hold a large share of all rows; the scans
-    # run per (key, chunk) and stitch chunk boundaries with a small carry table,
-    # so no task ever sorts a whole key. Size it so the densest (key, chunk)
-    # holds at most a few million rows: width ~ span * target_rows / rows(key).
-    # The carry table has one row per non-empty (key, chunk).
-    scan_chunk_seconds: int = 60
+    # may hold a large share of all rows; the scans run per (key, chunk) and
+    # stitch chunk boundaries with one edge row per non-empty (key, chunk), so
+    # no task ever sorts a whole key. Size a width so the densest (key, chunk)
+    # holds at most a few million rows and most chunks hold many.
+    scan_chunk_seconds: int = 60  # routes and operators: all vehicles' events
+    vehicle_chunk_seconds: int = 86_400  # one vehicle pings every few seconds
 
     @property
     def revenue_window_ms(self) -> int:

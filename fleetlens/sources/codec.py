@@ -114,6 +114,8 @@ def split_valid(df: DataFrame, kind: str) -> tuple[DataFrame, DataFrame]:
     tagged = with_reason(df, kind)
     drop = [c for c in ("_malformed",) if c in tagged.columns]
     valid = tagged.filter(F.col("invalidReason").isNull()).drop("invalidReason", *drop)
+    if "passengersOnboard" in valid.columns:  # a count that is not given is 0
+        valid = valid.withColumn("passengersOnboard", F.coalesce("passengersOnboard", F.lit(0)))
     quarantine = tagged.filter(F.col("invalidReason").isNotNull()).drop(*drop)
     return valid, quarantine
 

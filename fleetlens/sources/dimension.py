@@ -24,6 +24,3 @@ def sacco_dim(spark: SparkSession) -> DataFrame:
     """The dimension as a DataFrame. Its size is fixed by construction."""
     return spark.createDataFrame(list(SACCO_ROWS), SACCO_INFO)
 
-
-def sacco_dim_rows_bound() -> int:
-    return len(SACCO_ROWS)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fleetlens.functions.scalar import to_kes
+from fleetlens.sources.codec import FARE_FIELDS, LOCATION_FIELDS, encode_keyed
 
 # The mapping rules from ``events`` rows to transit records.
 LOCATION_TYPES = ("click", "view", "error")
@@ -112,6 +113,47 @@ def load_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fares_view(load_events(spark, sf_dir))
 
 
+# Of every 50 events, which carry a broken payload (event_id
+# modulo 50), and the text of one that is not a record.
+BROKEN_EVERY = 50
+NOT_A_RECORD = "{not a record"
+
+
+def _fault(k: int) -> Column:
+    return F.pmod("eventId", F.lit(BROKEN_EVERY)) == k
+
+
+def broken_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed location payloads, a fixed share of them broken: blank vehicle
+    (1), empty route (2), negative speed (3), no JSON (4); and without a
+    passenger count (5), which is valid."""
+    locs = load_locations(spark, sf_dir)
+    bad = (
+        locs.withColumn("matatuId", F.when(_fault(1), F.lit("  ")).otherwise(F.col("matatuId")))
+        .withColumn("routeId", F.when(_fault(2), F.lit("")).otherwise(F.col("routeId")))
+        .withColumn("speedKmh", F.when(_fault(3), -F.col("speedKmh") - 1).otherwise(F.col("speedKmh")))
+        .withColumn("passengersOnboard", F.when(~_fault(5), F.col("passengersOnboard")))
+    )
+    return _payloads(bad, "routeId", LOCATION_FIELDS)
+
+
+def broken_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keyed fare payloads: unknown method (1), unknown status (2), missing
+    method (3), no JSON (4)."""
+    bad = (
+        load_fares(spark, sf_dir)
+        .withColumn("paymentMethod", F.when(_fault(1), F.lit("BARTER")).when(~_fault(3), F.col("paymentMethod")))
+        .withColumn("status", F.when(_fault(2), F.lit("LOST")).otherwise(F.col("status")))
+    )
+    return _payloads(bad, "matatuId", FARE_FIELDS)
+
+
+def _payloads(rows: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    keyed = encode_keyed(rows, key, fields, keep=[F.col("eventId"), F.col("eventId").alias("offset")])
+    value = F.when(_fault(4), F.lit(NOT_A_RECORD)).otherwise(F.col("value"))
+    return keyed.withColumn("value", value).drop("eventId")
+
+
 def register_views(spark: SparkSession, sf_dir: str) -> None:
     """Temp views ``locations``, ``fares`` and ``sacco_dim`` for Spark SQL."""
     from fleetlens.sources.dimension import sacco_dim

@@ -13,11 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from fleetlens.functions.scalar import java_string_hash, to_kes
+from fleetlens.functions.scalar import to_kes
 from fleetlens.operators import revenue, routing, scan, stateless
+from fleetlens.schemas import OFFGRID_ALERT, ROUTE_OCCUPANCY, SACCO_REVENUE_WINDOW
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources import codec
-from fleetlens.sources.dimension import sacco_dim, sacco_dim_rows_bound
+from fleetlens.sources.dimension import sacco_dim
 from fleetlens.streaming import sinks
 from fleetlens.streaming.sources import OUTPUT_TOPICS
 from fleetlens.streaming.processors import (
@@ -33,6 +34,15 @@ from fleetlens.streaming.processors import (
     passenger_deltas_with_state,
 )
 
+# Fields of the published records.
+OCCUPANCY_FIELDS = ROUTE_OCCUPANCY.fieldNames()
+OFFGRID_FIELDS = OFFGRID_ALERT.fieldNames()
+REVENUE_FIELDS = [*SACCO_REVENUE_WINDOW.fieldNames(), "computedAt"]
+ENRICHED_FIELDS = [
+    "matatuId", "routeId", "routeName", "saccoName", "saccoId", "terminus", "latitude", "longitude",
+    "speedKmh", "passengersOnboard", "isSpeeding", "originalTimestamp", "enrichedAt",
+]
+
 ALLOW_MULTIPLE = "spark.sql.streaming.statefulOperator.allowMultiple"
 
 
@@ -52,7 +62,7 @@ def enrichment_flow(locations: DataFrame, settings: JobSettings = DEFAULT_SETTIN
         locations,
         sacco_dim(spark),
         settings,
-        dim_rows_bound=sacco_dim_rows_bound(),
+        small_dim=True,
         clock=F.current_timestamp(),
     )
 
@@ -61,16 +71,15 @@ def fare_branch_flow(fares: DataFrame) -> DataFrame:
     return routing.label_branches(fares)
 
 
-def display_board_flow(locations: DataFrame, partitions: int = 3) -> DataFrame:
-    """Display-board lines: payload plus record metadata. A Kafka source
-    supplies partition/offset/record time; for file sources they are derived
-    (key = route, partition = key hash mod ``partitions``, offset = eventId,
-    record time = event time)."""
+def display_board_flow(locations: DataFrame) -> DataFrame:
+    """Display-board lines: payload plus the record metadata the source has.
+    Kafka supplies partition, offset and record time; file records have no
+    partition, their key is the route, offset the event id, record time the
+    event time."""
     cols = set(locations.columns)
     records = locations.select(
         "*",
         *([] if "key" in cols else [F.col("routeId").alias("key")]),
-        *([] if "partition" in cols else [(java_string_hash("routeId") % F.lit(partitions)).cast("int").alias("partition")]),
         *([] if "offset" in cols else [F.col("eventId").alias("offset")]),
         *([] if "recordTimestamp" in cols else [F.col("timestamp").alias("recordTimestamp")]),
     )
@@ -145,7 +154,7 @@ def occupancy_flow(
             outputMode="Append",
             timeMode="None",
         )
-    chunked = scan.with_chunk(deltas, "timestamp", settings.scan_chunk_seconds)
+    chunked = scan.with_chunk(deltas, "routeId", "timestamp", settings.scan_chunk_seconds)
     summaries = chunked.groupBy("routeId", scan.CHUNK).transformWithStateInPandas(
         statefulProcessor=RouteChunkSummarizer(),
         outputStructType=CHUNK_SUMMARY_OUT,
@@ -195,7 +204,7 @@ def start_revenue(
     try:
         flow = revenue_flow(fares, settings, dedupe=dedupe)
         if key:
-            flow = sinks.keyed_records(flow, key)
+            flow = sinks.keyed_records(flow, key, REVENUE_FIELDS)
         return sinks.start(flow, name, **kw)
     finally:
         if before is None:
@@ -204,6 +213,13 @@ def start_revenue(
             spark.conf.set(ALLOW_MULTIPLE, before)
 
 
+def keyed_sink(flow: str, out: str, fmt: str, kafka_bootstrap: str | None) -> dict:
+    """Where a keyed output goes: its topic, or a folder of JSON records."""
+    if kafka_bootstrap:
+        return dict(fmt="kafka", options={"kafka.bootstrap.servers": kafka_bootstrap, "topic": OUTPUT_TOPICS[flow]})
+    return dict(fmt=fmt, path=f"{out}/{flow}")
+
+
 def start_all(
     locations: DataFrame,
     fares: DataFrame,
@@ -211,7 +227,6 @@ def start_all(
     settings: JobSettings = DEFAULT_SETTINGS,
     trigger: dict | None = None,
     fmt: str = "json",
-    local_checkpoint_fallback: bool = False,
     name_prefix: str = "",
     kafka_bootstrap: str | None = None,
 ) -> dict[str, StreamingQuery]:
@@ -224,13 +239,11 @@ def start_all(
     processing-time ticks and runs only under a ``processingTime`` trigger.
     """
     out = out_root.rstrip("/")
-    common = dict(trigger=trigger, local_checkpoint_fallback=local_checkpoint_fallback)
+    common = dict(trigger=trigger)
 
-    def keyed(flow: str, df: DataFrame, key: str, start=sinks.start_keyed) -> StreamingQuery:
-        if kafka_bootstrap:
-            opts = {"kafka.bootstrap.servers": kafka_bootstrap, "topic": OUTPUT_TOPICS[flow]}
-            return sinks.start_keyed(df, key, name_prefix + flow, fmt="kafka", options=opts, **common)
-        return sinks.start_keyed(df, key, name_prefix + flow, fmt=fmt, path=f"{out}/{flow}", **common)
+    def keyed(flow: str, df: DataFrame, key: str, fields: list[str]) -> StreamingQuery:
+        sink = keyed_sink(flow, out, fmt, kafka_bootstrap)
+        return sinks.start_keyed(df, key, fields, name_prefix + flow, **sink, **common)
 
     def plain(flow: str, df: DataFrame, **kw) -> StreamingQuery:
         kw = {"fmt": fmt, **kw}
@@ -239,11 +252,14 @@ def start_all(
     locs, bad_locs = validated(locations, "location")
     fs, bad_fares = validated(fares, "fare")
     q = {
-        "speed_alerts": keyed("speed_alerts", speed_alert_flow(locs, settings), "routeId"),
-        "location_enriched": keyed("location_enriched", enrichment_flow(locs, settings), "routeId"),
-        "fares_failed": keyed("fares_failed", routing.failed_fares(fs), "matatuId"),
+        "speed_alerts": keyed("speed_alerts", speed_alert_flow(locs, settings), "routeId", codec.LOCATION_FIELDS),
+        "location_enriched": keyed("location_enriched", enrichment_flow(locs, settings), "routeId", ENRICHED_FIELDS),
+        "fares_failed": keyed("fares_failed", routing.failed_fares(fs), "matatuId", codec.FARE_FIELDS),
         "route_occupancy": keyed(
-            "route_occupancy", occupancy_flow(delta_flow(locs), every_update=False, settings=settings), "routeId"
+            "route_occupancy",
+            occupancy_flow(delta_flow(locs), every_update=False, settings=settings, split_routes=True),
+            "routeId",
+            OCCUPANCY_FIELDS,
         ),
         "location_quarantine": plain("location_quarantine", bad_locs),
         "fare_quarantine": plain("fare_quarantine", bad_fares),
@@ -251,14 +267,10 @@ def start_all(
         "display_board": plain("display_board", display_board_flow(locs)),
         "fare_log": plain("fare_log", fare_log_flow(fs)),
     }
-    revenue_kw = (
-        dict(fmt="kafka", options={"kafka.bootstrap.servers": kafka_bootstrap, "topic": OUTPUT_TOPICS["sacco_revenue"]})
-        if kafka_bootstrap
-        else dict(fmt=fmt, path=f"{out}/sacco_revenue")
-    )
+    sink = keyed_sink("sacco_revenue", out, fmt, kafka_bootstrap)
     q["sacco_revenue"] = start_revenue(
-        fs, name_prefix + "sacco_revenue", settings, key="saccoId" if kafka_bootstrap else None, **revenue_kw, **common
+        fs, name_prefix + "sacco_revenue", settings, key="saccoId", **sink, **common
     )
     if trigger and "processingTime" in trigger:
-        q["offgrid_alerts"] = keyed("offgrid_alerts", offgrid_flow(locs, settings), "matatuId")
+        q["offgrid_alerts"] = keyed("offgrid_alerts", offgrid_flow(locs, settings), "matatuId", OFFGRID_FIELDS)
     return q

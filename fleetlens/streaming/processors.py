@@ -250,9 +250,10 @@ class OffGridProcessor(StatefulProcessor):
 
     Ticks are multiples of the check interval (one shared schedule). Instead
     of scanning every vehicle at every tick, each vehicle holds one timer,
-    set on its first ping. When it fires, it raises an alert for every tick
-    due so far (from the first tick with ``tick - lastSeen > threshold``)
-    and re-arms at the next tick; a stale timer (the vehicle pinged since)
+    set on its first ping. When it fires, it raises one alert for the latest
+    tick due (from the first tick with ``tick - lastSeen > threshold``; ticks
+    missed while the query was down are not made up for) and re-arms at the
+    next tick; a stale timer (the vehicle pinged since)
     just re-arms at the first tick that could alert. Pings only update the
     state (no timer calls), so a busy vehicle costs one state write per
     micro-batch. State never expires unless ``ttl_ms`` is set.
@@ -294,9 +295,9 @@ class OffGridProcessor(StatefulProcessor):
         route_id, route_name, lat, lon, seen_ms = self.seen.get()
         now = max(tick, timerValues.getCurrentProcessingTimeInMs())
         first_alert = self._first_tick_after(seen_ms + self.threshold)
-        # every tick that has come due: a micro-batch that runs late still
-        # raises one alert per tick, none is skipped or delayed to later batches
-        due = np.arange(max(tick, first_alert), now + 1, self.interval, dtype=np.int64)
+        # the latest tick due: a stall, however long, raises one alert
+        latest = now // self.interval * self.interval
+        due = np.array([latest] if latest >= max(tick, first_alert) else [], dtype=np.int64)
         self.handle.registerTimer(max(first_alert, self._first_tick_after(now)))
         if len(due) == 0:
             yield _empty(OFFGRID_OUT)

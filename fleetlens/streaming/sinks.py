@@ -15,11 +15,12 @@ from fleetlens.session import checkpoint_path
 from fleetlens.sources.codec import ISO_INSTANT, ISO_LOCAL
 
 
-def keyed_records(df: DataFrame, key: str) -> DataFrame:
-    """``(key, value)`` with the whole row as JSON: the shape a keyed topic
-    sink takes (Kafka ``key``/``value`` columns)."""
+def keyed_records(df: DataFrame, key: str, fields: list[str]) -> DataFrame:
+    """``(key, value)`` with the record's ``fields`` as JSON: the shape a keyed
+    topic sink takes (Kafka ``key``/``value`` columns). Source metadata beside
+    the record (offset, partition, event id) is not published."""
     value = F.to_json(
-        F.struct(*[F.col(c) for c in df.columns]),
+        F.struct(*fields),
         {"timestampFormat": ISO_INSTANT, "timestampNTZFormat": ISO_LOCAL},
     )
     return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))
@@ -51,7 +52,6 @@ def start(
     trigger: dict | None = None,
     options: dict[str, str] | None = None,
     partition_by: list[str] | None = None,
-    local_checkpoint_fallback: bool = False,
 ) -> StreamingQuery:
     """Start a streaming query writing to ``fmt`` (json, parquet, memory,
     kafka, ...) with its checkpoint under the shared checkpoint folder."""
@@ -61,7 +61,7 @@ def start(
         df.writeStream.queryName(name)
         .format(fmt)
         .outputMode(output_mode)
-        .option("checkpointLocation", checkpoint_path(spark, name, local_checkpoint_fallback))
+        .option("checkpointLocation", checkpoint_path(spark, name))
     )
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
@@ -71,9 +71,9 @@ def start(
     return writer.start(path) if path else writer.start()
 
 
-def start_keyed(df: DataFrame, key: str, name: str, **kw) -> StreamingQuery:
-    """Keyed record sink (S6): JSON values keyed by ``key``."""
-    return start(keyed_records(df, key), name, **kw)
+def start_keyed(df: DataFrame, key: str, fields: list[str], name: str, **kw) -> StreamingQuery:
+    """Keyed record sink (S6): JSON values of ``fields`` keyed by ``key``."""
+    return start(keyed_records(df, key, fields), name, **kw)
 
 
 def start_branches(
@@ -82,7 +82,6 @@ def start_branches(
     paths: dict[str, str],
     name: str,
     trigger: dict | None = None,
-    local_checkpoint_fallback: bool = False,
 ) -> StreamingQuery:
     """Route each micro-batch's rows to one output per branch label.
 
@@ -108,17 +107,17 @@ def start_branches(
     ensure_rocksdb_state(spark)
     writer = (
         df.writeStream.queryName(name)
-        .option("checkpointLocation", checkpoint_path(spark, name, local_checkpoint_fallback))
+        .option("checkpointLocation", checkpoint_path(spark, name))
         .foreachBatch(write)
     )
     return _trigger(writer, trigger).start()
 
 
-def write_keyed(df: DataFrame, key: str, path: str, fmt: str = "json", options: dict | None = None) -> None:
+def write_keyed(df: DataFrame, key: str, fields: list[str], path: str, fmt: str = "json", options: dict | None = None) -> None:
     """Batch publish of keyed records (pings keyed by route, fares by
     vehicle): one ``(key, value)`` row per record. ``fmt="kafka"`` with a
     ``topic`` option writes to a topic when the connector is present."""
-    writer = keyed_records(df, key).write.mode("append").format(fmt)
+    writer = keyed_records(df, key, fields).write.mode("append").format(fmt)
     for k, v in (options or {}).items():
         writer = writer.option(k, v)
     if fmt == "kafka":

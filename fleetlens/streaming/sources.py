@@ -30,7 +30,7 @@ def with_event_id(schema: T.StructType) -> T.StructType:
 
 
 def json_file_stream(
-    spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = 1
+    spark: SparkSession, path: str, schema: T.StructType, max_files_per_trigger: int | None = 100
 ) -> DataFrame:
     """Records from JSON-lines files appearing under ``path`` (each file is
     read once; existing files are read first, as with an earliest start).
@@ -61,9 +61,11 @@ def kafka_stream(
     bootstrap: str,
     topic: str,
     schema: T.StructType,
-    max_offsets_per_trigger: int | None = None,
+    max_offsets_per_trigger: int,
 ) -> DataFrame:
-    """Records from a Kafka topic, read from the earliest offset. Needs the
+    """Records from a Kafka topic, read from the earliest offset, at most
+    ``max_offsets_per_trigger`` a micro-batch: the stateful steps gather a
+    key's rows of one micro-batch, so the bound is required. Needs the
     Kafka connector on the classpath. ``eventId`` is the record offset; the
     Kafka record metadata columns are kept."""
     reader = (
@@ -71,9 +73,8 @@ def kafka_stream(
         .option("kafka.bootstrap.servers", bootstrap)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     )
-    if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     return decode_kafka_records(reader.load(), schema)
 
 

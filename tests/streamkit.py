@@ -42,3 +42,16 @@ def split_frames(df: pd.DataFrame, n: int, order=("timestamp", "eventId")) -> li
     df = df.sort_values(list(order)).reset_index(drop=True)
     size = -(-len(df) // n)
     return [df.iloc[i : i + size] for i in range(0, len(df), size)]
+
+
+def location_files(spark, folder):
+    """The location stream with one file a micro-batch."""
+    from fleetlens.streaming import sources
+
+    return sources.location_file_stream(spark, folder, max_files_per_trigger=1)
+
+
+def fare_files(spark, folder):
+    from fleetlens.streaming import sources
+
+    return sources.fare_file_stream(spark, folder, max_files_per_trigger=1)

@@ -12,7 +12,7 @@ from fleetlens.functions.scalar import java_string_hash
 from fleetlens.operators import occupancy, offgrid, revenue, routing, stateless
 from fleetlens.settings import JobSettings
 from fleetlens.sources import codec
-from fleetlens.sources.dimension import sacco_dim, sacco_dim_rows_bound
+from fleetlens.sources.dimension import sacco_dim
 
 
 def test_speed_threshold_is_strict(spark):
@@ -63,7 +63,7 @@ def test_unknown_route_gets_default_operator(spark):
     df = pings(spark, [("A", "route_99", 10.0, 1, at(0)), ("B", "route_33", 90.0, 1, at(1))])
     rows = {
         r.matatuId: r
-        for r in stateless.enrich_locations(df, sacco_dim(spark), dim_rows_bound=sacco_dim_rows_bound()).collect()
+        for r in stateless.enrich_locations(df, sacco_dim(spark), small_dim=True).collect()
     }
     assert (rows["A"].saccoId, rows["A"].saccoName, rows["A"].terminus) == (
         "unknown",
@@ -71,7 +71,7 @@ def test_unknown_route_gets_default_operator(spark):
         "Unknown Terminus",
     )
     assert (rows["B"].saccoId, rows["B"].saccoName, rows["B"].isSpeeding) == ("sacco_01", "Citi Hoppa", True)
-    report = stateless.unknown_routes(df, sacco_dim(spark), sacco_dim_rows_bound()).collect()
+    report = stateless.unknown_routes(df, sacco_dim(spark), True).collect()
     assert [(r.routeId, r.pings, r.vehicles) for r in report] == [("route_99", 1, 1)]
 
 
@@ -201,7 +201,7 @@ def test_materialised_deltas_give_the_same_changelog(spark):
     from fleetlens.sources.fixtures import load_locations
 
     deltas = occupancy.passenger_deltas(load_locations(spark, "/root/testdata/sf0.001"))
-    forced = occupancy.occupancy_changelog(deltas, materialize_min_bytes=0)
+    forced = occupancy.occupancy_changelog(deltas, materialize=True)
     plain = occupancy.occupancy_changelog(deltas, materialize=False)
     assert "tables/passenger_deltas-" in " ".join(forced.inputFiles())
     assert forced.count() == plain.count() == 599
@@ -209,9 +209,11 @@ def test_materialised_deltas_give_the_same_changelog(spark):
 
 
 def test_offgrid_alert_message_in_whole_minutes(spark):
+    from fleetlens.operators import taps
+
     df = pings(spark, [("A", "route_33", 10.0, 1, at(0))])
     alerts = offgrid.offgrid_as_of(df, F.lit(at(6, ms=59_999)))
-    msg = offgrid.alert_messages(alerts).first().message
+    msg = taps.offgrid_messages(alerts).first().message
     assert "has been silent for 6 minutes" in msg and msg.startswith("[OFF-GRID] 📡 Matatu A on Route 33")
 
 
@@ -240,8 +242,8 @@ def test_operators_accept_empty_input(spark):
     fs = fares(spark, [("A", "1.00", "SUCCESS", at(0))]).limit(0)
     frames = [
         stateless.speed_alerts(locs),
-        stateless.enrich_locations(locs, sacco_dim(spark), dim_rows_bound=5),
-        stateless.unknown_routes(locs, sacco_dim(spark), 5),
+        stateless.enrich_locations(locs, sacco_dim(spark), small_dim=True),
+        stateless.unknown_routes(locs, sacco_dim(spark), True),
         occupancy.passenger_deltas(locs),
         occupancy.occupancy_changelog(occupancy.passenger_deltas(locs)),
         occupancy.route_occupancy(occupancy.passenger_deltas(locs)),
@@ -258,21 +260,6 @@ def test_operators_accept_empty_input(spark):
     assert [f.count() for f in frames] == [0] * len(frames)
 
 
-def test_per_key_derivation_matches_per_row(spark):
-    from fleetlens.operators.keyed import derive_per_key
-
-    df = fares(spark, [(f"KBZ {i % 7}", "1.00", "SUCCESS", at(i)) for i in range(40)])
-    per_row = revenue.assign_operator(df)
-    per_key = derive_per_key(df, "matatuId", revenue.assign_operator, min_input_bytes=0)
-    over_bound = derive_per_key(df, "matatuId", revenue.assign_operator, max_keys=3, min_input_bytes=0)
-    cols = ["eventId", "matatuId", "saccoId"]
-    for got in (per_key, over_bound):
-        assert got.select(cols).exceptAll(per_row.select(cols)).count() == 0
-        assert got.count() == 40
-    plan = per_key._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
-
-
 def test_views_for_spark_sql(spark):
     from fleetlens.sources.fixtures import register_views
 
@@ -283,3 +270,23 @@ def test_views_for_spark_sql(spark):
     ).first()
     assert (got.n, got.unknown) == (599, 98)
     assert spark.sql("SELECT count(*) FROM fares WHERE status = 'FAILED'").first()[0] == 43
+
+
+def test_floor_division_is_exact_beyond_doubles(spark):
+    from fleetlens.functions.scalar import ceil_div, floor_div
+
+    df = spark.createDataFrame([(9100000000000000001,), (-9100000000000000001,), (-7,), (7,)], "a long")
+    got = [tuple(r) for r in df.select(floor_div(F.col("a"), 3), ceil_div(F.col("a"), 3)).collect()]
+    assert got == [(a // 3, -(-a // 3)) for a in (9100000000000000001, -9100000000000000001, -7, 7)]
+    plan = df.select(floor_div(F.col("a"), 3))._jdf.queryExecution().executedPlan().toString()
+    assert "double" not in plan
+
+
+def test_missing_passenger_count_is_zero(spark):
+    from fleetlens.schemas import LOCATION_EVENT
+    from fleetlens.sources import codec
+
+    line = '{"matatuId":"A","routeId":"r","speedKmh":1.0,"timestamp":"2024-01-01T09:00:00Z"}'
+    df = spark.createDataFrame([(line,)], "value string")
+    valid, bad = codec.split_valid(codec.decode(df, LOCATION_EVENT), "location")
+    assert valid.first().passengersOnboard == 0 and bad.count() == 0

@@ -17,7 +17,7 @@ import pytest
 import __spark_entry__ as ep
 from conftest import SMALL
 
-NAMES = sorted(ep.queries())
+NAMES = sorted(ep.QUERIES)
 
 
 def _plan(spark, name) -> str:
@@ -84,3 +84,50 @@ def test_carry_join_keeps_row_partitioning_without_broadcast(spark, name):
             child = lines[i + 1]
             m = re.search(r"Window \[.*\], \[(.*?)\], \[", child)
             assert not (m and "_chunk" in m.group(1) and "ORDER" not in child), f"re-shuffled rows: {ln}"
+
+
+@pytest.mark.parametrize(
+    "name, exchanges",
+    [
+        ("passenger_deltas", 3),
+        ("late_fares", 3),
+        ("sacco_revenue", 1),
+        ("sacco_revenue_emitted", 5),
+        ("route_occupancy", 5),
+        ("route_occupancy_changelog", 6),
+    ],
+)
+def test_source_is_read_and_shuffled_once(spark, name, exchanges):
+    """Rows and chunk edges share one scan and one exchange of the rows."""
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.enabled": "false",
+    }
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = _plan(spark, name)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert plan.count("FileScan parquet") == 1, plan
+    own = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln and "ReusedExchange" not in ln]
+    assert len(own) <= exchanges, plan
+
+
+def test_building_a_query_runs_no_job(spark):
+    sc = spark.sparkContext
+    sc.setJobGroup("plan-building", "plan-building")
+    try:
+        for name in NAMES:
+            ep.queries()[name](spark, SMALL)
+        # reading a file's schema is the only job that building may start
+        jobs = sc.statusTracker().getJobIdsForGroup("plan-building")
+        stages = [s for j in jobs for s in sc.statusTracker().getJobInfo(j).stageIds]
+        tasks = [sc.statusTracker().getStageInfo(s) for s in stages]
+        assert all(t is None or t.numTasks == 1 for t in tasks)
+        assert len(jobs) <= len(NAMES) * 3
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)

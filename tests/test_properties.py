@@ -196,8 +196,8 @@ def test_stream_occupancy_split_by_chunk_equals_sequential_fold(spark, scratch,
 
     import pandas as pd
 
-    from fleetlens.streaming import jobs, sinks, sources
-    from streamkit import write_batches
+    from fleetlens.streaming import jobs, sinks
+    from streamkit import location_files, write_batches
 
     ordered = _ordered(rows)
     recs = [
@@ -223,7 +223,7 @@ def test_stream_occupancy_split_by_chunk_equals_sequential_fold(spark, scratch,
     folder = os.path.join(scratch, run, "loc")
     write_batches(folder, frames)
     flow = jobs.occupancy_flow(
-        jobs.delta_flow(sources.location_file_stream(spark, folder)),
+        jobs.delta_flow(location_files(spark, folder)),
         every_update=False,
         settings=SMALL_CHUNKS,
         split_routes=True,

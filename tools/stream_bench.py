@@ -35,11 +35,11 @@ def main() -> None:
     run = uuid.uuid4().hex[:6]
 
     def loc():
-        return sources.location_file_stream(spark, os.path.join(root, "loc"))
+        return sources.location_file_stream(spark, os.path.join(root, "loc"), max_files_per_trigger=1)
 
     flows = {
         "speed_alerts": (lambda: jobs.speed_alert_flow(loc()), len(locs)),
-        "revenue": (lambda: jobs.revenue_flow(sources.fare_file_stream(spark, os.path.join(root, "fares"))), len(fares)),
+        "revenue": (lambda: jobs.revenue_flow(sources.fare_file_stream(spark, os.path.join(root, "fares"), max_files_per_trigger=1)), len(fares)),
         "occupancy_coalesced": (lambda: jobs.occupancy_flow(jobs.delta_flow(loc()), every_update=False), len(locs)),
         "occupancy_changelog": (lambda: jobs.occupancy_flow(jobs.delta_flow(loc())), len(locs)),
     }
