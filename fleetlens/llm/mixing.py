@@ -174,9 +174,9 @@ def positioned(sized: DataFrame, pl: Plan) -> DataFrame:
     """Adds ``src`` (ordinal) and ``start``, the words of the same source
     before the row in id order.
 
-    Ids are cut into ranges of 2^12 (a bound on a window's rows while ids are
+    Ids are cut into ranges of 2^10 (a bound on a window's rows while ids are
     distinct); a running sum within (source, range) is added to the sum of the
-    ranges before, itself summed over blocks of 2^12 ranges.
+    ranges before, itself summed over blocks of 2^10 ranges.
     """
     if not pl.names:
         return sized.select("*", F.lit(0).alias("src"), F.lit(0).cast("long").alias("start"))
@@ -186,8 +186,8 @@ def positioned(sized: DataFrame, pl: Plan) -> DataFrame:
     if named:
         src = F.coalesce(F.create_map(*[F.lit(x) for kv in named.items() for x in kv])[F.col("source")], nulls)
     rows = sized.withColumn("src", src).withColumn(
-        "r1", F.coalesce(F.shiftright("doc_id", 12), F.lit(-(1 << 62)))
-    ).withColumn("r2", F.shiftright("r1", 12))
+        "r1", F.coalesce(F.shiftright("doc_id", 10), F.lit(-(1 << 62)))
+    ).withColumn("r2", F.shiftright("r1", 10))
     order = [F.col("doc_id").asc_nulls_first(), "size", "dk", "nth"]
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0).cast("long")
@@ -282,7 +282,10 @@ def mixed(df: DataFrame, p: Params = Params()) -> tuple[DataFrame, DataFrame, Pl
     pl = plan(sized, p)
     rows = written(positioned(sized, pl), "positioned")
     use = draws(df.sparkSession, pl, p)
-    pieces = overlaps(rows, p).join(use.select("src", "block", "pass"), ["src", "block"])
+    # Slots are made from a short list of shard numbers, so the planner takes
+    # them for a small table: without the hint it would broadcast them all.
+    slots = use.select("src", "block", "pass").hint("merge")
+    pieces = overlaps(rows, p).join(slots, ["src", "block"])
     return rows, pieces, pl
 
 
