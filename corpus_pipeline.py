@@ -24,8 +24,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(
         pick(docs, doc_id="doc_id", text="text"), labels.filter(fold(F.col("doc_id"), 4) != 2)
     )
-    scored = toxicity.score(docs, model, docs.columns)
-    return scored.filter(F.col("score") < TOXIC_FROM).select(*docs.columns)
+    scored = toxicity.score(docs, model, docs.columns, "_toxicity")
+    return scored.filter(F.col("_toxicity") < TOXIC_FROM).drop("_toxicity")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,8 +14,8 @@ chosen by a hash of the id among the rows the caller offers; scoring reads whole
 texts and nothing but texts.
 
 Rows: a null or empty text is scored like any other (no voter for toxicity
-fires); without any labelled row, or with one class only, the word lists alone
-decide; repeated rows are scored one by one; a null id keeps its row.
+fires); with fewer than ``min_class`` labelled rows of a class the word lists
+alone decide; repeated rows are scored one by one; a null id keeps its row.
 """
 
 from __future__ import annotations
@@ -54,6 +54,7 @@ class Params:
     sample: int = 20_000
     mined: int = 48
     min_docs: int = 5
+    min_class: int = 5  # labelled rows of each class below which only the lists count
     z: float = 6.0
     rounds: int = 40
     l2: float = 1.0
@@ -274,7 +275,7 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     mined = _mine(sample, p)
     got = sample.mapInArrow(_measured(mined), "x array<double>, toxic int").toArrow()
     y = got.column("toxic").to_numpy().astype(float) > 0
-    if len(y) == 0 or y.all() or not y.any():
+    if min(y.sum(), (~y).sum()) < p.min_class:
         return lexicon_only()
     x = np.stack(got.column("x").to_numpy(zero_copy_only=False))
     order = np.lexsort(x.T)  # the same sums whatever order the rows came in
@@ -285,8 +286,8 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     return Model(mined, mean, scale, w, fire, corr)
 
 
-def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """``docs`` columns ``keep`` with ``score`` of the whole text."""
+def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
+    """``docs`` columns ``keep`` with the score of the whole text as ``name``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,10 +298,10 @@ def score(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
             x = np.array([measure(t, lookup, len(m.mined)) for t in texts]).reshape(len(texts), len(m.mean))
             z = (x - m.mean) / m.scale @ m.weights[:-1] + m.weights[-1]
             s = 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(s)], names=[*keep, "score"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(s)], names=[*keep, name])
 
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.select(keep).dtypes)
-    return docs.mapInArrow(run, f"{fields}, score double")
+    return docs.mapInArrow(run, f"{fields}, {name} double")
 
 
 def detect(documents: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.3, p: Params = Params()) -> DataFrame:
