@@ -25,7 +25,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import pick, written
@@ -97,15 +97,24 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _keyed(fps: DataFrame, masks: list[int], key: Column | None = None) -> DataFrame:
-    rows = F.array(
-        *[
-            F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(_signed(m))).alias("v"))
-            for t, m in enumerate(masks)
-        ]
-    )
-    keep = ["fp"] if key is None else ["fp", key.alias("t0")]
-    return fps.select(*keep, F.inline(rows))
+def _keyed(fps: DataFrame, masks: list[int]) -> DataFrame:
+    """A row for each fingerprint and mask: mask number ``t``, masked value ``v``."""
+    cells = F.array(*[F.lit(_signed(m)) for m in masks])
+    rows = fps.select("fp", F.posexplode(cells).alias("t", "mask"))
+    return rows.select("fp", "t", F.col("fp").bitwiseAND(F.col("mask")).alias("v"))
+
+
+def _rekeyed(large: DataFrame, masks: list[int], p: Params) -> DataFrame:
+    """Rows of large buckets (fp, t) under the finer masks of their bucket:
+    the same cut, over the bits that mask ``t`` leaves free."""
+    fine = []
+    for m in masks:
+        free = [b for b in range(64) if not m >> b & 1]
+        finer = block_masks(free, p.fine_blocks, p.fine_blocks - p.max_bits)
+        fine.append(F.array(*[F.lit(_signed(x | m)) for x in finer]))
+    own = F.element_at(F.array(*fine), F.col("t") + 1)
+    rows = large.select("fp", F.col("t").alias("t0"), F.posexplode(own).alias("t", "mask"))
+    return rows.select("fp", "t0", "t", F.col("fp").bitwiseAND(F.col("mask")).alias("v"))
 
 
 def _near(values: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -189,15 +198,8 @@ def links(fps: DataFrame, p: Params = Params()) -> DataFrame:
     )
     members = keyed.join(sizes.filter("n > 2").select("t", "v", "n"), ["t", "v"])
     small = _linked(members.filter(F.col("n") <= p.bucket), ["t", "v"], p)
-    # Large buckets: the same cut again, over the bits the bucket leaves free.
-    fine: DataFrame | None = None
-    large = members.filter(F.col("n") > p.bucket)
-    for t, m in enumerate(masks):
-        free = [b for b in range(64) if not m >> b & 1]
-        own = [x | m for x in block_masks(free, p.fine_blocks, p.fine_blocks - p.max_bits)]
-        part = _keyed(large.filter(F.col("t") == t).select("fp"), own, F.lit(t))
-        fine = part if fine is None else fine.union(part)
-    return pairs.union(small).union(_linked(fine, ["t0", "t", "v"], p))
+    large = _linked(_rekeyed(members.filter(F.col("n") > p.bucket), masks, p), ["t0", "t", "v"], p)
+    return pairs.union(small).union(large)
 
 
 def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
