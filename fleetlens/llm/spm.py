@@ -12,6 +12,9 @@ A task encodes each distinct word once, in batches on the library's threads,
 and remembers up to ``memo`` of them, so memory stays bounded for texts of any
 length.
 
+Two segmentations of exactly equal unigram score are a tie, which SentencePiece
+and the library may break differently; ``verify`` reports such a text.
+
 Rows: null text gives null ids and counts, an empty text an empty list;
 strings that look like control pieces (``<s>``) are ordinary text; repeated
 rows are encoded one by one; other input columns are not read.
@@ -141,14 +144,18 @@ def build(spec: Spec, cache: int = 200_000):
             vocab, merges(spec), cache_capacity=cache, unk_token=unk, fuse_unk=True, byte_fallback=spec.byte_fallback
         )
     elif spec.model_type == UNIGRAM:
-        # control and unknown pieces never match text: no text holds NUL twice
-        scored = [
-            (p if kind in (NORMAL, USER, BYTE) else f"\0\0{i}", s) for i, (p, s, kind) in enumerate(spec.pieces)
-        ]
-        model = models.Unigram(scored, unk_id=spec.unk_id, byte_fallback=spec.byte_fallback)
+        model = models.Unigram(
+            [(p, s) for p, s, _ in spec.pieces], unk_id=spec.unk_id, byte_fallback=spec.byte_fallback
+        )
     else:
         raise ValueError(f"unsupported model type {spec.model_type}")
     words = Tokenizer(model)  # takes single normalised words
+    if spec.model_type == UNIGRAM:
+        # The library would match the names of control and byte pieces in a
+        # text. Here they have names no text holds and a neutral score, and
+        # Codec replaces unknown characters by their bytes.
+        hidden = [(p, s) if kind in (NORMAL, USER) else (f"\0\0{i}\0", 0.0) for i, (p, s, kind) in enumerate(spec.pieces)]
+        words = Tokenizer(models.Unigram(hidden, unk_id=spec.unk_id, byte_fallback=False))
     whole = Tokenizer(model)
     steps = [normalizers.Precompiled(spec.charsmap)] if spec.charsmap else []
     if spec.remove_extra_whitespaces:
@@ -175,6 +182,7 @@ class Codec:
         self.plain = not self.spec.charsmap and not self.spec.remove_extra_whitespaces
         self.word = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
         self.memo: dict[str, list[int]] = {}
+        self.byte_id = {int(p[3:-1], 16): i for i, (p, _, kind) in enumerate(self.spec.pieces) if kind == BYTE}
         self.raw = [
             bytes([int(p[3:-1], 16)]) if kind == BYTE else p.replace(MARK, " ").encode()
             for p, _, kind in self.spec.pieces
@@ -186,6 +194,14 @@ class Codec:
         text = text.replace(" ", MARK)
         return MARK + text if text and self.spec.add_dummy_prefix else text
 
+    def _with_bytes(self, word: str) -> list[int]:
+        """Ids of a word with its unknown stretches as bytes."""
+        e = self.by_word.encode(word, add_special_tokens=False)
+        out: list[int] = []
+        for i, (a, b) in zip(e.ids, e.offsets):
+            out += [self.byte_id[x] for x in word[a:b].encode()] if i == self.spec.unk_id else [i]
+        return out
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [self.word.findall(self.normalise(t)) for t in texts]
         if len(self.memo) > self.limit:
@@ -195,7 +211,8 @@ class Codec:
         for at in range(0, len(new), 50_000):
             part = new[at : at + 50_000]
             for w, e in zip(part, self.by_word.encode_batch_fast(part, add_special_tokens=False)):
-                (known if len(w) <= self.long_word else long)[w] = e.ids
+                ids = self._with_bytes(w) if self.byte_id and self.spec.unk_id in e.ids else e.ids
+                (known if len(w) <= self.long_word else long)[w] = ids
         ids = known.__getitem__ if not long else lambda w: known[w] if w in known else long[w]
         return [np.fromiter(chain.from_iterable(map(ids, words)), np.int32) for words in split]
 
