@@ -164,7 +164,7 @@ def _backoff(word: str, model: Model) -> np.ndarray:
 
 def _predictor(shared, p: Params):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(**shared.value)
         langs, known, table = model.langs, model.words, model.word_scores
         memo: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -205,7 +205,7 @@ def _predictor(shared, p: Params):
 
 def predict(docs: DataFrame, model: Model, held_out: Column | None = None, p: Params = Params()) -> DataFrame:
     """One row per row of ``docs`` (columns doc_id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # size bound: see Params
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # size bound: see Params
     cols = ["doc_id"]
     if held_out is not None:
         docs, cols = docs.withColumn("held_out", held_out), ["doc_id", "held_out"]

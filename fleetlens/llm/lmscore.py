@@ -204,11 +204,12 @@ OUT = "doc_id long, n_tokens long, target_loss double, background_loss double, c
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # size bound: see Params
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # size bound: see Params
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model(**shared.value)
         for b in batches:
-            rows = [losses(t, shared.value) for t in b.column("text").to_pylist()]
+            rows = [losses(t, model) for t in b.column("text").to_pylist()]
             per = lambda k: [x[k] / x[0] if x[0] else None for x in rows]
             t, g = per(1), per(2)
             yield pa.RecordBatch.from_arrays(

@@ -288,10 +288,10 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
 
 def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -> DataFrame:
     """``docs`` columns ``keep`` with the score of the whole text as ``name``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few hundred numbers
+    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # a few hundred numbers
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m = Model(**shared.value)
         lookup = Lookup(m.mined)
         for b in batches:
             texts = b.column("text").to_pylist()
