@@ -309,10 +309,14 @@ def test_offgrid_state_ttl_ends_the_alerts(spark, scratch, run_id):
     stream = location_files(spark, folder)
     name = f"ttl_{run_id}"
     q = sinks.start(
-        jobs.offgrid_flow(stream, s, ttl_ms=4_000), name, fmt="memory", trigger={"processingTime": "200 milliseconds"}
+        jobs.offgrid_flow(stream, s, ttl_ms=15_000), name, fmt="memory", trigger={"processingTime": "200 milliseconds"}
     )
     try:
-        time.sleep(10)
+        # the first micro-batch starts Python workers; on a busy machine that takes seconds
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.table(name).count() < 1:
+            time.sleep(0.5)
+        time.sleep(20)  # longer than the state lives
         first = spark.table(name).count()
         time.sleep(4)
         second = spark.table(name).count()
