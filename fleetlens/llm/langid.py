@@ -171,7 +171,8 @@ def _predictor(shared, p: Params):
             preds, scores = [], []
             for text in batch.column("text").to_pylist():
                 words = LETTERS.findall(text.lower()) if text and langs else ()
-                if not words:
+                # the pattern also takes numerals such as ², which are no letters
+                if not any(c.isalpha() for w in words for c in w):
                     preds.append(UNKNOWN)
                     scores.append(0.0)
                     continue
