@@ -134,9 +134,9 @@ def _count_pairs(shared):
     return run
 
 
-def train(docs: DataFrame, p: Params = Params()) -> Model:
-    """``docs`` (text, is_target)."""
-    index = vocabulary(docs, p)
+def train(docs: DataFrame, p: Params = Params(), index: dict[str, int] | None = None) -> Model:
+    """``docs`` (text, is_target); ``index``: their vocabulary, if known."""
+    index = vocabulary(docs, p) if index is None else index
     width = len(index) + 2
     shared = docs.sparkSession.sparkContext.broadcast(index)  # at most p.vocab words
     pairs = written(
@@ -231,5 +231,8 @@ def cross_entropy_difference(documents: DataFrame, labels: DataFrame, p: Params
     quality. One row per row of ``documents``."""
     docs = pick(documents, doc_id="doc_id", text="text")
     good = pick(labels, doc_id="doc_id", quality="quality").filter("quality = 1 AND doc_id IS NOT NULL")
-    marked = docs.join(good.select("doc_id", F.lit(True).alias("is_target")).distinct(), "doc_id", "left")
-    return score(docs, train(marked, p))
+    # Labels grow with the documents: one join strategy at every size, not a
+    # broadcast that stops fitting. The vocabulary needs no join.
+    target = good.select("doc_id", F.lit(True).alias("is_target")).distinct().hint("merge")
+    marked = docs.join(target, "doc_id", "left")
+    return score(docs, train(marked, p, vocabulary(docs, p)))
