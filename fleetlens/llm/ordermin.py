@@ -8,9 +8,11 @@ the same k-mers were selected *in the same order*; the share of equal entries
 estimates a similarity that, unlike Jaccard's, falls when passages move, and so
 follows edit distance.
 
-One pass over a text: k-mer hashes come from a rolling polynomial, numbered
-with one sort; permutations are odd multiplications of the element hash.
-Memory is a few arrays of the longest single text.
+The permutations are rotations of one random order of the elements (circulant
+MinHash): each starts at its own point of the hash circle and its smallest
+elements are the next ones from there, so one sort serves all sketches. k-mer
+hashes are polynomials, numbered with a second sort. Memory is a few arrays of
+the longest single text.
 
 Rows: null text counts as empty; a text shorter than ``k`` has itself as its
 only k-mer; equal texts have equal fingerprints.
@@ -56,12 +58,21 @@ def code_points(text: str) -> np.ndarray:
 def kmer_hashes(points: np.ndarray, k: int) -> np.ndarray:
     """64-bit hashes of the k-mers, in text order (one for a shorter text)."""
     k = min(k, len(points))
-    base = U(0x9E3779B97F4A7C15)
+    base = 0x9E3779B97F4A7C15
     with np.errstate(over="ignore"):
-        p = _mix(points.astype(U) + U(1))
-        h = np.zeros(len(points) - k + 1, U)
-        for i in range(k):
-            h = h * base + p[i : i + len(h)]
+        # polynomials of 1, 2, 4, ... points, joined to one of k
+        parts = {1: _mix(points.astype(U) + U(1))}
+        size = 1
+        while 2 * size <= k:
+            one = parts[size]
+            parts[2 * size] = one[:-size] * U(pow(base, size, 1 << 64)) + one[size:]
+            size *= 2
+        h, length = parts[size], size
+        while length < k:
+            size = 1 << ((k - length).bit_length() - 1)
+            tail = parts[size][length:]
+            h = h[: len(tail)] * U(pow(base, size, 1 << 64)) + tail
+            length += size
         return _mix(h ^ U(k))
 
 
@@ -85,23 +96,28 @@ def signature(points: np.ndarray, p: Params = Params()) -> np.ndarray:
     if not len(points):
         return out
     h = kmer_hashes(points, p.k)
-    top = U(0xFFFFFFFFFFFFFFFF)
-    rng = np.random.default_rng(p.seed)
-    keys = rng.integers(1, 1 << 63, size=(p.sketches, 2), dtype=np.int64).astype(U)
+    starts = np.random.default_rng(p.seed).integers(0, 1 << 63, size=p.sketches, dtype=np.int64).astype(U) << U(1)
     with np.errstate(over="ignore"):
         element = _mix(h + occurrences(h) * U(0xD6E8FEB86659FD93))
-        for i in range(p.sketches):
-            order = (element ^ keys[i, 0]) * (keys[i, 1] | U(1))
-            chosen = []
-            for _ in range(min(p.take, len(h))):
-                at = int(order.argmin())
-                chosen.append(at)
-                order[at] = top
-            tuple_hash = U(i)
-            for at in sorted(chosen):
-                tuple_hash = tuple_hash * U(0x9E3779B97F4A7C15) + h[at]
-            out[i] = _mix(np.array([tuple_hash]))[0] >> U(32)
-    return out
+        ordered = np.sort(element)
+        take = min(p.take, len(h))
+        # a rotated order's smallest elements: the next ones from its start
+        rank = (np.searchsorted(ordered, starts)[:, None] + np.arange(take)) % len(h)
+        at = np.sort(_places(element, ordered[rank]), axis=1)  # back to text order
+        tuples = np.arange(p.sketches, dtype=U)
+        for j in range(take):
+            tuples = tuples * U(0x9E3779B97F4A7C15) + h[at[:, j]]
+        return (_mix(tuples) >> U(32)).astype(np.uint32)
+
+
+def _places(element: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """Where the chosen values stand, found through a table of their low bits."""
+    low = U(0xFFFF)
+    table = np.zeros(1 << 16, bool)
+    table[chosen & low] = True
+    maybe = np.flatnonzero(table[element & low])
+    by = maybe[np.argsort(element[maybe], kind="stable")]
+    return by[np.searchsorted(element[by], chosen)]
 
 
 def hexed(sig: np.ndarray) -> str:

@@ -303,10 +303,10 @@ def brute_signature(text: str, p: ordermin.Params) -> list:
         v = np.array([(x + seen[x] * 0xD6E8FEB86659FD93) % (1 << 64)], np.uint64)
         element.append(int(ordermin._mix(v)[0]))
         seen[x] += 1
-    keys = np.random.default_rng(p.seed).integers(1, 1 << 63, size=(p.sketches, 2), dtype=np.int64).tolist()
+    starts = np.random.default_rng(p.seed).integers(0, 1 << 63, size=p.sketches, dtype=np.int64).tolist()
     out = []
-    for a, b in keys:
-        order = sorted(range(len(h)), key=lambda i: ((element[i] ^ a) * (b | 1) % (1 << 64), i))
+    for a in starts:
+        order = sorted(range(len(h)), key=lambda i: ((element[i] - 2 * a) % (1 << 64), i))
         out.append(tuple(h[i] for i in sorted(order[: p.take])))
     return out
 
