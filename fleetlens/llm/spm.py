@@ -23,11 +23,11 @@ rows are encoded one by one; other input columns are not read.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -129,7 +129,7 @@ def merges(spec: Spec) -> list[tuple[str, str]]:
     return [(a, b) for _, _, a, b in sorted(found)]
 
 
-def build(spec: Spec, cache: int = 200_000):
+def build(spec: Spec):
     """The Tokenizers pipeline of a model, and one for its single words."""
     from tokenizers import Regex, Tokenizer, decoders, models, normalizers, pre_tokenizers
 
@@ -141,7 +141,7 @@ def build(spec: Spec, cache: int = 200_000):
     if spec.model_type == BPE:
         vocab = {p: i for i, (p, _, _) in enumerate(spec.pieces)}
         model = models.BPE(
-            vocab, merges(spec), cache_capacity=cache, unk_token=unk, fuse_unk=True, byte_fallback=spec.byte_fallback
+            vocab, merges(spec), cache_capacity=0, unk_token=unk, fuse_unk=True, byte_fallback=spec.byte_fallback
         )
     elif spec.model_type == UNIGRAM:
         model = models.Unigram(
@@ -175,13 +175,14 @@ def build(spec: Spec, cache: int = 200_000):
 class Codec:
     """Encodes and decodes lists of texts with one model."""
 
-    def __init__(self, model: bytes, memo: int = 300_000, long_word: int = 200):
+    def __init__(self, model: bytes, memo: int = 400_000, long_word: int = 200):
         self.spec, self.limit, self.long_word = parse(model), memo, long_word
         self.pipeline, self.by_word = build(self.spec)
         # Only markers replaced: done here, without the library's alignments.
         self.plain = not self.spec.charsmap and not self.spec.remove_extra_whitespaces
         self.word = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self.memo: dict[str, list[int]] = {}
+        self.memo: dict[str, bytes] = {}  # ids as little-endian int32
+        self.after_space: dict[str, bytes] = {}
         self.byte_id = {int(p[3:-1], 16): i for i, (p, _, kind) in enumerate(self.spec.pieces) if kind == BYTE}
         self.raw = [
             bytes([int(p[3:-1], 16)]) if kind == BYTE else p.replace(MARK, " ").encode()
@@ -202,19 +203,38 @@ class Codec:
             out += [self.byte_id[x] for x in word[a:b].encode()] if i == self.spec.unk_id else [i]
         return out
 
+    def _words(self, text: str) -> tuple[dict[str, bytes], list[str]]:
+        """The text's words, and the memo they belong to: words that follow
+        a single space, without their marker, or normalised words."""
+        single = self.plain and self.spec.add_dummy_prefix and text[:1] not in ("", " ")
+        if single and "  " not in text and MARK not in text:
+            return self.after_space, text.split(" ")
+        return self.memo, self.word.findall(self.normalise(text))
+
+    def _learn(self, memo: dict[str, bytes], mark: str, words: set[str]) -> dict[str, bytes]:
+        """Encode new words; those too long to remember are returned."""
+        new, long = list(words), {}
+        for at in range(0, len(new), 4096):
+            part = [mark + w for w in new[at : at + 4096]]
+            for w, m, e in zip(new[at:], part, self.by_word.encode_batch_fast(part, add_special_tokens=False)):
+                ids = self._with_bytes(m) if self.byte_id and self.spec.unk_id in e.ids else e.ids
+                (memo if len(w) <= self.long_word else long)[w] = np.array(ids, "<i4").tobytes()
+        return long
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [self.word.findall(self.normalise(t)) for t in texts]
-        if len(self.memo) > self.limit:
-            self.memo = {}
-        known, long = self.memo, {}
-        new = list({w for words in split for w in words if w not in known})
-        for at in range(0, len(new), 50_000):
-            part = new[at : at + 50_000]
-            for w, e in zip(part, self.by_word.encode_batch_fast(part, add_special_tokens=False)):
-                ids = self._with_bytes(w) if self.byte_id and self.spec.unk_id in e.ids else e.ids
-                (known if len(w) <= self.long_word else long)[w] = ids
-        ids = known.__getitem__ if not long else lambda w: known[w] if w in known else long[w]
-        return [np.fromiter(chain.from_iterable(map(ids, words)), np.int32) for words in split]
+        if len(self.memo) + len(self.after_space) > self.limit:
+            self.memo, self.after_space = {}, {}
+        split = [self._words(t) for t in texts]
+        long = {}
+        for memo, mark in ((self.memo, ""), (self.after_space, MARK)):
+            new = {w for m, words in split if m is memo for w in words if w not in memo}
+            long[id(memo)] = self._learn(memo, mark, new)
+        out = []
+        for memo, words in split:
+            rare = long[id(memo)]
+            ids = memo.__getitem__ if not rare else lambda w, m=memo, r=rare: m[w] if w in m else r[w]
+            out.append(np.frombuffer(b"".join(map(ids, words)), "<i4").astype(np.int32))
+        return out
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """Pieces joined as bytes; the library decodes what is not UTF-8."""
@@ -238,6 +258,7 @@ SCHEMA = (
 
 def _coded(shared, verify: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        os.environ.setdefault("RAYON_NUM_THREADS", "2")  # a task's share of the machine
         codec = Codec(shared.value)
         byte = np.array([kind == BYTE for *_, kind in codec.spec.pieces])
         exact = None
@@ -246,8 +267,8 @@ def _coded(shared, verify: bool):
 
             exact = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for at in range(0, b.num_rows, 256):
+                part = b.slice(at, 256)
                 texts = part.column("text").to_pylist()
                 ids = codec.encode([t or "" for t in texts])
                 back = codec.decode(ids)
