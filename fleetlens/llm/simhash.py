@@ -202,14 +202,20 @@ def links(fps: DataFrame, p: Params = Params()) -> DataFrame:
     return pairs.union(small).union(large)
 
 
-def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
-    """(fp, component_id) for the fingerprints of ``docs`` (doc_id, fp) that
-    several documents share or that link to others."""
+def _rooted(docs: DataFrame, p: Params) -> DataFrame:
+    """fp, n, low, root, linked: each fingerprint of ``docs`` (doc_id, fp) with
+    its rows, its smallest id and the smallest fingerprint it links to."""
     own = written(docs.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count("*").alias("n")), "fingerprints")
     comp = connected_components(links(own.select("fp"), p))
-    joined = own.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
+    return own.join(comp.withColumnRenamed("node", "fp"), "fp", "left").select(
         "fp", "n", "low", F.coalesce("component", "fp").alias("root"), F.col("component").isNotNull().alias("linked")
     )
+
+
+def classes(docs: DataFrame, p: Params = Params()) -> DataFrame:
+    """(fp, component_id) for the fingerprints of ``docs`` (doc_id, fp) that
+    several documents share or that link to others."""
+    joined = _rooted(docs, p)
     lows = joined.filter("linked").groupBy("root").agg(F.min("low").alias("root_low"))
     return written(
         joined.filter("linked OR n > 1")
@@ -233,15 +239,13 @@ def near_duplicates(df: DataFrame, p: Params = Params()) -> DataFrame:
 
 def keep_one(df: DataFrame, p: Params = Params()) -> DataFrame:
     """``df`` with one row of each class: that with the smallest doc_id (equal
-    ids: any one; classes without an id: the smallest fingerprint's row)."""
+    ids: the smallest fingerprint's; no id at all: likewise). A class is known
+    by its root fingerprint: rows of one id or without an id are not alike."""
     marked = written(with_fingerprint(df, p), "marked")
-    docs = marked.select("doc_id", F.col(FP).alias("fp"))
-    named = docs.join(classes(docs, p), "fp", "left").withColumn(
-        "class", F.coalesce("component_id", "doc_id")
-    )
-    stay = (
-        named.filter("doc_id <=> class").groupBy("class").agg(F.min("fp").alias("_stay_fp"))
-        .withColumnRenamed("class", "_stay_id")
+    rooted = _rooted(marked.select("doc_id", F.col(FP).alias("fp")), p)
+    first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "fp")).alias("first")
+    stay = rooted.groupBy("root").agg(first).select(
+        F.col("first.low").alias("_stay_id"), F.col("first.fp").alias("_stay_fp")
     )
     hit = marked["doc_id"].eqNullSafe(stay["_stay_id"]) & (marked[FP] == stay["_stay_fp"])
     return marked.join(stay, hit, "left_semi").dropDuplicates(["doc_id", FP]).drop(FP)

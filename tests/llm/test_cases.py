@@ -4,13 +4,14 @@ clashing column names, for every operator and stage."""
 from __future__ import annotations
 
 import os
+import random
 import sys
 
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from common_cases import awkward, awkward_rows, empty
+from common_cases import awkward, awkward_rows, empty, prose
 from pyspark.sql import functions as F
 
 from fleetlens.llm import langid, lmscore, mixing, ordermin, passages, quality, simhash, spm, toxicity, warc
@@ -65,6 +66,15 @@ def test_keep_one_cases(spark):
     assert simhash.keep_one(empty(spark)).count() == 0
 
 
+def test_keep_one_takes_unlinked_rows_for_different_documents(spark):
+    rng = random.Random(8)
+    a, b, c, d, e = (prose(rng, 60) for _ in range(5))
+    rows = [(None, a), (None, b), (7, c), (7, d), (None, e), (9, e), (8, e)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(((r.doc_id, r.text) for r in simhash.keep_one(df).collect()), key=str)
+    assert got == sorted([(None, a), (None, b), (7, c), (7, d), (8, e)], key=str)
+
+
 def test_mixed_documents_cases(spark):
     df = awkward(spark)
     out = mixing.mixed_documents(df)
