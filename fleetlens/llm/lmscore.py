@@ -1,19 +1,29 @@
 """Documents scored by cross-entropy difference of two bigram models.
 
 The target model is counted over the caller's target rows, the background model
-over all rows. Both share one vocabulary (the ``vocab`` most frequent words of
-all rows, everything else one unknown token), one order and one smoothing, so a
-difference between them comes from the counts alone. A document's score is the
-mean over its tokens of target loss minus background loss, in nats: negative
-means closer to the target.
-
-Every word of every row is counted: each task sums its own counts, Spark adds
-them up. The model that scoring broadcasts is bounded: the vocabulary, and the
-at most ``bigrams`` bigrams over the smallest count that keeps within that bound;
-other bigrams back off to unigrams with the context's left-over mass.
+over all rows. Both share one vocabulary (every word, or the ``vocab`` most
+frequent where a caller asks for that, the rest one unknown token), one order and
+one smoothing, so a difference between them comes from the counts alone. A
+document's score is the mean over its tokens of target loss minus background
+loss, in nats: negative means closer to the target.
+
+Every word and bigram of every row counts and scores; the model is never held in
+one place, it grows with the input as tables do:
+
+1. Texts are cut into chunks of ``chunk`` tokens. A chunk numbers its words and
+   bigrams, keeps its documents as bigram numbers, and writes one row for each of
+   its words (64-bit hash) and bigrams (hashes of both words).
+2. Rows of one bigram are summed over the chunks; so are rows of one word, with
+   the distinct bigrams each word begins. A key has one row a chunk at most, so
+   the most frequent word is no larger a group than others.
+3. Sums go back to the chunks that asked (for a bigram of one chunk its own
+   counts are the sums), and each chunk adds up its documents' losses.
 
 Smoothing: absolute discounting of bigrams, interpolated with add-one unigrams.
 
+``train`` gives the same model as one object in memory, for small inputs or with
+bounds (``vocab``, ``bigrams``) that a caller sets; the query does not use it.
+
 Rows: a text without a word (null, empty) has no tokens and null scores; with no
 target row the target model is uniform over the vocabulary; repeated rows count
 and are scored each; other input columns are not read.
@@ -22,13 +32,14 @@ and are scored each; other input columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WORD, pick, written
@@ -38,9 +49,10 @@ WORD_RE = re.compile(WORD)
 
 @dataclass(frozen=True)
 class Params:
-    vocab: int = 20_000
-    bigrams: int = 1_000_000
+    vocab: int | None = None  # words, if not all
+    bigrams: int | None = None  # of a model that ``train`` holds in memory, if not all
     discount: float = 0.75
+    chunk: int = 2_000_000  # tokens numbered together
 
 
 @dataclass
@@ -87,10 +99,12 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def vocabulary(docs: DataFrame, p: Params) -> dict[str, int]:
-    """The most frequent words of all rows (ties by code point), numbered."""
+    """The most frequent words of all rows (ties by code point), numbered; all
+    of them if ``p.vocab`` is None."""
     counts = docs.select("text").mapInArrow(_count_words, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(p.vocab).collect()
-    return {r["word"]: i for i, r in enumerate(top)}
+    top = counts.orderBy(F.desc("n"), "word")
+    top = top if p.vocab is None else top.limit(p.vocab)
+    return {r["word"]: i for i, r in enumerate(top.collect())}
 
 
 def _pairs(text: str | None, index: dict[str, int]) -> np.ndarray:
@@ -138,7 +152,7 @@ def train(docs: DataFrame, p: Params = Params(), index: dict[str, int] | None =
     """``docs`` (text, is_target); ``index``: their vocabulary, if known."""
     index = vocabulary(docs, p) if index is None else index
     width = len(index) + 2
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # at most p.vocab words
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # as small as the caller's model
     pairs = written(
         docs.select("text", "is_target").mapInArrow(_count_pairs(shared), "key long, target long, background long")
         .groupBy("key").agg(F.sum("target").alias("target"), F.sum("background").alias("background")),
@@ -151,11 +165,11 @@ def train(docs: DataFrame, p: Params = Params(), index: dict[str, int] | None =
         by_context[:, r["h"]] = r["t"], r["b"]
     for r in words.collect():
         by_word[:, r["w"]] = r["t"], r["b"]
-    # The smallest count whose bigrams are within the bound: from the counts'
-    # own histogram, cut where it cannot matter (a bound of p.bigrams rows).
+    # The smallest count whose bigrams are within the caller's bound, if any:
+    # from the counts' own histogram.
     sizes = pairs.groupBy(F.least("background", F.lit(100_000)).alias("n")).agg(F.count("*").alias("m")).collect()
     least, room = 1, p.bigrams
-    for r in sorted(sizes, key=lambda r: -r["n"]):
+    for r in sorted(sizes, key=lambda r: -r["n"]) if room is not None else ():
         room -= r["m"]
         if room < 0:
             least = r["n"] + 1
@@ -200,30 +214,217 @@ def losses(text: str | None, model: Model) -> tuple[int, float, float]:
     return len(keys), float(t), float(b)
 
 
+ROWS = (
+    "kind int, chunk long, at int, x long, y long, t long, b long, ct long, cb long, "
+    "doc_ids array<long>, sizes array<int>, docs binary, pairs binary"
+)
+DOCS, PAIR, WORD_ROW = 0, 1, 2  # kinds of rows, in the order a chunk reads them
+SLICE = 100_000  # rows of a batch that leaves a task
+
+
+def _word_hash(word: str | None) -> int:
+    """Signed 64-bit hash; None is the start of a text (a blank is no word), ""
+    the unknown token."""
+    import xxhash
+
+    raw = b" " if word is None else word.encode("utf-8", "surrogatepass")
+    h = xxhash.xxh64_intdigest(raw)
+    return h - (1 << 64) if h >> 63 else h
+
+
+def _pack(*columns: np.ndarray) -> bytes:
+    raw = np.concatenate([c.astype("<i4") for c in columns]).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(blob: bytes, columns: int) -> np.ndarray:
+    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    return np.frombuffer(raw, "<i4").astype(np.int64).reshape(columns, -1)
+
+
+def _chunk_rows(p: Params, shared):
+    """Per chunk: one row with its documents as bigram numbers, one for each of
+    its bigrams (x context, y word; t target, b background count), one for each
+    of its words (x; t, b counts as a word, ct, cb as a context)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value if shared else None
+        task, seq, size = TaskContext.get().partitionId(), 0, 0
+        index: defaultdict = defaultdict()
+        index.default_factory = index.__len__
+        held: list[tuple] = []
+
+        def table(n: int, chunk: int, **columns) -> Iterator[pa.RecordBatch]:
+            full = {"chunk": np.full(n, chunk, np.int64), **columns}
+            cells = []
+            for f in SCHEMA:
+                v = full.get(f.name)
+                cells.append(pa.nulls(n, f.type) if v is None else pa.array(v, f.type))
+            whole = pa.RecordBatch.from_arrays(cells, schema=SCHEMA)
+            for at in range(0, n, SLICE):
+                yield whole.slice(at, SLICE)
+
+        def flush(chunk: int) -> Iterator[pa.RecordBatch]:
+            sizes = np.array([len(ids) for _, ids, _ in held], np.int64)
+            of = np.repeat(np.arange(len(held)), sizes)
+            w = np.concatenate([ids for _, ids, _ in held]).astype(np.int64)
+            h = np.zeros_like(w)
+            h[1:] = w[:-1]
+            h[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0  # the start of a text
+            good = np.array([g for _, _, g in held], bool)[of]
+            width = len(index)
+            keys, at = np.unique(h * width + w, return_inverse=True)
+            n = max(len(keys), 1)
+            both = np.sort(of * n + at) - of * n  # a document's bigrams, ascending
+            steps = both.copy()
+            steps[1:] -= np.where(of[1:] == of[:-1], both[:-1], 0)
+            t, b = np.bincount(at[good], minlength=len(keys)), np.bincount(at, minlength=len(keys))
+            lh, lw = keys // width, keys % width
+            yield from table(
+                1, chunk, kind=[DOCS], doc_ids=[[i for i, _, _ in held]], sizes=[sizes],
+                docs=[_pack(steps)], pairs=[_pack(np.diff(lh, prepend=0), lw, t, b)],
+            )
+            hashes = np.fromiter(map(_word_hash, index), np.int64, width)
+            yield from table(
+                len(keys), chunk, kind=np.full(len(keys), PAIR), at=np.arange(len(keys)),
+                x=hashes[lh], y=hashes[lw], t=t, b=b,
+            )
+            count = lambda ids, chosen: np.bincount(ids[chosen], minlength=width)
+            every = slice(None)
+            yield from table(
+                width, chunk, kind=np.full(width, WORD_ROW), at=np.arange(width), x=hashes,
+                t=count(w, good), b=count(w, every), ct=count(h, good), cb=count(h, every),
+            )
+
+        for batch in batches:
+            for doc_id, text, good in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "is_target"))):
+                words = tokens(text)
+                if known is not None:
+                    words = [x if x in known else "" for x in words]
+                if not index:
+                    index[None]  # the start of a text is number 0
+                held.append((doc_id, np.fromiter(map(index.__getitem__, words), np.int32, len(words)), bool(good)))
+                size += len(words) + 1
+                if size >= p.chunk:
+                    yield from flush(task << 32 | seq)
+                    held.clear()
+                    index.clear()
+                    seq, size = seq + 1, 0
+        if held:
+            yield from flush(task << 32 | seq)
+
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    SCHEMA = to_arrow_schema(StructType.fromDDL(ROWS))
+    return run
+
+
 OUT = "doc_id long, n_tokens long, target_loss double, background_loss double, ce_difference double"
+SUMS = ("t", "b", "ct", "cb", "dt", "db")
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # size bound: see Params
+def _chunk_losses(p: Params, total: np.ndarray, words: int):
+    """Rows of each chunk (its documents, then sums of bigrams, then of words)
+    -> losses of its documents. ``total``: tokens of both models; ``words``: of
+    the vocabulary with the unknown token."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Model(**shared.value)
-        for b in batches:
-            rows = [losses(t, model) for t in b.column("text").to_pylist()]
-            per = lambda k: [x[k] / x[0] if x[0] else None for x in rows]
-            t, g = per(1), per(2)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    b.column("doc_id"),
-                    pa.array([x[0] for x in rows], pa.int64()),
-                    pa.array(t, pa.float64()),
-                    pa.array(g, pa.float64()),
-                    pa.array([None if x is None else x - y for x, y in zip(t, g)], pa.float64()),
-                ],
-                names=[c.split()[0] for c in OUT.split(", ")],
+        now: dict = {}
+
+        def begin(row: dict) -> None:
+            lh, lw, t, b = _unpack(row["pairs"], 4)
+            lh = np.cumsum(lh)
+            now.clear()
+            now.update(row, lh=lh, lw=lw, n=np.stack([t, b]).astype(float))
+            now["word"] = np.zeros((6, 1 + int(max(lh.max(), lw.max())) if len(lh) else 1))
+
+        def finish() -> pa.RecordBatch:
+            lh, lw, n, word = (now[k] for k in ("lh", "lw", "n", "word"))
+            uni = (word[:2] + 1) / (total[:, None] + words)
+            ctx = np.maximum(word[2:4], 1e-300)
+            left = np.maximum(np.where(word[2:4] > 0, word[4:] / ctx, 1.0), 1e-9)
+            prob = (n - np.minimum(n, p.discount)) / ctx[:, lh] + left[:, lh] * uni[:, lw]
+            loss = -np.log(prob)
+            sizes = np.array(now["sizes"], np.int64)
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            run = np.cumsum(_unpack(now["docs"], 1)[0])
+            first = np.cumsum(sizes) - sizes
+            base = np.concatenate([[0], run])[first]  # what earlier documents add
+            at = run - base[of]
+            empty = sizes == 0
+            mean = [np.bincount(of, loss[m][at], len(sizes)) / np.maximum(sizes, 1) for m in range(2)]
+            cells = [pa.array(x, pa.float64(), mask=empty) for x in (*mean, mean[0] - mean[1])]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(now["doc_ids"], pa.int64()), pa.array(sizes), *cells], names=[c.split()[0] for c in OUT.split(", ")]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, OUT)
+        for b in batches:
+            kind, at = (b.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "at"))
+            sums = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in SUMS]).astype(float)
+            # stretches of one kind; a chunk's documents come first, as one row
+            cut = np.unique(np.concatenate([[0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, np.flatnonzero(kind == DOCS), [len(kind)]]))
+            for x, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
+                if kind[x] == DOCS:
+                    if now:
+                        yield finish()
+                    begin({c: b.column(c)[x].as_py() for c in ("doc_ids", "sizes", "docs", "pairs")})
+                elif kind[x] == PAIR:
+                    now["n"][:, at[x:z].astype(np.int64)] = sums[:2, x:z]
+                else:
+                    now["word"][:, at[x:z].astype(np.int64)] = sums[:, x:z]
+        if now:
+            yield finish()
+
+    return run
+
+
+def score_by_tables(marked: DataFrame, p: Params, index: dict[str, int] | None = None) -> DataFrame:
+    """Scores of ``marked`` (doc_id, text, is_target) under the models of all
+    its words and bigrams; ``index``: the vocabulary, if it is not every word."""
+    shared = marked.sparkSession.sparkContext.broadcast(frozenset(index)) if index is not None else None
+    rows = written(marked.select("doc_id", "text", "is_target").mapInArrow(_chunk_rows(p, shared), ROWS), "chunks")
+    # A bigram's rows: one for each chunk that has it. The lowest chunk's row
+    # stands for the bigram (h), rows of several chunks are answered.
+    same = Window.partitionBy("x", "y")
+    pairs = rows.filter(F.col("kind") == PAIR).select("x", "y", "chunk", "at", "t", "b")
+    summed = pairs.select(
+        "x", "chunk", "at", F.sum("t").over(same).alias("t"), F.sum("b").over(same).alias("b"),
+        F.min("chunk").over(same).alias("lo"), F.max("chunk").over(same).alias("hi"),
+    )
+    many = F.col("lo") < F.col("hi")
+    counts = written(
+        summed.select(
+            F.when(F.col("chunk") == F.col("lo"), F.col("x")).alias("h"),
+            F.when(many, F.col("chunk")).alias("chunk"), F.when(many, F.col("at")).alias("at"), "t", "b",
+        ),
+        "bigrams",
+    )
+    begun = counts.filter("h IS NOT NULL").groupBy(F.col("h").alias("x")).agg(
+        *(F.sum(F.least(F.col(c).cast("double"), F.lit(float(p.discount)))).alias(f"d{c}") for c in "tb")
+    )
+    asked = rows.filter(F.col("kind") == WORD_ROW)
+    words = written(
+        asked.groupBy("x").agg(*(F.sum(c).alias(c) for c in ("t", "b", "ct", "cb")))
+        .join(begun.hint("merge"), "x", "left").fillna(0.0, ["dt", "db"]),
+        "words",
+    )
+    real = F.col("x") != _word_hash(None)
+    seen = words.filter(real).agg(F.count("*").alias("n"), F.sum("t").alias("t"), F.sum("b").alias("b")).first()
+    size = 1 + (seen["n"] if index is None else len(index))  # and the unknown token
+    total = np.array([seen["t"] or 0, seen["b"] or 0], float)
+    none = [F.lit(None).cast(k).alias(c) for c, k in (("doc_ids", "array<long>"), ("sizes", "array<int>"), ("docs", "binary"), ("pairs", "binary"))]
+    zero = lambda *cs: [F.lit(0.0).alias(c) for c in cs]
+    parts = (
+        rows.filter(F.col("kind") == DOCS).select("chunk", "kind", F.lit(0).alias("at"), *zero(*SUMS), "doc_ids", "sizes", "docs", "pairs"),
+        counts.filter("chunk IS NOT NULL").select(
+            "chunk", F.lit(PAIR).alias("kind"), "at", *(F.col(c).cast("double").alias(c) for c in "tb"), *zero(*SUMS[2:]), *none
+        ),
+        asked.select("chunk", "kind", "at", "x").join(words.hint("merge"), "x")
+        .select("chunk", "kind", "at", *(F.col(c).cast("double").alias(c) for c in SUMS), *none),
+    )
+    chunks = parts[0].union(parts[1]).union(parts[2]).repartition("chunk").sortWithinPartitions("chunk", "kind")
+    return chunks.mapInArrow(_chunk_losses(p, total, size), OUT)
 
 
 def cross_entropy_difference(documents: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
@@ -232,7 +433,7 @@ def cross_entropy_difference(documents: DataFrame, labels: DataFrame, p: Params
     docs = pick(documents, doc_id="doc_id", text="text")
     good = pick(labels, doc_id="doc_id", quality="quality").filter("quality = 1 AND doc_id IS NOT NULL")
     # Labels grow with the documents: one join strategy at every size, not a
-    # broadcast that stops fitting. The vocabulary needs no join.
+    # broadcast that stops fitting.
     target = good.select("doc_id", F.lit(True).alias("is_target")).distinct().hint("merge")
     marked = docs.join(target, "doc_id", "left")
-    return score(docs, train(marked, p, vocabulary(docs, p)))
+    return score_by_tables(marked, p, None if p.vocab is None else vocabulary(docs, p))

@@ -474,6 +474,29 @@ def test_cross_entropies_match_brute_force(spark):
         assert math.isclose(got[i].ce_difference, loss[0] - loss[1], abs_tol=1e-4)
 
 
+def test_every_word_and_bigram_scores(spark):
+    rng = random.Random(12)
+    rows = [(i, " ".join(f"w{rng.randrange(60_000)} the" for _ in range(300))) for i in range(120)]
+    rows += [(200, rows[0][1]), (None, rows[1][1]), (201, None), (202, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 120, 3)], "doc_id long, quality int")
+    every = lmscore.Params(vocab=100_000, bigrams=10**9)
+    marked = docs.withColumn("is_target", F.coalesce(F.col("doc_id").isin([*range(0, 120, 3)]), F.lit(False)))
+    model = lmscore.train(marked, every)
+    assert len(model.index) > 20_000
+    want = sorted((str(i), *lmscore.losses(t, model)) for i, t in rows)
+    # as one chunk a task and in several: bigrams of one chunk and of many
+    for params in (lmscore.Params(), lmscore.Params(chunk=4_000)):
+        got = sorted((str(r.doc_id), r) for r in lmscore.cross_entropy_difference(docs, labels, params).collect())
+        assert len(got) == len(want)
+        for (i, r), (j, n, t, b) in zip(got, want):
+            assert (i, r.n_tokens) == (j, n)
+            if n:
+                assert math.isclose(r.target_loss, t / n, rel_tol=1e-5) and math.isclose(r.background_loss, b / n, rel_tol=1e-5)
+            else:
+                assert r.target_loss is None and r.background_loss is None and r.ce_difference is None
+
+
 def test_pruned_model_backs_off(spark):
     docs = table(spark, SMALL, "documents").select("text", F.lit(True).alias("is_target"))
     model = lmscore.train(docs, lmscore.Params(vocab=200, bigrams=100))
