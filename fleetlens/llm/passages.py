@@ -10,10 +10,9 @@ in every document. Words are lower-cased, shingles have five words.
    1 - 0.2^bands (0.992 for three). One grouped minimum and maximum a bucket,
    pre-aggregated, tells which buckets hold two texts or two documents.
 2. The keys of those buckets, as a filter of fixed size, let a second pass
-   over the texts write only paragraphs that can matter, with their shingles:
-   those in a stretch of filtered neighbours of at least ``min_words`` words,
-   as any passage is part of one (a paragraph that repeats, but alone in
-   other text, is no occurrence).
+   over the texts write only paragraphs that can matter, with their shingles.
+   The filter saves work and decides nothing: what it lets through in vain
+   belongs to no bucket and is dropped with the classes.
 3. Distinct texts of a bucket are joined by prefix filtering on their rarest
    shingles, with an exact Jaccard check; no pair within one component is
    looked at twice and only links leave the bucket.
@@ -208,15 +207,6 @@ UNITS = (
 )
 
 
-def stretches(hit: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
-    """Places of the hits whose unbroken stretch of hits has ``least`` words."""
-    at = np.flatnonzero(hit)
-    if not len(at):
-        return at
-    run = np.cumsum(np.concatenate([[0], np.diff(at) > 1]))
-    return at[np.bincount(run, sizes[at])[run] >= least]
-
-
 def _unit_rows(p: Params, shared):
     """Paragraphs in a bucket of the filter, with places and shingles."""
 
@@ -229,7 +219,7 @@ def _unit_rows(p: Params, shared):
             cols = (b.column(c).to_pylist() for c in ("doc_id", "dk", "text"))
             for doc_id, dk, text in zip(*cols):
                 s, th, bands, sh = cutter.cut(text)
-                hit = stretches(_in_filter(words, bands, p.filter_bits).any(axis=1), np.diff(s), p.min_words)
+                hit = np.flatnonzero(_in_filter(words, bands, p.filter_bits).any(axis=1))
                 if not len(hit):
                     continue
                 spans = [m.span() for m in WORD_RE.finditer(text)]

@@ -290,6 +290,19 @@ def test_planted_passages_are_cut_and_clean_documents_left(spark):
         assert out[i].n_chars == len(out[i].text)
 
 
+def test_isolated_repeats_are_occurrences(spark):
+    """A passage made of paragraphs that repeat elsewhere one by one, between
+    other text: the same result with the exact filter and a saturated one."""
+    rng = random.Random(9)
+    lines = [prose(rng, 8) for _ in range(5)]
+    rows = [(0, "\n".join(lines))]
+    rows += [(1 + i, f"{prose(rng, 60)}\n{x}\n{prose(rng, 60)}") for i, x in enumerate(lines)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for bits in (27, 6):
+        found = passages.passage_rows(df, passages.Params(radius=200, filter_bits=bits)).collect()  # cut at line ends only
+        assert [r.doc_id for r in found] == [0] and found[0].n_words >= 25
+
+
 # -------------------------------------------------------------- 7 order minhash
 
 
