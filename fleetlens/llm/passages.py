@@ -1,9 +1,12 @@
 """Repeated passages across documents, by MinHash banding of paragraphs.
 
-Paragraphs. Lines are paragraphs; long lines are cut further where the words
-themselves say so (a local minimum of a hash of three words within ``radius``
-words), so a passage pasted into the middle of a line is cut at the same places
-in every document. Words are lower-cased, shingles have five words.
+Paragraphs. Every line is compared whole with every other line, whatever its
+length. In addition lines are cut where the words themselves say so (a local
+minimum of a hash of three words within ``radius`` words), so a passage pasted
+into the middle of a line is cut at the same places in every document; these
+fragments are short and match where the words are the same. Lines are compared
+with lines, fragments with fragments; both are called paragraphs below. Words
+are lower-cased, shingles have five words.
 
 1. Every paragraph gets a text hash and ``bands`` MinHash values, one a band:
    two paragraphs of Jaccard 0.8 share a band with probability
@@ -17,7 +20,9 @@ in every document. Words are lower-cased, shingles have five words.
    shingles, with an exact Jaccard check; no pair within one component is
    looked at twice and only links leave the bucket.
 4. Components of the links are classes. A class that lies in two documents or
-   more is repeated; its first occurrence (smallest id, then place) stays.
+   more is repeated; its first occurrence (smallest id, then place) stays. Of
+   fragments it is the first outside the lines that go; a line that stays loses
+   only stretches of ``min_words`` words.
 5. Neighbouring repeated paragraphs of a document form a passage; passages of
    at least ``min_words`` words are results.
 
@@ -45,6 +50,7 @@ from .components import connected_components
 U = np.uint64
 TOP = U(0xFFFFFFFFFFFFFFFF)
 BASE, BASE_INV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+LINE = U(0xC2B2AE3D27D4EB4F)
 WORD_RE = re.compile(WORD)
 
 
@@ -54,7 +60,7 @@ class Params:
     similarity: float = 0.8
     bands: int = 3
     radius: int = 4
-    longest: int = 64  # words of a paragraph
+    longest: int = 64  # words of a fragment
     min_words: int = 25
     filter_bits: int = 27  # log2 of the bits of the bucket filter
     seed: int = 97
@@ -83,9 +89,13 @@ class Cutter:
                 self.inv = np.cumprod(np.concatenate([[U(1)], np.full(size, U(BASE_INV))]))
 
     def cut(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(first word of each paragraph and the end, text hashes, band values
-        (paragraphs, bands), shingle hashes by word with TOP where a shingle
-        would leave its paragraph)."""
+        """(first word of each fragment and the end, text hashes, band values
+        (fragments, bands), shingle hashes by word with TOP where a shingle
+        would leave its fragment)."""
+        return self.both(text)[0]
+
+    def both(self, text: str | None) -> tuple[tuple, tuple]:
+        """The fragments of a text as in :meth:`cut`, and its lines likewise."""
         import xxhash
 
         digest = xxhash.xxh64_intdigest
@@ -96,11 +106,14 @@ class Cutter:
         n, k, r = len(words), self.p.shingle, self.p.radius
         if not n:
             none = np.empty(0, U)
-            return np.zeros(1, np.int64), none, np.empty((0, self.p.bands), U), none
+            nothing = np.zeros(1, np.int64), none, np.empty((0, self.p.bands), U), none
+            return nothing, nothing
         w = np.fromiter(map(digest, words), U, n)
         self._powers(n + 1)
         with np.errstate(over="ignore"):
-            start = [np.array(ends[:-1], np.int64)]
+            lines = np.unique(np.concatenate([[0], np.array(ends[:-1], np.int64)]))
+            lines = lines[lines < n]
+            s = lines
             if n > 2 * r:
                 g = w.copy()
                 g[1:] += w[:-1] * U(0xD6E8FEB86659FD93)
@@ -111,32 +124,35 @@ class Cutter:
                     low[d:] &= g[d:] < g[:-d]
                     low[:-d] &= g[:-d] < g[d:]
                 low[:r] = low[n - r :] = False
-                start.append(np.flatnonzero(low))
-            s = np.unique(np.concatenate([[0], *start]))
-            s = s[s < n]
+                s = np.union1d(lines, np.flatnonzero(low))
             e = np.append(s[1:], n)
             if (e - s > self.p.longest).any():
                 s = np.concatenate([np.arange(a, b, self.p.longest) for a, b in zip(s.tolist(), e.tolist())])
-                e = np.append(s[1:], n)
             total = np.concatenate([[U(0)], np.cumsum(w * self.inv[:n])])
-            size = e - s
-            th = _mix((total[e] - total[s]) * self.pow[e] + size.astype(U))
             sh = np.full(n, TOP)
             if n >= k:
                 h = np.zeros(n - k + 1, U)
                 for d in range(k):
                     h = h * U(BASE) + w[d : n - k + 1 + d]
                 sh[: n - k + 1] = np.minimum(_mix(h), TOP - U(1))
-            after = np.repeat(e, size) - np.arange(n)
-            sh[after < k] = TOP
-            short = size < k
-            sh[s[short]] = np.minimum(th[short], TOP - U(1))
-            bands = np.empty((len(s), self.p.bands), U)
-            for i, key in enumerate(self.keys):
-                v = _mix(sh ^ key)
-                v[sh == TOP] = TOP
-                low_v = np.minimum.reduceat(v, s)
-                bands[:, i] = _mix(low_v + U(i))
+            return self._hashed(s, n, total, sh, U(0)), self._hashed(lines, n, total, sh, LINE)
+
+    def _hashed(self, s: np.ndarray, n: int, total: np.ndarray, sh: np.ndarray, kind: np.uint64) -> tuple:
+        """Paragraphs that start at ``s``; ``kind`` keeps the hashes of lines
+        and of fragments apart."""
+        k, e = self.p.shingle, np.append(s[1:], n)
+        size, sh = e - s, sh.copy()
+        th = _mix((total[e] - total[s]) * self.pow[e] + size.astype(U) + kind)
+        after = np.repeat(e, size) - np.arange(n)
+        sh[after < k] = TOP
+        short = size < k
+        sh[s[short]] = np.minimum(th[short], TOP - U(1))
+        bands = np.empty((len(s), self.p.bands), U)
+        for i, key in enumerate(self.keys):
+            v = _mix(sh ^ key)
+            v[sh == TOP] = TOP
+            low_v = np.minimum.reduceat(v, s)
+            bands[:, i] = _mix(low_v + U(i) + kind)
         return np.append(s, n), th, bands, sh
 
 
@@ -149,10 +165,10 @@ def _band_rows(p: Params):
         for b in batches:
             ths, bands, dks = [], [], []
             for text, dk in zip(b.column("text").to_pylist(), b.column("dk").to_pylist()):
-                s, th, bd, _ = cutter.cut(text)
-                ths.append(th)
-                bands.append(bd)
-                dks.append(np.full(len(th), dk, np.int64))
+                for _, th, bd, _ in cutter.both(text):
+                    ths.append(th)
+                    bands.append(bd)
+                    dks.append(np.full(len(th), dk, np.int64))
             th, dk = np.concatenate(ths).view(np.int64), np.concatenate(dks)
             bd = np.concatenate(bands).view(np.int64)
             order = np.lexsort((dk, th))
@@ -202,34 +218,38 @@ def _in_filter(words: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
 
 
 UNITS = (
-    "doc_id long, dk long, ord int, from_char int, to_char int, n_words int, th long, "
-    "bands array<long>, shingles array<long>"
+    "doc_id long, dk long, line boolean, ord int, until int, from_char int, to_char int, "
+    "from_word int, n_words int, th long, bands array<long>, shingles array<long>"
 )
 
 
 def _unit_rows(p: Params, shared):
-    """Paragraphs in a bucket of the filter, with places and shingles."""
+    """Paragraphs in a bucket of the filter, with places and shingles. ``ord``
+    and ``until`` number fragments: a line goes over several."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, words = Cutter(p), np.frombuffer(shared.value, U)
         names = [c.split()[0] for c in UNITS.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), *[pa.int32()] * 6, pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         for b in batches:
             rows: list[tuple] = []
             cols = (b.column(c).to_pylist() for c in ("doc_id", "dk", "text"))
             for doc_id, dk, text in zip(*cols):
-                s, th, bands, sh = cutter.cut(text)
-                hit = np.flatnonzero(_in_filter(words, bands, p.filter_bits).any(axis=1))
-                if not len(hit):
-                    continue
-                spans = [m.span() for m in WORD_RE.finditer(text)]
-                for i in hit.tolist():
-                    a, z = int(s[i]), int(s[i + 1])
-                    own = np.unique(sh[a:z])
-                    rows.append(
-                        (doc_id, dk, i, spans[a][0], spans[z - 1][1], z - a, int(th[i].view(np.int64)),
-                         bands[i].view(np.int64), own[own != TOP].view(np.int64))
-                    )
+                both = cutter.both(text)
+                at, spans = both[0][0], None
+                for line, (s, th, bands, sh) in enumerate(both):
+                    hit = np.flatnonzero(_in_filter(words, bands, p.filter_bits).any(axis=1))
+                    if not len(hit):
+                        continue
+                    spans = spans or [m.span() for m in WORD_RE.finditer(text)]
+                    first = np.searchsorted(at, s)
+                    for i in hit.tolist():
+                        a, z = int(s[i]), int(s[i + 1])
+                        own = np.unique(sh[a:z])
+                        rows.append(
+                            (doc_id, dk, bool(line), int(first[i]), int(first[i + 1]), spans[a][0], spans[z - 1][1],
+                             a, z - a, int(th[i].view(np.int64)), bands[i].view(np.int64), own[own != TOP].view(np.int64))
+                        )
                 if len(rows) > 50_000:
                     yield _batch(rows, names, kinds)
                     rows = []
@@ -308,9 +328,10 @@ def _doc_key(id_col: Column, text: Column) -> Column:
     return F.xxhash64(F.lit(3), id_col, text)
 
 
-def repeated_paragraphs(df: DataFrame, p: Params = Params()) -> DataFrame:
-    """Paragraphs of classes that lie in two documents or more: doc_id, dk,
-    ord, from_char, to_char, n_words, class, keep (its first occurrence)."""
+def _repeated(df: DataFrame, p: Params) -> DataFrame:
+    """Lines and fragments of classes that lie in two documents or more:
+    doc_id, dk, line, ord, until, from_char, to_char, from_word, n_words,
+    class, keep (its first occurrence)."""
     spark = df.sparkSession
     docs = pick(df, doc_id="doc_id", text="text").withColumn("dk", _doc_key(F.col("doc_id"), F.col("text")))
     buckets = written(
@@ -347,15 +368,43 @@ def repeated_paragraphs(df: DataFrame, p: Params = Params()) -> DataFrame:
     ).drop("th", "first")
 
 
+def repeated_paragraphs(df: DataFrame, p: Params = Params()) -> DataFrame:
+    """Fragments of classes that lie in two documents or more: doc_id, dk,
+    ord, from_char, to_char, n_words, class, keep (its first occurrence)."""
+    return _repeated(df, p).filter("NOT line").drop("line", "until", "from_word")
+
+
 def passages(df: DataFrame, p: Params = Params()) -> DataFrame:
     """One row for each repeated passage of a document: doc_id, dk, passage
     (its first paragraph), from_char, to_char, n_words, removed_words, cuts
-    (character spans to remove), first_doc_id, component_id (the class of its
-    first paragraph)."""
-    hit = repeated_paragraphs(df, p).repartition("dk").dropDuplicates(["dk", "ord"])
-    home = Window.partitionBy("dk").orderBy("ord")
-    isle = hit.withColumn("isle", F.col("ord") - F.row_number().over(home))
-    cut = F.when(~F.col("keep"), F.struct("from_char", "to_char"))
+    (character spans to remove, they may overlap), component_id (the class of
+    its first paragraph)."""
+    hit = written(_repeated(df, p).repartition("dk").dropDuplicates(["dk", "line", "ord"]), "repeated")
+    lines, fragments = hit.filter("line"), hit.filter("NOT line")
+    # Fragments in lines that go are part of them; of the others the first of a
+    # class stays. A line that stays loses only whole passages, no odd words.
+    over = lines.select("dk", F.explode(F.expr("sequence(ord, until - 1)")).alias("ord"), F.col("keep").alias("stays"))
+    alone = fragments.drop("keep").join(over.hint("merge"), ["dk", "ord"], "left").filter("stays IS NULL OR stays")
+    place = F.struct("doc_id", "dk", "ord")
+    firsts = alone.groupBy("class").agg(F.min(place).alias("first"))
+    alone = alone.join(firsts.hint("merge"), "class").withColumn("keep", F.col("first").eqNullSafe(place))
+    alone = alone.withColumn("run", F.col("ord") - F.row_number().over(Window.partitionBy("dk", "keep").orderBy("ord")))
+    run_words = F.sum("n_words").over(Window.partitionBy("dk", "keep", "run"))
+    odd = F.coalesce("stays", F.lit(False)) & (run_words < p.min_words)
+    alone = alone.withColumn("keep", F.col("keep") | odd).drop("first", "stays", "run")
+    both = lines.unionByName(alone)
+    to_word = F.col("from_word") + F.col("n_words")
+    home = Window.partitionBy("dk").orderBy("ord", F.desc("until"), "line")
+    before = home.rowsBetween(Window.unboundedPreceding, -1)
+    out = ~F.col("keep")
+    marked = both.withColumns(
+        {
+            "starts": (F.col("ord") > F.coalesce(F.max("until").over(before), F.lit(-1))).cast("int"),
+            "own": F.when(out, F.greatest(F.lit(0), to_word - F.greatest("from_word", F.coalesce(F.max(F.when(out, to_word)).over(before), F.lit(0))))).otherwise(0),
+        }
+    )
+    isle = marked.withColumn("isle", F.sum("starts").over(home.rowsBetween(Window.unboundedPreceding, 0)))
+    cut = F.when(out, F.struct("from_char", "to_char"))
     return (
         isle.groupBy("dk", "isle")
         .agg(
@@ -363,10 +412,10 @@ def passages(df: DataFrame, p: Params = Params()) -> DataFrame:
             F.min("ord").alias("passage"),
             F.min("from_char").alias("from_char"),
             F.max("to_char").alias("to_char"),
-            F.sum("n_words").cast("long").alias("n_words"),
-            F.sum(F.when(F.col("keep"), 0).otherwise(F.col("n_words"))).cast("long").alias("removed_words"),
+            (F.max(to_word) - F.min("from_word")).cast("long").alias("n_words"),
+            F.sum("own").cast("long").alias("removed_words"),
             F.sort_array(F.collect_list(cut)).alias("cuts"),
-            F.min_by("class", "ord").alias("component_id"),
+            F.min_by("class", F.struct("ord", -F.col("until"))).alias("component_id"),
         )
         .filter(F.col("n_words") >= p.min_words)
         .drop("isle")
@@ -409,13 +458,13 @@ def without_repeats(df: DataFrame, p: Params = Params()) -> DataFrame:
 
 
 def cut_out(text: str, spans: list[tuple[int, int]]) -> str:
-    """``text`` without the spans; what stood between neighbours goes too if
-    it is white space only."""
+    """``text`` without the spans, which may overlap; what stood between
+    neighbours goes too if it is white space only."""
     out, at = [], 0
     for a, b in sorted(spans):
         between = text[at:a]
         if between.strip() or not out:
             out.append(between)
-        at = b
+        at = max(at, b)
     out.append(text[at:])
     return "".join(out)

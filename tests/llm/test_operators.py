@@ -303,6 +303,30 @@ def test_isolated_repeats_are_occurrences(spark):
         assert [r.doc_id for r in found] == [0] and found[0].n_words >= 25
 
 
+def test_near_equal_lines_match_all_pairs_of_lines(spark):
+    rng = random.Random(10)
+    rows, pairs = [], []
+    for i in range(120):
+        n = rng.choice([45, 50, 60, 63, 64, 70, 100, 300])
+        line = prose(rng, n).split()
+        other = list(line)
+        other[rng.randrange(n)] = "changed"
+        if i % 4 == 0:
+            other += ["added", "words"]
+        rows += [(2 * i, f"{prose(rng, 90)}\n{' '.join(line)}\n{prose(rng, 90)}"), (2 * i + 1, " ".join(other))]
+        sets = [{tuple(x[j : j + 5]) for j in range(len(x) - 4)} for x in (line, other)]
+        if len(sets[0] & sets[1]) >= 0.8 * len(sets[0] | sets[1]):
+            pairs.append((i, len(line), len(other), " ".join(line), " ".join(other)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r for r in passages.passage_rows(df).collect()}
+    whole = [i for i, n, m, _, _ in pairs if all(x in found for x in (2 * i, 2 * i + 1)) and found[2 * i].n_words >= n and found[2 * i + 1].removed_words == m]
+    assert len(pairs) > 90 and len(whole) >= 0.97 * len(pairs)
+    out = {r.doc_id: r.text for r in passages.without_repeats(df).collect()}
+    for i in whole:
+        line = next(x[3] for x in pairs if x[0] == i)
+        assert line in out[2 * i] and out[2 * i + 1] == ""
+
+
 # -------------------------------------------------------------- 7 order minhash
 
 
