@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fim, langid, lmscore, mixing, ordermin, passages, quality, simhash, spm, toxicity, warc
+from . import fim, langid, lmscore, mixing, ordermin, passages, quality, simhash, spm, toxicity, warc, whiten
 from .common import fold, table
 from .oracle import ORACLE_SQL
 
@@ -61,6 +61,10 @@ def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
     return fim.fill_in_middle_digest(table(spark, sf, "documents"))
 
 
+def op13_embedding_whitening(spark: SparkSession, sf: str) -> DataFrame:
+    return whiten.whitened_rows(table(spark, sf, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_simhash_near_dedup": op2_simhash_near_dedup,
@@ -73,4 +77,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_source_mixing": op9_source_mixing,
     "op10_lm_scoring": op10_lm_scoring,
     "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }
