@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fim, langid, lmscore, mixing, ordermin, passages, quality, simhash, spm, toxicity, warc, whiten
+from . import fim, langid, lmscore, mixing, ngramjoin, ordermin, passages, quality, simhash, spm, toxicity, warc, whiten
 from .common import fold, table
 from .oracle import ORACLE_SQL
 
@@ -57,6 +57,10 @@ def op10_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
     return lmscore.cross_entropy_difference(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op11_ngram_jaccard(spark: SparkSession, sf: str) -> DataFrame:
+    return ngramjoin.jaccard_classes(table(spark, sf, "documents"))
+
+
 def op12_fill_in_middle(spark: SparkSession, sf: str) -> DataFrame:
     return fim.fill_in_middle_digest(table(spark, sf, "documents"))
 
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_source_mixing": op9_source_mixing,
     "op10_lm_scoring": op10_lm_scoring,
+    "op11_ngram_jaccard": op11_ngram_jaccard,
     "op12_fill_in_middle": op12_fill_in_middle,
     "op13_embedding_whitening": op13_embedding_whitening,
 }
