@@ -38,6 +38,8 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--max-offsets-per-trigger", type=int, help="Kafka input: records a micro-batch (required)")
     ap.add_argument("--state-partitions", type=int, default=64,
                     help="state stores of each stateful step; fixed by its first checkpoint")
+    ap.add_argument("--offgrid-clock", choices=["processing", "event"], default="processing",
+                    help="event: silence is judged on event time, also with --once")
     args = ap.parse_args(argv)
     if args.kafka and not args.max_offsets_per_trigger:
         ap.error("--kafka needs --max-offsets-per-trigger: it bounds the rows a stateful step gathers")
@@ -65,12 +67,13 @@ def main(argv: list[str] | None = None) -> None:
         )
     trigger = {"availableNow": True} if args.once else {"processingTime": "1 second"}
     queries = jobs.start_all(
-        locs, fares, args.out, settings, trigger=trigger, name_prefix=args.name_prefix, kafka_bootstrap=args.kafka
-    )
-    if args.once:
+        locs, fares, args.out, settings, trigger=trigger, name_prefix=args.name_prefix, kafka_bootstrap=args.kafka,
+        offgrid_clock=args.offgrid_clock,
+    )
+    if args.once and args.offgrid_clock == "processing":
         print(
-            "fleetlens: off-grid alerts need running ticks and are left out with --once; "
-            "their batch form is operators.offgrid.tick_alerts",
+            "fleetlens: off-grid alerts on the wall clock need running ticks and are left out with --once; "
+            "--offgrid-clock event raises them on event time",
             file=sys.stderr,
         )
     for q in queries.values():

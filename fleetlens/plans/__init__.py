@@ -1,4 +1,8 @@
-from fleetlens.plans.catalog import FLAGSHIP, QUERIES
+from fleetlens.plans.catalog import FLAGSHIP
+from fleetlens.plans.catalog import QUERIES as BATCH_QUERIES
 from fleetlens.plans.oracle import ORACLE_SQL
+from fleetlens.plans.replays import REPLAYS
 
-__all__ = ["FLAGSHIP", "QUERIES", "ORACLE_SQL"]
+QUERIES = {**BATCH_QUERIES, **REPLAYS}
+
+__all__ = ["BATCH_QUERIES", "FLAGSHIP", "ORACLE_SQL", "QUERIES", "REPLAYS"]

@@ -388,3 +388,46 @@ ORACLE_SQL: dict[str, str] = {
            FROM fares WHERE status = 'FAILED'"""
     ),
 }
+
+# The replays of the streams give what the batch rules give.
+_OCCUPANCY_STATE = (
+    _OCCUPANCY_FOLD
+    + """SELECT routeId, arg_max(routeName, rn) AS routeName, arg_max(currentPassengers, rn) AS currentPassengers,
+                arg_max(totalBoardings, rn) AS totalBoardings, arg_max(totalAlightings, rn) AS totalAlightings
+         FROM fold GROUP BY routeId"""
+)
+ORACLE_SQL.update(
+    {
+        "revenue_replay": ORACLE_SQL["sacco_revenue_emitted"],
+        "late_fares_replay": ORACLE_SQL["late_fares"],
+        "open_windows_replay": _q(
+            """SELECT a.saccoId, CAST(sum(a.amountKes) AS DECIMAL(18, 2)) AS totalRevenueKes,
+                      count(*) AS transactionCount, make_timestamp(a.start_us) AS windowStart,
+                      make_timestamp(a.start_us + 3600000000) AS windowEnd, make_timestamp(max(f.final_us)) AS streamTime
+               FROM fare_audit a
+               JOIN (SELECT saccoId, max(epoch_us("timestamp")) AS final_us FROM succ GROUP BY saccoId) f
+                 ON a.saccoId = f.saccoId
+               WHERE a.start_us + 3600000000 + 300000000 > f.final_us
+               GROUP BY a.saccoId, a.start_us"""
+        ),
+        "offgrid_replay": ORACLE_SQL["offgrid_tick_alerts"],
+        "last_seen_state": ORACLE_SQL["last_seen"],
+        "delta_replay": _q(
+            """SELECT matatuId, routeId, routeName, passengerDelta, greatest(0, passengerDelta) AS boardings,
+                      greatest(0, -passengerDelta) AS alightings, "timestamp", eventId
+               FROM deltas"""
+        ),
+        "occupancy_replay": _q(
+            _OCCUPANCY_FOLD
+            + """SELECT routeId, routeName, currentPassengers, totalBoardings, totalAlightings, "timestamp", eventId
+                 FROM fold"""
+        ),
+        "route_totals_state": _q(_OCCUPANCY_STATE),
+        "vehicle_counts_state": _q(
+            """SELECT matatuId, arg_max(routeId, ("timestamp", eventId)) AS routeId,
+                      arg_max(passengersOnboard, ("timestamp", eventId)) AS lastPassengerCount
+               FROM locations GROUP BY matatuId"""
+        ),
+        "occupancy_table": ORACLE_SQL["route_occupancy"],
+    }
+)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -98,6 +99,24 @@ def checkpoint_path(spark: SparkSession, name: str) -> str:
     return os.path.join(checkpoint_root(spark), name)
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """``name`` below the shared checkpoint folder, made now and removed when
+    the driver's JVM ends. Only a local master without the setting (tests) gets
+    a folder of its own; elsewhere the missing setting is an error."""
+    if not _configured_root(spark) and _one_machine(spark.sparkContext.master):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+    path = f"{checkpoint_root(spark)}/{name}"
+    hadoop_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop_path)
+    fs.deleteOnExit(hadoop_path)
+    return path
+
+
+def _one_machine(master: str) -> bool:
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def cut_lineage(df, name: str = "stage"):
     """Write ``df`` as a Parquet table in the shared checkpoint folder and
     return a DataFrame reading it back.

@@ -19,7 +19,7 @@ from fleetlens.schemas import OFFGRID_ALERT, ROUTE_OCCUPANCY, SACCO_REVENUE_WIND
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.sources import codec
 from fleetlens.sources.dimension import sacco_dim
-from fleetlens.streaming import sinks
+from fleetlens.streaming import event_offgrid, fanout, sinks, stream_time
 from fleetlens.streaming.sources import OUTPUT_TOPICS
 from fleetlens.streaming.processors import (
     CHUNK_SUMMARY_OUT,
@@ -220,6 +220,53 @@ def keyed_sink(flow: str, out: str, fmt: str, kafka_bootstrap: str | None) -> di
     return dict(fmt=fmt, path=f"{out}/{flow}")
 
 
+def _writer(flow: str, out: str, fmt: str, kafka_bootstrap: str | None):
+    if kafka_bootstrap:
+        return fanout.to_topic(kafka_bootstrap, OUTPUT_TOPICS[flow])
+    return fanout.to_folder(f"{out}/{flow}", fmt)
+
+
+def location_readers(out: str, settings: JobSettings, fmt: str = "json", kafka_bootstrap: str | None = None) -> list[fanout.Reader]:
+    """The narrow flows over pings; every one sees the records parsed once."""
+
+    def keyed(flow: str, rows, key: str, fields: list[str]) -> fanout.Reader:
+        published = lambda b: sinks.keyed_records(rows(validated(b, "location")[0]), key, fields)
+        return fanout.Reader(flow, published, _writer(flow, out, fmt, kafka_bootstrap))
+
+    valid = lambda rows: lambda b: rows(validated(b, "location")[0])
+    return [
+        keyed("speed_alerts", lambda v: speed_alert_flow(v, settings), "routeId", codec.LOCATION_FIELDS),
+        keyed("location_enriched", lambda v: enrichment_flow(v, settings), "routeId", ENRICHED_FIELDS),
+        fanout.Reader("location_quarantine", lambda b: validated(b, "location")[1], fanout.to_folder(f"{out}/location_quarantine", fmt)),
+        fanout.Reader("location_audit", valid(stateless.location_audit), fanout.to_folder(f"{out}/location_audit", "parquet", ("eventDate",))),
+        fanout.Reader("display_board", valid(display_board_flow), fanout.to_folder(f"{out}/display_board", fmt)),
+    ]
+
+
+def fare_readers(out: str, fmt: str = "json", kafka_bootstrap: str | None = None) -> list[fanout.Reader]:
+    """The narrow flows over fares."""
+    failed = lambda b: sinks.keyed_records(routing.failed_fares(validated(b, "fare")[0]), "matatuId", codec.FARE_FIELDS)
+    return [
+        fanout.Reader("fares_failed", failed, _writer("fares_failed", out, fmt, kafka_bootstrap)),
+        fanout.Reader("fare_quarantine", lambda b: validated(b, "fare")[1], fanout.to_folder(f"{out}/fare_quarantine", fmt)),
+        fanout.Reader("fare_log", lambda b: fare_log_flow(validated(b, "fare")[0]), fanout.to_folder(f"{out}/fare_log", fmt)),
+    ]
+
+
+def revenue_readers(out: str, settings: JobSettings, fmt: str = "json", kafka_bootstrap: str | None = None) -> list[fanout.Reader]:
+    """The outputs of the stream-time revenue flow: windows that closed, as
+    published records, and the fares dropped as late."""
+
+    def closed(tagged: DataFrame) -> DataFrame:
+        rows = stream_time.closed_windows(tagged, settings).withColumn("computedAt", F.current_timestamp())
+        return sinks.keyed_records(rows, "saccoId", REVENUE_FIELDS)
+
+    return [
+        fanout.Reader("sacco_revenue", closed, _writer("sacco_revenue", out, fmt, kafka_bootstrap)),
+        fanout.Reader("late_fares", lambda b: stream_time.late_fares(b, settings), fanout.to_folder(f"{out}/late_fares", fmt)),
+    ]
+
+
 def start_all(
     locations: DataFrame,
     fares: DataFrame,
@@ -229,14 +276,20 @@ def start_all(
     fmt: str = "json",
     name_prefix: str = "",
     kafka_bootstrap: str | None = None,
+    offgrid_clock: str = "processing",
 ) -> dict[str, StreamingQuery]:
-    """Every flow as its own query (own checkpoint, own progress).
-
-    Query names (and so checkpoint folders) are ``name_prefix + flow``; keep
-    the prefix stable across restarts to resume, change it for a fresh run.
-    Keyed outputs go to ``out_root/<flow>`` as JSON records, or to the flow's
-    topic when ``kafka_bootstrap`` is given. The off-grid detector needs
-    processing-time ticks and runs only under a ``processingTime`` trigger.
+    """Every flow over the two inputs.
+
+    The narrow flows of an input share one query and one parse
+    (``streaming.fanout``), each with its own place in the ledger; the stateful
+    flows are queries of their own. Query names (and so checkpoint folders) are
+    ``name_prefix + flow``; keep the prefix stable across restarts to resume,
+    change it for a fresh run. Keyed outputs go to ``out_root/<flow>`` as JSON
+    records, or to the flow's topic when ``kafka_bootstrap`` is given; the
+    outputs of shared queries stand in ``batch_id=`` folders. The wall-clock
+    off-grid detector needs processing-time ticks and runs only under a
+    ``processingTime`` trigger; ``offgrid_clock="event"`` runs the event-time
+    detector under any.
     """
     out = out_root.rstrip("/")
     common = dict(trigger=trigger)
@@ -245,32 +298,29 @@ def start_all(
         sink = keyed_sink(flow, out, fmt, kafka_bootstrap)
         return sinks.start_keyed(df, key, fields, name_prefix + flow, **sink, **common)
 
-    def plain(flow: str, df: DataFrame, **kw) -> StreamingQuery:
-        kw = {"fmt": fmt, **kw}
-        return sinks.start(df, name_prefix + flow, path=f"{out}/{flow}", **common, **kw)
-
-    locs, bad_locs = validated(locations, "location")
-    fs, bad_fares = validated(fares, "fare")
+    locs, _ = validated(locations, "location")
+    fs, _ = validated(fares, "fare")
     q = {
-        "speed_alerts": keyed("speed_alerts", speed_alert_flow(locs, settings), "routeId", codec.LOCATION_FIELDS),
-        "location_enriched": keyed("location_enriched", enrichment_flow(locs, settings), "routeId", ENRICHED_FIELDS),
-        "fares_failed": keyed("fares_failed", routing.failed_fares(fs), "matatuId", codec.FARE_FIELDS),
+        "location_readers": fanout.start(
+            locations, location_readers(out, settings, fmt, kafka_bootstrap), name_prefix + "location_readers", **common
+        ),
+        "fare_readers": fanout.start(fares, fare_readers(out, fmt, kafka_bootstrap), name_prefix + "fare_readers", **common),
+        "sacco_revenue": fanout.start(
+            stream_time.revenue_flow(fs, settings),
+            revenue_readers(out, settings, fmt, kafka_bootstrap),
+            name_prefix + "sacco_revenue",
+            **common,
+        ),
         "route_occupancy": keyed(
             "route_occupancy",
             occupancy_flow(delta_flow(locs), every_update=False, settings=settings, split_routes=True),
             "routeId",
             OCCUPANCY_FIELDS,
         ),
-        "location_quarantine": plain("location_quarantine", bad_locs),
-        "fare_quarantine": plain("fare_quarantine", bad_fares),
-        "location_audit": plain("location_audit", stateless.location_audit(locs), fmt="parquet", partition_by=["eventDate"]),
-        "display_board": plain("display_board", display_board_flow(locs)),
-        "fare_log": plain("fare_log", fare_log_flow(fs)),
     }
-    sink = keyed_sink("sacco_revenue", out, fmt, kafka_bootstrap)
-    q["sacco_revenue"] = start_revenue(
-        fs, name_prefix + "sacco_revenue", settings, key="saccoId", **sink, **common
-    )
-    if trigger and "processingTime" in trigger:
+    if offgrid_clock == "event":
+        alerts = event_offgrid.alerts(event_offgrid.offgrid_flow(locs, settings), settings)
+        q["offgrid_alerts"] = keyed("offgrid_alerts", alerts, "matatuId", OFFGRID_FIELDS)
+    elif trigger and "processingTime" in trigger:
         q["offgrid_alerts"] = keyed("offgrid_alerts", offgrid_flow(locs, settings), "matatuId", OFFGRID_FIELDS)
     return q

@@ -7,6 +7,8 @@ a restarted or re-attempted query resumes exactly where it stopped.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -113,6 +115,38 @@ def start_branches(
     return _trigger(writer, trigger).start()
 
 
+def start_outputs(
+    df: DataFrame,
+    outputs: dict[str, Callable[[DataFrame], DataFrame]],
+    root: str,
+    name: str,
+    trigger: dict | None = None,
+    fmt: str = "parquet",
+    checkpoint: str | None = None,
+) -> StreamingQuery:
+    """Several outputs of one flow: each micro-batch is computed once, and each
+    output's rows go to ``root/<output>/batch_id=<id>``, overwritten when the
+    batch is tried again. ``outputs`` maps a name to the output's rows."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            for output, rows in outputs.items():
+                path = f"{root.rstrip('/')}/{output}/batch_id={batch_id}"
+                rows(batch).write.mode("overwrite").format(fmt).save(path)
+        finally:
+            batch.unpersist()
+
+    spark = df.sparkSession
+    ensure_rocksdb_state(spark)
+    writer = (
+        df.writeStream.queryName(name)
+        .option("checkpointLocation", checkpoint or checkpoint_path(spark, name))
+        .foreachBatch(write)
+    )
+    return _trigger(writer, trigger).start()
+
+
 def write_keyed(df: DataFrame, key: str, fields: list[str], path: str, fmt: str = "json", options: dict | None = None) -> None:
     """Batch publish of keyed records (pings keyed by route, fares by
     vehicle): one ``(key, value)`` row per record. ``fmt="kafka"`` with a

@@ -163,14 +163,17 @@ def test_stateless_flows_and_sinks(spark, scratch, run_id):
     assert alerts.count() == stateless.speed_alerts(load_locations(spark, SMALL)).count() == 118
     failed = spark.read.json(os.path.join(out, "fares_failed"))
     assert failed.count() == routing.failed_fares(load_fares(spark, SMALL)).count() == 43
-    assert set(failed.columns) == {"key", "value"}
+    assert set(failed.columns) == {"key", "value", "batch_id"}
     enriched = spark.read.json(os.path.join(out, "location_enriched"))
     assert enriched.count() == 599
     board = spark.read.json(os.path.join(out, "display_board"))
     assert board.count() == 599 and {"offset", "key"} <= set(board.columns) and "partition" not in board.columns
     fare_lines = spark.read.json(os.path.join(out, "fare_log"))
     assert fare_lines.count() == 401 and fare_lines.filter(F.col("message").startswith("[FARES] ")).count() == 401
-    assert glob.glob(os.path.join(out, "location_audit", "eventDate=*"))
+    assert glob.glob(os.path.join(out, "location_audit", "batch_id=*", "eventDate=*"))
+    assert spark.read.json(os.path.join(out, "sacco_revenue")).count() > 0
+    # one read an input for all narrow flows
+    assert {len(q.lastProgress["sources"]) for q in queries.values()} == {1} and len(queries) == 4
 
 
 def test_independent_readers_keep_their_own_progress(spark, scratch, run_id):
