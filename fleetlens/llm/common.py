@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,12 +50,49 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
     Cuts lineage: what follows replays from the table after a lost executor
-    and sees real sizes, so AQE chooses joins by measurement.
+    and sees real sizes, so AQE chooses joins by measurement. The shuffles
+    behind the table are no longer needed then; Spark removes their files once
+    the driver has collected its garbage, which is asked for here, as disks
+    would else hold every shuffle of the job at once.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    spark.sparkContext._jvm.System.gc()
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch = path
+    return back
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables of :func:`written` that nothing reads any more."""
+    for t in tables:
+        jvm = t.sparkSession.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(t._scratch)
+        path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def bit_filter(keys: DataFrame, bits: int) -> bytes:
+    """A two-hash Bloom filter of the 64-bit numbers in column ``key``: 2^bits
+    bits whatever their number, so what is collected and sent is bounded."""
+    mask = (1 << bits) - 1
+    at = F.explode(F.array(F.col("key").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("key", 32).bitwiseAND(F.lit(mask))))
+    words = keys.select(at.alias("bit")).groupBy(F.shiftright("bit", 6).alias("w")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("v")
+    )
+    got = words.toArrow()
+    out = np.zeros(max(1, 1 << (bits - 6)), np.int64)
+    out[got.column("w").to_numpy()] = got.column("v").to_numpy()
+    return out.tobytes()
+
+
+def in_filter(words: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
+    """Which of ``keys`` (uint64) may be in the filter ``words`` (uint64)."""
+    mask = np.uint64((1 << bits) - 1)
+    hit = np.ones(keys.shape, bool)
+    for at in (keys & mask, (keys >> np.uint64(32)) & mask):
+        hit &= (words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return hit
 
 
 def fold(doc_id: Column, n: int) -> Column:
@@ -71,3 +109,12 @@ def pick(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under internal names: extra columns of the
     input, whatever they are called, cannot clash with those added later."""
     return df.select(*[df[src].alias(dst) for dst, src in columns.items()])
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it (columns are told
+    apart without regard to case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
@@ -30,7 +30,8 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
                 cur.select(F.col("b").alias("node"), F.col("b").alias("component"))
             ).distinct()
         mark = now
-        cur = written(_small_star(_large_star(cur)), "edges")
+        before, cur = cur, written(_small_star(_large_star(cur)), "edges")
+        discard(before)
     raise RuntimeError(f"components not stable after {max_rounds} rounds")
 
 

@@ -23,7 +23,8 @@ exact: no link between different sets is lost.
    classes are decided, too. What passes is a link; components are classes.
 
 Equal sets meet by their hash and are never paired. Sets are told apart by 64
-bits.
+bits. Of a set only its keys are stored; the few sets that share a bucket are
+made again from their texts.
 
 Rows: null text counts as empty; an empty set is linked with nothing, its
 component is its own id; rows equal in text share a class, whatever their ids;
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, written
+from .common import bit_filter, discard, in_filter, pick, written
 from .components import connected_components
 
 U = np.uint64
@@ -58,7 +59,8 @@ class Params:
     block: int = 512  # sets of a block
     weak: int = 1  # parts of so few shingles are cut a second time ...
     weak_parts: int = 64  # ... in sets of at most so many parts
-    slice: int = 1 << 20  # shingles handled at a time
+    slice: int = 1 << 18  # shingles handled at a time
+    filter_bits: int = 26  # log2 of the bits of the filter of candidates
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -114,37 +116,60 @@ def shingle_set(text: str | None, k: int = 3) -> np.ndarray:
 
 
 def _set_rows(p: Params):
-    """A row for each document; the hashes stand in the first row of a task
-    that has the set, and only where another set could link to it."""
+    """A row for each document; the keys of its buckets stand in the first row
+    of a task that has the set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         bands, seen = Bands(p), set()
-        least = int(bands.low[np.argmax(bands.parts > 1)])
         for b in batches:
-            sids, sizes, arrays = [], [], []
+            sids, sizes, fresh, sets = [], [], [], []
             for text in b.column("text").to_pylist():
                 h = shingle_set(text, p.shingle)
-                raw = h.tobytes()
-                sid = xxhash.xxh64_intdigest(raw) - (1 << 63) if len(h) else None
+                sid = set_id(h) if len(h) else None
                 sids.append(sid)
                 sizes.append(len(h))
-                arrays.append(raw if len(h) >= least and sid not in seen else None)
+                if sid not in seen and len(h):
+                    fresh.append(len(sids) - 1)
+                    sets.append(h)
                 seen.add(sid)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(sids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(arrays, pa.binary())],
-                names=["doc_id", "sid", "n", "hashes"],
-            )
+            for lo, hi in _slices(np.array(sizes, np.int64), p.slice):
+                own = [(i, h) for i, h in zip(fresh, sets) if lo <= i < hi]
+                keys = _key_lists([h for _, h in own], bands, p)
+                column: list = [None] * (hi - lo)
+                for (i, _), k in zip(own, keys):
+                    column[i - lo] = k if len(k) else None
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        b.column("doc_id").slice(lo, hi - lo), b.column("dk").slice(lo, hi - lo),
+                        pa.array(sids[lo:hi], pa.int64()), pa.array(sizes[lo:hi], pa.int64()),
+                        pa.array(column, pa.list_(pa.int64())),
+                    ],
+                    names=["doc_id", "dk", "sid", "n", "keys"],
+                )
 
     return run
 
 
-def _hashes(column: pa.Array) -> np.ndarray:
-    """All hashes of a binary column without nulls, one after another."""
-    _, offsets, data = column.buffers()
-    ends = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
-    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(U) if len(column) else np.empty(0, U)
+def set_id(h: np.ndarray) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(h.tobytes()) - (1 << 63)
+
+
+def _key_lists(sets: list[np.ndarray], bands: Bands, p: Params) -> list[np.ndarray]:
+    """The keys of each set; a key's low byte is its band."""
+    if not sets:
+        return []
+    keys, rows = [], []
+    for key, row, band in bucket_keys(np.concatenate(sets), np.array([len(h) for h in sets]), bands, p):
+        keys.append((key & ~U(0xFF)) | band.astype(U))
+        rows.append(row)
+    if not keys:
+        return [np.empty(0, np.int64)] * len(sets)
+    row = np.concatenate(rows)
+    order = np.argsort(row, kind="stable")
+    ends = np.cumsum(np.bincount(row, minlength=len(sets)))[:-1]
+    return np.split(np.concatenate(keys)[order].view(np.int64), ends)
 
 
 def _slices(sizes: np.ndarray, limit: int) -> Iterator[tuple[int, int]]:
@@ -207,31 +232,34 @@ def bucket_keys(h: np.ndarray, sizes: np.ndarray, bands: Bands, p: Params) -> It
                 yield finer, at[row[w]][src], band[row[w]][src]
 
 
-def _key_rows(p: Params):
-    """Rows (sid, n, hashes) -> (key, band, sid)."""
+def bitmap(h: np.ndarray, words: int) -> np.ndarray:
+    """``words`` words in which every hash flips one bit."""
+    bits = np.bincount((_mix(h ^ C2) >> U(8)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little")
+
+
+def _candidate_rows(p: Params, shared):
+    """(sid, n, hashes) of the texts whose ``dk`` may be in the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(p)
+        words = np.frombuffer(shared.value, U)
         for b in batches:
-            sizes = b.column("n").to_numpy()
-            sid = b.column("sid").to_numpy()
-            for lo, hi in _slices(sizes, p.slice):
-                h = _hashes(b.column("hashes").slice(lo, hi - lo))
-                for key, row, band in bucket_keys(h, sizes[lo:hi], bands, p):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), pa.array(band.astype(np.int16)), pa.array(sid[lo:hi][row])],
-                        names=["key", "band", "sid"],
-                    )
+            at = np.flatnonzero(in_filter(words, b.column("dk").to_numpy().view(U), p.filter_bits))
+            sets = [shingle_set(t, p.shingle) for t in b.column("text").take(pa.array(at)).to_pylist()]
+            sets = [h for h in sets if len(h)]
+            for lo, hi in _slices(np.array([len(h) for h in sets], np.int64), p.slice):
+                own = sets[lo:hi]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([set_id(h) for h in own], pa.int64()), pa.array([len(h) for h in own], pa.int64()),
+                        pa.array([h.tobytes() for h in own], pa.binary()),
+                    ],
+                    names=["sid", "n", "hashes"],
+                )
 
     return run
 
 
-def bitmap(h: np.ndarray, words: int) -> np.ndarray:
-    """``words`` words in which every hash flips one bit."""
-    bits = np.bincount((_mix(h ^ C2) >> U(8)).astype(np.int64) % (64 * words), minlength=64 * words) & 1
-    return np.packbits(bits.astype(np.uint8), bitorder="little")
-
-
 def _bitmap_rows(p: Params):
     """Rows (sid, n, hashes) -> (sid, band, n, bits), one for each band."""
 
@@ -364,29 +392,34 @@ def _decided(pairs: DataFrame, sets: DataFrame, p: Params, name: str) -> DataFra
     return written(pairs.join(x, "a").join(y, "b").mapInArrow(_verified(p), "a long, b long, linked boolean"), name)
 
 
-def set_links(sets: DataFrame, p: Params = Params()) -> DataFrame:
-    """Links (a, b) that span the classes of ``sets`` (sid, n, hashes; rows of
-    one sid are equal) under the threshold. Exact."""
-    keys = sets.mapInArrow(_key_rows(p), "key long, band short, sid long")
-    shared = written(
-        keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).filter("lo <> hi").select("key"), "shared"
-    )
+def set_links(docs: DataFrame, sets: DataFrame, p: Params = Params()) -> DataFrame:
+    """Links (a, b) that span the classes of the sets of ``docs`` (text, dk: a
+    hash of the row) under the threshold. Exact. ``sets`` has a row (dk, sid,
+    keys) for each set at least; rows of one sid are equal."""
+    spark = docs.sparkSession
+    keys = sets.select("sid", F.explode("keys").alias("key"))
+    lo_hi = keys.groupBy("key").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
+    shared = written(lo_hi.filter("lo <> hi").select("key"), "shared")
     members = written(keys.join(shared, "key").distinct(), "members")
     # 40 bits of hash a member: sums of 2^23 members fit; a larger bucket stands for itself.
     sign = F.try_sum(F.shiftrightunsigned(F.xxhash64("sid"), 24)).alias("sign")
-    alike = members.groupBy("key").agg(
-        F.first("band").alias("band"), F.count("*").alias("many"), F.min("sid").alias("lo"), F.max("sid").alias("hi"), sign
-    )
-    alike = alike.withColumn("alone", F.when(F.col("sign").isNull(), F.col("key")))
+    alike = members.groupBy("key").agg(F.count("*").alias("many"), F.min("sid").alias("lo"), F.max("sid").alias("hi"), sign)
+    alike = alike.withColumn("alone", F.when(F.col("sign").isNull(), F.col("key"))).withColumn("band", F.expr("key & 255"))
     buckets = written(
         alike.groupBy("band", "many", "lo", "hi", "sign", "alone").agg(F.min("key").alias("key")).select("key", "many"), "buckets"
     )
     inside = written(members.join(buckets, "key"), "inside")
-    candidates = written(
-        sets.join(inside.select("sid").distinct(), "sid", "left_semi").dropDuplicates(["sid"]), "candidates"
-    )
+    discard(shared, members, buckets)
+    # Sets of buckets are made again from their texts; the filter spares the
+    # other texts, the join decides.
+    wanted = written(inside.select("sid").distinct(), "wanted")
+    homes = sets.join(wanted, "sid").groupBy("sid").agg(F.min("dk").alias("key"))
+    words = spark.sparkContext.broadcast(bit_filter(homes.select("key"), p.filter_bits))  # 2^filter_bits bits
+    made = docs.select("text", "dk").mapInArrow(_candidate_rows(p, words), "sid long, n long, hashes binary")
+    candidates = written(made.join(wanted, "sid", "left_semi").dropDuplicates(["sid"]), "candidates")
     bits = candidates.mapInArrow(_bitmap_rows(p), "sid long, band short, n long, bits binary")
-    rows = inside.join(bits, ["sid", "band"]).select("key", "many", "sid", "n", "bits")
+    placed = inside.withColumn("band", F.expr("cast(key & 255 AS short)"))
+    rows = placed.join(bits, ["sid", "band"]).select("key", "many", "sid", "n", "bits")
     pairs = written(_tiles(rows, p), "pairs")
     decided = _decided(pairs.select("a", "b").distinct(), candidates, p, "decided")
     links = decided.filter("linked").select("a", "b")
@@ -406,8 +439,11 @@ def jaccard_classes(df: DataFrame, p: Params = Params()) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per input row."""
     docs = pick(df, doc_id="doc_id", text="text")
     kind = dict(docs.dtypes)["doc_id"]
-    sets = written(docs.mapInArrow(_set_rows(p), f"doc_id {kind}, sid long, n long, hashes binary"), "sets")
-    comp = connected_components(set_links(sets.filter("hashes IS NOT NULL").select("sid", "n", "hashes"), p))
+    docs = docs.withColumn("dk", F.xxhash64("text"))
+    sets = written(
+        docs.mapInArrow(_set_rows(p), f"doc_id {kind}, dk long, sid long, n long, keys array<long>"), "sets"
+    )
+    comp = connected_components(set_links(docs, sets.filter("keys IS NOT NULL"), p))
     named = sets.select("doc_id", "n", "sid").join(comp.withColumnRenamed("node", "sid"), "sid", "left")
     named = named.withColumn("root", F.coalesce("component", "sid"))
     lows = named.filter("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("low"))
