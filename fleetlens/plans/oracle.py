@@ -429,5 +429,12 @@ ORACLE_SQL.update(
                FROM locations GROUP BY matatuId"""
         ),
         "occupancy_table": ORACLE_SQL["route_occupancy"],
+        "occupancy_handover": _q(
+            _OCCUPANCY_FOLD
+            + """SELECT routeId, routeName, currentPassengers, totalBoardings, totalAlightings, "timestamp", eventId
+                 FROM fold
+                 WHERE epoch_us("timestamp") >= (SELECT (min(epoch_us("timestamp")) + max(epoch_us("timestamp"))) // 2 FROM locations)"""
+        ),
+        "offgrid_handover": ORACLE_SQL["offgrid_tick_alerts"],
     }
 )

@@ -11,12 +11,14 @@ from dataclasses import dataclass
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import epoch_micros, from_epoch_micros
+from fleetlens.operators import offgrid
 from fleetlens.plans.catalog import HOURLY
 from fleetlens.settings import DEFAULT_SETTINGS
 from fleetlens.sources.fixtures import load_fares, load_locations
-from fleetlens.streaming import event_offgrid, jobs, latest, replay, sinks, state_tables, stream_time
+from fleetlens.streaming import event_offgrid, handover, jobs, latest, replay, sinks, state_tables, stream_time
 
 S = DEFAULT_SETTINGS
 
@@ -155,6 +157,40 @@ def occupancy_table(spark: SparkSession, sf: str) -> DataFrame:
     return last.withColumnRenamed("timestamp", "lastUpdated").drop("eventId")
 
 
+def _halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, int]:
+    """Pings before and from the middle of their time span, and that instant
+    in microseconds."""
+    pings = load_locations(spark, sf)
+    us = epoch_micros(pings, "timestamp")
+    cut = pings.agg(F.min(us).alias("a"), F.max(us).alias("b")).selectExpr("(a + b) div 2 AS cut").first()["cut"] or 0
+    return pings.filter(us < cut), pings.filter(us >= cut), cut
+
+
+def _later(spark: SparkSession, later: DataFrame) -> DataFrame:
+    later = replay.utc(later, "timestamp")
+    return replay.record_stream(spark, replay.arrival_files(later, ["timestamp", "eventId"]), later)
+
+
+def occupancy_handover(spark: SparkSession, sf: str) -> DataFrame:
+    """The occupancy changelog of the later half of the pings, streamed on from
+    the state that batch made of the earlier half."""
+    history, later, _ = _halves(spark, sf)
+    flow = handover.occupancy_flow(_later(spark, later), history, settings=S)
+    return _replayed(spark, "handover", flow, {"changelog": partial(_columns, OCCUPANCY_COLUMNS)}).outputs["changelog"]
+
+
+def offgrid_handover(spark: SparkSession, sf: str) -> DataFrame:
+    """Hourly alerts of the whole period: batch before the middle, stream on
+    from there."""
+    history, later, cut = _halves(spark, sf)
+    tick_us = HOURLY.offgrid_check_interval_ms * 1000
+    judged = (cut - 1) // tick_us
+    flow = handover.offgrid_flow(_later(spark, later), history, judged, HOURLY)
+    outputs = {"alerts": partial(event_offgrid.alerts, settings=HOURLY, ntz=True)}
+    streamed = _replayed(spark, "handover", flow, outputs).outputs["alerts"]
+    return offgrid.tick_alerts(history, from_epoch_micros(F.lit(judged * tick_us), True), HOURLY).unionByName(streamed)
+
+
 REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_replay": revenue_replay,
     "late_fares_replay": late_fares_replay,
@@ -166,4 +202,6 @@ REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "route_totals_state": route_totals_state,
     "vehicle_counts_state": vehicle_counts_state,
     "occupancy_table": occupancy_table,
+    "occupancy_handover": occupancy_handover,
+    "offgrid_handover": offgrid_handover,
 }

@@ -99,16 +99,24 @@ class EventTimeOffGrid(StatefulProcessor):
         pass
 
 
-def offgrid_flow(locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS, delay: str = "0 seconds") -> DataFrame:
-    """One row for each vehicle and alerting tick the watermark has passed."""
+def offgrid_flow(
+    locations: DataFrame,
+    settings: JobSettings = DEFAULT_SETTINGS,
+    delay: str = "0 seconds",
+    step: EventTimeOffGrid | None = None,
+    initial: DataFrame | None = None,
+) -> DataFrame:
+    """One row for each vehicle and alerting tick the watermark has passed.
+    ``step`` and ``initial`` start it from a history (see ``handover``)."""
     pings = locations.filter("timestamp IS NOT NULL").withWatermark("timestamp", delay)
     rows = pings.select(
         "matatuId", "routeId", "routeName", "latitude", "longitude", "timestamp", "eventId",
         epoch_micros(pings, "timestamp").alias("seen"),
     )
     return rows.groupBy("matatuId").transformWithStateInPandas(
-        statefulProcessor=EventTimeOffGrid(settings), outputStructType=ALERT, outputMode="Append", timeMode="EventTime"
-    )
+        statefulProcessor=step or EventTimeOffGrid(settings), outputStructType=ALERT, outputMode="Append",
+        timeMode="EventTime", initialState=None if initial is None else initial.groupBy("matatuId"),
+    )
 
 
 def alerts(flow: DataFrame, settings: JobSettings = DEFAULT_SETTINGS, ntz: bool = False) -> DataFrame:

@@ -170,3 +170,43 @@ def test_arrival_files_follow_the_order(spark):
     empty = replay.arrival_files(df.limit(0), ["timestamp"])
     query = replay.run(lambda: sinks.start_outputs(replay.record_stream(spark, empty, df), {"x": lambda b: b.agg(F.count("*").alias("n"))}, f"{empty}/out", "none", checkpoint=f"{empty}/cp"), spark)
     assert query.exception() is None
+
+
+def test_history_is_handed_over_once(spark, scratch):
+    """Vehicles known only to the history, only to the stream and to both; a
+    restart goes on from the checkpoint, not from the history again."""
+    from fleetlens.operators import occupancy
+    from fleetlens.streaming import handover
+
+    rng = random.Random(6)
+    schema = "matatuId string, routeId string, routeName string, latitude double, longitude double, passengersOnboard int, timestamp timestamp, eventId long"
+
+    def pings(vehicles, lo, hi):
+        return [(rng.choice(vehicles), r := rng.choice(["r1", "r2"]), f"Route {r}", 0.0, 0.0, rng.randrange(30), at(t), t) for t in range(lo, hi)]
+
+    old = pings(["A", "B"], 0, 60)
+    new = pings(["B", "C"], 60, 120)
+    history, later = spark.createDataFrame(old, schema), spark.createDataFrame(new, schema)
+    folder = replay.arrival_files(later, ["timestamp", "eventId"], rows_per_file=15)
+    files = sorted(f for f in os.listdir(folder) if f.startswith("part-"))
+    aside = os.path.join(scratch, "aside")
+    os.makedirs(aside)
+    for f in files[2:]:
+        os.replace(os.path.join(folder, f), os.path.join(aside, f))
+    root = replay.new_folder(spark, "t")
+
+    def run():
+        flow = handover.occupancy_flow(replay.record_stream(spark, folder, later), history)
+        outputs = {"log": lambda b: b.drop("lastUpdated")}
+        start = partial(sinks.start_outputs, flow, outputs, f"{root}/out", os.path.basename(root), checkpoint=f"{root}/checkpoint")
+        replay.run(start, spark, 2)
+
+    run()
+    for f in files[2:]:
+        os.replace(os.path.join(aside, f), os.path.join(folder, f))
+    run()
+    got = spark.read.parquet(f"{root}/out/log")
+    whole = occupancy.occupancy_changelog(occupancy.passenger_deltas(spark.createDataFrame(old + new, schema))).filter("eventId >= 60")
+    cols = ["routeId", "currentPassengers", "totalBoardings", "totalAlightings", "eventId"]
+    assert got.count() == whole.count() == 60
+    assert got.select(cols).exceptAll(whole.select(cols)).count() == 0
