@@ -16,21 +16,18 @@ the data is still folded in many parallel (route, chunk) tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import clamp_at_zero
 from fleetlens.operators import scan
+from fleetlens.operators.latest_row import latest_rows
 from fleetlens.session import cut_lineage
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 
 ORDER = ["timestamp", "eventId"]
 
 
-def _order_key() -> Column:
-    return F.struct(*ORDER)
-
-
 def passenger_deltas(locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
     cols = ["matatuId", "routeId", "routeName", "passengersOnboard", "timestamp", "eventId"]
     rows = scan.with_chunk(locations.select(*cols), "matatuId", "timestamp", settings.vehicle_chunk_seconds)
@@ -58,17 +55,13 @@ def passenger_deltas(locations: DataFrame, settings: JobSettings = DEFAULT_SETTI
 
 def vehicle_snapshots(locations: DataFrame) -> DataFrame:
     """Latest (routeId, passenger count, time) per vehicle; ties broken by
-    eventId. A plain partial + final aggregate: skew-safe."""
-    last = F.max_by(F.struct("routeId", "passengersOnboard", "timestamp"), _order_key())
-    return (
-        locations.groupBy("matatuId")
-        .agg(last.alias("s"))
-        .select(
-            "matatuId",
-            F.col("s.routeId").alias("routeId"),
-            F.col("s.passengersOnboard").alias("lastPassengerCount"),
-            F.col("s.timestamp").alias("lastUpdated"),
-        )
+    eventId. Raw rows are hash-aggregated: see ``latest_row``."""
+    last = latest_rows(locations, "matatuId", ["routeId"], ["passengersOnboard"])
+    return last.select(
+        "matatuId",
+        "routeId",
+        F.col("passengersOnboard").alias("lastPassengerCount"),
+        F.col("timestamp").alias("lastUpdated"),
     )
 
 

@@ -18,6 +18,8 @@ pings with timestamp <= t.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,7 @@ from fleetlens.functions.scalar import (
     from_epoch_micros,
 )
 from fleetlens.operators import scan
+from fleetlens.operators.latest_row import latest_rows
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 
 ORDER = ["timestamp", "eventId"]
@@ -43,21 +46,17 @@ def max_event_time(locations: DataFrame) -> Column:
     return locations.select(F.max("timestamp")).scalar()
 
 
+TEXTS, NUMBERS = ["routeId", "routeName"], ["latitude", "longitude"]
+
+
 def last_seen(locations: DataFrame) -> DataFrame:
-    last = F.max_by(
-        F.struct("routeId", "routeName", "latitude", "longitude", "timestamp"), F.struct(*ORDER)
-    )
-    return (
-        locations.groupBy("matatuId")
-        .agg(last.alias("s"))
-        .select(
-            "matatuId",
-            F.col("s.routeId").alias("routeId"),
-            F.col("s.routeName").alias("routeName"),
-            F.col("s.latitude").alias("lastLatitude"),
-            F.col("s.longitude").alias("lastLongitude"),
-            F.col("s.timestamp").alias("lastSeenAt"),
-        )
+    return latest_rows(locations, "matatuId", TEXTS, NUMBERS).select(
+        "matatuId",
+        "routeId",
+        "routeName",
+        F.col("latitude").alias("lastLatitude"),
+        F.col("longitude").alias("lastLongitude"),
+        F.col("timestamp").alias("lastSeenAt"),
     )
 
 
@@ -68,22 +67,7 @@ def offgrid_as_of(
     as_of = max_event_time(locations) if as_of is None else as_of
     # bind the instant once as a column so a scalar subquery runs once
     rows = locations.withColumn("_now", as_of).filter(F.col("timestamp") <= F.col("_now"))
-    last = F.max_by(
-        F.struct("routeId", "routeName", "latitude", "longitude", "timestamp"), F.struct(*ORDER)
-    )
-    seen = (
-        rows.groupBy("matatuId")
-        .agg(last.alias("s"), F.max("_now").alias("_now"))
-        .select(
-            "matatuId",
-            F.col("s.routeId").alias("routeId"),
-            F.col("s.routeName").alias("routeName"),
-            F.col("s.latitude").alias("lastLatitude"),
-            F.col("s.longitude").alias("lastLongitude"),
-            F.col("s.timestamp").alias("lastSeenAt"),
-            "_now",
-        )
-    )
+    seen = last_seen(rows.drop("_now")).withColumn("_now", as_of)
     silence = epoch_millis(seen, "_now") - epoch_millis(seen, "lastSeenAt")
     return (
         seen.withColumn("silenceDurationMs", silence)
@@ -165,16 +149,23 @@ def silence_gaps(
 
 
 def tick_alerts(
-    locations: DataFrame, horizon: Column | None = None, settings: JobSettings = DEFAULT_SETTINGS
+    locations: DataFrame,
+    horizon: Column | None = None,
+    settings: JobSettings = DEFAULT_SETTINGS,
+    of_gap: dict[str, Callable[[DataFrame], Column]] | None = None,
 ) -> DataFrame:
     """One alert row per (vehicle, alerting tick), as the detector emits them.
 
     Each gap expands to its own ticks inside the task that holds it; the
-    output is as large as the detector's output, and no more.
+    output is as large as the detector's output, and no more. ``of_gap`` adds
+    columns that are the same for all alerts of a gap: they are computed once
+    for the gap, before it expands.
     """
     ntz = _is_ntz(locations)
     step = settings.offgrid_check_interval_ms
     gaps = silence_gaps(locations, horizon, settings, keep_ticks=True)
+    of_gap = of_gap or {}
+    gaps = gaps.withColumns({name: column(gaps) for name, column in of_gap.items()})
     ticks = gaps.withColumn("_k", F.explode(F.sequence("_k1", "_k2")))
     return ticks.select(
         "matatuId",
@@ -185,5 +176,6 @@ def tick_alerts(
         (F.col("_k") * F.lit(step) - F.col("_last_ms")).alias("silenceDurationMs"),
         "lastSeenAt",
         from_epoch_micros(F.col("_k") * F.lit(step * 1000), ntz).alias("alertRaisedAt"),
+        *of_gap,
     )
 

@@ -155,7 +155,21 @@ def revenue_messages(revenue: DataFrame) -> DataFrame:
     )
 
 
+# The line before and after the minutes: the same for all alerts of a gap.
+_OFF_GRID_HEAD, _OFF_GRID_TAIL = (lambda parts: ("%s".join(parts[:3]), "%s".join(parts[3:])))(OFF_GRID.split("%s"))
+
+OFF_GRID_PARTS = {
+    "_head": lambda gaps: F.format_string(_OFF_GRID_HEAD, F.col("matatuId"), F.col("routeName")),
+    "_tail": lambda gaps: F.format_string(_OFF_GRID_TAIL, instant_string(gaps, "lastSeenAt")),
+}
+
+
 def offgrid_messages(alerts: DataFrame) -> DataFrame:
+    """The line of every alert; alerts with the parts of their gap
+    (``OFF_GRID_PARTS``) only add the minutes."""
+    minutes = millis_to_minutes(F.col("silenceDurationMs")).cast("string")
+    if set(OFF_GRID_PARTS) <= set(alerts.columns):
+        return alerts.withColumn("message", F.concat("_head", minutes, "_tail")).drop(*OFF_GRID_PARTS)
     return alerts.withColumn(
         "message",
         F.format_string(

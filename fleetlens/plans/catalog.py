@@ -14,10 +14,12 @@ from pyspark.sql import types as T
 
 from fleetlens.operators import occupancy, offgrid, revenue, routing, stateless, taps
 from fleetlens.settings import DEFAULT_SETTINGS
-from fleetlens.sources import codec
+from fleetlens.schemas import OFFGRID_ALERT, ROUTE_OCCUPANCY, SACCO_REVENUE_WINDOW
+from fleetlens.sources import codec, fixtures
 from fleetlens.sources.codec import FARE_FIELDS, LOCATION_FIELDS
 from fleetlens.sources.dimension import sacco_dim
 from fleetlens.sources.fixtures import broken_fares, broken_locations, load_fares, load_locations
+from fleetlens.streaming import jobs
 from fleetlens.streaming.sinks import keyed_records
 
 S = DEFAULT_SETTINGS
@@ -126,13 +128,13 @@ def fare_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def display_board(spark: SparkSession, sf: str) -> DataFrame:
-    records = load_locations(spark, sf).select(
-        "*",
-        F.col("routeId").alias("key"),
-        F.col("eventId").alias("offset"),
-        F.col("timestamp").alias("recordTimestamp"),
+    """Board lines with what the source itself says of a record: the file it
+    is in stands for the partition, its row number there for the offset."""
+    records = fixtures.with_source_place(fixtures.load_events(spark, sf))
+    locs = fixtures.locations_view(records, keep=fixtures.SOURCE_PLACE)
+    return stateless.display_board(
+        locs.select("*", F.col("routeId").alias("key"), F.col("timestamp").alias("recordTimestamp"))
     )
-    return stateless.display_board(records)
 
 
 def fare_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -212,7 +214,8 @@ def offgrid_tick_alerts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def offgrid_messages(spark: SparkSession, sf: str) -> DataFrame:
-    lines = taps.offgrid_messages(offgrid_tick_alerts(spark, sf))
+    alerts = offgrid.tick_alerts(load_locations(spark, sf), None, HOURLY, of_gap=taps.OFF_GRID_PARTS)
+    lines = taps.offgrid_messages(alerts)
     return lines.select("matatuId", "alertRaisedAt", "message")
 
 
@@ -242,6 +245,37 @@ def failed_fare_records(spark: SparkSession, sf: str) -> DataFrame:
     return _opened(keyed_records(failed_fares(spark, sf), "matatuId", FARE_FIELDS), codec.FARE_EVENT)
 
 
+def enriched_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Enriched pings as published; the clock is the ping's own time."""
+    rows = stateless.enrich_locations(load_locations(spark, sf), sacco_dim(spark), S, small_dim=True, clock=F.col("timestamp"))
+    return _opened(keyed_records(rows, "routeId", jobs.ENRICHED_FIELDS), ENRICHED_RECORD)
+
+
+def revenue_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Emitted revenue windows as published; computed at their end."""
+    rows = sacco_revenue_emitted(spark, sf).withColumn("computedAt", F.col("windowEnd"))
+    schema = T.StructType([*codec.with_ntz_timestamps(SACCO_REVENUE_WINDOW).fields, T.StructField("computedAt", T.TimestampNTZType())])
+    return _opened(keyed_records(rows, "saccoId", jobs.REVENUE_FIELDS), schema)
+
+
+def occupancy_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Every route occupancy update as published; updated at the ping's time."""
+    rows = route_occupancy_changelog(spark, sf).withColumn("lastUpdated", F.col("timestamp"))
+    return _opened(keyed_records(rows, "routeId", jobs.OCCUPANCY_FIELDS), ROUTE_OCCUPANCY)
+
+
+def offgrid_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Off-grid alerts of hourly checks as published, keyed by vehicle."""
+    return _opened(keyed_records(offgrid_tick_alerts(spark, sf), "matatuId", jobs.OFFGRID_FIELDS), OFFGRID_ALERT)
+
+
+ENRICHED_RECORD = T.StructType(
+    [T.StructField(f, T.StringType()) for f in jobs.ENRICHED_FIELDS[:6]]
+    + [T.StructField(f, T.DoubleType()) for f in jobs.ENRICHED_FIELDS[6:9]]
+    + [T.StructField("passengersOnboard", T.IntegerType()), T.StructField("isSpeeding", T.BooleanType())]
+    + [T.StructField(f, T.TimestampNTZType()) for f in jobs.ENRICHED_FIELDS[11:]]
+)
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "location_source": location_source,
     "fare_source": fare_source,
@@ -282,6 +316,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "location_ingest": location_ingest,
     "speed_alert_records": speed_alert_records,
     "failed_fare_records": failed_fare_records,
+    "enriched_records": enriched_records,
+    "revenue_records": revenue_records,
+    "occupancy_records": occupancy_records,
+    "offgrid_records": offgrid_records,
 }
 
 FLAGSHIP = "sacco_revenue"

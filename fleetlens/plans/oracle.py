@@ -217,9 +217,10 @@ ORACLE_SQL: dict[str, str] = {
     ),
     "fare_decode": _q(f"SELECT {_FARE_COLS} FROM fares"),
     "display_board": _q(
-        """SELECT matatuId, routeId, routeName, latitude, longitude, speedKmh, passengersOnboard,
-                  routeId AS "key", eventId AS "offset", "timestamp" AS recordTimestamp
-           FROM locations"""
+        """, placed AS (SELECT event_id, row_number() OVER () - 1 AS "offset" FROM events)
+           SELECT matatuId, routeId, routeName, latitude, longitude, speedKmh, passengersOnboard,
+                  'events.parquet' AS "partition", routeId AS "key", p."offset", "timestamp" AS recordTimestamp
+           FROM locations l JOIN placed p ON p.event_id = l.eventId"""
     ),
     "fare_log": _q(
         """SELECT CASE status WHEN 'SUCCESS' THEN '✅' WHEN 'FAILED' THEN '❌' WHEN 'PENDING' THEN '⏳' END AS icon,
@@ -389,6 +390,37 @@ ORACLE_SQL: dict[str, str] = {
     ),
 }
 
+# Published records: the key, the names of the record's fields, the fields.
+_EMITTED = ORACLE_SQL["sacco_revenue_emitted"]
+ORACLE_SQL.update(
+    {
+        "enriched_records": _q(
+            """SELECT l.routeId AS "key",
+                      'matatuId,routeId,routeName,saccoName,saccoId,terminus,latitude,longitude,speedKmh,passengersOnboard,isSpeeding,originalTimestamp,enrichedAt' AS fields,
+                      l.matatuId, l.routeId, l.routeName, coalesce(d.saccoName, 'Unknown Sacco') AS saccoName,
+                      coalesce(d.saccoId, 'unknown') AS saccoId, coalesce(d.terminus, 'Unknown Terminus') AS terminus,
+                      l.latitude, l.longitude, l.speedKmh, l.passengersOnboard, l.speedKmh > 80.0 AS isSpeeding,
+                      l."timestamp" AS originalTimestamp, l."timestamp" AS enrichedAt
+               FROM locations l LEFT JOIN sacco_dim d ON l.routeId = d.routeId"""
+        ),
+        "revenue_records": f"""SELECT saccoId AS "key",
+                      'saccoId,saccoName,totalRevenueKes,transactionCount,windowStart,windowEnd,computedAt' AS fields,
+                      *, windowEnd AS computedAt FROM ({_EMITTED})""",
+        "occupancy_records": _q(
+            _OCCUPANCY_FOLD
+            + """SELECT routeId AS "key",
+                        'routeId,routeName,currentPassengers,totalBoardings,totalAlightings,lastUpdated' AS fields,
+                        routeId, routeName, currentPassengers, totalBoardings, totalAlightings, "timestamp" AS lastUpdated
+                 FROM fold"""
+        ),
+        "offgrid_records": _q(
+            f"""SELECT matatuId AS "key",
+                      'matatuId,routeId,routeName,lastKnownLatitude,lastKnownLongitude,silenceDurationMs,lastSeenAt,alertRaisedAt' AS fields, *
+               FROM ({_HOURLY_ALERTS})"""
+        ),
+    }
+)
+
 # The replays of the streams give what the batch rules give.
 _OCCUPANCY_STATE = (
     _OCCUPANCY_FOLD

@@ -34,6 +34,18 @@ def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(os.path.join(sf_dir, "events.parquet"))
 
 
+# Where a record stands in its source: file and row of the file.
+SOURCE_PLACE = ["partition", "offset"]
+
+
+def with_source_place(rows: DataFrame) -> DataFrame:
+    """``rows`` read from Parquet files, each with its file's name and its row
+    number there, from the reader's hidden ``_metadata``."""
+    return rows.select(
+        "*", F.col("_metadata.file_name").alias("partition"), F.col("_metadata.row_index").alias("offset")
+    )
+
+
 def _props_k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -42,8 +54,9 @@ def _matatu_id() -> Column:
     return F.concat(F.lit("KBZ "), F.col("user_id").cast("string"))
 
 
-def locations_view(events: DataFrame) -> DataFrame:
-    """GPS pings: LocationEvent fields plus ``eventId``."""
+def locations_view(events: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """GPS pings: LocationEvent fields plus ``eventId`` and the columns ``keep``."""
+    keep = keep or []
     routes = F.array(*[F.lit(r) for r in FIXTURE_ROUTES])
     route_id = F.when(F.col("event_id") % UNKNOWN_ROUTE_EVERY == 0, F.lit(UNKNOWN_ROUTE)).otherwise(
         F.element_at(routes, (F.col("user_id") % len(FIXTURE_ROUTES) + 1).cast("int"))
@@ -60,6 +73,7 @@ def locations_view(events: DataFrame) -> DataFrame:
             (_props_k() % PASSENGER_MODULUS).alias("passengersOnboard"),
             F.col("ts").alias("timestamp"),
             F.col("event_id").alias("eventId"),
+            *keep,
         )
         .withColumn(
             "routeName", F.concat(F.lit("Route "), F.regexp_replace("routeId", "^route_", ""))
@@ -74,6 +88,7 @@ def locations_view(events: DataFrame) -> DataFrame:
             "passengersOnboard",
             "timestamp",
             "eventId",
+            *keep,
         )
     )
 

@@ -16,8 +16,9 @@ import pytest
 
 import __spark_entry__ as ep
 from conftest import SMALL
+from fleetlens.plans import BATCH_QUERIES
 
-NAMES = sorted(ep.QUERIES)
+NAMES = sorted(BATCH_QUERIES)
 
 
 def _plan(spark, name) -> str:
@@ -35,7 +36,7 @@ def test_scan_pushes_filter_and_prunes(spark, name):
     for ln in events_scans:
         pushed = re.search(r"PushedFilters: \[([^\]]*)\]", ln)
         assert pushed and "event_type" in pushed.group(1), ln
-        schema = re.search(r"ReadSchema: struct<([^>]*)>", ln)
+        schema = re.search(r"ReadSchema: struct<([^>]*?)(?:>|\.\.\.)", ln)
         assert schema and "event_type" in schema.group(1), ln
 
 
@@ -131,3 +132,28 @@ def test_building_a_query_runs_no_job(spark):
         assert len(jobs) <= len(NAMES) * 3
     finally:
         sc.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("name", ["vehicle_snapshots", "last_seen", "offgrid_as_of"])
+def test_latest_rows_sort_no_raw_row(spark, name):
+    """Raw rows are hash-aggregated: no sort aggregate, and no sort below the
+    first exchange."""
+    plan = ep.queries()[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    depth = lambda line: len(line) - len(line.lstrip(" :+-"))
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):
+        if "Sort [" in line:  # every sort stands above an exchange, not on a scan
+            below = []
+            for x in lines[i + 1 :]:
+                if depth(x) <= depth(line):
+                    break
+                below.append(x)
+            assert any("Exchange" in x for x in below)
+
+
+def test_offgrid_lines_are_formatted_once_a_gap(spark):
+    """Time formatting stands below the expansion into ticks."""
+    plan = ep.queries()["offgrid_messages"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    above, below = plan.split("Generate explode", 1)
+    assert "date_format" not in above.lower() and "date_format" in below.lower()
