@@ -39,8 +39,7 @@ UNKNOWN = "und"
 @dataclass(frozen=True)
 class Params:
     docs_per_lang: int = 3000
-    words: int = 50_000
-    grams: int = 20_000
+    least: int = 1  # occurrences from which a word or n-gram is learnt
     smoothing: float = 0.5
     memo: int = 300_000  # unknown words whose scores a task remembers
     seed: int = 11
@@ -111,13 +110,9 @@ def train(labelled: DataFrame, p: Params = Params()) -> Model:
         .groupBy("lang", "kind", "gram")
         .agg(F.sum("n").alias("n"))
     )
-    total = Window.partitionBy("lang", "kind")
-    ranked = counts.withColumn("total", F.sum("n").over(total)).withColumn(
-        "rank", F.row_number().over(total.orderBy(F.desc("n"), "gram"))
-    )
-    keep = F.when(F.col("kind") == 0, F.lit(p.words)).otherwise(F.lit(p.grams))
-    kept = ranked.filter(F.col("rank") <= keep).select("lang", "kind", "gram", "n", "total")
-    # At most languages x (words + 5 grams) rows.
+    total = F.sum("n").over(Window.partitionBy("lang", "kind"))
+    kept = counts.withColumn("total", total).filter(F.col("n") >= p.least)
+    # No more than the words and n-grams of the sample, whose size is bounded.
     found = kept.toArrow().to_pydict()
     langs = sorted(set(found["lang"]))
     model = Model(langs)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, n_words, pick, written
+from .common import WORD, fresh, n_words, pick, written
 
 WORD_RE = re.compile(WORD)
 
@@ -72,6 +72,52 @@ def targets(sizes: list[int], p: Params) -> list[float]:
     return out
 
 
+LARGEST_DRAW = 10**9 - 1  # rows that the library's hypergeometric sampler takes
+
+
+def _log_growth(a: int, d: int) -> float:
+    """log((a + d)! / a!) - d log(max(a, 1)), without cancellation."""
+    if a < 10_000 or a + d < 10_000:
+        return math.lgamma(a + d + 1) - math.lgamma(a + 1) - d * math.log(max(a, 1))
+    x = math.log1p(d / a)
+    return (a + d + 0.5) * x - d + 1 / (12 * (a + d)) - 1 / (12 * a)
+
+
+def drawn(good: int, bad: int, want: int, rng: np.random.Generator, largest: int = LARGEST_DRAW) -> int:
+    """A hypergeometric draw of any size: how many of ``want`` rows taken
+    without replacement from ``good + bad`` are good.
+
+    The library's sampler stops at 10^9 rows. Beyond, the same law is sampled
+    by ratio of uniforms: a point of the enclosing rectangle is accepted where
+    it lies under the mass function, whose ratio to its peak is computed from
+    differences of log factorials.
+    """
+    low, high = max(0, want - bad), min(good, want)
+    if low == high:
+        return low
+    if good + bad <= largest:
+        return int(rng.hypergeometric(good, bad, want))
+    total = good + bad
+    share = good / total
+    mean = want * share
+    spread = math.sqrt(mean * (1 - share) * ((total - want) / max(total - 1, 1)) + 0.5)
+    peak = min(max((good + 1) * (want + 1) // (total + 2), low), high)
+    cells = (peak, good - peak, want - peak, bad - want + peak)
+    slope = math.log(max(cells[0], 1) * max(cells[3], 1)) - math.log(max(cells[1], 1) * max(cells[2], 1))
+    width = 2 * math.sqrt(2 / math.e) * spread + 3 - 2 * math.sqrt(3 / math.e)
+    while True:
+        u, v = rng.random(2).tolist()
+        if u == 0.0:
+            continue
+        k = math.floor(mean + 0.5 + width * (v - 0.5) / u)
+        if not low <= k <= high:
+            continue
+        d = k - peak
+        grown = _log_growth(cells[0], d) + _log_growth(cells[1], -d) + _log_growth(cells[2], -d) + _log_growth(cells[3], d)
+        if 2 * math.log(u) <= -grown - d * slope:
+            return k
+
+
 def split_counts(counts: np.ndarray, left: int, rng: np.random.Generator) -> np.ndarray:
     """How many of ``left`` draws without replacement fall to each source."""
     out = np.zeros_like(counts)
@@ -80,17 +126,8 @@ def split_counts(counts: np.ndarray, left: int, rng: np.random.Generator) -> np.
         total -= c
         if want <= 0:
             break
-        if total <= 0:
-            got = want
-        elif c + total < 10**9:
-            got = int(rng.hypergeometric(c, total, want)) if c else 0
-        else:  # beyond the sampler's range: its normal limit, kept feasible
-            share = c / (c + total)
-            spread = math.sqrt(want * share * (1 - share) * max(0.0, (c + total - want) / (c + total)))
-            got = round(want * share + spread * rng.standard_normal())
-        got = max(want - total, min(c, want, max(0, got)))
-        out[i] = got
-        want -= got
+        out[i] = drawn(c, total, want, rng)
+        want -= int(out[i])
     return out
 
 
@@ -258,12 +295,11 @@ def overlaps(rows: DataFrame, p: Params) -> DataFrame:
     return touched.select("dk", "nth", "src", "block", lo.alias("from"), hi.alias("to"))
 
 
-def _row_keys(df: DataFrame) -> DataFrame:
-    """Adds ``_dk``, a hash of id and text, and ``_nth``, a number among rows
+def _row_keys(df: DataFrame, dk: str, nth: str) -> DataFrame:
+    """Adds ``dk``, a hash of id and text, and ``nth``, a number among rows
     that agree in both: together they tell rows apart."""
-    dk = F.xxhash64(F.lit(1), df["doc_id"], df["text"])
-    nth = F.row_number().over(Window.partitionBy("_dk").orderBy(df["source"].asc_nulls_first()))
-    return df.withColumn("_dk", dk).withColumn("_nth", nth)
+    keyed = df.withColumn(dk, F.xxhash64(F.lit(1), df["doc_id"], df["text"]))
+    return keyed.withColumn(nth, F.row_number().over(Window.partitionBy(dk).orderBy(df["source"].asc_nulls_first())))
 
 
 def _sized(df: DataFrame) -> DataFrame:
@@ -312,16 +348,17 @@ def mixed_documents(df: DataFrame, p: Params = Params()) -> DataFrame:
     them kept, a whole document verbatim); ``n_chars``, where there is one,
     follows. A document no block of which was taken does not appear."""
     _, pieces, _ = mixed(df, p)
-    spans = pieces.groupBy("dk", "nth", "pass").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias("_spans"))
-    spans = spans.withColumnsRenamed({"dk": "_dk", "nth": "_nth", "pass": "_pass"})
+    dk, nth, turn, spans_name = (fresh(df, x) for x in ("_dk", "_nth", "_pass", "_spans"))
+    spans = pieces.groupBy("dk", "nth", "pass").agg(F.sort_array(F.collect_list(F.struct("from", "to"))).alias(spans_name))
+    spans = spans.withColumnsRenamed({"dk": dk, "nth": nth, "pass": turn})
     names = df.columns
-    joined = _row_keys(df).join(spans, ["_dk", "_nth"]).select(*names, "_spans")
+    joined = _row_keys(df, dk, nth).join(spans, [dk, nth]).select(*names, spans_name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [
                 cut_words(t, [(s["from"], s["to"]) for s in spans])
-                for t, spans in zip(b.column("text").to_pylist(), b.column("_spans").to_pylist())
+                for t, spans in zip(b.column("text").to_pylist(), b.column(spans_name).to_pylist())
             ]
             cols = {c: b.column(c) for c in names}
             cols["text"] = pa.array(texts, pa.string())

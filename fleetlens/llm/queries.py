@@ -24,7 +24,7 @@ def op2_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_language_id(spark: SparkSession, sf: str) -> DataFrame:
-    held_out = fold(F.col("doc_id"), 3) == 1
+    held_out = F.coalesce(fold(F.col("doc_id"), 3) == 1, F.lit(False))
     return langid.identify(table(spark, sf, "documents"), held_out)
 
 
@@ -33,7 +33,7 @@ def op4_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf: str) -> DataFrame:
-    held_out = fold(F.col("doc_id"), 4) == 2
+    held_out = F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False))
     return toxicity.detect(table(spark, sf, "documents"), table(spark, sf, "labels"), held_out)
 
 

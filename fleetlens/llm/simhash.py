@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, written
+from .common import fresh, pick, written
 from .components import connected_components
 
 
@@ -69,22 +69,23 @@ def fingerprint(text: str | None, shingle: int = 3, seed: int = 42) -> int:
     return int(np.uint64(value).astype(np.int64))
 
 
-def _fingerprints(p: Params, text_col: str):
+def _fingerprints(p: Params, text_col: str, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = [fingerprint(t, p.shingle, p.seed) for t in b.column(text_col).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [*b.columns, pa.array(fps, pa.int64())], names=[*b.schema.names, FP]
+                [*b.columns, pa.array(fps, pa.int64())], names=[*b.schema.names, name]
             )
 
     return run
 
 
-def with_fingerprint(df: DataFrame, p: Params = Params(), text_col: str = "text") -> DataFrame:
+def with_fingerprint(df: DataFrame, p: Params = Params(), text_col: str = "text", name: str = FP) -> DataFrame:
+    """``df`` with the fingerprint as column ``name``, which it must not have."""
     from pyspark.sql.types import LongType, StructType
 
-    schema = StructType([*df.schema.fields]).add(FP, LongType())
-    return df.mapInArrow(_fingerprints(p, text_col), schema)
+    schema = StructType([*df.schema.fields]).add(name, LongType())
+    return df.mapInArrow(_fingerprints(p, text_col, name), schema)
 
 
 def block_masks(bits: list[int], blocks: int, fixed: int) -> list[int]:
@@ -241,11 +242,11 @@ def keep_one(df: DataFrame, p: Params = Params()) -> DataFrame:
     """``df`` with one row of each class: that with the smallest doc_id (equal
     ids: the smallest fingerprint's; no id at all: likewise). A class is known
     by its root fingerprint: rows of one id or without an id are not alike."""
-    marked = written(with_fingerprint(df, p), "marked")
-    rooted = _rooted(marked.select("doc_id", F.col(FP).alias("fp")), p)
+    own = fresh(df, FP)
+    marked = written(with_fingerprint(df, p, name=own), "marked")
+    rooted = _rooted(marked.select("doc_id", F.col(own).alias("fp")), p)
     first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "fp")).alias("first")
-    stay = rooted.groupBy("root").agg(first).select(
-        F.col("first.low").alias("_stay_id"), F.col("first.fp").alias("_stay_fp")
-    )
-    hit = marked["doc_id"].eqNullSafe(stay["_stay_id"]) & (marked[FP] == stay["_stay_fp"])
-    return marked.join(stay, hit, "left_semi").dropDuplicates(["doc_id", FP]).drop(FP)
+    stay_id, stay_fp = fresh(df, "_stay_id"), fresh(df, "_stay_fp")
+    stay = rooted.groupBy("root").agg(first).select(F.col("first.low").alias(stay_id), F.col("first.fp").alias(stay_fp))
+    hit = marked["doc_id"].eqNullSafe(stay[stay_id]) & (marked[own] == stay[stay_fp])
+    return marked.join(stay, hit, "left_semi").dropDuplicates(["doc_id", own]).drop(own)

@@ -179,7 +179,7 @@ def _mine(sample: DataFrame, p: Params) -> tuple[str, ...]:
     scored = sums.withColumn("z", F.round((F.col("t") - expected) / spread, 6)).filter(
         (F.col("t") >= p.min_docs) & (F.col("z") >= p.z) & (F.col("t") > F.col("c"))
     )
-    best = scored.orderBy(F.desc("z"), F.desc(F.length("token")), "token").limit(40 * p.mined).collect()
+    best = scored.orderBy(F.desc("z"), F.desc(F.length("token")), "token").collect()  # tokens of the bounded sample
     chosen: dict[str, int] = {}
     for token, t in ((r["token"], r["t"]) for r in best):
         covering = {f"^{token[1 : k + 1]}" for k in STEMS} | {token}
