@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm import mixing, passages, simhash, spm, toxicity
-from fleetlens.llm.common import fold, pick, table, written
+from fleetlens.llm.common import fold, fresh, pick, table, written
 
 TOXIC_FROM = 0.3  # score from which a document is rejected
 
@@ -24,8 +24,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = toxicity.train(
         pick(docs, doc_id="doc_id", text="text"), labels.filter(fold(F.col("doc_id"), 4) != 2)
     )
-    scored = toxicity.score(docs, model, docs.columns, "_toxicity")
-    return scored.filter(F.col("_toxicity") < TOXIC_FROM).drop("_toxicity")
+    name = fresh(docs, "_toxicity")
+    scored = toxicity.score(docs, model, docs.columns, name)
+    return scored.filter(F.col(name) < TOXIC_FROM).drop(name)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
