@@ -30,7 +30,7 @@ ORDER = ["timestamp", "eventId"]
 
 def passenger_deltas(locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
     cols = ["matatuId", "routeId", "routeName", "passengersOnboard", "timestamp", "eventId"]
-    rows = scan.with_chunk(locations.select(*cols), "matatuId", "timestamp", settings.vehicle_chunk_seconds)
+    rows = scan.with_cuts(locations.select(*cols), "matatuId", ORDER, settings.vehicle_chunk_seconds, settings)
     last = scan.chunk_edges(rows, ORDER, "last")
     carry = last.select(scan.KEY, scan.CHUNK, F.lag("_rec").over(scan.over_chunks()).alias("_carry"))
     rows = rows.withColumn("_prev", F.lag("passengersOnboard").over(scan.in_chunk(ORDER)))
@@ -68,7 +68,7 @@ def vehicle_snapshots(locations: DataFrame) -> DataFrame:
 def _route_chunks(deltas: DataFrame, settings: JobSettings) -> tuple[DataFrame, DataFrame]:
     """(rows with in-chunk running columns, per-chunk totals with carries)."""
     cols = ["routeId", "routeName", "passengerDelta", "boardings", "alightings", "matatuId", "timestamp", "eventId"]
-    rows = scan.with_chunk(deltas.select(*cols), "routeId", "timestamp", settings.scan_chunk_seconds)
+    rows = scan.with_cuts(deltas.select(*cols), "routeId", ORDER, settings.scan_chunk_seconds, settings)
     w = scan.upto(scan.in_chunk(ORDER))
     rows = (
         rows.withColumn("_run_sum", F.sum("passengerDelta").over(w))

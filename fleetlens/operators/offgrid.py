@@ -88,7 +88,7 @@ def offgrid_as_of(
 def _gaps(locations: DataFrame, settings: JobSettings) -> DataFrame:
     """Every ping with the time of the vehicle's next ping (null if last)."""
     cols = ["matatuId", "routeId", "routeName", "latitude", "longitude", "timestamp", "eventId"]
-    rows = scan.with_chunk(locations.select(*cols), "matatuId", "timestamp", settings.vehicle_chunk_seconds)
+    rows = scan.with_cuts(locations.select(*cols), "matatuId", ORDER, settings.vehicle_chunk_seconds, settings)
     first = scan.chunk_edges(rows, ORDER, "first")
     carry = first.select(scan.KEY, scan.CHUNK, F.lead("_rec").over(scan.over_chunks()).alias("_carry"))
     rows = rows.withColumn("_next", F.lead("timestamp").over(scan.in_chunk(ORDER)))

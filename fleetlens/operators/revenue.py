@@ -125,7 +125,7 @@ def _audited(
     ntz = with_op.schema[time_col].dataType.typeName() == "timestamp_ntz"
     cols = dict.fromkeys([*keep, "saccoId", "amountKes", time_col, arrival_col, "eventId"])
     with_op = with_op.select(*cols, epoch_micros(with_op, time_col).alias("_t"))
-    rows = scan.with_chunk(with_op, "saccoId", arrival_col, settings.scan_chunk_seconds)
+    rows = scan.with_cuts(with_op, "saccoId", order, settings.scan_chunk_seconds, settings)
     rows = rows.withColumn("_local_max", F.max("_t").over(scan.upto(scan.in_chunk(order))))
     last = scan.chunk_edges(rows, order, "last")
     carry = last.select(

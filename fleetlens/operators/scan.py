@@ -18,6 +18,12 @@ and shuffles the source once (``ReusedExchange`` in the plan).
 
 The chunk is a monotone function of the order column, so (chunk, order) gives
 the same total order as (order) alone.
+
+Chunks of clock time bound a group only as far as time spreads a key's rows. A
+burst, a backfill stamped with one minute, would still meet in one task. With
+``settings.scan_rows_per_range`` the chunks are ranges of rows instead
+(:func:`with_ranges`): cut by quantiles of (key, order), whatever the times,
+down to rows that are equal in all of it.
 """
 
 from __future__ import annotations
@@ -26,6 +32,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import epoch_micros, floor_div
+from fleetlens.session import cut_lineage
+from fleetlens.settings import JobSettings
 
 KEY = "_key"
 CHUNK = "_chunk"
@@ -42,6 +50,30 @@ def with_chunk(df: DataFrame, key: str, time_col: str, chunk_seconds: int) -> Da
     )
 
 
+def with_ranges(df: DataFrame, key: str, order: list[str], rows_per_range: int) -> DataFrame:
+    """Adds the scan's key and, as its chunk, the number of the range of about
+    ``rows_per_range`` rows that a row falls into.
+
+    Rows are range-partitioned by (key, order) on sampled quantiles, so a key
+    with very many rows goes over several ranges and a range holds several
+    small keys. The ranges are written as a table in the shared folder: their
+    numbers are then fixed, also for tasks that are tried again. Starts jobs
+    (a count, and the write) and needs ``spark.checkpoint.dir``.
+    """
+    keyed = df.withColumn(KEY, F.coalesce(F.col(key), F.lit(NO_KEY)))
+    ranges = max(1, -(-keyed.count() // rows_per_range))
+    placed = keyed.repartitionByRange(ranges, KEY, *order).withColumn(CHUNK, F.spark_partition_id().cast("bigint"))
+    return cut_lineage(placed, "ranges")
+
+
+def with_cuts(df: DataFrame, key: str, order: list[str], chunk_seconds: int, settings: JobSettings) -> DataFrame:
+    """The scan's key and chunk: ranges of rows if the settings ask for them,
+    else chunks of ``chunk_seconds`` of the first ``order`` column."""
+    if settings.scan_rows_per_range:
+        return with_ranges(df, key, order, settings.scan_rows_per_range)
+    return with_chunk(df, key, order[0], chunk_seconds)
+
+
 def in_chunk(order: list[str]) -> Window:
     return Window.partitionBy(KEY, CHUNK).orderBy(*order)
 

@@ -26,6 +26,10 @@ class JobSettings:
     scan_chunk_seconds: int = 60  # routes and operators: all vehicles' events
     vehicle_chunk_seconds: int = 86_400  # one vehicle pings every few seconds
 
+    # Instead of clock time: ranges of about so many rows, for keys whose rows
+    # crowd in time. Costs one more shuffle of the rows, and a table.
+    scan_rows_per_range: int | None = None
+
     @property
     def revenue_window_ms(self) -> int:
         return self.revenue_window_minutes * 60_000
