@@ -8,11 +8,12 @@ the same k-mers were selected *in the same order*; the share of equal entries
 estimates a similarity that, unlike Jaccard's, falls when passages move, and so
 follows edit distance.
 
-The permutations are rotations of one random order of the elements (circulant
-MinHash): each starts at its own point of the hash circle and its smallest
-elements are the next ones from there, so one sort serves all sketches. k-mer
-hashes are polynomials, numbered with a second sort. Memory is a few arrays of
-the longest single text.
+Every sketch has an order of its own, by the product of an element and the
+sketch's random odd number. Few elements can be among the smallest:
+those under a threshold that about ``under`` elements of a text pass are looked
+at, for all sketches at once; a sketch that has fewer than ``take`` of them
+looks at all. k-mer hashes are polynomials, numbered with a second sort. Memory
+is a few arrays of the longest single text, or of 2^18 values.
 
 Rows: null text counts as empty; a text shorter than ``k`` has itself as its
 only k-mer; equal texts have equal fingerprints.
@@ -23,6 +24,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -39,8 +41,11 @@ class Params:
     take: int = 2
     sketches: int = 48
     seed: int = 7
+    under: int = 12  # elements of a text that pass a sketch's threshold, on average
 
 
+CELLS = 1 << 18  # values of elements and sketches held at a time
+ROWS_PER_RANGE = 20_000
 U = np.uint64
 MIX1, MIX2 = U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)  # splitmix64 finaliser
 
@@ -96,28 +101,57 @@ def signature(points: np.ndarray, p: Params = Params()) -> np.ndarray:
     if not len(points):
         return out
     h = kmer_hashes(points, p.k)
-    starts = np.random.default_rng(p.seed).integers(0, 1 << 63, size=p.sketches, dtype=np.int64).astype(U) << U(1)
+    factors = _factors(p.seed, p.sketches)
     with np.errstate(over="ignore"):
         element = _mix(h + occurrences(h) * U(0xD6E8FEB86659FD93))
-        ordered = np.sort(element)
         take = min(p.take, len(h))
-        # a rotated order's smallest elements: the next ones from its start
-        rank = (np.searchsorted(ordered, starts)[:, None] + np.arange(take)) % len(h)
-        at = np.sort(_places(element, ordered[rank]), axis=1)  # back to text order
+        group = max(1, CELLS // len(h))
+        at = np.concatenate([_smallest(element, factors[i : i + group], take, p.under) for i in range(0, p.sketches, group)])
+        at.sort(axis=1)  # back to text order
         tuples = np.arange(p.sketches, dtype=U)
         for j in range(take):
             tuples = tuples * U(0x9E3779B97F4A7C15) + h[at[:, j]]
         return (_mix(tuples) >> U(32)).astype(np.uint32)
 
 
-def _places(element: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    """Where the chosen values stand, found through a table of their low bits."""
-    low = U(0xFFFF)
-    table = np.zeros(1 << 16, bool)
-    table[chosen & low] = True
-    maybe = np.flatnonzero(table[element & low])
-    by = maybe[np.argsort(element[maybe], kind="stable")]
-    return by[np.searchsorted(element[by], chosen)]
+@lru_cache
+def _factors(seed: int, sketches: int) -> np.ndarray:
+    """A random odd number for each sketch."""
+    return np.random.default_rng(seed).integers(0, 1 << 63, size=sketches, dtype=np.int64).astype(U) << U(1) | U(1)
+
+
+_SPACE = {"values": np.empty(0, np.uint32), "hits": np.empty(0, bool)}  # used again for every text
+
+
+def _smallest(element: np.ndarray, factors: np.ndarray, take: int, under: int) -> np.ndarray:
+    """(sketches, take) places of each order's smallest elements. An order
+    compares the products of 32 bits first, then those of 64."""
+    n = len(element)
+    high = (element >> U(32)).astype(np.uint32)
+    m = len(factors) * n
+    if m > len(_SPACE["values"]):
+        _SPACE.update(values=np.empty(2 * m, np.uint32), hits=np.zeros(2 * m + 8, bool))
+    values, hits = _SPACE["values"][:m], _SPACE["hits"][: -(-m // 8) * 8]
+    odd = (factors >> U(32) | U(1)).astype(np.uint32)
+    np.multiply(high[None, :], odd[:, None], out=values.reshape(len(factors), n))
+    if n > 2 * under:
+        np.less(values, np.uint32((under << 32) // n), out=hits[:m])
+        hits[m:] = False
+        eight = np.flatnonzero(hits.view(U))  # eight cells a word, most without a hit
+        hit = np.flatnonzero(hits.reshape(-1, 8)[eight].ravel())
+        cell = 8 * eight[hit >> 3] + (hit & 7)
+    else:
+        cell = np.arange(m)
+    sketch = cell // n
+    place = cell - sketch * n
+    found = np.bincount(sketch, minlength=len(factors))
+    order = np.lexsort((element[place] * factors[sketch], values[cell], sketch))  # stable: equal values in text order
+    first = np.cumsum(found) - found
+    chosen = np.minimum(first[:, None] + np.arange(take), max(len(cell) - 1, 0))
+    at = place[order][chosen] if len(cell) else np.zeros((len(factors), take), np.int64)
+    for s in np.flatnonzero(found < take).tolist():
+        at[s] = np.lexsort((element * factors[s], values[s * n : (s + 1) * n]))[:take]
+    return at
 
 
 def hexed(sig: np.ndarray) -> str:
@@ -194,6 +228,7 @@ def edited_neighbours(df: DataFrame, p: Params = Params()) -> DataFrame:
     and against the next document's."""
     docs = pick(df, doc_id="doc_id", text="text")
     spark = df.sparkSession
-    ranges = min(4096, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    least = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = max(least, -(-docs.count() // ROWS_PER_RANGE))
     rows, _ = ranged(docs, "doc_id", ranges)
     return runs(rows, "doc_id", "text").mapInArrow(_edited_pairs(p), OUT)

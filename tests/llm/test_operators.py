@@ -340,14 +340,64 @@ def brute_signature(text: str, p: ordermin.Params) -> list:
         v = np.array([(x + seen[x] * 0xD6E8FEB86659FD93) % (1 << 64)], np.uint64)
         element.append(int(ordermin._mix(v)[0]))
         seen[x] += 1
-    starts = np.random.default_rng(p.seed).integers(0, 1 << 63, size=p.sketches, dtype=np.int64).tolist()
+    factors = np.random.default_rng(p.seed).integers(0, 1 << 63, size=p.sketches, dtype=np.int64).tolist()
     out = []
-    for a in starts:
-        order = sorted(range(len(h)), key=lambda i: ((element[i] - 2 * a) % (1 << 64), i))
+    for a in factors:  # every sketch has its own order
+        a = 2 * a + 1
+        high = lambda e, a=a: (e >> 32) * (a >> 32 | 1) % (1 << 32)
+        order = sorted(range(len(h)), key=lambda i: (high(element[i]), element[i] * a % (1 << 64), i))
         out.append(tuple(h[i] for i in sorted(order[: p.take])))
     return out
 
 
+def independent_likeness(t: str, u: str, p: ordermin.Params, rng: random.Random, sketches: int) -> float:
+    """Order MinHash likeness under truly random orders of the elements."""
+    def elements(text):
+        seen: collections.Counter = collections.Counter()
+        out = []
+        k = min(p.k, len(text))
+        for i in range(len(text) - k + 1):
+            mer = text[i : i + k]
+            out.append((mer, seen[mer]))
+            seen[mer] += 1
+        return out
+
+    a, b = elements(t), elements(u)
+    every = sorted({*a, *b})
+    same = 0
+    for _ in range(sketches):
+        value = {e: rng.random() for e in every}
+        first = lambda xs: [xs[i][0] for i in sorted(sorted(range(len(xs)), key=lambda i: value[xs[i]])[: p.take])]
+        same += first(a) == first(b)
+    return same / sketches
+
+
+@pytest.mark.parametrize("n", [150, 400, 1500])
+def test_likeness_agrees_with_independent_orders(n):
+    """Mean over 60 seeds of the estimate, against truly random orders."""
+    rng = random.Random(n)
+    t = prose(rng, n // 5)[:n]
+    cut = n // 4
+    u = t[: n - cut] + prose(rng, n // 5)[:cut]
+    want = independent_likeness(t, u, ordermin.Params(), rng, 4000 if n < 1000 else 1500)
+    got = []
+    for seed in range(60):
+        p = ordermin.Params(seed=seed)
+        got.append(ordermin.likeness(*(ordermin.signature(ordermin.code_points(x), p) for x in (t, u))))
+    assert abs(np.mean(got) - want) < 0.03
+    # 48 draws of that chance: the spread of independent sketches, not more
+    assert np.std(got) < 1.5 * math.sqrt(want * (1 - want) / 48)
+
+
+def test_sketches_with_too_few_small_elements_look_at_all():
+    rng = random.Random(2)
+    text = prose(rng, 60)
+    points = ordermin.code_points(text)
+    want = ordermin.signature(points, ordermin.Params(under=10**6))
+    for under in (1, 2, 12):  # with 1, most sketches fall back
+        assert (ordermin.signature(points, ordermin.Params(under=under)) == want).all()
+
+
 def test_order_minhash_matches_definition():
     rng = random.Random(9)
     p = ordermin.Params(k=5)
