@@ -16,7 +16,7 @@ the data is still folded in many parallel (route, chunk) tasks.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import clamp_at_zero
@@ -28,13 +28,23 @@ from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 ORDER = ["timestamp", "eventId"]
 
 
-def passenger_deltas(locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
+def passenger_deltas(
+    locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS, before: DataFrame | None = None
+) -> DataFrame:
+    """``before`` (matatuId, lastPassengerCount) holds the counts of vehicles
+    whose earlier pings are not among ``locations``; it meets the edge rows of
+    the scan only."""
     cols = ["matatuId", "routeId", "routeName", "passengersOnboard", "timestamp", "eventId"]
     rows = scan.with_cuts(locations.select(*cols), "matatuId", ORDER, settings.vehicle_chunk_seconds, settings)
     last = scan.chunk_edges(rows, ORDER, "last")
     carry = last.select(scan.KEY, scan.CHUNK, F.lag("_rec").over(scan.over_chunks()).alias("_carry"))
     rows = rows.withColumn("_prev", F.lag("passengersOnboard").over(scan.in_chunk(ORDER)))
-    prev = F.coalesce(F.col("_prev"), F.col("_carry.passengersOnboard"), F.lit(0))
+    known = [F.col("_prev"), F.col("_carry.passengersOnboard")]
+    if before is not None:
+        counts = before.select(F.col("matatuId").alias(scan.KEY), F.col("lastPassengerCount").alias("_before"))
+        carry = carry.join(counts, scan.KEY, "left")
+        known.append(F.col("_before"))
+    prev = F.coalesce(*known, F.lit(0))
     delta = (F.col("passengersOnboard") - prev).cast("int")
     return (
         scan.join_carry(rows, carry)
@@ -133,6 +143,37 @@ def occupancy_changelog(
     )
 
 
+def chunk_summaries(deltas: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
+    """One row for each (route, chunk): what the chunk's deltas do to any
+    occupancy, ``x -> tot + max(x, -low)`` in closed form, and their totals.
+    Summaries of chunks compose, see :func:`composed`."""
+    _, summary = _route_chunks(deltas, settings)
+    return summary.select(
+        "routeId", F.col(scan.CHUNK).alias("chunk"), F.col("_tot").alias("tot"), F.col("_cmin").alias("low"),
+        F.col("_tb").alias("boardings"), F.col("_ta").alias("alightings"), F.col("_name").alias("routeName"),
+        F.col("_lastKey.timestamp").alias("lastAt"), F.col("_lastKey.eventId").alias("lastId"),
+    )
+
+
+def composed(summaries: DataFrame, order: list[str]) -> DataFrame:
+    """Occupancy of every route from its chunk summaries in ``order``."""
+    prior = Window.partitionBy("routeId").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("tot").over(prior), F.lit(0))
+    last = F.max_by(F.struct("routeName", "lastAt"), F.struct("lastAt", "lastId"))
+    return (
+        summaries.withColumn("_low", before + F.col("low"))
+        .groupBy("routeId")
+        .agg(F.sum("tot").alias("_sum"), F.min("_low").alias("_min"), F.sum("boardings").alias("totalBoardings"),
+             F.sum("alightings").alias("totalAlightings"), last.alias("_last"))
+        .select(
+            "routeId", "_last.routeName",
+            (F.col("_sum") - F.least(F.lit(0), F.col("_min"))).cast("int").alias("currentPassengers"),
+            F.col("totalBoardings").cast("bigint").alias("totalBoardings"),
+            F.col("totalAlightings").cast("bigint").alias("totalAlightings"), F.col("_last.lastAt").alias("lastUpdated"),
+        )
+    )
+
+
 def route_occupancy(deltas: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
     """Final occupancy per route, from the per-chunk summary alone."""
     _, summary = _route_chunks(deltas, settings)

@@ -468,5 +468,6 @@ ORACLE_SQL.update(
                  WHERE epoch_us("timestamp") >= (SELECT (min(epoch_us("timestamp")) + max(epoch_us("timestamp"))) // 2 FROM locations)"""
         ),
         "offgrid_handover": ORACLE_SQL["offgrid_tick_alerts"],
+        "occupancy_by_parts": ORACLE_SQL["route_occupancy"],
     }
 )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.functions.scalar import epoch_micros, from_epoch_micros
-from fleetlens.operators import offgrid
+from fleetlens.operators import increments, offgrid
 from fleetlens.plans.catalog import HOURLY
 from fleetlens.settings import DEFAULT_SETTINGS
 from fleetlens.sources.fixtures import load_fares, load_locations
@@ -191,6 +191,16 @@ def offgrid_handover(spark: SparkSession, sf: str) -> DataFrame:
     return offgrid.tick_alerts(history, from_epoch_micros(F.lit(judged * tick_us), True), HOURLY).unionByName(streamed)
 
 
+def occupancy_by_parts(spark: SparkSession, sf: str) -> DataFrame:
+    """Route occupancy from stored summaries, extended part by part: the later
+    half of the pings is added without reading the earlier half again."""
+    history, later, _ = _halves(spark, sf)
+    parts = increments.OccupancyParts(spark, replay.new_folder(spark, "parts"), S)
+    parts.extend(1, history)
+    parts.extend(2, later)
+    return parts.occupancy()
+
+
 REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "revenue_replay": revenue_replay,
     "late_fares_replay": late_fares_replay,
@@ -204,4 +214,5 @@ REPLAYS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "occupancy_table": occupancy_table,
     "occupancy_handover": occupancy_handover,
     "offgrid_handover": offgrid_handover,
+    "occupancy_by_parts": occupancy_by_parts,
 }
