@@ -2,14 +2,15 @@
 
 The reader checks every record (gzip CRC, version line, content length, the
 record's end, payload digest). After a failed check it searches on for the next
-place where a whole record passes: the next gzip member in a compressed file,
-the next version line in a plain one. The bytes in between are reported as
+place where a whole record passes: the next version line, in a plain file or
+within a gzip member that holds several records, and the next gzip member in a
+compressed file. A file gzipped as a whole is one such member. The bytes in between are reported as
 ``gap`` rows with their offset, length and reason, and later records are kept.
 
 Archives live in a folder all executors share and are opened by URI through
 pyarrow's file systems. A writing task names its files by a random id and
 reports them in its output rows, so what a failed attempt left is never read.
-Memory: one record and one read buffer for each task.
+Memory: two records and one read buffer for each task.
 
 Rows: null html counts as an empty payload, a null or odd url becomes a valid
 header value; null ids are kept (an id of null is written as ``none``);
@@ -164,19 +165,110 @@ class Archive:
         self.file.close()
 
 
-def _member(a: Archive, pos: int) -> tuple[bytes, int]:
-    """(content, compressed length) of the gzip member at ``pos``."""
-    d, at, out = zlib.decompressobj(31), pos, []
-    try:
-        while not d.eof:
-            chunk = a.read(at, 1 << 16)
+class Member:
+    """The content of the gzip member at ``pos``, decompressed as far as asked
+    for. ``at``: how much of it has been dropped; ``failed``: why it broke off."""
+
+    def __init__(self, a: Archive, pos: int):
+        self.a, self.pos, self.next = a, pos, pos
+        self.z = zlib.decompressobj(31)
+        self.buf, self.at, self.failed = b"", 0, ""
+
+    def fill(self, n: int) -> bytes:
+        """The content from ``at`` on: ``n`` bytes, or what there is."""
+        parts, have = [self.buf], len(self.buf)
+        while have < n and not self.z.eof and not self.failed:
+            chunk = self.a.read(self.next, 1 << 16)
             if not chunk:
-                raise Damaged("truncated member")
-            out.append(d.decompress(chunk))
-            at += len(chunk)
-    except zlib.error as e:
-        raise Damaged(f"gzip: {e}") from e
-    return b"".join(out), at - len(d.unused_data) - pos
+                self.failed = "truncated member"
+                break
+            self.next += len(chunk)
+            before = self.z.copy()
+            try:
+                parts.append(self.z.decompress(chunk))
+            except zlib.error as e:
+                self.failed = f"gzip: {e}"
+                parts.append(_before_error(before, chunk))
+                break
+            have += len(parts[-1])
+        self.buf = b"".join(parts)
+        return self.buf
+
+    def drop(self, n: int) -> None:
+        self.buf, self.at = self.buf[n:], self.at + n
+
+    @property
+    def used(self) -> int:
+        """Compressed length of a member read to its end."""
+        return self.next - len(self.z.unused_data) - self.pos
+
+
+def _before_error(z, chunk: bytes) -> bytes:
+    """What ``z`` gives of a chunk that fails: step by step, finer at the end."""
+    out = []
+    for step in (1024, 1):
+        while chunk:
+            before = z.copy()
+            try:
+                out.append(z.decompress(chunk[:step]))
+            except zlib.error:
+                z = before
+                break
+            chunk = chunk[step:]
+    return b"".join(out)
+
+
+def _first_record(m: Member) -> tuple[dict, int]:
+    """(row, length) of the record that begins where ``m`` stands."""
+    n = 1 << 13
+    while True:
+        raw = m.fill(n)
+        if not VERSION_LINE.match(raw):
+            raise Damaged("no version line")
+        end = raw.find(CRLF + CRLF)
+        if end >= 0:
+            break
+        if len(raw) < n:
+            raise Damaged("unfinished header")
+        n *= 4
+    stated = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)", raw[: end + 2])
+    want = end + 8 + int(stated[1]) if stated else n
+    head, block, taken = parse_record(m.fill(want)[:want])
+    return describe(head, block), taken
+
+
+def _of_member(a: Archive, pos: int) -> Iterator[dict | Member]:
+    """Records and inner gaps of the member at ``pos``, then the member itself.
+
+    A record is held back until what follows it has been read, or the member
+    has ended with the right checksum: the last one before a failure is not
+    trusted. Two records are in memory at most."""
+    m, held, gap, why = Member(a, pos), None, None, ""
+    while m.fill(1):
+        try:
+            row, taken = _first_record(m)
+        except Damaged as e:
+            if gap is None:
+                gap, why = m.at, str(e)
+            m.drop(1)
+            while not (found := VERSION_LINE.search(m.fill(1 << 16))) and len(m.buf) > 10:
+                m.drop(len(m.buf) - 10)
+            m.drop(found.start() if found else len(m.buf))
+            continue
+        if held:
+            yield held
+            held = None
+        if gap is not None:
+            yield {"kind": "gap", "offset": pos, "inner_offset": gap, "length": m.at - gap, "reason": why}
+            gap = None
+        held = {"kind": "record", "offset": pos, "inner_offset": m.at, "length": taken, **row}
+        m.drop(taken)
+    if not m.failed:
+        if held:
+            yield held
+        if gap is not None:
+            yield {"kind": "gap", "offset": pos, "inner_offset": gap, "length": m.at - gap, "reason": why}
+    yield m
 
 
 def _plain(a: Archive, pos: int) -> tuple[bytes, int]:
@@ -198,38 +290,85 @@ def _plain(a: Archive, pos: int) -> tuple[bytes, int]:
 
 
 def salvage(a: Archive) -> Iterator[dict]:
-    """Records and gaps of an archive, in order, covering every byte."""
-    pos, gap_at, reason = 0, None, ""
+    """Records and gaps of an archive, in order, covering every byte.
+
+    Offsets and lengths are those in the file. What stands in a gzip member
+    beside other records has the member's offset, and ``inner_offset`` and
+    ``length`` within its content. A gap that begins in a member which breaks
+    off has as ``inner_offset`` where the records kept of it end."""
     zipped = a.read(0, 3) == GZIP_MAGIC or a.find(0, re.compile(re.escape(GZIP_MAGIC)), 3) < a.find(0, VERSION_LINE, 10)
-    mark = re.compile(re.escape(GZIP_MAGIC)) if zipped else VERSION_LINE
+    return _salvaged(a, re.compile(re.escape(GZIP_MAGIC)), _zipped) if zipped else _salvaged(a, VERSION_LINE, _one)
+
+
+def _one(a: Archive, pos: int) -> Iterator[dict | int]:
+    """The plain record at ``pos``, then the bytes it takes."""
+    raw, used = _plain(a, pos)
+    head, block, _ = parse_record(raw)
+    yield {"kind": "record", "offset": pos, "length": used, **describe(head, block)}
+    yield used
+
+
+def _zipped(a: Archive, pos: int) -> Iterator[dict | int]:
+    """Rows of the member at ``pos``, then the bytes it takes."""
+    alone, kept = None, None  # the only row so far; where kept records end
+    for row in _of_member(a, pos):
+        if isinstance(row, Member):
+            break
+        if alone is None and kept is None:
+            alone, kept = row, row["inner_offset"] + row["length"]
+            continue
+        if alone is not None:
+            yield alone
+            alone = None
+        yield row
+        kept = row["inner_offset"] + row["length"]
+    member = row
+    whole = not member.failed
+    if kept is None or alone is not None and alone["kind"] == "gap":
+        raise Damaged(member.failed or (alone["reason"] if alone else "empty member"))
+    if alone is not None:
+        yield {**alone, "inner_offset": None, "length": member.used} if whole else alone
+    if not whole:
+        broken = Damaged(member.failed)
+        broken.inner = kept
+        raise broken
+    yield member.used
+
+
+def _salvaged(a: Archive, mark: re.Pattern, rows) -> Iterator[dict]:
+    pos, gap = 0, None
+
+    def closed(to: int) -> dict:
+        at, inner, reason = gap
+        return {"kind": "gap", "offset": at, "inner_offset": inner, "length": to - at, "reason": reason}
+
     while pos < a.size:
+        used = 0
         try:
-            raw, used = (_member if zipped else _plain)(a, pos)
-            head, block, taken = parse_record(raw)
-            if zipped and taken != len(raw):
-                raise Damaged("member holds more than a record")
-            row = describe(head, block)
+            for row in rows(a, pos):
+                if isinstance(row, int):
+                    used = row
+                    break
+                if gap:
+                    yield closed(pos)
+                    gap = None
+                yield row
         except Damaged as e:
-            if gap_at is None:
-                gap_at, reason = pos, str(e)
+            gap = gap or (pos, getattr(e, "inner", None), str(e))
             pos = a.find(pos + 1, mark, 10)
             continue
-        if gap_at is not None:
-            yield {"kind": "gap", "offset": gap_at, "length": pos - gap_at, "reason": reason}
-            gap_at = None
-        yield {"kind": "record", "offset": pos, "length": used, **row}
         pos += used
-    if gap_at is not None:
-        yield {"kind": "gap", "offset": gap_at, "length": a.size - gap_at, "reason": reason}
+    if gap:
+        yield closed(a.size)
 
 
 COLUMNS = {
-    "path": pa.string(), "kind": pa.string(), "offset": pa.int64(), "length": pa.int64(), "reason": pa.string(),
+    "path": pa.string(), "kind": pa.string(), "offset": pa.int64(), "inner_offset": pa.int64(), "length": pa.int64(), "reason": pa.string(),
     "record_type": pa.string(), "record_id": pa.string(), "target_uri": pa.string(), "refers_to_id": pa.string(),
     "payload_bytes": pa.int64(), "payload_digest": pa.string(), "payload": pa.binary(),
 }
 SCHEMA = (
-    "path string, kind string, offset long, length long, reason string, record_type string, record_id string, "
+    "path string, kind string, offset long, inner_offset long, length long, reason string, record_type string, record_id string, "
     "target_uri string, refers_to_id string, payload_bytes long, payload_digest string, payload binary"
 )
 
@@ -321,7 +460,7 @@ def round_trip(df: DataFrame, p: Params = Params()) -> DataFrame:
     pages = pick(df, page_id="page_id", url="url", html="html")
     folder = scratch_path(spark, "warc")
     archives = written(write(with_refers_to(pages, p), folder, p), "manifest")
-    n = max(1, archives.count())
+    n = max(1, min(archives.count(), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
     back = read(archives.select("path").repartition(n), payloads=False).filter("kind = 'record'")
     number = lambda c: F.regexp_extract(c, r"^<urn:x-page:(-?\d+)>$", 1).try_cast("long")
     return back.select(

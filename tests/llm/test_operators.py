@@ -475,6 +475,61 @@ def test_reader_salvages(tmp_path, compress):
     assert ids == [0, 2, 3, 4, 5, 6, 7]
 
 
+def members(tmp_path, groups, damage=lambda raw: raw):
+    """Rows of an archive whose gzip members hold the records of ``groups``
+    (numbers; bytes stand for themselves)."""
+    p = warc.Params(compress=False)
+    make = lambda i: i if isinstance(i, bytes) else warc.make_record(i, f"http://x/{i}", f"page {i} ".encode() * 300 * (i + 1), None, p)
+    parts = [(z := zlib.compressobj(6, zlib.DEFLATED, 31)).compress(b"".join(map(make, g))) + z.flush() for g in groups]
+    path = tmp_path / f"m{random.random()}.warc.gz"
+    path.write_bytes(damage(b"".join(parts)))
+    rows = list(warc.salvage(warc.Archive(str(path))))
+    ids = [int(r["record_id"][len("<urn:x-page:") : -1]) for r in rows if r["kind"] == "record"]
+    return ids, [r for r in rows if r["kind"] == "gap"], rows, [len(x) for x in parts]
+
+
+def test_reader_takes_members_of_many_records(tmp_path):
+    ids, gaps, rows, sizes = members(tmp_path, [[0, 1, 2, 3, 4]])
+    assert ids == [0, 1, 2, 3, 4] and not gaps
+    assert [r["inner_offset"] for r in rows][0] == 0 and all(r["offset"] == 0 for r in rows)
+    ids, gaps, rows, sizes = members(tmp_path, [[0], [1, 2], [3]])
+    assert ids == [0, 1, 2, 3] and not gaps
+    assert [(r["offset"], r["inner_offset"] is None) for r in rows] == [(0, True), (sizes[0], False), (sizes[0], False), (sizes[0] + sizes[1], True)]
+
+
+def test_reader_searches_within_a_member(tmp_path):
+    """Junk, a record with a wrong digest and a torn record between good ones."""
+    p = warc.Params(compress=False)
+    wrong = bytearray(warc.make_record(7, "u", b"x" * 50, None, p))
+    wrong[-10] ^= 1
+    torn = warc.make_record(8, "u", b"y" * 90_000, None, p)[:70_000]
+    ids, gaps, rows, _ = members(tmp_path, [[0, b"junk" * 40_000, 1, bytes(wrong), 2, torn, 3, b"tail"]])
+    assert ids == [0, 1, 2, 3]
+    ends = [(r["inner_offset"], r["inner_offset"] + r["length"]) for r in rows]
+    assert all(a[1] == b[0] for a, b in zip(ends, ends[1:]))  # every byte of the content
+    assert [g["reason"] for g in gaps][:2] == ["no version line", "payload digest differs"] and len(gaps) == 4
+    assert [g["length"] for g in gaps][0] == 160_000
+
+
+def test_reader_keeps_what_stands_before_the_damage(tmp_path):
+    def cut(raw):
+        return raw[: int(len(raw) * 0.7)]
+
+    ids, gaps, _, _ = members(tmp_path, [list(range(40))], cut)
+    assert 10 < len(ids) < 40 and ids == list(range(len(ids)))
+    assert len(gaps) == 1 and gaps[0]["inner_offset"] > 0 and gaps[0]["reason"] == "truncated member"
+
+    def flip_late(raw):
+        out = bytearray(raw)
+        out[-6] ^= 0xFF  # the checksum
+        return bytes(out)
+
+    assert members(tmp_path, [[0, 1, 2]], flip_late)[0] == [0, 1]  # the last one is not trusted
+    assert members(tmp_path, [[0]], flip_late)[0] == []
+    ids, gaps, _, sizes = members(tmp_path, [[b"only junk"], [5], []])
+    assert ids == [5] and [g["offset"] for g in gaps] == [0, sizes[0] + sizes[1]]
+
+
 # ----------------------------------------------------------------- 9 mixing
 
 
