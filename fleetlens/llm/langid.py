@@ -13,7 +13,8 @@ but texts.
 
 Rows: a null text, or one without a letter, is ``und`` with score 0; with no
 labelled row at all every text is ``und``; rows with null or repeated ids are
-each predicted. Ties go to the language that comes first by code point.
+each predicted. Ties go to the language that comes first by code point. An
+empty table gives an empty result; other input columns are not read.
 """
 
 from __future__ import annotations

@@ -26,7 +26,8 @@ bounds (``vocab``, ``bigrams``) that a caller sets; the query does not use it.
 
 Rows: a text without a word (null, empty) has no tokens and null scores; with no
 target row the target model is uniform over the vocabulary; repeated rows count
-and are scored each; other input columns are not read.
+and are scored each; a null id keeps its row and is no target; an empty table
+gives an empty result; other input columns are not read.
 """
 
 from __future__ import annotations

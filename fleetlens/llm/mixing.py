@@ -12,8 +12,10 @@ pseudorandom permutation of the source's block indexes, a new one for each
 pass over the source, so no block is taken a second time before all were taken
 once. Slots and documents then meet in a join on (source, block).
 
-No source is gathered anywhere: positions come from per-range sums, and a hot
-source's work is spread over its blocks.
+Positions come from sums over ranges of 2^10 ids, and a hot source's work is
+spread over its ranges and blocks. Rows of one repeated id, or without an id,
+share a range; a source of very sparse ids has a range for each row, whose sums
+meet in a window for every 2^10 ranges.
 
 Targets: the total is ``share`` of all words; source weights repeat in code
 point order of the names, null last; a target stops at ``cap`` times its

@@ -16,7 +16,9 @@ looks at all. k-mer hashes are polynomials, numbered with a second sort. Memory
 is a few arrays of the longest single text, or of 2^18 values.
 
 Rows: null text counts as empty; a text shorter than ``k`` has itself as its
-only k-mer; equal texts have equal fingerprints.
+only k-mer; equal texts have equal fingerprints. Null ids come first, equal ids
+by text; the last row is followed by the first; an empty table gives an empty
+result; other input columns are not read.
 """
 
 from __future__ import annotations

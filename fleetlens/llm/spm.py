@@ -17,7 +17,8 @@ and the library may break differently; ``verify`` reports such a text.
 
 Rows: null text gives null ids and counts, an empty text an empty list;
 strings that look like control pieces (``<s>``) are ordinary text; repeated
-rows are encoded one by one; other input columns are not read.
+rows are encoded one by one, rows without an id too; an empty table gives an
+empty result; other input columns are not read.
 """
 
 from __future__ import annotations

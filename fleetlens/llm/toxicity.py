@@ -15,7 +15,8 @@ texts and nothing but texts.
 
 Rows: a null or empty text is scored like any other (no voter for toxicity
 fires); with fewer than ``min_class`` labelled rows of a class the word lists
-alone decide; repeated rows are scored one by one; a null id keeps its row.
+alone decide; repeated rows are scored one by one; a null id keeps its row; an
+empty table gives an empty result.
 """
 
 from __future__ import annotations
