@@ -4,6 +4,10 @@ Toxic documents go, one document of each near-duplicate group stays, repeated
 passages are cut out, sources are mixed to their target weights, and what is
 left is encoded. Each stage is one operator of ``fleetlens.llm``; ``run``
 writes each stage's rows to the shared folder and reads them back for the next.
+
+Rows: null and empty texts, null and repeated ids and repeated rows are taken
+as each operator says; extra columns pass through all but the last stage,
+whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
