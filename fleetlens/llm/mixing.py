@@ -14,8 +14,8 @@ once. Slots and documents then meet in a join on (source, block).
 
 Positions come from sums over ranges of 2^10 ids, and a hot source's work is
 spread over its ranges and blocks. Rows of one repeated id, or without an id,
-share a range; a source of very sparse ids has a range for each row, whose sums
-meet in a window for every 2^10 ranges.
+share a range; the sums of a source's blocks of 2^20 ids are ordered in one
+window, which ids sparser than that fill with one number for each row.
 
 Targets: the total is ``share`` of all words; source weights repeat in code
 point order of the names, null last; a target stops at ``cap`` times its
