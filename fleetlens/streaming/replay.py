@@ -56,13 +56,13 @@ def record_stream(spark: SparkSession, folder: str, like: DataFrame) -> DataFram
     return reader.option("timestampFormat", MICROS).json(folder)
 
 
-def run(start: Callable[[], StreamingQuery], spark: SparkSession, state_partitions: int = STATE_PARTITIONS) -> StreamingQuery:
+def run(start: Callable[[], StreamingQuery], spark: SparkSession, state_partitions: int | None = None) -> StreamingQuery:
     """Start a query over what is there, wait for its end, raise its error.
-    The number of state stores is fixed by the first micro-batch, so it is set
-    around the start only."""
+    The number of state stores (``STATE_PARTITIONS`` if not given) is fixed by
+    the first micro-batch, so it is set around the start only."""
     conf = "spark.sql.shuffle.partitions"
     before = spark.conf.get(conf)
-    spark.conf.set(conf, str(state_partitions))
+    spark.conf.set(conf, str(state_partitions or STATE_PARTITIONS))
     try:
         query = start()
     finally:

@@ -43,6 +43,13 @@ def duck():
     return con
 
 
+@pytest.fixture(autouse=True)
+def few_state_stores(monkeypatch):
+    from fleetlens.streaming import replay
+
+    monkeypatch.setattr(replay, "STATE_PARTITIONS", 2)
+
+
 @pytest.fixture
 def run_id():
     return "t" + uuid.uuid4().hex[:10]
