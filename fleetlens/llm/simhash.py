@@ -243,10 +243,14 @@ def keep_one(df: DataFrame, p: Params = Params()) -> DataFrame:
     ids: the smallest fingerprint's; no id at all: likewise). A class is known
     by its root fingerprint: rows of one id or without an id are not alike."""
     own = fresh(df, FP)
-    marked = written(with_fingerprint(df, p, name=own), "marked")
-    rooted = _rooted(marked.select("doc_id", F.col(own).alias("fp")), p)
+    thin = with_fingerprint(pick(df, doc_id="doc_id", text="text"), p).select("doc_id", F.col(FP).alias("fp"))
+    rooted = _rooted(written(thin, "simhash"), p)
     first = F.min(F.struct(F.col("low").isNull().alias("none"), "low", "fp")).alias("first")
     stay_id, stay_fp = fresh(df, "_stay_id"), fresh(df, "_stay_fp")
     stay = rooted.groupBy("root").agg(first).select(F.col("first.low").alias(stay_id), F.col("first.fp").alias(stay_fp))
+    stay = written(stay, "stay")
+    # Fingerprints are made again beside the rows: a table of whole rows would
+    # take the corpus's size on disk once more.
+    marked = with_fingerprint(df, p, name=own)
     hit = marked["doc_id"].eqNullSafe(stay[stay_id]) & (marked[own] == stay[stay_fp])
     return marked.join(stay, hit, "left_semi").dropDuplicates(["doc_id", own]).drop(own)
