@@ -34,7 +34,6 @@ an empty result; other columns pass through ``without_repeats`` untouched.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -44,14 +43,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, pick, written
+from .common import discard, fresh, pick, written
 from .components import connected_components
 
 U = np.uint64
 TOP = U(0xFFFFFFFFFFFFFFFF)
 BASE, BASE_INV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 LINE = U(0xC2B2AE3D27D4EB4F)
-WORD_RE = re.compile(WORD)
+GROUP = 1 << 19  # characters of the texts that are cut together
 
 
 @dataclass(frozen=True)
@@ -88,46 +87,60 @@ class Cutter:
                 self.pow = np.cumprod(np.concatenate([[U(1)], np.full(size, U(BASE))]))
                 self.inv = np.cumprod(np.concatenate([[U(1)], np.full(size, U(BASE_INV))]))
 
-    def cut(self, text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(first word of each fragment and the end, text hashes, band values
-        (fragments, bands), shingle hashes by word with TOP where a shingle
-        would leave its fragment)."""
+    def cut(self, text: str | None) -> tuple:
+        """The fragments of a text, as in :meth:`both`."""
         return self.both(text)[0]
 
     def both(self, text: str | None) -> tuple[tuple, tuple]:
-        """The fragments of a text as in :meth:`cut`, and its lines likewise."""
+        """The fragments of a text and its lines: each (first words and the
+        end, text hashes, band values (units, bands), shingle hashes by word
+        with TOP where a shingle would leave its unit)."""
+        got = self.many([text or ""])
+        return tuple((np.append(u.start, got.n), u.th, u.bands, u.sh) for u in (got.fragments, got.lines))
+
+    def many(self, texts: list[str]) -> Cut:
+        """The fragments and lines of texts, cut together: their words stand
+        one after another, and no unit reaches over the end of a text."""
         import xxhash
 
-        digest = xxhash.xxh64_intdigest
-        words, ends = [], []
-        for line in (text or "").lower().encode("utf-8", "surrogatepass").split(b"\n"):
-            words += line.split()
-            ends.append(len(words))
+        words, ends, sizes = [], [0], []
+        for text in texts:
+            before = len(words)
+            for line in text.lower().encode("utf-8", "surrogatepass").split(b"\n"):
+                words += line.split()
+                ends.append(len(words))
+            sizes.append(len(words) - before)
         n, k, r = len(words), self.p.shingle, self.p.radius
+        size = np.array(sizes, np.int64)
+        base = np.cumsum(size) - size
+        doc = np.repeat(np.arange(len(texts)), size)
+        w = np.fromiter(map(xxhash.xxh64_intdigest, words), U, n)
         if not n:
-            none = np.empty(0, U)
-            nothing = np.zeros(1, np.int64), none, np.empty((0, self.p.bands), U), none
-            return nothing, nothing
-        w = np.fromiter(map(digest, words), U, n)
+            none = Units(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, U), np.empty((0, self.p.bands), U), w)
+            return Cut(0, base, doc, none, none)
         self._powers(n + 1)
         with np.errstate(over="ignore"):
-            lines = np.unique(np.concatenate([[0], np.array(ends[:-1], np.int64)]))
+            lines = np.unique(np.array(ends, np.int64))
             lines = lines[lines < n]
-            s = lines
-            if n > 2 * r:
-                g = w.copy()
-                g[1:] += w[:-1] * U(0xD6E8FEB86659FD93)
-                g[2:] += w[:-2] * U(0xA5A3D2B1C4E6F789)
-                g = _mix(g)
-                low = np.ones(n, bool)
-                for d in range(1, r + 1):
-                    low[d:] &= g[d:] < g[:-d]
-                    low[:-d] &= g[:-d] < g[d:]
-                low[:r] = low[n - r :] = False
-                s = np.union1d(lines, np.flatnonzero(low))
+            own = base[size > 0]  # first words of texts
+            g, one, two = w.copy(), w * U(0xD6E8FEB86659FD93), w * U(0xA5A3D2B1C4E6F789)
+            one[own[1:] - 1] = 0
+            two[own[1:] - 1] = 0
+            two[np.maximum(own[1:] - 2, 0)] = 0
+            g[1:] += one[:-1]
+            g[2:] += two[:-2]
+            g = _mix(g)
+            low = np.ones(n, bool)
+            for d in range(1, r + 1):
+                low[d:] &= g[d:] < g[:-d]
+                low[:-d] &= g[:-d] < g[d:]
+            edge = np.arange(n) - base[doc]
+            low &= (edge >= r) & (edge < size[doc] - r)
+            s = np.union1d(lines, np.flatnonzero(low))
             e = np.append(s[1:], n)
-            if (e - s > self.p.longest).any():
-                s = np.concatenate([np.arange(a, b, self.p.longest) for a, b in zip(s.tolist(), e.tolist())])
+            wide = np.flatnonzero(e - s > self.p.longest)
+            if len(wide):
+                s = np.union1d(s, np.concatenate([np.arange(x, z, self.p.longest) for x, z in zip(s[wide].tolist(), e[wide].tolist())]))
             total = np.concatenate([[U(0)], np.cumsum(w * self.inv[:n])])
             sh = np.full(n, TOP)
             if n >= k:
@@ -135,11 +148,11 @@ class Cutter:
                 for d in range(k):
                     h = h * U(BASE) + w[d : n - k + 1 + d]
                 sh[: n - k + 1] = np.minimum(_mix(h), TOP - U(1))
-            return self._hashed(s, n, total, sh, U(0)), self._hashed(lines, n, total, sh, LINE)
+            return Cut(n, base, doc, self._hashed(s, n, total, sh, U(0)), self._hashed(lines, n, total, sh, LINE))
 
-    def _hashed(self, s: np.ndarray, n: int, total: np.ndarray, sh: np.ndarray, kind: np.uint64) -> tuple:
-        """Paragraphs that start at ``s``; ``kind`` keeps the hashes of lines
-        and of fragments apart."""
+    def _hashed(self, s: np.ndarray, n: int, total: np.ndarray, sh: np.ndarray, kind: np.uint64) -> Units:
+        """Units that start at ``s``; ``kind`` keeps the hashes of lines and of
+        fragments apart."""
         k, e = self.p.shingle, np.append(s[1:], n)
         size, sh = e - s, sh.copy()
         th = _mix((total[e] - total[s]) * self.pow[e] + size.astype(U) + kind)
@@ -148,27 +161,66 @@ class Cutter:
         short = size < k
         sh[s[short]] = np.minimum(th[short], TOP - U(1))
         bands = np.empty((len(s), self.p.bands), U)
+        top = sh == TOP
         for i, key in enumerate(self.keys):
             v = _mix(sh ^ key)
-            v[sh == TOP] = TOP
+            v[top] = TOP
             low_v = np.minimum.reduceat(v, s)
             bands[:, i] = _mix(low_v + U(i) + kind)
-        return np.append(s, n), th, bands, sh
+        return Units(s, e, th, bands, sh)
+
+
+@dataclass
+class Units:
+    """Units of one kind: first words and ends, hashes, bands; shingles by word."""
+
+    start: np.ndarray
+    end: np.ndarray
+    th: np.ndarray
+    bands: np.ndarray
+    sh: np.ndarray
+
+
+@dataclass
+class Cut:
+    """Texts cut together: words in all, first word of each text, the text of
+    each word, and both kinds of units."""
+
+    n: int
+    base: np.ndarray
+    doc: np.ndarray
+    fragments: Units
+    lines: Units
+
+
+def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``GROUP`` characters, one text at least."""
+    at = size = 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= GROUP:
+            yield at, i + 1
+            at, size = i + 1, 0
+    if at < len(texts):
+        yield at, len(texts)
 
 
 def _band_rows(p: Params):
-    """Per batch: (bucket, text hash, document) once for each text, and a
-    second document where a text has one (first band only)."""
+    """Per batch: (bucket, member) once for each text. A member is the text; in
+    the first band it is the text in its document, and a text that has a second
+    document stands there twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(p)
         for b in batches:
-            ths, bands, dks = [], [], []
-            for text, dk in zip(b.column("text").to_pylist(), b.column("dk").to_pylist()):
-                for _, th, bd, _ in cutter.both(text):
-                    ths.append(th)
-                    bands.append(bd)
-                    dks.append(np.full(len(th), dk, np.int64))
+            ths, bands, dks = [np.empty(0, U)], [np.empty((0, p.bands), U)], [np.empty(0, np.int64)]
+            texts, all_dk = b.column("text").to_pylist(), b.column("dk").to_numpy()
+            for lo, hi in _groups(texts):
+                cut = cutter.many([t or "" for t in texts[lo:hi]])
+                for u in (cut.fragments, cut.lines):
+                    ths.append(u.th)
+                    bands.append(u.bands)
+                    dks.append(all_dk[lo:hi][cut.doc[u.start]])
             th, dk = np.concatenate(ths).view(np.int64), np.concatenate(dks)
             bd = np.concatenate(bands).view(np.int64)
             order = np.lexsort((dk, th))
@@ -186,11 +238,10 @@ def _band_rows(p: Params):
                 first_other[at[one]] = True
             keep0 = new | first_other
             bucket = [bd[keep0, 0], *(bd[new, i] for i in range(1, p.bands))]
-            text = [th[keep0], *(th[new] for _ in range(1, p.bands))]
-            doc = [dk[keep0], *(np.zeros(int(new.sum()), np.int64) for _ in range(1, p.bands))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(x)) for x in (bucket, text, doc)], names=["bh", "th", "dk"]
-            )
+            with np.errstate(over="ignore"):
+                placed = _mix(th[keep0].view(U) + _mix(dk[keep0].view(U) ^ LINE)).view(np.int64)
+            member = [placed, *(th[new] for _ in range(1, p.bands))]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (bucket, member)], names=["bh", "member"])
 
     return run
 
@@ -219,7 +270,7 @@ def _in_filter(words: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
 
 UNITS = (
     "doc_id long, dk long, line boolean, ord int, until int, from_char int, to_char int, "
-    "from_word int, n_words int, th long, bands array<long>, shingles array<long>"
+    "from_word int, n_words int, th long, shingles array<long>"
 )
 
 
@@ -229,38 +280,90 @@ def _unit_rows(p: Params, shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter, words = Cutter(p), np.frombuffer(shared.value, U)
-        names = [c.split()[0] for c in UNITS.split(", ")]
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), *[pa.int32()] * 6, pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         for b in batches:
-            rows: list[tuple] = []
-            cols = (b.column(c).to_pylist() for c in ("doc_id", "dk", "text"))
-            for doc_id, dk, text in zip(*cols):
-                both = cutter.both(text)
-                at, spans = both[0][0], None
-                for line, (s, th, bands, sh) in enumerate(both):
-                    hit = np.flatnonzero(_in_filter(words, bands, p.filter_bits).any(axis=1))
-                    if not len(hit):
-                        continue
-                    spans = spans or [m.span() for m in WORD_RE.finditer(text)]
-                    first = np.searchsorted(at, s)
-                    for i in hit.tolist():
-                        a, z = int(s[i]), int(s[i + 1])
-                        own = np.unique(sh[a:z])
-                        rows.append(
-                            (doc_id, dk, bool(line), int(first[i]), int(first[i + 1]), spans[a][0], spans[z - 1][1],
-                             a, z - a, int(th[i].view(np.int64)), bands[i].view(np.int64), own[own != TOP].view(np.int64))
-                        )
-                if len(rows) > 50_000:
-                    yield _batch(rows, names, kinds)
-                    rows = []
-            if rows:
-                yield _batch(rows, names, kinds)
+            texts, ids, dks = b.column("text").to_pylist(), b.column("doc_id"), b.column("dk").to_numpy()
+            for lo, hi in _groups(texts):
+                cut = cutter.many([t or "" for t in texts[lo:hi]])
+                spans: dict[int, np.ndarray] = {}
+                for line, u in enumerate((cut.fragments, cut.lines)):
+                    hit = np.flatnonzero(_in_filter(words, u.bands, p.filter_bits).any(axis=1))
+                    if len(hit):
+                        yield _unit_batch(cut, u, bool(line), hit, spans, texts[lo:hi], ids.slice(lo, hi - lo), dks[lo:hi])
 
     return run
 
 
-def _batch(rows: list[tuple], names: list[str], kinds: list) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
+def _own_buckets(p: Params):
+    """Rows (th, line, shingles) -> (th, bh) for every band, as the cutter
+    makes them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys = Cutter(p).keys
+        for b in batches:
+            lists = b.column("shingles")
+            size = lists.value_lengths().to_numpy()
+            sh = lists.flatten().to_numpy().view(U)
+            if not len(size):
+                continue
+            start = np.cumsum(size) - size
+            kind = np.where(b.column("line").to_numpy(zero_copy_only=False), LINE, U(0))
+            with np.errstate(over="ignore"):
+                bands = [_mix(np.minimum.reduceat(_mix(sh ^ key), start) + U(i) + kind) for i, key in enumerate(keys)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.concat_arrays([b.column("th")] * len(keys)), pa.array(np.concatenate(bands).view(np.int64))], names=["th", "bh"]
+            )
+
+    return run
+
+
+def word_spans(text: str) -> np.ndarray:
+    """(words, 2) character spans of the words of a text."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    word = np.zeros(len(c) + 2, np.int8)
+    word[1:-1] = (c != 32) & ((c < 9) | (c > 13))
+    turn = np.diff(word)
+    return np.column_stack([np.flatnonzero(turn == 1), np.flatnonzero(turn == -1)])
+
+
+def _unit_batch(
+    cut: Cut, u: Units, line: bool, hit: np.ndarray, spans: dict, texts: list, ids: pa.Array, dks: np.ndarray
+) -> pa.RecordBatch:
+    """Rows of the units ``hit``. ``spans``: character spans of the words of
+    texts that have been looked at."""
+    start, end = u.start[hit], u.end[hit]
+    doc = cut.doc[start]
+    # fragments before the unit, less those before its text
+    place = lambda at: np.searchsorted(cut.fragments.start, at)
+    before = place(cut.base[doc])
+    for d in np.unique(doc).tolist():
+        if d not in spans:
+            spans[d] = word_spans(texts[d])
+    first, last = start - cut.base[doc], end - 1 - cut.base[doc]
+    chars = np.empty((len(hit), 2), np.int64)
+    turn = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+    for x, z in zip(turn.tolist(), np.append(turn[1:], len(hit)).tolist()):
+        at = spans[int(doc[x])]
+        chars[x:z, 0], chars[x:z, 1] = at[first[x:z], 0], at[last[x:z], 1]
+    size = end - start
+    unit = np.repeat(np.arange(len(hit)), size)
+    sh = u.sh[np.repeat(start, size) + np.arange(len(unit)) - np.repeat(np.cumsum(size) - size, size)]
+    unit, sh = unit[sh != TOP], sh[sh != TOP]
+    order = np.lexsort((sh, unit))
+    unit, sh = unit[order], sh[order]
+    new = np.ones(len(sh), bool)
+    new[1:] = (unit[1:] != unit[:-1]) | (sh[1:] != sh[:-1])
+    ends = np.concatenate([[0], np.cumsum(np.bincount(unit[new], minlength=len(hit)))])
+    lists = lambda values, offsets: pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))
+    small = lambda x: pa.array(x.astype(np.int32))
+    return pa.RecordBatch.from_arrays(
+        [
+            ids.take(pa.array(doc)), pa.array(dks[doc]), pa.array(np.full(len(hit), line)),
+            small(place(start) - before), small(place(end) - before),
+            small(chars[:, 0]), small(chars[:, 1]), small(first), small(size), pa.array(u.th[hit].view(np.int64)),
+            lists(sh[new], ends),
+        ],
+        names=[c.split()[0] for c in UNITS.split(", ")],
+    )
 
 
 def similar(ids: list[int], sets: list[frozenset], t: float) -> list[tuple[int, int]]:
@@ -335,11 +438,11 @@ def _repeated(df: DataFrame, p: Params) -> DataFrame:
     spark = df.sparkSession
     docs = pick(df, doc_id="doc_id", text="text").withColumn("dk", _doc_key(F.col("doc_id"), F.col("text")))
     buckets = written(
-        docs.select("text", "dk").mapInArrow(_band_rows(p), "bh long, th long, dk long")
+        docs.select("text", "dk").mapInArrow(_band_rows(p), "bh long, member long")
         .groupBy("bh")
-        .agg(F.min("th").alias("t0"), F.max("th").alias("t1"), F.min("dk").alias("d0"), F.max("dk").alias("d1"))
-        .filter("t0 <> t1 OR d0 <> d1")
-        .select("bh", F.expr("t0 <> t1").alias("many")),
+        .agg(F.min("member").alias("lo"), F.max("member").alias("hi"))
+        .filter("lo <> hi")
+        .select("bh"),
         "buckets",
     )
     shared = spark.sparkContext.broadcast(_filter_words(buckets, p.filter_bits))  # 2^filter_bits bits
@@ -347,14 +450,18 @@ def _repeated(df: DataFrame, p: Params) -> DataFrame:
     place = F.struct("doc_id", "dk", "ord")
     texts = written(
         units.groupBy("th").agg(
-            F.first("bands").alias("bands"), F.first("shingles").alias("shingles"),
+            F.first("line").alias("line"), F.first("shingles").alias("shingles"),
             F.min("dk").alias("d0"), F.max("dk").alias("d1"), F.min(place).alias("first"),
         ),
         "texts",
     )
-    members = texts.select("th", "shingles", F.explode("bands").alias("bh")).join(
-        buckets.filter("many").select("bh"), "bh"
-    )
+    places = written(units.drop("shingles"), "places")
+    discard(units)
+    # Shingles travel once for each text, and only to texts that have company.
+    own = texts.select("th", "line", "shingles").mapInArrow(_own_buckets(p), "th long, bh long")
+    shared_by = written(own.join(buckets, "bh"), "members")
+    company = shared_by.groupBy("bh").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).filter("lo <> hi").select("bh")
+    members = shared_by.join(company, "bh").join(texts.select("th", "shingles"), "th")
     links = members.repartition("bh").sortWithinPartitions("bh", "th").mapInArrow(_bucket_links(p), "a long, b long")
     comp = connected_components(links)
     named = texts.select("th", "d0", "d1", "first").join(comp.withColumnRenamed("node", "th"), "th", "left")
@@ -363,7 +470,8 @@ def _repeated(df: DataFrame, p: Params) -> DataFrame:
     classes = written(
         named.select("th", "class").join(kinds.filter("lo <> hi").select("class", "first"), "class"), "classes"
     )
-    return units.drop("bands", "shingles").join(classes, "th").withColumn(
+    discard(texts, shared_by, buckets)
+    return places.join(classes, "th").withColumn(
         "keep", F.col("first").eqNullSafe(place)
     ).drop("th", "first")
 
@@ -433,18 +541,19 @@ def passage_rows(df: DataFrame, p: Params = Params()) -> DataFrame:
 def without_repeats(df: DataFrame, p: Params = Params()) -> DataFrame:
     """``df`` with repeated passages cut out of ``text`` except at their first
     occurrence; ``n_chars``, where there is one, follows."""
+    dk, cuts_name = fresh(df, "_dk"), fresh(df, "_cuts")
     spans = written(
         passages(df, p).filter("removed_words > 0").groupBy("dk")
-        .agg(F.flatten(F.collect_list("cuts")).alias("_cuts")), "spans",
+        .agg(F.flatten(F.collect_list("cuts")).alias(cuts_name)), "spans",
     )
-    marked = df.withColumn("_dk", _doc_key(df["doc_id"], df["text"]))
-    joined = marked.join(spans.withColumnRenamed("dk", "_dk"), "_dk", "left").drop("_dk")
+    marked = df.withColumn(dk, _doc_key(df["doc_id"], df["text"]))
+    joined = marked.join(spans.withColumnRenamed("dk", dk), dk, "left").drop(dk)
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column("text").to_pylist()
-            for i, cuts in enumerate(b.column("_cuts").to_pylist()):
+            for i, cuts in enumerate(b.column(cuts_name).to_pylist()):
                 if cuts:
                     texts[i] = cut_out(texts[i], [(c["from_char"], c["to_char"]) for c in cuts])
             cols = {c: b.column(c) for c in names}
@@ -454,7 +563,7 @@ def without_repeats(df: DataFrame, p: Params = Params()) -> DataFrame:
                 cols["n_chars"] = pa.array(sizes, pa.int64()).cast(cols["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=names)
 
-    return joined.select(*names, "_cuts").mapInArrow(run, df.schema)
+    return joined.select(*names, cuts_name).mapInArrow(run, df.schema)
 
 
 def cut_out(text: str, spans: list[tuple[int, int]]) -> str:
