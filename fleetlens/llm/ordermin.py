@@ -31,7 +31,6 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import pick
 from .neighbours import AHEAD, RANGE, ranged, runs
