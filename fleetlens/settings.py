@@ -30,6 +30,13 @@ class JobSettings:
     # crowd in time. Costs one more shuffle of the rows, and a table.
     scan_rows_per_range: int | None = None
 
+    # Groups that the stateful stream steps over many keys (vehicles, chunks of
+    # routes) gather a micro-batch's rows into. A group folds all its keys in
+    # one call and holds their state as one value, so a micro-batch costs calls
+    # by the group, not by the key. Fixed by a checkpoint's first micro-batch;
+    # size it so that a group holds some thousand keys.
+    key_groups: int = 256
+
     @property
     def revenue_window_ms(self) -> int:
         return self.revenue_window_minutes * 60_000

@@ -2,12 +2,16 @@
 
 The wall-clock detector (``processors.OffGridProcessor``) answers "who is
 silent now"; replaying stored pings through it alerts nobody, or everybody. On
-event time the clock is the query's watermark: each vehicle holds one timer,
-due at the first tick more than the silence threshold after its last ping, and
-re-armed at the next tick while the vehicle stays silent. A tick is raised
+event time the clock is the query's watermark: a vehicle is due at the first
+tick more than the silence threshold after its last ping, and again at the next
+tick while it stays silent. Vehicles are held in groups
+(``processors.in_groups``); a group has one timer, at the first tick at which
+one of its vehicles is due, and judges all of them at once. A tick is raised
 once the watermark has passed it, so every ping up to the tick has been seen
 (pings later than ``delay`` are dropped by the watermark). A ping that ends a
-silence first raises the ticks before it that no timer has raised yet.
+silence first raises the ticks before it that no timer has raised yet. The step
+gives a row for each run of ticks of a ping; the ticks themselves are made by
+Spark (``sequence``, ``explode``), as in the batch form.
 
 Ticks are multiples of the check interval, silence is counted in whole
 milliseconds, both as in the batch form ``operators.offgrid.tick_alerts``.
@@ -25,19 +29,27 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from fleetlens.functions.scalar import epoch_micros, from_epoch_micros
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
+from fleetlens.streaming.processors import GROUP, in_groups, places
 
-ALERT = (
+SPAN = (
     "matatuId string, routeId string, routeName string, latitude double, longitude double, "
-    "seen long, tick long"
+    "seen long, firstTick long, lastTick long"
 )
-LAST_SEEN = "routeId string, routeName string, latitude double, longitude double, seen long, raised long"
-_STATE = ["routeId", "routeName", "latitude", "longitude"]
+# State of a group: for each vehicle its last ping (``seen``, microseconds) and
+# the last tick judged for it (``raised``, a tick number).
+LAST_SEEN = (
+    "matatuId array<string>, routeId array<string>, routeName array<string>, latitude array<double>, "
+    "longitude array<double>, seen array<bigint>, raised array<bigint>"
+)
+STATE = {
+    "matatuId": object, "routeId": object, "routeName": object, "latitude": np.float64, "longitude": np.float64,
+    "seen": np.int64, "raised": np.int64,
+}
+PING = list(STATE)[:-1]
+NEVER = -(1 << 62)
 
 
 class EventTimeOffGrid(StatefulProcessor):
-    """State of a vehicle: its last ping (``seen``, microseconds) and the last
-    tick judged for it (``raised``, a tick number)."""
-
     def __init__(self, settings: JobSettings = DEFAULT_SETTINGS) -> None:
         self.silence = settings.offgrid_silence_ms
         self.step = settings.offgrid_check_interval_ms
@@ -46,54 +58,65 @@ class EventTimeOffGrid(StatefulProcessor):
         self.handle = handle
         self.last = handle.getValueState("lastSeen", LAST_SEEN)
 
-    def _first(self, seen):
-        """The first tick over the threshold after a ping (or pings)."""
-        return -(-(seen // 1000 + self.silence + 1) // self.step)
+    def _kept(self) -> list[np.ndarray]:
+        """The group's state, an array a column."""
+        had = self.last.get() if self.last.exists() else [[] for _ in STATE]
+        return [np.array(list(column), dtype=t) for column, t in zip(had, STATE.values())]
+
+    def _keep(self, state: list[np.ndarray]) -> None:
+        """Store the state; the group's timer is due when its first vehicle is."""
+        self.last.update(tuple(column.tolist() for column in state))
+        *_, seen, raised = state
+        due = int(self._due(seen, raised).min()) * self.step + 1  # a tick is judged when the watermark has passed it
+        timers = list(self.handle.listTimers())
+        for timer in timers:
+            if timer != due:
+                self.handle.deleteTimer(timer)
+        if due not in timers:
+            self.handle.registerTimer(due)
+
+    def _due(self, seen: np.ndarray, raised: np.ndarray) -> np.ndarray:
+        """The first tick over the threshold after a ping that is not yet judged."""
+        first = -(-(seen // 1000 + self.silence + 1) // self.step)
+        return np.maximum(first, raised + 1)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        parts = list(rows)
-        df = pd.concat(parts, ignore_index=True) if len(parts) > 1 else parts[0]
-        df = df.sort_values(["seen", "eventId"], kind="stable")[[*_STATE, "seen"]]
-        raised = -(1 << 62)
-        if self.last.exists():
-            had = self.last.get()
-            raised = had[5]
-            df = pd.concat([pd.DataFrame([had[:5]], columns=[*_STATE, "seen"]), df], ignore_index=True)
-            df = df.sort_values("seen", kind="stable")  # a ping before the last one changes nothing after it
-        seen = df["seen"].to_numpy(np.int64)
-        low = np.maximum(self._first(seen[:-1]), raised + 1)
+        df = pd.concat(list(rows), ignore_index=True).sort_values(["seen", "eventId"], kind="stable")
+        *kept, raised = self._kept()
+        place, vehicles = places(df["matatuId"], kept[0].tolist())
+        old = np.unique(place[place < len(raised)])
+        raised = np.concatenate((raised, np.full(len(vehicles) - len(raised), NEVER)))
+        # the last pings known, then the new ones, by vehicle and time; a ping
+        # before the last one changes nothing after it
+        at = np.concatenate((old, place))
+        pings = [np.concatenate((had[old], df[c].to_numpy(STATE[c]))) for c, had in zip(PING, kept)]
+        order = np.lexsort((pings[-1], at))
+        at, pings = at[order], [column[order] for column in pings]
+        seen = pings[-1]
+        low = self._due(seen[:-1], raised[at[:-1]])
         high = (seen[1:] - 1) // (self.step * 1000)
-        many = np.maximum(0, high - low + 1)
-        yield self._alerts(key[0], df.iloc[:-1].loc[many > 0], low[many > 0], many[many > 0])
-        last = df.iloc[-1]
-        self.last.update((*(last[c] for c in _STATE[:2]), *(float(last[c]) for c in _STATE[2:]), int(seen[-1]), raised))
-        for timer in self.handle.listTimers():  # one chain a vehicle
-            self.handle.deleteTimer(timer)
-        self.handle.registerTimer(int(max(self._first(int(seen[-1])), raised + 1)) * self.step)
+        alerting = (at[1:] == at[:-1]) & (high >= low)
+        yield self._spans([column[:-1][alerting] for column in pings], low[alerting], high[alerting])
+        last = np.flatnonzero(np.concatenate((at[1:] != at[:-1], [True])))
+        after = []
+        for had, column in zip(kept, pings):
+            grown = np.concatenate((had, np.empty(len(raised) - len(had), dtype=had.dtype)))
+            grown[at[last]] = column[last]
+            after.append(grown)
+        self._keep([*after, raised])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        *ping, seen, raised = self.last.get()
+        *pings, raised = self._kept()
         # ticks strictly before the watermark: a ping at the watermark may still come
         upto = (timerValues.getCurrentWatermarkInMs() - 1) // self.step
-        low = max(self._first(seen), raised + 1)
-        if upto < low:
-            self.handle.registerTimer(low * self.step + 1)
-            yield self._alerts(key[0], pd.DataFrame(columns=[*_STATE, "seen"]), np.empty(0, np.int64), np.empty(0, np.int64))
-            return
-        self.last.update((*ping, seen, int(upto)))
-        self.handle.registerTimer(int(upto + 1) * self.step + 1)
-        one = pd.DataFrame([[*ping, seen]], columns=[*_STATE, "seen"])
-        yield self._alerts(key[0], one, np.array([low]), np.array([upto - low + 1]))
-
-    def _alerts(self, vehicle: str, pings: pd.DataFrame, low: np.ndarray, many: np.ndarray) -> pd.DataFrame:
-        """A row for each of the ``many`` ticks from ``low`` on of each ping."""
-        at = np.repeat(np.arange(len(pings)), many)
-        inner = np.arange(len(at)) - np.repeat(np.cumsum(many) - many, many)
-        out = pings.iloc[at].reset_index(drop=True)
-        out.insert(0, "matatuId", vehicle)
-        out["seen"] = out["seen"].astype("int64")
-        out["tick"] = (np.repeat(low, many) + inner).astype("int64")
-        return out.astype({"latitude": "float64", "longitude": "float64"})
+        low = self._due(pings[-1], raised)
+        due = low <= upto
+        yield self._spans([column[due] for column in pings], low[due], np.full(int(due.sum()), upto, dtype=np.int64))
+        raised[due] = upto
+        self._keep([*pings, raised])
+
+    def _spans(self, pings: list[np.ndarray], first: np.ndarray, last: np.ndarray) -> pd.DataFrame:
+        return pd.DataFrame({**dict(zip(PING, pings)), "firstTick": first, "lastTick": last})
 
     def close(self) -> None:
         pass
@@ -113,10 +136,14 @@ def offgrid_flow(
         "matatuId", "routeId", "routeName", "latitude", "longitude", "timestamp", "eventId",
         epoch_micros(pings, "timestamp").alias("seen"),
     )
-    return rows.groupBy("matatuId").transformWithStateInPandas(
-        statefulProcessor=step or EventTimeOffGrid(settings), outputStructType=ALERT, outputMode="Append",
-        timeMode="EventTime", initialState=None if initial is None else initial.groupBy("matatuId"),
+    if initial is not None:
+        initial = in_groups(initial, ["matatuId"], settings.key_groups).groupBy(GROUP)
+    spans = in_groups(rows, ["matatuId"], settings.key_groups).groupBy(GROUP).transformWithStateInPandas(
+        statefulProcessor=step or EventTimeOffGrid(settings), outputStructType=SPAN, outputMode="Append",
+        timeMode="EventTime", initialState=initial,
     )
+    ticks = F.explode(F.sequence("firstTick", "lastTick")).alias("tick")
+    return spans.select(*PING, ticks)
 
 
 def alerts(flow: DataFrame, settings: JobSettings = DEFAULT_SETTINGS, ntz: bool = False) -> DataFrame:

@@ -22,33 +22,27 @@ from fleetlens.functions.scalar import epoch_micros
 from fleetlens.operators import occupancy, offgrid
 from fleetlens.settings import DEFAULT_SETTINGS, JobSettings
 from fleetlens.streaming import event_offgrid
-from fleetlens.streaming.processors import DELTA_OUT, OCCUPANCY_OUT, RouteOccupancyProcessor, _event_ids, _gather
+from fleetlens.streaming.processors import (
+    DELTA_OUT, GROUP, OCCUPANCY_OUT, SNAPSHOT_STATE, RouteOccupancyProcessor, fold_counts, in_groups,
+)
 
 
 class DeltaProcessor(StatefulProcessor):
-    """Per vehicle: deltas to the previous count. (The form of
+    """Per vehicle of a group: deltas to the previous count. (The form of
     ``processors.passenger_deltas_with_state`` that takes an initial state.)"""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("snapshot", "routeId string, lastPassengerCount int")
+        self.last = handle.getValueState("snapshot", SNAPSHOT_STATE)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        row = initialState.iloc[0]
-        self.last.update((row["routeId"], int(row["lastPassengerCount"])))
+        had = self.last.get() if self.last.exists() else ([], [], [])  # a large group comes in parts
+        new = (initialState[c].tolist() for c in ("matatuId", "routeId", "lastPassengerCount"))
+        self.last.update(tuple([*h, *n] for h, n in zip(had, new)))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        df = _gather(rows)
-        before = self.last.get()[1] if self.last.exists() else 0
-        counts = df["passengersOnboard"].to_numpy(np.int64)
-        delta = counts - np.concatenate(([before], counts[:-1]))
-        self.last.update((df["routeId"].iloc[-1], int(counts[-1])))
-        yield pd.DataFrame(
-            {
-                "matatuId": df["matatuId"], "routeId": df["routeId"], "routeName": df["routeName"],
-                "passengerDelta": delta.astype("int32"), "boardings": np.maximum(0, delta).astype("int32"),
-                "alightings": np.maximum(0, -delta).astype("int32"), "timestamp": df["timestamp"], "eventId": _event_ids(df),
-            }
-        )
+        out, after = fold_counts(rows, tuple(self.last.get()) if self.last.exists() else None)
+        self.last.update(after)
+        yield out
 
     def close(self) -> None:
         pass
@@ -63,22 +57,21 @@ class OccupancyFromHistory(RouteOccupancyProcessor):
 
 class OffGridFromHistory(event_offgrid.EventTimeOffGrid):
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        row = initialState.iloc[0]
-        seen, raised = int(row["seen"]), int(row["raised"])
-        self.last.update((row["routeId"], row["routeName"], float(row["latitude"]), float(row["longitude"]), seen, raised))
-        self.handle.registerTimer(max(self._first(seen), raised + 1) * self.step + 1)
+        new = (initialState[c].to_numpy(t) for c, t in event_offgrid.STATE.items())
+        self._keep([np.concatenate(both) for both in zip(self._kept(), new)])  # a large group comes in parts
 
 
 def occupancy_flow(later: DataFrame, history: DataFrame, every_update: bool = True, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
     """The occupancy changelog of the stream ``later``, after the pings of the
     batch ``history``, all of which are before it."""
     snapshots = occupancy.vehicle_snapshots(history).select("matatuId", "routeId", "lastPassengerCount")
+    snapshots = in_groups(snapshots, ["matatuId"], settings.key_groups)
     totals = occupancy.route_occupancy(occupancy.passenger_deltas(history, settings), settings)
     totals = totals.select("routeId", "routeName", "currentPassengers", "totalBoardings", "totalAlightings")
     cols = ["matatuId", "routeId", "routeName", "passengersOnboard", "timestamp", "eventId"]
-    deltas = later.select(*cols).groupBy("matatuId").transformWithStateInPandas(
+    deltas = in_groups(later.select(*cols), ["matatuId"], settings.key_groups).groupBy(GROUP).transformWithStateInPandas(
         statefulProcessor=DeltaProcessor(), outputStructType=DELTA_OUT, outputMode="Append", timeMode="None",
-        initialState=snapshots.groupBy("matatuId"),
+        initialState=snapshots.groupBy(GROUP),
     )
     return deltas.groupBy("routeId").transformWithStateInPandas(
         statefulProcessor=OccupancyFromHistory(every_update), outputStructType=OCCUPANCY_OUT, outputMode="Append",

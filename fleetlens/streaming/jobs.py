@@ -26,11 +26,13 @@ from fleetlens.streaming.processors import (
     DELTA_OUT,
     OCCUPANCY_OUT,
     OFFGRID_OUT,
+    GROUP,
     SNAPSHOT_STATE,
     OffGridProcessor,
     RouteChunkSummarizer,
     RouteOccupancyFromChunks,
     RouteOccupancyProcessor,
+    in_groups,
     passenger_deltas_with_state,
 )
 
@@ -117,12 +119,13 @@ def revenue_flow(
     )
 
 
-def delta_flow(locations: DataFrame) -> DataFrame:
-    """Per-vehicle passenger deltas (state: last count per vehicle)."""
+def delta_flow(locations: DataFrame, settings: JobSettings = DEFAULT_SETTINGS) -> DataFrame:
+    """Per-vehicle passenger deltas (state: last count per vehicle, held in
+    groups of vehicles)."""
     cols = ["matatuId", "routeId", "routeName", "passengersOnboard", "timestamp", "eventId"]
     return (
-        locations.select(*cols)
-        .groupBy("matatuId")
+        in_groups(locations.select(*cols), ["matatuId"], settings.key_groups)
+        .groupBy(GROUP)
         .applyInPandasWithState(
             passenger_deltas_with_state, DELTA_OUT, SNAPSHOT_STATE, "append", GroupStateTimeout.NoTimeout
         )
@@ -155,7 +158,8 @@ def occupancy_flow(
             timeMode="None",
         )
     chunked = scan.with_chunk(deltas, "routeId", "timestamp", settings.scan_chunk_seconds)
-    summaries = chunked.groupBy("routeId", scan.CHUNK).transformWithStateInPandas(
+    chunked = in_groups(chunked.drop(scan.KEY).withColumnRenamed(scan.CHUNK, "chunk"), ["routeId", "chunk"], settings.key_groups)
+    summaries = chunked.groupBy(GROUP).transformWithStateInPandas(
         statefulProcessor=RouteChunkSummarizer(),
         outputStructType=CHUNK_SUMMARY_OUT,
         outputMode="Append",
@@ -313,7 +317,7 @@ def start_all(
         ),
         "route_occupancy": keyed(
             "route_occupancy",
-            occupancy_flow(delta_flow(locs), every_update=False, settings=settings, split_routes=True),
+            occupancy_flow(delta_flow(locs, settings), every_update=False, settings=settings, split_routes=True),
             "routeId",
             OCCUPANCY_FIELDS,
         ),

@@ -5,10 +5,14 @@ Each step gathers all rows of its key in the micro-batch, orders them by
 with vectorised numpy. Groups are bounded by the trigger size
 (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``).
 
-The per-vehicle delta step - the one with many keys per micro-batch - is an
-``applyInPandasWithState`` function: its state travels with the group's data
-(no per-key state round trip). The per-route steps and the silence detector
-(processing-time timers on a shared tick grid) are
+Steps with many keys per micro-batch (vehicles, chunks of routes) group by a
+hash of the key (``in_groups``): a call folds all keys of a group at once, and
+their state is one value of parallel arrays, an element a key. A call per key
+costs milliseconds, whatever few rows the key has.
+
+The per-vehicle delta step is an ``applyInPandasWithState`` function: its state
+travels with the group's data (no state round trip). The per-route steps and
+the silence detector (processing-time timers on a shared tick grid) are
 ``transformWithStateInPandas`` processors; Spark allows only one
 ``applyInPandasWithState`` per query.
 """
@@ -19,6 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState
@@ -40,8 +46,9 @@ OCCUPANCY_OUT = T.StructType(
 )
 OFFGRID_OUT = OFFGRID_ALERT
 
-# Per-key state of the steps.
-SNAPSHOT_STATE = "routeId string, lastPassengerCount int"
+# State of a group of vehicles.
+SNAPSHOT_STATE = "matatuId array<string>, routeId array<string>, lastPassengerCount array<int>"
+GROUP = "_group"
 
 # Composable effect of one (route, chunk) of deltas; see route_chunk_summaries.
 CHUNK_SUMMARY_OUT = T.StructType(
@@ -93,18 +100,39 @@ def _event_ids(df: pd.DataFrame) -> pd.Series:
     return pd.Series([None] * len(df), dtype="Int64")
 
 
-def passenger_deltas_with_state(
-    key: tuple, rows: Iterator[pd.DataFrame], state: GroupState
-) -> Iterator[pd.DataFrame]:
-    """Per vehicle: delta to the previous passenger count (0 before the first
-    ping), boardings and alightings; zero deltas are emitted too. State: the
-    vehicle's last route and count."""
+def in_groups(rows: DataFrame, keys: list[str], groups: int) -> DataFrame:
+    """Adds the number of the group that a row's key falls into."""
+    return rows.withColumn(GROUP, F.pmod(F.xxhash64(*keys), F.lit(groups).cast("bigint")))
+
+
+def places(keys: pd.Series, known: list) -> tuple[np.ndarray, list]:
+    """Each row's place of its key in ``known``, and ``known`` with the new
+    keys at its end."""
+    codes, names = pd.factorize(keys, use_na_sentinel=False)
+    at = {k: i for i, k in enumerate(known)}
+    place = [at.setdefault(None if pd.isna(k) else k, len(at)) for k in names]
+    return np.array(place, dtype=np.int64)[codes], list(at)
+
+
+def fold_counts(rows: Iterator[pd.DataFrame], state: tuple | None) -> tuple[pd.DataFrame, tuple]:
+    """Deltas of a group's vehicles after ``state`` (vehicles, their last route
+    and count), and the state after them."""
     df = _gather(rows)
-    prev = state.get[1] if state.exists else 0
+    known, routes, before = state or ([], [], [])
+    place, vehicles = places(df["matatuId"], known)
+    by_vehicle = np.argsort(place, kind="stable")
+    df, place = df.iloc[by_vehicle].reset_index(drop=True), place[by_vehicle]
+    new = len(vehicles) - len(known)
+    last_counts = np.concatenate((np.array(before, dtype=np.int64), np.zeros(new, dtype=np.int64)))
+    first = np.concatenate(([True], place[1:] != place[:-1]))
+    last = np.flatnonzero(np.concatenate((first[1:], [True])))
     counts = df["passengersOnboard"].to_numpy(dtype=np.int64)
-    delta = counts - np.concatenate(([prev], counts[:-1]))
-    state.update((str(df["routeId"].iloc[-1]), int(counts[-1])))
-    yield pd.DataFrame(
+    delta = counts - np.where(first, last_counts[place], np.roll(counts, 1))
+    last_counts[place[last]] = counts[last]
+    routes = [*routes, *[None] * new]
+    for vehicle, route in zip(place[last], df["routeId"].iloc[last]):
+        routes[vehicle] = str(route)
+    out = pd.DataFrame(
         {
             "matatuId": df["matatuId"],
             "routeId": df["routeId"],
@@ -116,6 +144,18 @@ def passenger_deltas_with_state(
             "eventId": _event_ids(df),
         }
     )
+    return out, (vehicles, routes, last_counts.tolist())
+
+
+def passenger_deltas_with_state(
+    key: tuple, rows: Iterator[pd.DataFrame], state: GroupState
+) -> Iterator[pd.DataFrame]:
+    """Per vehicle of a group: delta to the previous passenger count (0 before
+    the first ping), boardings and alightings; zero deltas are emitted too.
+    State: each vehicle's last route and count."""
+    out, after = fold_counts(rows, tuple(state.get) if state.exists else None)
+    state.update(after)
+    yield out
 
 
 class RouteOccupancyProcessor(StatefulProcessor):
@@ -170,7 +210,8 @@ class RouteOccupancyProcessor(StatefulProcessor):
 
 class RouteChunkSummarizer(StatefulProcessor):
     """Per (route, time chunk) of one micro-batch, no state: the composable
-    effect of the chunk's ordered deltas on the clamped occupancy.
+    effect of the chunk's ordered deltas on the clamped occupancy. A group
+    holds many such chunks, the chunk's number in column ``chunk``.
 
     Over deltas with prefix sums S_1..S_n the fold maps a start value c to
     ``max(c + b, a)`` with ``b = S_n`` and ``a = S_n - min(S_1..S_n)``;
@@ -183,19 +224,26 @@ class RouteChunkSummarizer(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         df = _gather(rows)
+        route, _ = places(df["routeId"], [])
+        chunk = df["chunk"].to_numpy(dtype=np.int64)
+        by_chunk = np.lexsort((chunk, route))  # stable: in a chunk the order is that of _gather
+        df, route, chunk = df.iloc[by_chunk].reset_index(drop=True), route[by_chunk], chunk[by_chunk]
+        first = np.concatenate(([True], (route[1:] != route[:-1]) | (chunk[1:] != chunk[:-1])))
+        start, last = np.flatnonzero(first), np.flatnonzero(np.concatenate((first[1:], [True])))
         s = np.cumsum(df["passengerDelta"].to_numpy(dtype=np.int64))
-        last = df.iloc[-1]
+        before = np.concatenate(([0], s[start[1:] - 1]))
+        ends = df.iloc[last].reset_index(drop=True)
         yield pd.DataFrame(
             {
-                "routeId": [key[0]],
-                "chunk": [int(key[1])],
-                "sumDelta": [int(s[-1])],
-                "floorAfter": [int(s[-1] - s.min())],
-                "boardings": [int(df["boardings"].sum())],
-                "alightings": [int(df["alightings"].sum())],
-                "routeName": [last["routeName"]],
-                "timestamp": [last["timestamp"]],
-                "eventId": _event_ids(df).tail(1).reset_index(drop=True),
+                "routeId": ends["routeId"],
+                "chunk": chunk[last],
+                "sumDelta": s[last] - before,
+                "floorAfter": s[last] - np.minimum.reduceat(s, start),
+                "boardings": np.add.reduceat(df["boardings"].to_numpy(dtype=np.int64), start),
+                "alightings": np.add.reduceat(df["alightings"].to_numpy(dtype=np.int64), start),
+                "routeName": ends["routeName"],
+                "timestamp": ends["timestamp"],
+                "eventId": _event_ids(ends),
             }
         )
 

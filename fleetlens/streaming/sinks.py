@@ -124,18 +124,21 @@ def start_outputs(
     fmt: str = "parquet",
     checkpoint: str | None = None,
 ) -> StreamingQuery:
-    """Several outputs of one flow: each micro-batch is computed once, and each
-    output's rows go to ``root/<output>/batch_id=<id>``, overwritten when the
-    batch is tried again. ``outputs`` maps a name to the output's rows."""
+    """Several outputs of one flow: each micro-batch is computed once (and kept
+    for that where there is more than one output), and each output's rows go to
+    ``root/<output>/batch_id=<id>``, overwritten when the batch is tried again.
+    ``outputs`` maps a name to the output's rows."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        if len(outputs) > 1:
+            batch = batch.persist()
         try:
             for output, rows in outputs.items():
                 path = f"{root.rstrip('/')}/{output}/batch_id={batch_id}"
                 rows(batch).write.mode("overwrite").format(fmt).save(path)
         finally:
-            batch.unpersist()
+            if len(outputs) > 1:
+                batch.unpersist()
 
     spark = df.sparkSession
     ensure_rocksdb_state(spark)

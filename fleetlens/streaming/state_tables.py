@@ -4,7 +4,8 @@ What the flows remember - the last ping of every vehicle, its passenger count,
 the totals of every route, each operator's clock and open windows - stands in
 state stores below the flows' checkpoints. The ``statestore`` data source reads
 them without touching the running query: the state as of its last committed
-micro-batch, or of ``batch_id``. State is read by all executors, a row a key.
+micro-batch, or of ``batch_id``. State is read by all executors, a row a key;
+vehicles, which are held in groups, are taken out of their groups again.
 """
 
 from __future__ import annotations
@@ -33,24 +34,24 @@ def _state(spark: SparkSession, checkpoint: str, batch_id: int | None, kind: str
     return reader.load(checkpoint)
 
 
+def _members(groups: DataFrame, value: str) -> DataFrame:
+    """A row for each key of a group, whose state is parallel arrays."""
+    arrays = groups.select(f"{value}.*")
+    return arrays.select(F.inline(F.arrays_zip(*arrays.columns)))
+
+
 def last_seen(spark: SparkSession, checkpoint: str, ntz: bool = False, batch_id: int | None = None) -> DataFrame:
     """Last ping of every vehicle, from the event-time off-grid flow."""
-    rows = _state(spark, checkpoint, batch_id, PROCESSOR, stateVarName="lastSeen")
+    rows = _members(_state(spark, checkpoint, batch_id, PROCESSOR, stateVarName="lastSeen"), "value")
     return rows.select(
-        F.col("key.matatuId").alias("matatuId"), "value.routeId", "value.routeName",
-        F.col("value.latitude").alias("lastLatitude"), F.col("value.longitude").alias("lastLongitude"),
-        from_epoch_micros(F.col("value.seen"), ntz).alias("lastSeenAt"),
+        "matatuId", "routeId", "routeName", F.col("latitude").alias("lastLatitude"), F.col("longitude").alias("lastLongitude"),
+        from_epoch_micros(F.col("seen"), ntz).alias("lastSeenAt"),
     )
 
 
 def vehicle_counts(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
     """Last route and passenger count of every vehicle, from the delta step."""
-    rows = _state(spark, checkpoint, batch_id, KEYED)
-    return rows.select(
-        F.col("key.matatuId").alias("matatuId"),
-        F.col("value.groupState.routeId").alias("routeId"),
-        F.col("value.groupState.lastPassengerCount").alias("lastPassengerCount"),
-    )
+    return _members(_state(spark, checkpoint, batch_id, KEYED), "value.groupState")
 
 
 def route_totals(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
