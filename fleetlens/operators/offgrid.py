@@ -157,7 +157,9 @@ def tick_alerts(
     """One alert row per (vehicle, alerting tick), as the detector emits them.
 
     Each gap expands to its own ticks inside the task that holds it; the
-    output is as large as the detector's output, and no more. ``of_gap`` adds
+    output is as large as the detector's output, and no more. A gap may make
+    hundreds of alerts, so gaps are first spread over tasks for as many: Spark
+    would size the tasks by the gaps and leave few. ``of_gap`` adds
     columns that are the same for all alerts of a gap: they are computed once
     for the gap, before it expands.
     """
@@ -166,6 +168,9 @@ def tick_alerts(
     gaps = silence_gaps(locations, horizon, settings, keep_ticks=True)
     of_gap = of_gap or {}
     gaps = gaps.withColumns({name: column(gaps) for name, column in of_gap.items()})
+    spark = locations.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+    gaps = gaps.repartition(tasks, "matatuId", "lastSeenAt")
     ticks = gaps.withColumn("_k", F.explode(F.sequence("_k1", "_k2")))
     return ticks.select(
         "matatuId",

@@ -116,3 +116,12 @@ def test_one_timer_judges_every_vehicle_of_its_group(spark):
     )
     assert got == sorted(tuple(r) for r in want.collect())
     assert len(got) > 300
+
+
+def test_alerts_are_spread_before_they_expand(spark):
+    """The gaps of few pings fit one shuffle partition; their alerts are many
+    times as many rows and must not all be made in that one task."""
+    pings = [(f"KBZ {v}", "r", "R", 0.0, 0.0, dt.datetime(2024, 1, 1, h), 100 * v + h) for v in range(30) for h in (0, 23)]
+    schema = "matatuId string, routeId string, routeName string, latitude double, longitude double, timestamp timestamp_ntz, eventId long"
+    alerts = offgrid.tick_alerts(spark.createDataFrame(pings, schema))
+    assert alerts.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
