@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,6 +76,29 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(t.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def give_back() -> None:
+    """Return memory that this process has freed, but holds for reuse, to the
+    system (where the C library can)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run``, a function for ``mapInArrow``, in a worker that gives back what
+    earlier tasks and this one have freed: Spark's Python workers live on from
+    stage to stage, and would else each hold the most that any stage took."""
+
+    def tidy(batches: Iterator) -> Iterator:
+        give_back()
+        yield from run(batches)
+        gc.collect()
+        give_back()
+
+    return tidy
+
+
 def bit_filter(keys: DataFrame, bits: int) -> bytes:
     """A two-hash Bloom filter of the 64-bit numbers in column ``key``: 2^bits
     bits whatever their number, so what is collected and sent is bounded."""

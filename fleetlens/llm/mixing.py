@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, fresh, n_words, pick, written
+from .common import WORD, fresh, frugal, n_words, pick, written
 
 WORD_RE = re.compile(WORD)
 
@@ -279,7 +279,7 @@ def draws(spark, pl: Plan, p: Params) -> DataFrame:
                     )
 
     parts = max(1, min(shards, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    return spark.range(0, shards, 1, parts).mapInArrow(run, "src int, block long, pass int, shard long")
+    return spark.range(0, shards, 1, parts).mapInArrow(frugal(run), "src int, block long, pass int, shard long")
 
 
 def hash_key(seed: int, source: int, turn: int) -> int:
@@ -368,7 +368,7 @@ def mixed_documents(df: DataFrame, p: Params = Params()) -> DataFrame:
                 cols["n_chars"] = pa.array([len(t) for t in texts], pa.int64()).cast(cols["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=names)
 
-    return joined.mapInArrow(run, df.schema)
+    return joined.mapInArrow(frugal(run), df.schema)
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, fresh, pick, written
+from .common import discard, fresh, frugal, pick, written
 from .components import connected_components
 
 U = np.uint64
@@ -438,7 +438,7 @@ def _repeated(df: DataFrame, p: Params) -> DataFrame:
     spark = df.sparkSession
     docs = pick(df, doc_id="doc_id", text="text").withColumn("dk", _doc_key(F.col("doc_id"), F.col("text")))
     buckets = written(
-        docs.select("text", "dk").mapInArrow(_band_rows(p), "bh long, member long")
+        docs.select("text", "dk").mapInArrow(frugal(_band_rows(p)), "bh long, member long")
         .groupBy("bh")
         .agg(F.min("member").alias("lo"), F.max("member").alias("hi"))
         .filter("lo <> hi")
@@ -446,7 +446,7 @@ def _repeated(df: DataFrame, p: Params) -> DataFrame:
         "buckets",
     )
     shared = spark.sparkContext.broadcast(_filter_words(buckets, p.filter_bits))  # 2^filter_bits bits
-    units = written(docs.mapInArrow(_unit_rows(p, shared), UNITS), "units")
+    units = written(docs.mapInArrow(frugal(_unit_rows(p, shared)), UNITS), "units")
     place = F.struct("doc_id", "dk", "ord")
     texts = written(
         units.groupBy("th").agg(
@@ -458,11 +458,11 @@ def _repeated(df: DataFrame, p: Params) -> DataFrame:
     places = written(units.drop("shingles"), "places")
     discard(units)
     # Shingles travel once for each text, and only to texts that have company.
-    own = texts.select("th", "line", "shingles").mapInArrow(_own_buckets(p), "th long, bh long")
+    own = texts.select("th", "line", "shingles").mapInArrow(frugal(_own_buckets(p)), "th long, bh long")
     shared_by = written(own.join(buckets, "bh"), "members")
     company = shared_by.groupBy("bh").agg(F.min("th").alias("lo"), F.max("th").alias("hi")).filter("lo <> hi").select("bh")
     members = shared_by.join(company, "bh").join(texts.select("th", "shingles"), "th")
-    links = members.repartition("bh").sortWithinPartitions("bh", "th").mapInArrow(_bucket_links(p), "a long, b long")
+    links = members.repartition("bh").sortWithinPartitions("bh", "th").mapInArrow(frugal(_bucket_links(p)), "a long, b long")
     comp = connected_components(links)
     named = texts.select("th", "d0", "d1", "first").join(comp.withColumnRenamed("node", "th"), "th", "left")
     named = named.withColumn("class", F.coalesce("component", "th"))
@@ -563,7 +563,7 @@ def without_repeats(df: DataFrame, p: Params = Params()) -> DataFrame:
                 cols["n_chars"] = pa.array(sizes, pa.int64()).cast(cols["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(cols.values()), names=names)
 
-    return joined.select(*names, cuts_name).mapInArrow(run, df.schema)
+    return joined.select(*names, cuts_name).mapInArrow(frugal(run), df.schema)
 
 
 def cut_out(text: str, spans: list[tuple[int, int]]) -> str:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh, pick, written
+from .common import fresh, frugal, pick, written
 from .components import connected_components
 
 
@@ -85,7 +85,7 @@ def with_fingerprint(df: DataFrame, p: Params = Params(), text_col: str = "text"
     from pyspark.sql.types import LongType, StructType
 
     schema = StructType([*df.schema.fields]).add(name, LongType())
-    return df.mapInArrow(_fingerprints(p, text_col, name), schema)
+    return df.mapInArrow(frugal(_fingerprints(p, text_col, name)), schema)
 
 
 def block_masks(bits: list[int], blocks: int, fixed: int) -> list[int]:
@@ -177,7 +177,7 @@ def _runs(p: Params, keys: list[str]):
 
 def _linked(members: DataFrame, keys: list[str], p: Params) -> DataFrame:
     sorted_runs = members.select(*keys, "fp").repartition(*keys).sortWithinPartitions(*keys, "fp")
-    return sorted_runs.mapInArrow(_runs(p, keys), "a long, b long")
+    return sorted_runs.mapInArrow(frugal(_runs(p, keys)), "a long, b long")
 
 
 def links(fps: DataFrame, p: Params = Params()) -> DataFrame:

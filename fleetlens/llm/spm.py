@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import pick
+from .common import frugal, pick
 
 MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -331,7 +331,7 @@ def encode_documents(df: DataFrame, model_path: str = DEFAULT_MODEL, verify: boo
     docs = pick(df, doc_id="doc_id", text="text")
     with open(model_path, "rb") as f:
         shared = df.sparkSession.sparkContext.broadcast(f.read())  # one model file
-    return docs.mapInArrow(_coded(shared, verify), SCHEMA)
+    return docs.mapInArrow(frugal(_coded(shared, verify)), SCHEMA)
 
 
 def decode_documents(df: DataFrame, ids_col: str = "token_ids", model_path: str = DEFAULT_MODEL) -> DataFrame:
@@ -347,4 +347,4 @@ def decode_documents(df: DataFrame, ids_col: str = "token_ids", model_path: str
             out = [t if x is not None else None for t, x in zip(texts, ids)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(out, pa.string())], names=["doc_id", "text"])
 
-    return pick(df, doc_id="doc_id", ids=ids_col).mapInArrow(run, "doc_id long, text string")
+    return pick(df, doc_id="doc_id", ids=ids_col).mapInArrow(frugal(run), "doc_id long, text string")

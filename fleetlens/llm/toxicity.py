@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pick, written
+from .common import frugal, pick, written
 
 # Word lists, one voter each (fixed values).
 LEXICON: dict[str, tuple[str, ...]] = {
@@ -170,7 +170,7 @@ def _mine(sample: DataFrame, p: Params) -> tuple[str, ...]:
     n0, n1 = n.get(0, 0), n.get(1, 0)
     if not n0 or not n1:
         return ()
-    sums = sample.select("text", "toxic").mapInArrow(count, "token string, y int, n long").groupBy("token").agg(
+    sums = sample.select("text", "toxic").mapInArrow(frugal(count), "token string, y int, n long").groupBy("token").agg(
         F.sum(F.when(F.col("y") == 0, F.col("n")).otherwise(0)).alias("c"),
         F.sum(F.when(F.col("y") == 1, F.col("n")).otherwise(0)).alias("t"),
     )
@@ -274,7 +274,7 @@ def train(docs: DataFrame, labels: DataFrame, p: Params = Params()) -> Model:
     rows = docs.join(F.broadcast(ids), "doc_id").dropDuplicates(["doc_id", "toxic", "text"])
     sample = written(rows.select("text", F.col("toxic").cast("int").alias("toxic")), "toxic-sample")
     mined = _mine(sample, p)
-    got = sample.mapInArrow(_measured(mined), "x array<double>, toxic int").toArrow()
+    got = sample.mapInArrow(frugal(_measured(mined)), "x array<double>, toxic int").toArrow()
     y = got.column("toxic").to_numpy().astype(float) > 0
     if min(y.sum(), (~y).sum()) < p.min_class:
         return lexicon_only()
@@ -302,7 +302,7 @@ def score(docs: DataFrame, model: Model, keep: list[str], name: str = "score") -
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), pa.array(s)], names=[*keep, name])
 
     fields = ", ".join(f"`{c}` {t}" for c, t in docs.select(keep).dtypes)
-    return docs.mapInArrow(run, f"{fields}, {name} double")
+    return docs.mapInArrow(frugal(run), f"{fields}, {name} double")
 
 
 def detect(documents: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.3, p: Params = Params()) -> DataFrame:
