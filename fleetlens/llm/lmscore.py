@@ -10,14 +10,16 @@ loss, in nats: negative means closer to the target.
 Every word and bigram of every row counts and scores; the model is never held in
 one place, it grows with the input as tables do:
 
-1. Texts are cut into chunks of ``chunk`` tokens. A chunk numbers its words and
-   bigrams, keeps its documents as bigram numbers, and writes one row for each of
-   its words (64-bit hash) and bigrams (hashes of both words).
-2. Rows of one bigram are summed over the chunks; so are rows of one word, with
-   the distinct bigrams each word begins. A key has one row a chunk at most, so
-   the most frequent word is no larger a group than others.
-3. Sums go back to the chunks that asked (for a bigram of one chunk its own
-   counts are the sums), and each chunk adds up its documents' losses.
+1. Texts are cut into chunks of ``chunk`` tokens. A chunk is one row: its
+   documents as word numbers, packed, and the 64-bit hashes of the words.
+2. A chunk sends its distinct bigrams (80 bits of the words' hashes, counts) as
+   one packed row for each bucket, a range of keys; a bucket has about as many
+   entries at every size. A bucket sums over the chunks and answers each, in its
+   order. A key has one entry a chunk at most, so the most frequent word is no
+   larger a group than others.
+3. Words go the same way, with the distinct bigrams each begins, taken from the
+   lowest chunk that has the bigram.
+4. Each chunk adds up its documents' losses from the answers.
 
 Smoothing: absolute discounting of bigrams, interpolated with add-one unigrams.
 
@@ -39,11 +41,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, pick, written
+from .common import WORD, frugal, pick, written
 
 WORD_RE = re.compile(WORD)
 
@@ -215,12 +218,9 @@ def losses(text: str | None, model: Model) -> tuple[int, float, float]:
     return len(keys), float(t), float(b)
 
 
-ROWS = (
-    "kind int, chunk long, at int, x long, y long, t long, b long, ct long, cb long, "
-    "doc_ids array<long>, sizes array<int>, docs binary, pairs binary"
-)
-DOCS, PAIR, WORD_ROW = 0, 1, 2  # kinds of rows, in the order a chunk reads them
-SLICE = 100_000  # rows of a batch that leaves a task
+CHUNK = "chunk long, tokens long, target long, doc_ids array<long>, sizes array<int>, good array<boolean>, words binary, ids binary"
+SUMS = "chunk long, bucket int, entries long, blob binary"
+BUCKET = 500_000  # a chunk's words or bigrams summed together, at most about
 
 
 def _word_hash(word: str | None) -> int:
@@ -234,19 +234,20 @@ def _word_hash(word: str | None) -> int:
 
 
 def _pack(*columns: np.ndarray) -> bytes:
-    raw = np.concatenate([c.astype("<i4") for c in columns]).tobytes()
+    """Columns of 64-bit values, compressed byte plane by byte plane."""
+    raw = b"".join(np.ascontiguousarray(c.astype("<i8", copy=False).view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
 
 
 def _unpack(blob: bytes, columns: int) -> np.ndarray:
     raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
-    return np.frombuffer(raw, "<i4").astype(np.int64).reshape(columns, -1)
+    planes = np.frombuffer(raw, np.uint8).reshape(columns, 8, -1)
+    return np.ascontiguousarray(planes.transpose(0, 2, 1)).view("<i8")[:, :, 0]
 
 
-def _chunk_rows(p: Params, shared):
-    """Per chunk: one row with its documents as bigram numbers, one for each of
-    its bigrams (x context, y word; t target, b background count), one for each
-    of its words (x; t, b counts as a word, ct, cb as a context)."""
+def _chunk_rows(shared, size_limit: int):
+    """Per chunk one row: its documents' words as numbers, and the hashes of
+    the words in the order of their numbers (0 is the start of a text)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value if shared else None
@@ -255,47 +256,15 @@ def _chunk_rows(p: Params, shared):
         index.default_factory = index.__len__
         held: list[tuple] = []
 
-        def table(n: int, chunk: int, **columns) -> Iterator[pa.RecordBatch]:
-            full = {"chunk": np.full(n, chunk, np.int64), **columns}
-            cells = []
-            for f in SCHEMA:
-                v = full.get(f.name)
-                cells.append(pa.nulls(n, f.type) if v is None else pa.array(v, f.type))
-            whole = pa.RecordBatch.from_arrays(cells, schema=SCHEMA)
-            for at in range(0, n, SLICE):
-                yield whole.slice(at, SLICE)
-
-        def flush(chunk: int) -> Iterator[pa.RecordBatch]:
-            sizes = np.array([len(ids) for _, ids, _ in held], np.int64)
-            of = np.repeat(np.arange(len(held)), sizes)
-            w = np.concatenate([ids for _, ids, _ in held]).astype(np.int64)
-            h = np.zeros_like(w)
-            h[1:] = w[:-1]
-            h[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0  # the start of a text
-            good = np.array([g for _, _, g in held], bool)[of]
-            width = len(index)
-            keys, at = np.unique(h * width + w, return_inverse=True)
-            n = max(len(keys), 1)
-            both = np.sort(of * n + at) - of * n  # a document's bigrams, ascending
-            steps = both.copy()
-            steps[1:] -= np.where(of[1:] == of[:-1], both[:-1], 0)
-            t, b = np.bincount(at[good], minlength=len(keys)), np.bincount(at, minlength=len(keys))
-            lh, lw = keys // width, keys % width
-            yield from table(
-                1, chunk, kind=[DOCS], doc_ids=[[i for i, _, _ in held]], sizes=[sizes],
-                docs=[_pack(steps)], pairs=[_pack(np.diff(lh, prepend=0), lw, t, b)],
-            )
-            hashes = np.fromiter(map(_word_hash, index), np.int64, width)
-            yield from table(
-                len(keys), chunk, kind=np.full(len(keys), PAIR), at=np.arange(len(keys)),
-                x=hashes[lh], y=hashes[lw], t=t, b=b,
-            )
-            count = lambda ids, chosen: np.bincount(ids[chosen], minlength=width)
-            every = slice(None)
-            yield from table(
-                width, chunk, kind=np.full(width, WORD_ROW), at=np.arange(width), x=hashes,
-                t=count(w, good), b=count(w, every), ct=count(h, good), cb=count(h, every),
-            )
+        def flush(chunk: int) -> pa.RecordBatch:
+            sizes = [len(ids) for _, ids, _ in held]
+            row = {
+                "chunk": chunk, "tokens": sum(sizes), "target": sum(n for n, (_, _, g) in zip(sizes, held) if g),
+                "doc_ids": [i for i, _, _ in held], "sizes": sizes, "good": [g for _, _, g in held],
+                "words": _pack(np.fromiter(map(_word_hash, index), np.int64, len(index))),
+                "ids": _pack(np.concatenate([ids for _, ids, _ in held])),
+            }
+            return pa.RecordBatch.from_pylist([row], schema)
 
         for batch in batches:
             for doc_id, text, good in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "is_target"))):
@@ -306,76 +275,164 @@ def _chunk_rows(p: Params, shared):
                     index[None]  # the start of a text is number 0
                 held.append((doc_id, np.fromiter(map(index.__getitem__, words), np.int32, len(words)), bool(good)))
                 size += len(words) + 1
-                if size >= p.chunk:
-                    yield from flush(task << 32 | seq)
+                if size >= size_limit:
+                    yield flush(task << 32 | seq)
                     held.clear()
                     index.clear()
                     seq, size = seq + 1, 0
         if held:
-            yield from flush(task << 32 | seq)
+            yield flush(task << 32 | seq)
 
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType
 
-    SCHEMA = to_arrow_schema(StructType.fromDDL(ROWS))
+    schema = to_arrow_schema(StructType.fromDDL(CHUNK))
     return run
 
 
-OUT = "doc_id long, n_tokens long, target_loss double, background_loss double, ce_difference double"
-SUMS = ("t", "b", "ct", "cb", "dt", "db")
+class _Chunk:
+    """A chunk's row taken apart: its words (hash ``x``) and its distinct
+    bigrams (word numbers ``h``, ``w``; ``n`` target and background counts)."""
+
+    def __init__(self, row: dict):
+        self.sizes = np.array(row["sizes"], np.int64)
+        self.of = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.good = np.array(row["good"], bool)[self.of]
+        self.x = _unpack(row["words"], 1)[0].view(np.uint64)
+        self.w = _unpack(row["ids"], 1)[0]
+        self.h = np.zeros_like(self.w)  # 0: the start of a text
+        self.h[1:] = self.w[:-1]
+        self.h[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = 0
+        width = len(self.x)
+        keys, self.at = np.unique(self.h * width + self.w, return_inverse=True)
+        self.lh, self.lw = keys // width, keys % width
+        self.n = np.stack([np.bincount(self.at[c], minlength=len(keys)) for c in (self.good, slice(None))])
+
+    def bigram_keys(self) -> tuple[np.ndarray, np.ndarray]:
+        """80 bits of each bigram, from the hashes of its words."""
+        a, b = self.x[self.lh], self.x[self.lw]
+        return _mixed(a * np.uint64(0x9E3779B97F4A7C15) + b), _mixed(a + b * np.uint64(0xC2B2AE3D27D4EB4F)) & np.uint64(0xFFFF)
+
+    def word_counts(self) -> np.ndarray:
+        """Target and background counts of each word, then as a context."""
+        every, width = slice(None), len(self.x)
+        return np.stack([np.bincount(ids[c], minlength=width) for ids in (self.w, self.h) for c in (self.good, every)])
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return x ^ (x >> np.uint64(31))
+
+
+def _entries(chunk: int, buckets: int, key: np.ndarray, low: np.ndarray, *values: np.ndarray) -> list[dict]:
+    """A chunk's entries, by key, as one packed row a bucket (a range of keys)."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    cut = np.searchsorted((key >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32), np.arange(buckets + 1, dtype=np.uint64))
+    columns = [low[order].astype(np.int64), *(v[order] for v in values)]
+    return [
+        {"chunk": chunk, "bucket": i, "entries": z - a, "blob": _pack(np.diff(key[a:z], prepend=np.uint64(0)).view(np.int64), *(c[a:z] for c in columns))}
+        for i, (a, z) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist())) if z > a
+    ]
+
+
+def _summed(values: int, floats: int = 0):
+    """Rows of one bucket -> for each the sums over all chunks, in its order, and
+    whether it is the first with the key (``entries``: how many are). The last
+    ``floats`` of the ``values`` columns are doubles."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("chunk")
+        got = [_unpack(b, 2 + values) for b in rows.column("blob").to_pylist()]
+        key = np.concatenate([np.cumsum(g[0].view(np.uint64), dtype=np.uint64) for g in got])
+        low, *cells = np.concatenate([g[1:] for g in got], axis=1)
+        order = np.lexsort((low, key))
+        k, o = key[order], low[order]
+        first = np.concatenate([[True], (k[1:] != k[:-1]) | (o[1:] != o[:-1])])
+        start, group = np.flatnonzero(first), np.cumsum(first) - 1
+        out = np.empty((1 + values, len(key)), np.int64)
+        out[0, order] = first
+        for i, c in enumerate(cells):
+            c = np.ascontiguousarray(c).view(np.float64) if i >= values - floats else c
+            out[1 + i, order] = np.add.reduceat(c[order], start)[group].view(np.int64)
+        ends = np.cumsum([g.shape[1] for g in got])
+        parts = [out[:, z - g.shape[1] : z] for g, z in zip(got, ends.tolist())]
+        return pa.table(
+            {
+                "chunk": rows.column("chunk"), "bucket": rows.column("bucket"),
+                "entries": pa.array([int(x[0].sum()) for x in parts], pa.int64()), "blob": pa.array([_pack(*x) for x in parts], pa.binary()),
+            }
+        )
 
+    return run
 
-def _chunk_losses(p: Params, total: np.ndarray, words: int):
-    """Rows of each chunk (its documents, then sums of bigrams, then of words)
-    -> losses of its documents. ``total``: tokens of both models; ``words``: of
-    the vocabulary with the unknown token."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now: dict = {}
-
-        def begin(row: dict) -> None:
-            lh, lw, t, b = _unpack(row["pairs"], 4)
-            lh = np.cumsum(lh)
-            now.clear()
-            now.update(row, lh=lh, lw=lw, n=np.stack([t, b]).astype(float))
-            now["word"] = np.zeros((6, 1 + int(max(lh.max(), lw.max())) if len(lh) else 1))
-
-        def finish() -> pa.RecordBatch:
-            lh, lw, n, word = (now[k] for k in ("lh", "lw", "n", "word"))
-            uni = (word[:2] + 1) / (total[:, None] + words)
-            ctx = np.maximum(word[2:4], 1e-300)
-            left = np.maximum(np.where(word[2:4] > 0, word[4:] / ctx, 1.0), 1e-9)
-            prob = (n - np.minimum(n, p.discount)) / ctx[:, lh] + left[:, lh] * uni[:, lw]
-            loss = -np.log(prob)
-            sizes = np.array(now["sizes"], np.int64)
-            of = np.repeat(np.arange(len(sizes)), sizes)
-            run = np.cumsum(_unpack(now["docs"], 1)[0])
-            first = np.cumsum(sizes) - sizes
-            base = np.concatenate([[0], run])[first]  # what earlier documents add
-            at = run - base[of]
-            empty = sizes == 0
-            mean = [np.bincount(of, loss[m][at], len(sizes)) / np.maximum(sizes, 1) for m in range(2)]
-            cells = [pa.array(x, pa.float64(), mask=empty) for x in (*mean, mean[0] - mean[1])]
-            return pa.RecordBatch.from_arrays(
-                [pa.array(now["doc_ids"], pa.int64()), pa.array(sizes), *cells], names=[c.split()[0] for c in OUT.split(", ")]
-            )
+def _aligned(answers: pa.Table, values: int, key: np.ndarray) -> np.ndarray:
+    """The answers to a chunk's :func:`_entries`, in the order of ``key``: first
+    with the key or not, then the sums."""
+    out = np.empty((1 + values, len(key)), np.int64)
+    if len(key):
+        got = [_unpack(b, 1 + values) for b in answers.sort_by("bucket").column("blob").to_pylist()]
+        out[:, np.argsort(key, kind="stable")] = np.concatenate(got, axis=1)
+    return out
+
 
+def _rows(rows: list[dict]) -> pa.Table:
+    kinds = (("chunk", pa.int64()), ("bucket", pa.int32()), ("entries", pa.int64()), ("blob", pa.binary()))
+    return pa.Table.from_pylist(rows, pa.schema(kinds))
+
+
+def _asked_bigrams(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            kind, at = (b.column(c).to_numpy(zero_copy_only=False) for c in ("kind", "at"))
-            sums = np.stack([b.column(c).to_numpy(zero_copy_only=False) for c in SUMS]).astype(float)
-            # stretches of one kind; a chunk's documents come first, as one row
-            cut = np.unique(np.concatenate([[0], np.flatnonzero(kind[1:] != kind[:-1]) + 1, np.flatnonzero(kind == DOCS), [len(kind)]]))
-            for x, z in zip(cut[:-1].tolist(), cut[1:].tolist()):
-                if kind[x] == DOCS:
-                    if now:
-                        yield finish()
-                    begin({c: b.column(c)[x].as_py() for c in ("doc_ids", "sizes", "docs", "pairs")})
-                elif kind[x] == PAIR:
-                    now["n"][:, at[x:z].astype(np.int64)] = sums[:2, x:z]
-                else:
-                    now["word"][:, at[x:z].astype(np.int64)] = sums[:, x:z]
-        if now:
-            yield finish()
+            for i in range(b.num_rows):
+                row = b.slice(i, 1).to_pylist()[0]
+                c = _Chunk(row)
+                yield from _rows(_entries(row["chunk"], buckets, *c.bigram_keys(), *c.n)).to_batches()
+
+    return run
+
+
+def _asked_words(p: Params, buckets: int):
+    """A chunk and its bigrams' sums -> its words' counts, and what each word
+    loses to discounting over the bigrams that no lower chunk has."""
+
+    def run(chunk: pa.Table, bigrams: pa.Table) -> pa.Table:
+        (row,) = chunk.to_pylist()
+        c = _Chunk(row)
+        first, *sums = _aligned(bigrams, 2, c.bigram_keys()[0])
+        lost = [np.bincount(c.lh, np.where(first == 1, np.minimum(s, p.discount), 0.0), len(c.x)).view(np.int64) for s in sums]
+        return _rows(_entries(row["chunk"], buckets, c.x, np.zeros(len(c.x), np.int64), *c.word_counts(), *lost))
+
+    return run
+
+
+OUT = "doc_id long, n_tokens long, target_loss double, background_loss double, ce_difference double"
+
+
+def _chunk_losses(p: Params, total: np.ndarray, words: int):
+    """A chunk and the sums of its bigrams and words -> losses of its documents.
+    ``total``: tokens of both models; ``words``: of the vocabulary with the
+    unknown token."""
+
+    def run(chunk: pa.Table, sums: pa.Table) -> pa.Table:
+        (row,) = chunk.to_pylist()
+        c = _Chunk(row)
+        of_kind = lambda kind: sums.filter(pa.compute.equal(sums.column("kind"), kind))
+        n = _aligned(of_kind(0), 2, c.bigram_keys()[0])[1:].astype(float)
+        word = _aligned(of_kind(1), 6, c.x)[1:]
+        uni = (word[:2] + 1) / (total[:, None] + words)
+        ctx = np.maximum(word[2:4], 1e-300)
+        lost = np.ascontiguousarray(word[4:]).view(np.float64)
+        left = np.maximum(np.where(word[2:4] > 0, lost / ctx, 1.0), 1e-9)
+        loss = -np.log((n - np.minimum(n, p.discount)) / ctx[:, c.lh] + left[:, c.lh] * uni[:, c.lw])
+        empty = c.sizes == 0
+        mean = [np.bincount(c.of, loss[m][c.at], len(c.sizes)) / np.maximum(c.sizes, 1) for m in range(2)]
+        cells = [pa.array(x, pa.float64(), mask=empty) for x in (*mean, mean[0] - mean[1])]
+        return pa.Table.from_arrays(
+            [pa.array(row["doc_ids"], pa.int64()), pa.array(c.sizes), *cells], names=[x.split()[0] for x in OUT.split(", ")]
+        )
 
     return run
 
@@ -384,48 +441,23 @@ def score_by_tables(marked: DataFrame, p: Params, index: dict[str, int] | None =
     """Scores of ``marked`` (doc_id, text, is_target) under the models of all
     its words and bigrams; ``index``: the vocabulary, if it is not every word."""
     shared = marked.sparkSession.sparkContext.broadcast(frozenset(index)) if index is not None else None
-    rows = written(marked.select("doc_id", "text", "is_target").mapInArrow(_chunk_rows(p, shared), ROWS), "chunks")
-    # A bigram's rows: one for each chunk that has it. The lowest chunk's row
-    # stands for the bigram (h), rows of several chunks are answered.
-    same = Window.partitionBy("x", "y")
-    pairs = rows.filter(F.col("kind") == PAIR).select("x", "y", "chunk", "at", "t", "b")
-    summed = pairs.select(
-        "x", "chunk", "at", F.sum("t").over(same).alias("t"), F.sum("b").over(same).alias("b"),
-        F.min("chunk").over(same).alias("lo"), F.max("chunk").over(same).alias("hi"),
-    )
-    many = F.col("lo") < F.col("hi")
-    counts = written(
-        summed.select(
-            F.when(F.col("chunk") == F.col("lo"), F.col("x")).alias("h"),
-            F.when(many, F.col("chunk")).alias("chunk"), F.when(many, F.col("at")).alias("at"), "t", "b",
-        ),
-        "bigrams",
-    )
-    begun = counts.filter("h IS NOT NULL").groupBy(F.col("h").alias("x")).agg(
-        *(F.sum(F.least(F.col(c).cast("double"), F.lit(float(p.discount)))).alias(f"d{c}") for c in "tb")
+    chunks = written(marked.select("doc_id", "text", "is_target").mapInArrow(frugal(_chunk_rows(shared, p.chunk)), CHUNK), "chunks")
+    seen = chunks.agg(F.sum("tokens").alias("b"), F.sum("target").alias("t")).first()
+    buckets = 1 + (seen["b"] or 0) // BUCKET
+    asked = chunks.select("chunk", "sizes", "good", "words", "ids")
+    bigrams = written(
+        asked.mapInArrow(frugal(_asked_bigrams(buckets)), SUMS).groupBy("bucket").applyInArrow(_summed(2), SUMS), "bigrams"
     )
-    asked = rows.filter(F.col("kind") == WORD_ROW)
     words = written(
-        asked.groupBy("x").agg(*(F.sum(c).alias(c) for c in ("t", "b", "ct", "cb")))
-        .join(begun.hint("merge"), "x", "left").fillna(0.0, ["dt", "db"]),
+        asked.groupBy("chunk").cogroup(bigrams.groupBy("chunk")).applyInArrow(_asked_words(p, buckets), SUMS)
+        .groupBy("bucket").applyInArrow(_summed(6, 2), SUMS),
         "words",
     )
-    real = F.col("x") != _word_hash(None)
-    seen = words.filter(real).agg(F.count("*").alias("n"), F.sum("t").alias("t"), F.sum("b").alias("b")).first()
-    size = 1 + (seen["n"] if index is None else len(index))  # and the unknown token
+    n = words.agg(F.sum("entries").alias("n")).first()["n"] or 1  # with the start of a text
+    size = 1 + (n - 1 if index is None else len(index))  # and the unknown token
     total = np.array([seen["t"] or 0, seen["b"] or 0], float)
-    none = [F.lit(None).cast(k).alias(c) for c, k in (("doc_ids", "array<long>"), ("sizes", "array<int>"), ("docs", "binary"), ("pairs", "binary"))]
-    zero = lambda *cs: [F.lit(0.0).alias(c) for c in cs]
-    parts = (
-        rows.filter(F.col("kind") == DOCS).select("chunk", "kind", F.lit(0).alias("at"), *zero(*SUMS), "doc_ids", "sizes", "docs", "pairs"),
-        counts.filter("chunk IS NOT NULL").select(
-            "chunk", F.lit(PAIR).alias("kind"), "at", *(F.col(c).cast("double").alias(c) for c in "tb"), *zero(*SUMS[2:]), *none
-        ),
-        asked.select("chunk", "kind", "at", "x").join(words.hint("merge"), "x")
-        .select("chunk", "kind", "at", *(F.col(c).cast("double").alias(c) for c in SUMS), *none),
-    )
-    chunks = parts[0].union(parts[1]).union(parts[2]).repartition("chunk").sortWithinPartitions("chunk", "kind")
-    return chunks.mapInArrow(_chunk_losses(p, total, size), OUT)
+    sums = bigrams.withColumn("kind", F.lit(0)).union(words.withColumn("kind", F.lit(1)))
+    return chunks.drop("tokens", "target").groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInArrow(_chunk_losses(p, total, size), OUT)
 
 
 def cross_entropy_difference(documents: DataFrame, labels: DataFrame, p: Params = Params()) -> DataFrame:
