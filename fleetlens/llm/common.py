@@ -5,6 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -50,6 +51,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def free_shuffles(spark: SparkSession, wait: float = 0.0) -> None:
+    """Ask for the garbage collection that lets Spark remove the files of
+    shuffles nothing refers to. Right after a write its listeners may still
+    refer to them: once more after ``wait`` seconds is surer."""
+    time.sleep(wait)
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
@@ -62,7 +71,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    spark.sparkContext._jvm.System.gc()
+    free_shuffles(spark)
     back = spark.read.schema(df.schema).parquet(path)
     back._scratch = path
     return back

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, frugal, pick, written
+from .common import WORD, free_shuffles, frugal, pick, written
 
 WORD_RE = re.compile(WORD)
 
@@ -443,17 +443,20 @@ def score_by_tables(marked: DataFrame, p: Params, index: dict[str, int] | None =
     shared = marked.sparkSession.sparkContext.broadcast(frozenset(index)) if index is not None else None
     chunks = written(marked.select("doc_id", "text", "is_target").mapInArrow(frugal(_chunk_rows(shared, p.chunk)), CHUNK), "chunks")
     seen = chunks.agg(F.sum("tokens").alias("b"), F.sum("target").alias("t")).first()
+    free_shuffles(marked.sparkSession, 1)  # the joined texts
     buckets = 1 + (seen["b"] or 0) // BUCKET
     asked = chunks.select("chunk", "sizes", "good", "words", "ids")
     bigrams = written(
         asked.mapInArrow(frugal(_asked_bigrams(buckets)), SUMS).groupBy("bucket").applyInArrow(_summed(2), SUMS), "bigrams"
     )
+    free_shuffles(marked.sparkSession, 1)  # the chunks' own counts
     words = written(
         asked.groupBy("chunk").cogroup(bigrams.groupBy("chunk")).applyInArrow(_asked_words(p, buckets), SUMS)
         .groupBy("bucket").applyInArrow(_summed(6, 2), SUMS),
         "words",
     )
     n = words.agg(F.sum("entries").alias("n")).first()["n"] or 1  # with the start of a text
+    free_shuffles(marked.sparkSession, 1)  # what the words were made of
     size = 1 + (n - 1 if index is None else len(index))  # and the unknown token
     total = np.array([seen["t"] or 0, seen["b"] or 0], float)
     sums = bigrams.withColumn("kind", F.lit(0)).union(words.withColumn("kind", F.lit(1)))
