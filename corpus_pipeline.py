@@ -12,11 +12,13 @@ whatever their names; an empty table gives an empty result.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fleetlens.llm import mixing, passages, simhash, spm, toxicity
-from fleetlens.llm.common import fold, fresh, pick, table, written
+from fleetlens.llm.common import fold, fresh, pick, shrink_heaps, table, written
 
 TOXIC_FROM = 0.3  # score from which a document is rejected
 
@@ -49,12 +51,25 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return spm.encode_documents(docs)
 
 
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def rested(stage: Stage) -> Stage:
+    """``stage`` on executors that have given back the heap of the stage before."""
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        shrink_heaps(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("simhash_near_dedup", drop_near_duplicates),
-    ("substring_dedup", cut_repeated_passages),
-    ("source_mixing", mix_sources),
-    ("sentencepiece", encode),
+    ("toxicity", rested(drop_toxic)),
+    ("simhash_near_dedup", rested(drop_near_duplicates)),
+    ("substring_dedup", rested(cut_repeated_passages)),
+    ("source_mixing", rested(mix_sources)),
+    ("sentencepiece", rested(encode)),
 ]
 
 ORACLE_SQL = None  # hashing, label models and tokenizers: tested against brute force

@@ -108,6 +108,16 @@ def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator
     return tidy
 
 
+def shrink_heaps(spark: SparkSession) -> None:
+    """Have executors collect their garbage, after which their JVMs return the
+    unused part of the heap to the system: it grows to its limit in a long job
+    and would else stay there, beside the memory of Python workers. One task for
+    each core, which Spark deals out over all free executors."""
+    n = spark.sparkContext.defaultParallelism
+    collected = spark.range(0, n, 1, n).select(F.java_method(F.lit("java.lang.System"), F.lit("gc")).alias("done"))
+    collected.write.format("noop").mode("overwrite").save()
+
+
 def bit_filter(keys: DataFrame, bits: int) -> bytes:
     """A two-hash Bloom filter of the 64-bit numbers in column ``key``: 2^bits
     bits whatever their number, so what is collected and sent is bounded."""

@@ -34,7 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import frugal, pick
+from .common import frugal, give_back, pick
 
 MARK = "▁"
 DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -296,6 +296,7 @@ def _coded(shared, verify: bool):
 
             exact = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
         codec = Codec(shared.value, exact=exact)
+        give_back()  # what the model's tables were built from
         byte = np.array([kind == BYTE for *_, kind in codec.spec.pieces])
         for b in batches:
             for at in range(0, b.num_rows, 256):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import corpus_pipeline
 import psutil
 
 from fleetlens.llm import lmscore
@@ -46,3 +47,13 @@ def test_language_model_exchanges_packed_rows(spark, monkeypatch):
     got = lmscore.cross_entropy_difference(docs, labels, lmscore.Params(chunk=9_000)).collect()
     assert sorted(r.doc_id for r in got) == list(range(100)) and {r.n_tokens for r in got} == {400}
     assert sum(t.count() for t in tables) < 200  # of 40,000 words and about as many bigrams: no row for each
+
+
+def test_stages_begin_with_a_collected_heap(spark):
+    docs = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
+    beans = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = full()
+    out = dict(corpus_pipeline.STAGES)["sentencepiece"](spark, docs, "")
+    assert full() > before  # here the driver is the executor
+    assert [r.round_trip for r in out.collect()] == [True]
