@@ -10,8 +10,9 @@ are lower-cased, shingles have five words.
 
 1. Every paragraph gets a text hash and ``bands`` MinHash values, one a band:
    two paragraphs of Jaccard 0.8 share a band with probability
-   1 - 0.2^bands (0.992 for three). One grouped minimum and maximum a bucket,
-   pre-aggregated, tells which buckets hold two texts or two documents.
+   1 - 0.2^bands (0.992 for three). The minimum and maximum of each bucket,
+   first of a batch, packed by range of buckets, then of all, tell which buckets
+   hold two texts or two documents.
 2. The keys of those buckets, as a filter of fixed size, let a second pass
    over the texts write only paragraphs that can matter, with their shingles.
    The filter saves work and decides nothing: what it lets through in vain
@@ -51,6 +52,7 @@ TOP = U(0xFFFFFFFFFFFFFFFF)
 BASE, BASE_INV = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 LINE = U(0xC2B2AE3D27D4EB4F)
 GROUP = 1 << 19  # characters of the texts that are cut together
+PARTS = 8  # ranges of buckets that a shuffle partition holds, one after another
 
 
 @dataclass(frozen=True)
@@ -66,9 +68,54 @@ class Params:
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
+    x = x ^ (x >> U(30))
+    x *= U(0xBF58476D1CE4E5B9)
+    x ^= x >> U(27)
+    x *= U(0x94D049BB133111EB)
+    x ^= x >> U(31)
+    return x
+
+
+# Fixed values of XXH64.
+X1, X2, X3, X4, X5 = map(U, (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+
+
+def _turned(x: np.ndarray, bits: int) -> np.ndarray:
+    return (x << U(bits)) | (x >> U(64 - bits))
+
+
+def word_hashes(text: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """XXH64 of the words ``text[start : start + size]``, all words of a length
+    at once; at least 7 bytes follow the last word."""
+    import xxhash
+
+    eight = np.ndarray(max(0, len(text) - 7), "<u8", text, strides=(1,))  # from each byte on
+    length = np.minimum(size, 32).astype(np.uint8)  # 32: longer, too
+    order = np.argsort(length, kind="stable")
+    ends = np.searchsorted(length[order], np.arange(32, dtype=np.uint8), "right")
+    out = np.empty(len(start), U)
+    for n in range(1, 32):
+        words = order[ends[n - 1] : ends[n]]
+        at, left = start[words], n
+        h = np.full(len(words), X5 + U(n))
+        while left >= 8 and len(words):
+            h ^= _turned(eight[at] * X2, 31) * X1
+            h = _turned(h, 27) * X1 + X4
+            at, left = at + 8, left - 8
+        rest = eight[at] if left else h
+        if left >= 4:
+            h ^= (rest & U(0xFFFFFFFF)) * X1
+            h = _turned(h, 23) * X2 + X3
+            rest, left = rest >> U(32), left - 4
+        for i in range(left):
+            h ^= (rest >> U(8 * i) & U(255)) * X5
+            h = _turned(h, 11) * X1
+        h = (h ^ (h >> U(33))) * X2
+        h = (h ^ (h >> U(29))) * X3
+        out[words] = h ^ (h >> U(32))
+    for i in order[ends[31] :].tolist():
+        out[i] = xxhash.xxh64_intdigest(text[start[i] : start[i] + size[i]])
+    return out
 
 
 class Cutter:
@@ -101,27 +148,28 @@ class Cutter:
     def many(self, texts: list[str]) -> Cut:
         """The fragments and lines of texts, cut together: their words stand
         one after another, and no unit reaches over the end of a text."""
-        import xxhash
-
-        words, ends, sizes = [], [0], []
-        for text in texts:
-            before = len(words)
-            for line in text.lower().encode("utf-8", "surrogatepass").split(b"\n"):
-                words += line.split()
-                ends.append(len(words))
-            sizes.append(len(words) - before)
-        n, k, r = len(words), self.p.shingle, self.p.radius
-        size = np.array(sizes, np.int64)
+        low = [text.lower().encode("utf-8", "surrogatepass") for text in texts]
+        joined = b"\n".join([*low, bytes(8)])
+        c = np.frombuffer(joined, np.uint8, len(joined) - 8)
+        word = np.zeros(len(c) + 1, bool)  # one place before each byte
+        word[1:] = (c != 32) & ((c < 9) | (c > 13))
+        turn = np.flatnonzero(word[1:] != word[:-1])
+        start, size = turn[::2], turn[1::2] - turn[::2]
+        # words before the end of each line and of each text
+        ends = np.append(0, np.searchsorted(start, np.flatnonzero(c == 10)))
+        n, k, r = len(start), self.p.shingle, self.p.radius
+        w = word_hashes(joined, start, size)
+        size = np.diff(np.searchsorted(start, np.cumsum([len(x) + 1 for x in low])), prepend=0)
         base = np.cumsum(size) - size
         doc = np.repeat(np.arange(len(texts)), size)
-        w = np.fromiter(map(xxhash.xxh64_intdigest, words), U, n)
         if not n:
             none = Units(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, U), np.empty((0, self.p.bands), U), w)
             return Cut(0, base, doc, none, none)
         self._powers(n + 1)
         with np.errstate(over="ignore"):
-            lines = np.unique(np.array(ends, np.int64))
-            lines = lines[lines < n]
+            first = np.zeros(n + 1, bool)
+            first[ends] = True
+            lines = np.flatnonzero(first[:n])
             own = base[size > 0]  # first words of texts
             g, one, two = w.copy(), w * U(0xD6E8FEB86659FD93), w * U(0xA5A3D2B1C4E6F789)
             one[own[1:] - 1] = 0
@@ -136,7 +184,7 @@ class Cutter:
                 low[:-d] &= g[:-d] < g[d:]
             edge = np.arange(n) - base[doc]
             low &= (edge >= r) & (edge < size[doc] - r)
-            s = np.union1d(lines, np.flatnonzero(low))
+            s = np.flatnonzero(first[:n] | low)
             e = np.append(s[1:], n)
             wide = np.flatnonzero(e - s > self.p.longest)
             if len(wide):
@@ -148,22 +196,28 @@ class Cutter:
                 for d in range(k):
                     h = h * U(BASE) + w[d : n - k + 1 + d]
                 sh[: n - k + 1] = np.minimum(_mix(h), TOP - U(1))
-            return Cut(n, base, doc, self._hashed(s, n, total, sh, U(0)), self._hashed(lines, n, total, sh, LINE))
+            mixed = [_mix(sh ^ key) for key in self.keys]
+            hashed = lambda at, kind: self._hashed(at, n, total, sh, mixed, kind)
+            return Cut(n, base, doc, hashed(s, U(0)), hashed(lines, LINE))
 
-    def _hashed(self, s: np.ndarray, n: int, total: np.ndarray, sh: np.ndarray, kind: np.uint64) -> Units:
+    def _hashed(
+        self, s: np.ndarray, n: int, total: np.ndarray, sh: np.ndarray, mixed: list[np.ndarray], kind: np.uint64
+    ) -> Units:
         """Units that start at ``s``; ``kind`` keeps the hashes of lines and of
-        fragments apart."""
+        fragments apart. ``mixed``: the shingles under each band's key."""
         k, e = self.p.shingle, np.append(s[1:], n)
         size, sh = e - s, sh.copy()
         th = _mix((total[e] - total[s]) * self.pow[e] + size.astype(U) + kind)
-        after = np.repeat(e, size) - np.arange(n)
-        sh[after < k] = TOP
-        short = size < k
-        sh[s[short]] = np.minimum(th[short], TOP - U(1))
+        top = np.zeros(n, bool)  # shingles that would leave their unit
+        for d in range(1, k):
+            top[e[size > d] - d] = True
+        sh[top] = TOP
+        short = s[size < k]
+        sh[short] = np.minimum(th[size < k], TOP - U(1))
         bands = np.empty((len(s), self.p.bands), U)
-        top = sh == TOP
         for i, key in enumerate(self.keys):
-            v = _mix(sh ^ key)
+            v = mixed[i].copy()
+            v[short] = _mix(sh[short] ^ key)
             v[top] = TOP
             low_v = np.minimum.reduceat(v, s)
             bands[:, i] = _mix(low_v + U(i) + kind)
@@ -205,10 +259,24 @@ def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
-def _band_rows(p: Params):
-    """Per batch: (bucket, member) once for each text. A member is the text; in
-    the first band it is the text in its document, and a text that has a second
-    document stands there twice."""
+PACKED = "part int, bh binary, lo binary, hi binary"
+
+
+def _lowest_and_highest(bh: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each bucket once, ascending, with its smallest and largest member."""
+    if not len(bh):
+        return bh, lo, hi
+    order = np.argsort(bh)
+    bh = bh[order]
+    at = np.flatnonzero(np.append(True, bh[1:] != bh[:-1]))
+    return bh[at], np.minimum.reduceat(lo[order], at), np.maximum.reduceat(hi[order], at)
+
+
+def _band_rows(p: Params, parts: int):
+    """Per batch: its buckets with their smallest and largest member, packed by
+    range of buckets (``parts`` of them). A member is the text; in the first
+    band it is the text in its document, so a text that has a second document
+    makes two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(p)
@@ -221,31 +289,50 @@ def _band_rows(p: Params):
                     ths.append(u.th)
                     bands.append(u.bands)
                     dks.append(all_dk[lo:hi][cut.doc[u.start]])
-            th, dk = np.concatenate(ths).view(np.int64), np.concatenate(dks)
-            bd = np.concatenate(bands).view(np.int64)
-            order = np.lexsort((dk, th))
-            th, dk, bd = th[order], dk[order], bd[order]
-            new = np.ones(len(th), bool)
-            new[1:] = th[1:] != th[:-1]
-            other = np.zeros(len(th), bool)
-            other[1:] = ~new[1:] & (dk[1:] != dk[:-1])
-            # one more document a text is enough
+            th, dk, bd = np.concatenate(ths).view(np.int64), np.concatenate(dks), np.concatenate(bands)
+            order = np.argsort(th)
+            of_text, home = th[order], dk[order]
+            new = np.append(True, of_text[1:] != of_text[:-1])[: len(order)]
             group = np.cumsum(new) - 1
-            first_other = np.zeros(len(th), bool)
-            at = np.flatnonzero(other)
-            if len(at):
-                _, one = np.unique(group[at], return_index=True)
-                first_other[at[one]] = True
-            keep0 = new | first_other
-            bucket = [bd[keep0, 0], *(bd[new, i] for i in range(1, p.bands))]
+            # one more document a text is enough
+            other = np.flatnonzero(home != home[new][group])
+            other = other[np.append(True, group[other][1:] != group[other][:-1])[: len(other)]]
+            one, placed = order[new], order[np.append(np.flatnonzero(new), other)]
+            bucket = [bd[placed, 0], *(bd[one, i] for i in range(1, p.bands))]
             with np.errstate(over="ignore"):
-                placed = _mix(th[keep0].view(U) + _mix(dk[keep0].view(U) ^ LINE)).view(np.int64)
-            member = [placed, *(th[new] for _ in range(1, p.bands))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (bucket, member)], names=["bh", "member"])
+                placed = _mix(th[placed].view(U) + _mix(dk[placed].view(U) ^ LINE)).view(np.int64)
+            member = np.concatenate([placed, *(th[one] for _ in range(1, p.bands))])
+            bh, lo, hi = _lowest_and_highest(np.concatenate(bucket), member, member)
+            part = ((bh >> U(32)) * U(parts) >> U(32)).astype(np.int32)
+            at = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else part
+            ends = np.append(at[1:], len(part))
+            packed = [pa.array([x[a:z].tobytes() for a, z in zip(at, ends)], pa.binary()) for x in (bh, lo, hi)]
+            yield pa.RecordBatch.from_arrays([pa.array(part[at]), *packed], names=["part", "bh", "lo", "hi"])
 
     return run
 
 
+def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Packed rows in order of their parts -> the buckets of two members or
+    more. One part is held at a time."""
+
+    def shared(held: list[tuple]) -> pa.RecordBatch:
+        bh, lo, hi = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*held), (U, np.int64, np.int64)))
+        bh, lo, hi = _lowest_and_highest(bh, lo, hi)
+        return pa.RecordBatch.from_arrays([pa.array(bh[lo != hi].view(np.int64))], names=["bh"])
+
+    now, held = None, []
+    for b in batches:
+        for part, *row in zip(*(b.column(c).to_pylist() for c in ("part", "bh", "lo", "hi"))):
+            if part != now:
+                if held:
+                    yield shared(held)
+                now, held = part, []
+            held.append(row)
+    if held:
+        yield shared(held)
+
+
 def _filter_words(keys: DataFrame, bits: int) -> bytes:
     """A two-hash Bloom filter of column ``bh``: 2^bits bits whatever the
     number of keys, so both the collected rows and the broadcast are bounded."""
@@ -335,12 +422,12 @@ def _unit_batch(
     # fragments before the unit, less those before its text
     place = lambda at: np.searchsorted(cut.fragments.start, at)
     before = place(cut.base[doc])
-    for d in np.unique(doc).tolist():
+    turn = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+    for d in doc[turn].tolist():
         if d not in spans:
             spans[d] = word_spans(texts[d])
     first, last = start - cut.base[doc], end - 1 - cut.base[doc]
     chars = np.empty((len(hit), 2), np.int64)
-    turn = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
     for x, z in zip(turn.tolist(), np.append(turn[1:], len(hit)).tolist()):
         at = spans[int(doc[x])]
         chars[x:z, 0], chars[x:z, 1] = at[first[x:z], 0], at[last[x:z], 1]
@@ -369,6 +456,10 @@ def _unit_batch(
 def similar(ids: list[int], sets: list[frozenset], t: float) -> list[tuple[int, int]]:
     """Links that span the classes of "Jaccard at least t", by prefix filter:
     such sets share one of their rarest |x| - ceil(t |x|) + 1 elements."""
+    if len(ids) == 2:
+        x, y = sorted(sets, key=len)
+        both = len(x & y) if len(x) >= t * len(y) else 0
+        return [(ids[1], ids[0])] if both >= t * (len(x) + len(y) - both) - 1e-9 else []
     often = Counter(e for s in sets for e in s)
     root = list(range(len(ids)))
 
@@ -408,13 +499,16 @@ def _bucket_links(p: Params):
         now, ids, sets = None, [], []
         for b in batches:
             links: list[tuple[int, int]] = []
-            for bh, th, sh in zip(*(b.column(c).to_pylist() for c in ("bh", "th", "shingles"))):
+            lists = b.column("shingles")
+            size = lists.value_lengths().to_numpy()
+            flat, ends = lists.flatten().to_pylist(), np.cumsum(size)
+            for bh, th, x, z in zip(b.column("bh").to_pylist(), b.column("th").to_pylist(), (ends - size).tolist(), ends.tolist()):
                 if bh != now:
                     if len(ids) > 1:
                         links += similar(ids, sets, p.similarity)
                     now, ids, sets = bh, [], []
                 ids.append(th)
-                sets.append(frozenset(sh))
+                sets.append(frozenset(flat[x:z]))
             yield _links(links)
         if len(ids) > 1:
             yield _links(similar(ids, sets, p.similarity))
@@ -437,12 +531,11 @@ def _repeated(df: DataFrame, p: Params) -> DataFrame:
     class, keep (its first occurrence)."""
     spark = df.sparkSession
     docs = pick(df, doc_id="doc_id", text="text").withColumn("dk", _doc_key(F.col("doc_id"), F.col("text")))
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    packed = docs.select("text", "dk").mapInArrow(frugal(_band_rows(p, n * PARTS)), PACKED)
     buckets = written(
-        docs.select("text", "dk").mapInArrow(frugal(_band_rows(p)), "bh long, member long")
-        .groupBy("bh")
-        .agg(F.min("member").alias("lo"), F.max("member").alias("hi"))
-        .filter("lo <> hi")
-        .select("bh"),
+        packed.repartitionById(n, (F.col("part") / PARTS).cast("int")).sortWithinPartitions("part")
+        .mapInArrow(frugal(_shared_buckets), "bh long"),
         "buckets",
     )
     shared = spark.sparkContext.broadcast(_filter_words(buckets, p.filter_bits))  # 2^filter_bits bits

@@ -14,7 +14,9 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -327,6 +329,35 @@ def test_near_equal_lines_match_all_pairs_of_lines(spark):
         assert line in out[2 * i] and out[2 * i + 1] == ""
 
 
+def test_word_hashes_are_xxh64():
+    rng = random.Random(12)
+    words = ["".join(rng.choice("aZ9é語\0") for _ in range(n)).encode() for n in range(1, 70) for _ in range(5)]
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    size = np.array([len(w) for w in words])
+    got = passages.word_hashes(b" ".join([*words, bytes(7)]), ends - size, size)
+    assert got.tolist() == [xxhash.xxh64_intdigest(w) for w in words]
+
+
+def test_buckets_travel_packed_and_stay_whole():
+    rng = random.Random(13)
+    lines = [prose(rng, 12) for _ in range(60)]
+    texts = ["\n".join(rng.sample(lines, 3) + [prose(rng, 12)]) for _ in range(200)] + ["", " \n", None]
+    p, dk = passages.Params(), np.arange(len(texts), dtype=np.int64)
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[i : i + 50], pa.string()), pa.array(dk[i : i + 50])], names=["text", "dk"]) for i in range(0, len(texts), 50)]
+    packed = [r for b in passages._band_rows(p, 4)(iter(batches)) for r in b.to_pylist()]
+    assert len(packed) <= 4 * len(batches)  # no row for each band of a paragraph
+    rows = pa.RecordBatch.from_pylist(sorted(packed, key=lambda r: r["part"]))
+    got = [x for b in passages._shared_buckets(iter([rows])) for x in b.column("bh").to_pylist()]
+    holders = collections.defaultdict(set)  # of first bands: a text in a document; of others: a text
+    for i, t in enumerate(texts):
+        cut = passages.Cutter(p).many([t or ""])
+        for u in (cut.fragments, cut.lines):
+            for th, bands in zip(u.th.tolist(), u.bands.view(np.int64).tolist()):
+                for k, bh in enumerate(bands):
+                    holders[bh].add((th, i if k == 0 else None))
+    assert sorted(got) == sorted(bh for bh, x in holders.items() if len(x) > 1) != []
+
+
 # -------------------------------------------------------------- 7 order minhash
 
 
