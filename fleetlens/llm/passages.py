@@ -259,24 +259,24 @@ def _groups(texts: list[str | None]) -> Iterator[tuple[int, int]]:
         yield at, len(texts)
 
 
-PACKED = "part int, bh binary, lo binary, hi binary"
+PACKED = "part int, bh binary, member binary"
 
 
-def _lowest_and_highest(bh: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _lowest_and_highest(bh: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each bucket once, ascending, with its smallest and largest member."""
     if not len(bh):
-        return bh, lo, hi
+        return bh, member, member
     order = np.argsort(bh)
-    bh = bh[order]
+    bh, member = bh[order], member[order]
     at = np.flatnonzero(np.append(True, bh[1:] != bh[:-1]))
-    return bh[at], np.minimum.reduceat(lo[order], at), np.maximum.reduceat(hi[order], at)
+    return bh[at], np.minimum.reduceat(member, at), np.maximum.reduceat(member, at)
 
 
 def _band_rows(p: Params, parts: int):
-    """Per batch: its buckets with their smallest and largest member, packed by
-    range of buckets (``parts`` of them). A member is the text; in the first
-    band it is the text in its document, so a text that has a second document
-    makes two."""
+    """Per batch: (bucket, member) for the smallest member of each bucket and,
+    where another, the largest, packed by range of buckets (``parts`` of them).
+    A member is the text; in the first band it is the text in its document, so
+    a text that has a second document makes two."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter(p)
@@ -290,6 +290,7 @@ def _band_rows(p: Params, parts: int):
                     bands.append(u.bands)
                     dks.append(all_dk[lo:hi][cut.doc[u.start]])
             th, dk, bd = np.concatenate(ths).view(np.int64), np.concatenate(dks), np.concatenate(bands)
+            del texts, ths, dks, bands
             order = np.argsort(th)
             of_text, home = th[order], dk[order]
             new = np.append(True, of_text[1:] != of_text[:-1])[: len(order)]
@@ -298,16 +299,22 @@ def _band_rows(p: Params, parts: int):
             other = np.flatnonzero(home != home[new][group])
             other = other[np.append(True, group[other][1:] != group[other][:-1])[: len(other)]]
             one, placed = order[new], order[np.append(np.flatnonzero(new), other)]
+            del order, of_text, home, new, group, other
             bucket = [bd[placed, 0], *(bd[one, i] for i in range(1, p.bands))]
             with np.errstate(over="ignore"):
                 placed = _mix(th[placed].view(U) + _mix(dk[placed].view(U) ^ LINE)).view(np.int64)
             member = np.concatenate([placed, *(th[one] for _ in range(1, p.bands))])
-            bh, lo, hi = _lowest_and_highest(np.concatenate(bucket), member, member)
+            bucket = np.concatenate(bucket)
+            del th, dk, bd, one, placed
+            bh, lo, hi = _lowest_and_highest(bucket, member)
+            two = np.flatnonzero(lo != hi)
+            bh, member = np.insert(bh, two + 1, bh[two]), np.insert(lo, two + 1, hi[two])
+            del bucket, lo, hi
             part = ((bh >> U(32)) * U(parts) >> U(32)).astype(np.int32)
             at = np.flatnonzero(np.append(True, part[1:] != part[:-1])) if len(part) else part
-            ends = np.append(at[1:], len(part))
-            packed = [pa.array([x[a:z].tobytes() for a, z in zip(at, ends)], pa.binary()) for x in (bh, lo, hi)]
-            yield pa.RecordBatch.from_arrays([pa.array(part[at]), *packed], names=["part", "bh", "lo", "hi"])
+            offsets = pa.py_buffer((8 * np.append(at, len(part))).astype(np.int32))
+            packed = [pa.Array.from_buffers(pa.binary(), len(at), [None, offsets, pa.py_buffer(x)]) for x in (bh, member)]
+            yield pa.RecordBatch.from_arrays([pa.array(part[at]), *packed], names=["part", "bh", "member"])
 
     return run
 
@@ -317,13 +324,13 @@ def _shared_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     more. One part is held at a time."""
 
     def shared(held: list[tuple]) -> pa.RecordBatch:
-        bh, lo, hi = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*held), (U, np.int64, np.int64)))
-        bh, lo, hi = _lowest_and_highest(bh, lo, hi)
+        bh, member = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*held), (U, np.int64)))
+        bh, lo, hi = _lowest_and_highest(bh, member)
         return pa.RecordBatch.from_arrays([pa.array(bh[lo != hi].view(np.int64))], names=["bh"])
 
     now, held = None, []
     for b in batches:
-        for part, *row in zip(*(b.column(c).to_pylist() for c in ("part", "bh", "lo", "hi"))):
+        for part, *row in zip(*(b.column(c).to_pylist() for c in ("part", "bh", "member"))):
             if part != now:
                 if held:
                     yield shared(held)
