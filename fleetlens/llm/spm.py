@@ -8,9 +8,9 @@ whether the ids are the same.
 
 Normalised texts are cut before each run of markers. That is exact because no
 piece of the model has a marker after another character (checked on loading).
-A task encodes each distinct word once, in batches on the library's threads,
-and remembers up to ``memo`` of them, so memory stays bounded for texts of any
-length.
+A task encodes each distinct word once, with the library's model alone (no
+pipeline around each word), and compares words in batches. It remembers up to
+``memo`` of them, so memory stays bounded for texts of any length.
 
 Two segmentations of exactly equal unigram score are a tie, which SentencePiece
 and the library may break differently; ``verify`` reports such a text.
@@ -24,11 +24,12 @@ empty result; other input columns are not read.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 import struct
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -183,17 +184,26 @@ class Codec:
     With ``exact``, a SentencePiece processor of the same model, every word is
     also encoded by SentencePiece when it is learnt. Pieces never reach over the
     marker that begins a word (checked by ``build``), so a text whose words
-    agree agrees as a whole.
+    agree agrees as a whole. ``exact_batch`` encodes a list of texts with it in
+    one call (if not given: one by one).
     """
 
-    def __init__(self, model: bytes, memo: int = 400_000, long_word: int = 200, exact=None):
+    def __init__(
+        self,
+        model: bytes,
+        memo: int = 400_000,
+        long_word: int = 200,
+        exact=None,
+        exact_batch: Callable[[list[str]], list[list[int]]] | None = None,
+    ):
         self.exact, self.wrong = exact, set()  # normalised words that SentencePiece encodes otherwise
+        self.exact_batch = exact_batch or (lambda texts: [exact.encode(t, num_threads=1) for t in texts])
         self.spec, self.limit, self.long_word = parse(model), memo, long_word
         self.pipeline, self.by_word = build(self.spec)
         # Only markers replaced: done here, without the library's alignments.
         self.plain = not self.spec.charsmap and not self.spec.remove_extra_whitespaces
         self.word = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
-        self.memo: dict[str, bytes] = {}  # ids as little-endian int32
+        self.memo: dict[str, bytes] = {}  # ids as C ints
         self.after_space: dict[str, bytes] = {}
         self.byte_id = {int(p[3:-1], 16): i for i, (p, _, kind) in enumerate(self.spec.pieces) if kind == BYTE}
         self.raw = [
@@ -223,26 +233,30 @@ class Codec:
             return self.after_space, text.split(" ")
         return self.memo, self.word.findall(self.normalise(text))
 
-    def _learn(self, memo: dict[str, bytes], mark: str, words: set[str]) -> dict[str, bytes]:
+    def _learn(self, memo: dict[str, bytes], mark: str, words: set[str]) -> list[str]:
         """Encode new words; those too long to remember are returned."""
-        new, long = list(words), {}
+        new, cut = list(words), self.by_word.model.tokenize
         for at in range(0, len(new), 4096):
             part = [mark + w for w in new[at : at + 4096]]
-            for w, m, e in zip(new[at:], part, self.by_word.encode_batch_fast(part, add_special_tokens=False)):
-                ids = self._with_bytes(m) if self.byte_id and self.spec.unk_id in e.ids else e.ids
-                if self.exact is not None and self._exact_ids(m) != ids:
-                    self.wrong.add(m)
-                (memo if len(w) <= self.long_word else long)[w] = np.array(ids, "<i4").tobytes()
-        return long
-
-    def _exact_ids(self, word: str) -> list[int]:
-        """SentencePiece's ids of a normalised word, by the text it stands for."""
-        text = word.replace(MARK, " ")
-        if not (self.spec.add_dummy_prefix and text[:1] == " "):
-            return self.exact.encode(text, num_threads=1)
-        if word == MARK:  # an empty text gets no marker: look behind a word
-            return self.exact.encode("a ", num_threads=1)[len(self.exact.encode("a", num_threads=1)) :]
-        return self.exact.encode(text[1:], num_threads=1)
+            found = [[t.id for t in cut(m)] for m in part]
+            if self.byte_id:
+                unk = self.spec.unk_id
+                found = [self._with_bytes(m) if unk in ids else ids for m, ids in zip(part, found)]
+            if self.exact is not None:
+                self.wrong.update(m for m, ids, true in zip(part, found, self._exact_ids(part)) if ids != true)
+            memo.update(zip(new[at : at + 4096], [array("i", ids).tobytes() for ids in found]))
+        return [w for w in new if len(w) > self.long_word]
+
+    def _exact_ids(self, words: list[str]) -> list[list[int]]:
+        """SentencePiece's ids of normalised words, by the texts they stand for."""
+        texts = [w.replace(MARK, " ") for w in words]
+        if not self.spec.add_dummy_prefix:
+            return self.exact_batch(texts)
+        found = self.exact_batch([t[1:] if t[:1] == " " else t for t in texts])
+        if MARK in words:  # an empty text gets no marker: look behind a word
+            behind, word = self.exact_batch(["a ", "a"])
+            found[words.index(MARK)] = behind[len(word) :]
+        return found
 
     def agrees(self, texts: list[str]) -> list[bool]:
         """Whether SentencePiece gives the ids that :meth:`encode` gave."""
@@ -256,15 +270,13 @@ class Codec:
         if len(self.memo) + len(self.after_space) > self.limit:
             self.memo, self.after_space = {}, {}
         split = [self._words(t) for t in texts]
-        long = {}
+        long = []
         for memo, mark in ((self.memo, ""), (self.after_space, MARK)):
             new = {w for m, words in split if m is memo for w in words if w not in memo}
-            long[id(memo)] = self._learn(memo, mark, new)
-        out = []
-        for memo, words in split:
-            rare = long[id(memo)]
-            ids = memo.__getitem__ if not rare else lambda w, m=memo, r=rare: m[w] if w in m else r[w]
-            out.append(np.frombuffer(b"".join(map(ids, words)), "<i4").astype(np.int32))
+            long += [(memo, w) for w in self._learn(memo, mark, new)]
+        out = [np.frombuffer(b"".join([memo[w] for w in words]), np.intc).astype(np.int32) for memo, words in split]
+        for memo, w in long:
+            del memo[w]
         return out
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
@@ -289,13 +301,13 @@ SCHEMA = (
 
 def _coded(shared, verify: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        os.environ.setdefault("RAYON_NUM_THREADS", "2")  # a task's share of the machine
-        exact = None
+        exact = batch = None
         if verify:
             import sentencepiece
 
             exact = sentencepiece.SentencePieceProcessor(model_proto=shared.value)
-        codec = Codec(shared.value, exact=exact)
+            batch = partial(exact.encode, num_threads=1)
+        codec = Codec(shared.value, exact=exact, exact_batch=batch)
         give_back()  # what the model's tables were built from
         byte = np.array([kind == BYTE for *_, kind in codec.spec.pieces])
         for b in batches:

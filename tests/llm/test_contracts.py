@@ -96,6 +96,53 @@ def test_parity_is_a_real_comparison():
     assert codec.agrees(texts) == [False, True, False, True, True, True]
 
 
+def test_words_are_compared_in_batches(monkeypatch):
+    """SentencePiece is called a few times for each batch of rows, not once for
+    each word, and a word that it encodes otherwise is still noticed."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    import sentencepiece
+
+    model = open(spm.DEFAULT_MODEL, "rb").read()
+    true, calls = sentencepiece.SentencePieceProcessor(model_proto=model), []
+
+    class Counted:
+        def __init__(self, model_proto):
+            assert model_proto == model
+
+        def encode(self, text, num_threads=1):
+            calls.append(text)
+            change = lambda t, ids: ids[::-1] + [5] if t == "w77x" else ids
+            return change(text, true.encode(text)) if isinstance(text, str) else [*map(change, text, true.encode(text))]
+
+    monkeypatch.setattr(sentencepiece, "SentencePieceProcessor", Counted)
+    texts = [" ".join(f"w{i}{x}" for x in ("x", ".\nThe", "日🤔", "")) for i in range(200)]
+    texts += ["", None, " ", "a ", " a  b ", "▁ ▁▁m", "long" * 300 + " w3x", "long" * 300, "\ttab\n", "ü\0 <s> <0x41>"]
+    rows = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    out = pa.Table.from_batches([*spm._coded(SimpleNamespace(value=model), True)(iter([rows, rows]))]).to_pylist()
+    assert len(calls) < 20
+    for row, text in zip(out, texts * 2, strict=True):
+        assert row["token_ids"] == (None if text is None else true.encode(text))
+        assert row["parity"] is (None if text is None else "w77x" not in text)
+
+
+def test_unigram_words_compared_in_batches_or_one_by_one():
+    """The same ids and verdicts; long words are forgotten after their batch."""
+    import sentencepiece
+    from test_operators import unigram_model
+
+    model = unigram_model()
+    exact = sentencepiece.SentencePieceProcessor(model_proto=model)
+    one, many = spm.Codec(model, exact=exact), spm.Codec(model, exact=exact, exact_batch=exact.encode)
+    texts = ["", "a", " a", "日本 a", "a 🤔", "ab  ba", "▁", "x" * 500 + " a"]
+    for _ in range(2):
+        got = [x.tolist() for x in many.encode(texts)]
+        assert got == [x.tolist() for x in one.encode(texts)]
+        assert many.wrong == one.wrong and many.agrees(texts) == one.agrees(texts)
+    assert not any(len(w) > many.long_word for w in [*many.memo, *many.after_space])
+
+
 def test_models_with_other_markers_are_refused():
     from test_operators import field, unigram_model
 
